@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 from typing import Any
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark import inheritable_thread_target
+from pyspark.errors import PySparkException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,14 +86,17 @@ class ModelStore:
         append_record(self.spark, f"{self.root}/registry", asdict(version), REGISTRY)
 
     def load_members(self, version: ModelVersion) -> list[PipelineModel]:
-        members = []
-        for fold in range(version.k):
+        """The k members; a missing or unreadable one is an error."""
+
+        def load(fold: int) -> PipelineModel:
             path = version.member_path(fold)
             try:
-                members.append(PipelineModel.load(path))
-            except Exception as cause:
+                return PipelineModel.load(path)
+            except (PySparkException, Py4JJavaError) as cause:
                 raise RuntimeError(f"cannot load model {path}") from cause
-        return members
+
+        with ThreadPoolExecutor(version.k) as pool:
+            return list(pool.map(inheritable_thread_target(self.spark)(load), range(version.k)))
 
     def record(self, version: ModelVersion, metrics: DataFrame) -> None:
         """Append the per-fold metrics of a version to the experiment table."""

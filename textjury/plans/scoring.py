@@ -14,7 +14,7 @@ from textjury.operators.folds import held_out_rows
 from textjury.operators.vectors import term_vectors
 from textjury.operators.voting import majority_vote
 from textjury.plans.registry import ModelStore, ModelVersion
-from textjury.plans.split import Split, with_words
+from textjury.plans.split import Split, open_split, with_words
 
 NO_WORDS = "array<string>"
 
@@ -36,6 +36,12 @@ def load_ensemble(store: ModelStore, algorithm: str, version: ModelVersion | Non
     return Ensemble(chosen, tuple(store.load_members(chosen)))
 
 
+def load_all(store: ModelStore, algorithm: str) -> tuple[Split, Ensemble]:
+    """The latest version with the split it was trained on."""
+    ensemble = load_ensemble(store, algorithm)
+    return open_split(store.spark, ensemble.version.split), ensemble
+
+
 def predict_member(df: DataFrame, member: PipelineModel, out: str, tf: str = "tf") -> DataFrame:
     """Add the prediction of one member to a frame that holds its tf vector."""
     _, idf, model = member.stages

@@ -74,6 +74,16 @@ def _complete(spark: SparkSession, path: str, fingerprint: str, settings: dict)
     append_record(spark, f"{path}/manifest", record, MANIFEST)
 
 
+def open_split(spark: SparkSession, path: str) -> Split:
+    """A split stored earlier, with the settings from its manifest."""
+    done = read_records(spark, f"{path}/manifest", MANIFEST)
+    row = None if done is None else done.first()
+    if row is None:
+        raise RuntimeError(f"no complete split under {path}")
+    settings = json.loads(row["settings"])
+    return Split(path, row["fingerprint"], settings["k"], settings["tokenizer"])
+
+
 def build_split(
     labelled: DataFrame,
     root: str,

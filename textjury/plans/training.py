@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 import time
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
@@ -28,6 +29,8 @@ from textjury.operators.vectors import (
 from textjury.plans.registry import ModelStore, ModelVersion
 from textjury.plans.split import Split, build_split
 
+DENSE_BYTES_PER_TASK = 256 * 1024 * 1024
+
 
 def train(
     labelled: DataFrame,
@@ -83,16 +86,18 @@ def train_on_split(
     path = store.new_path(algorithm, version)
     vectors = split.vectors(spark, m)
     weights = idf_stages(fold_document_frequency(vectors, split.k, m))
+    n_rows = sum(c["n"] for c in class_counts)
+    tasks = fit_tasks(n_rows, m)
     started = time.perf_counter()
 
     def fit(fold: int) -> None:
         idf = weights[fold]
-        rows = idf.transform(training_rows(vectors, fold)).select("label", FEATURES)
-        model = estimator(algorithm, m).fit(rows)
+        rows = training_rows(vectors, fold).coalesce(tasks)
+        model = estimator(algorithm, m).fit(idf.transform(rows).select("label", FEATURES))
         member = PipelineModel(stages=[hashing_stage(m), idf, model])
         member.write().overwrite().save(f"{path}/member={fold}")
 
-    at_once = parallelism or fits_at_once(vectors, split.k)
+    at_once = parallelism or fits_at_once(spark.sparkContext.defaultParallelism, tasks, split.k)
     with ThreadPoolExecutor(at_once) as pool:
         list(pool.map(inheritable_thread_target(spark)(fit), range(split.k)))
 
@@ -104,7 +109,7 @@ def train_on_split(
         num_features=m,
         tokenizer=json.dumps(split.tokenizer, sort_keys=True),
         split=split.path,
-        n_rows=sum(c["n"] for c in class_counts),
+        n_rows=n_rows,
         fit_seconds=time.perf_counter() - started,
         created_at=datetime.now(timezone.utc).isoformat(),
     )
@@ -112,11 +117,19 @@ def train_on_split(
     return trained
 
 
-def fits_at_once(vectors: DataFrame, k: int) -> int:
+def fit_tasks(n_rows: int, num_features: int) -> int:
+    """Tasks worth having in one fit: as many as its rows would fill as dense blocks.
+
+    Used with ``coalesce``, so it only ever merges the small partitions of a
+    small table. An iteration costs a scheduling round per task; a large table
+    has fewer partitions than this number and keeps them all.
+    """
+    return max(1, math.ceil(n_rows * num_features * 4 / DENSE_BYTES_PER_TASK))
+
+
+def fits_at_once(cores: int, tasks: int, k: int) -> int:
     """All k fits while their tasks come to a few waves; one by one on a large table."""
-    cores = vectors.sparkSession.sparkContext.defaultParallelism
-    tasks = vectors.rdd.getNumPartitions()
-    return max(1, min(k, 8 * cores // max(tasks, 1)))
+    return max(1, min(k, 4 * cores // tasks))
 
 
 def _may_train(store: ModelStore, algorithm: str, replace: bool) -> ModelVersion | None:

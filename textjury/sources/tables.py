@@ -37,3 +37,8 @@ def unlabelled_messages(
 def first_messages(df: DataFrame, n: int = 100, key: str = "doc_id") -> DataFrame:
     """The first ``n`` messages in key order: a top-n per task, then one merge of n rows each."""
     return df.select(key, "text").orderBy(key).limit(n)
+
+
+def append_messages(labelled: DataFrame, path: str) -> None:
+    """Add (doc_id, label, text) rows to a labelled table; rows already there keep their fold."""
+    labelled.select("doc_id", "label", "text").write.mode("append").parquet(path)
