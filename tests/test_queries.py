@@ -1,0 +1,50 @@
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+from textjury.plans.storage import shared_dir, source_state
+
+SF_DIR = "/root/testdata/sf0.001"
+TRAINS_ALL = {"out_of_fold_rows", "run_records", "training_sizes", "model_roundtrip", "stream_equals_batch"}
+RELATIONAL = sorted(set(entry.oracle_sql()) - TRAINS_ALL)
+
+
+@pytest.fixture(scope="module")
+def sql():
+    connection = duckdb.connect()
+    for table in ("documents", "labels", "conversations", "benchmark"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
+    return connection
+
+
+@pytest.mark.parametrize("name", RELATIONAL)
+def test_query_equals_its_sql(spark, sql, name):
+    got = entry.queries()[name](spark, SF_DIR).toArrow()
+    expected = sql.execute(entry.oracle_sql()[name]).to_arrow_table()
+    assert sorted(got.column_names) == sorted(expected.column_names)
+    names = ", ".join(sorted(got.column_names))
+    sql.register("got", got)
+    sql.register("expected", expected)
+    for one, other in (("got", "expected"), ("expected", "got")):
+        assert sql.execute(f"SELECT {names} FROM {one} EXCEPT ALL SELECT {names} FROM {other}").fetchall() == []
+
+
+def test_entry(spark):
+    rows = entry.entry(spark).collect()
+    assert sorted(r["fold"] for r in rows) == [-1, 0, 1, 2, 3, 4]
+
+
+def test_every_sql_has_a_query():
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_source_state_sees_changes(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("1")
+    one = source_state(spark, str(tmp_path))
+    assert one == source_state(spark, str(tmp_path))
+    (tmp_path / "b.txt").write_text("2")
+    assert one != source_state(spark, str(tmp_path))
+
+
+def test_shared_dir_is_the_named_one(spark):
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textjury.functions.hashing import md5_bucket
@@ -61,9 +61,9 @@ def leave_one_out_counts(df: DataFrame, k: int) -> DataFrame:
         ),
         k,
     )
-    total = own.agg(F.sum("n").alias("n_all"), F.sum("pos").alias("pos_all"))
-    return own.join(F.broadcast(total)).select(  # one row against k rows
+    all_folds = Window.partitionBy(F.lit(0))  # k rows
+    return own.select(
         F.col("fold").alias("held_out"),
-        (F.col("n_all") - F.col("n")).alias("n_train"),
-        (F.col("pos_all") - F.col("pos")).alias("n_pos"),
+        (F.sum("n").over(all_folds) - F.col("n")).alias("n_train"),
+        (F.sum("pos").over(all_folds) - F.col("pos")).alias("n_pos"),
     )

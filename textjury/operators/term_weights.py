@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from textjury.functions.arrays import counted
 from textjury.functions.hashing import md5_bucket
-from textjury.operators.folds import per_fold
+from textjury.operators.vectors import ALL_MESSAGES
 
 # A bucket table up to this many rows of (int, bigint, double) is a few MB.
 BROADCAST_BUCKETS = 262_144
@@ -27,14 +27,12 @@ def hashed_tf(
     return df.select(key, F.inline(counted(buckets(F.col(words), num_buckets), "bucket", "tf")))
 
 
-def document_frequency(
-    df: DataFrame, num_buckets: int, words: str = "words", by: tuple[str, ...] = ()
-) -> DataFrame:
+def document_frequency(df: DataFrame, num_buckets: int, words: str = "words") -> DataFrame:
     """Messages holding each bucket. At most ``num_buckets`` rows leave a map task."""
     distinct = F.array_distinct(buckets(F.col(words), num_buckets))
     return (
-        df.select(*by, F.explode(distinct).alias("bucket"))
-        .groupBy(*by, "bucket")
+        df.select(F.explode(distinct).alias("bucket"))
+        .groupBy("bucket")
         .agg(F.count(F.lit(1)).alias("df"))
     )
 
@@ -43,33 +41,60 @@ def idf_weight(m: Column, df: Column) -> Column:
     return F.log((m + 1) / (df + 1))
 
 
+def _frequency_by_fold(
+    df: DataFrame, num_buckets: int, k: int, fold: Column, words: str
+) -> tuple[DataFrame, DataFrame]:
+    """(bucket, n: messages per fold as array) and the same array for all messages.
+
+    Each message also counts under the bucket ``ALL_MESSAGES``, so one pass
+    gives both. The two results differ in a filter on an aggregate, which stays
+    above the shuffle and lets Spark reuse it.
+    """
+    distinct = F.array_distinct(buckets(F.col(words), num_buckets))
+    held = F.concat(F.array(F.lit(ALL_MESSAGES)), distinct)
+    counts = (
+        df.select(fold.alias("in_fold"), F.explode(held).alias("bucket"))
+        .where("bucket is not null")  # never null; a later join adds this filter to one side only
+        .groupBy("bucket")
+        .agg(
+            F.array(*[F.count(F.when(F.col("in_fold") == i, 1)) for i in range(k)]).alias("n"),
+            F.max("bucket").alias("marker"),
+        )
+    )
+    per_bucket = counts.where(F.col("marker") != ALL_MESSAGES).select("bucket", "n")
+    messages = counts.where(F.col("marker") == ALL_MESSAGES).select(F.col("n").alias("m"))
+    return per_bucket, messages
+
+
 def idf(df: DataFrame, num_buckets: int, words: str = "words") -> DataFrame:
-    total = df.agg(F.count(F.lit(1)).alias("m"))
-    frequency = document_frequency(df, num_buckets, words)
-    return frequency.join(F.broadcast(total)).select(  # total is one row
-        "bucket", "df", idf_weight(F.col("m"), F.col("df")).alias("idf")
+    per_bucket, messages = _frequency_by_fold(df, num_buckets, 1, F.lit(0), words)
+    frequency, m = F.get("n", F.lit(0)), F.get("m", F.lit(0))
+    return per_bucket.withColumn("m", messages.scalar()).select(
+        "bucket", frequency.alias("df"), idf_weight(m, frequency).alias("idf")
     )
 
 
 def idf_leave_one_out(df: DataFrame, num_buckets: int, k: int, words: str = "words") -> DataFrame:
     """The k idf tables of k training sets from one pass over the messages.
 
-    Training set i has the total document frequency minus that of fold i. The
-    tables joined here hold at most ``k * num_buckets`` rows.
+    Training set i has the total document frequency minus that of fold i.
     """
-    by_fold = document_frequency(df, num_buckets, words, by=("fold",))
-    total = by_fold.groupBy("bucket").agg(F.sum("df").alias("df_all"))
-    sizes = per_fold(df.groupBy("fold").agg(F.count(F.lit(1)).alias("n")), k)
-    everything = sizes.agg(F.sum("n").alias("n_all"))
-    training = sizes.join(F.broadcast(everything)).select(
-        F.col("fold").alias("held_out"), (F.col("n_all") - F.col("n")).alias("m")
-    )
-    own = by_fold.withColumnRenamed("fold", "held_out")
+    per_bucket, messages = _frequency_by_fold(df, num_buckets, k, F.col("fold"), words)
+
+    def outside(n: Column) -> Column:
+        total = F.aggregate(n, F.lit(0).cast("bigint"), lambda acc, own: acc + own)
+        return F.transform(n, lambda own: total - own)
+
+    both = F.arrays_zip(outside(F.col("n")).alias("df"), outside(F.col("m")).alias("m"))
     return (
-        total.join(F.broadcast(training))  # k rows against at most num_buckets
-        .join(own, ["held_out", "bucket"], "left")
-        .withColumn("df", F.col("df_all") - F.coalesce("df", F.lit(0)))
-        .select("held_out", "bucket", "df", idf_weight(F.col("m"), F.col("df")).alias("idf"))
+        per_bucket.withColumn("m", messages.scalar())
+        .select("bucket", F.posexplode(both).alias("held_out", "of"))
+        .select(
+            "held_out",
+            "bucket",
+            F.col("of.df").alias("df"),
+            idf_weight(F.col("of.m"), F.col("of.df")).alias("idf"),
+        )
     )
 
 

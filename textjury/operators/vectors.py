@@ -16,8 +16,10 @@ def hashing_stage(num_features: int) -> HashingTF:
     return HashingTF(inputCol=WORDS, outputCol=TF, numFeatures=num_features)
 
 
-def term_vectors(df: DataFrame, num_features: int) -> DataFrame:
-    return hashing_stage(num_features).transform(df)
+def term_vectors(
+    df: DataFrame, num_features: int, words: str = WORDS, out: str = TF
+) -> DataFrame:
+    return hashing_stage(num_features).setInputCol(words).setOutputCol(out).transform(df)
 
 
 def fold_document_frequency(vectors: DataFrame, k: int, num_features: int) -> np.ndarray:

@@ -53,13 +53,15 @@ def predict_member(df: DataFrame, member: PipelineModel, out: str, tf: str = "tf
     return model.copy(outputs).transform(weighted).drop(features)
 
 
-def _member_votes(df: DataFrame, ensemble: Ensemble, prefix: str) -> tuple[DataFrame, list[str]]:
-    """k predictions of the frame's ``words``; hashed once for all members."""
-    scored = term_vectors(df, ensemble.version.num_features)
+def _member_votes(
+    df: DataFrame, ensemble: Ensemble, prefix: str, tf: str
+) -> tuple[DataFrame, list[str]]:
+    """The k member predictions for the vectors in column ``tf``."""
     names = [f"{prefix}p{i}" for i in range(len(ensemble.members))]
+    scored = df
     for name, member in zip(names, ensemble.members):
-        scored = predict_member(scored, member, name)
-    return scored.drop("tf"), names
+        scored = predict_member(scored, member, name, tf)
+    return scored, names
 
 
 def score(df: DataFrame, ensemble: Ensemble) -> DataFrame:
@@ -68,16 +70,35 @@ def score(df: DataFrame, ensemble: Ensemble) -> DataFrame:
     The same plan serves a table and a stream: nothing in it keeps state.
     """
     tokenised = with_words(df, ensemble.version.tokenizer_settings())
-    scored, names = _member_votes(tokenised, ensemble, "")
-    return majority_vote(scored, names).drop("words")
+    hashed = term_vectors(tokenised, ensemble.version.num_features)
+    scored, names = _member_votes(hashed, ensemble, "", "tf")
+    return majority_vote(scored, names).drop("words", "tf")
 
 
 def score_side_by_side(df: DataFrame, ensembles: Sequence[Ensemble]) -> DataFrame:
-    """One column ``vote_<algorithm>`` per ensemble, all from a single scan."""
+    """One column ``vote_<algorithm>`` per ensemble, all from a single scan.
+
+    Ensembles with the same tokens share them, and the vectors if they have the
+    same width.
+    """
     scored = df
+    helpers: list[str] = []
     for ensemble in ensembles:
-        scored = _add_vote(scored, ensemble, F.lit(True))
-    return scored
+        tokenizer = ensemble.version.tokenizer_settings()
+        m = ensemble.version.num_features
+        words = f"words_{'_'.join(str(v) for v in tokenizer.values())}"
+        tf = f"{words}_tf{m}"
+        if words not in helpers:
+            scored = with_words(scored, tokenizer).withColumnRenamed("words", words)
+            helpers.append(words)
+        if tf not in helpers:
+            scored = term_vectors(scored, m, words, tf)
+            helpers.append(tf)
+        scored, names = _member_votes(scored, ensemble, f"{ensemble.algorithm}_", tf)
+        votes = f"{ensemble.algorithm}_votes"
+        scored = majority_vote(scored, names, votes, f"vote_{ensemble.algorithm}")
+        helpers += [votes, *names]
+    return scored.drop(*helpers)
 
 
 def score_by_method(requests: DataFrame, ensembles: Sequence[Ensemble]) -> DataFrame:
@@ -109,14 +130,16 @@ def cascade(df: DataFrame, first: Ensemble, second: Ensemble) -> DataFrame:
 
 
 def _add_vote(df: DataFrame, ensemble: Ensemble, asked: Column) -> DataFrame:
+    """Add ``vote_<algorithm>``; rows where ``asked`` is false are scored without their words."""
     tokenised = with_words(df, ensemble.version.tokenizer_settings())
     tokenised = tokenised.withColumn(
         "words", F.when(asked, F.col("words")).otherwise(F.array().cast(NO_WORDS))
     )
+    hashed = term_vectors(tokenised, ensemble.version.num_features)
     prefix = f"{ensemble.algorithm}_"
-    scored, names = _member_votes(tokenised, ensemble, prefix)
+    scored, names = _member_votes(hashed, ensemble, prefix, "tf")
     voted = majority_vote(scored, names, f"{prefix}votes", f"vote_{ensemble.algorithm}")
-    return voted.drop("words", f"{prefix}votes", *names)
+    return voted.drop("words", "tf", f"{prefix}votes", *names)
 
 
 def out_of_fold(split: Split, ensemble: Ensemble, store: ModelStore) -> DataFrame:
