@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.ml.feature import IDF, HashingTF
@@ -15,13 +17,15 @@ from textjury.plans.scoring import (
     load_ensemble,
     measure,
     out_of_fold,
+    predict_member,
     score,
     score_by_method,
     score_side_by_side,
 )
 from textjury.plans.split import build_split, open_split
 from textjury.plans.training import fit_tasks, fits_at_once, retrain, train, train_on_split
-from textjury.streaming.scoring import score_stream
+from textjury.streaming.ingest import ingest_labelled
+from textjury.streaming.scoring import answer_requests, judge_requests, score_stream
 
 K, M = 3, 2000
 
@@ -121,11 +125,20 @@ def test_each_algorithm_finds_the_marker(spark, store, split, ensembles, algorit
         assert all((r["precision"], r["recall"], r["f1"]) == (1.0, 1.0, 1.0) for r in metrics)
 
 
-def test_published_member_equals_a_direct_fit(spark, split, ensembles):
+@pytest.mark.parametrize("algorithm", list(ALGORITHMS))
+def test_published_member_equals_a_direct_fit(spark, split, ensembles, algorithm):
     vectors = split.vectors(spark, M)
     stage = idf_stages(fold_document_frequency(vectors, K, M))[0]
-    direct = estimator("DT", M).fit(stage.transform(training_rows(vectors, 0)).select("label", FEATURES))
-    assert direct.toDebugString.split("\n")[1:] == ensembles["DT"].members[0].stages[2].toDebugString.split("\n")[1:]
+    rows = stage.transform(vectors.coalesce(1)).select("doc_id", "label", FEATURES, "fold")
+    direct = estimator(algorithm, M).fit(rows.where("fold <> 0")).transform(rows)
+    published = predict_member(vectors, ensembles[algorithm].members[0], "p")
+    both = direct.select("doc_id", "prediction").join(published.select("doc_id", "p"), "doc_id")
+    assert both.count() == vectors.count()
+    assert both.where("prediction <> p").count() == 0
+
+
+def test_scoring_ships_no_training_summary(ensembles):
+    assert not any(m.stages[2].hasSummary for m in ensembles["LR"].members)
 
 
 def test_out_of_fold_uses_the_member_that_never_saw_the_row(store, split, ensembles):
@@ -201,20 +214,20 @@ def test_registry_lifecycle(spark, folder, messages):
     store = ModelStore(spark, folder)
     with pytest.raises(RuntimeError, match="train one first"):
         load_ensemble(store, "LR")
-    first = train(messages, store, "LogisticRegression", K, M, source_version="1")
+    first = train(messages, store, "LogisticRegression", K, M, source_version="1").version
     assert (first.algorithm, first.version, first.n_rows) == ("LR", 1, messages.count())
     with pytest.raises(RuntimeError, match="exists"):
         train(messages, store, "LR", K, M)
     with pytest.raises(ValueError, match="labels must be 0 or 1"):
         retrain(messages.withColumn("label", F.lit(2.0)), store, "LR", k=K, num_features=M)
-    assert store.latest("LR") == first and len(store.load_members(first)) == K
-    second = retrain(messages, store, "LR", k=K, num_features=M, source_version="1")
+    assert store.latest("LR") == first and len(store.load(first).members) == K
+    second = retrain(messages, store, "LR", k=K, num_features=M, source_version="1").version
     assert second.version == 2 and second.split == first.split
     split, ensemble = load_all(store, "LR")
     assert ensemble.version == second and split.path == second.split
-    assert len(store.load_members(first)) == K
+    assert len(store.load(first).members) == K
     with pytest.raises(RuntimeError, match="cannot load"):
-        store.load_members(type(first)(**{**vars(first), "path": f"{folder}/nowhere"}))
+        store.load(replace(first, path=f"{folder}/nowhere"))
 
 
 def test_unknown_algorithm(spark, folder, messages):
@@ -234,9 +247,10 @@ def test_one_class_training_folds():
 
 
 def test_fit_sizing():
-    assert fit_tasks(4_000, 10_000) == 1
+    assert fit_tasks("LR", 4_000, 10_000, 800_000) == 1
+    assert fit_tasks("DT", 4_000, 10_000, 800_000) == 3
     assert fits_at_once(8, 1, 5) == 5
-    assert fits_at_once(4_000, fit_tasks(10**10, 10_000), 5) == 1
+    assert fits_at_once(4_000, fit_tasks("SVM", 10**10, 10_000, 10**12), 5) == 1
 
 
 def test_given_words_and_group_key(spark, folder, messages):
@@ -264,3 +278,39 @@ def test_throughput_of_nothing_is_null(spark, ensembles):
     nothing = spark.createDataFrame([], "doc_id LONG, text STRING")
     run = measure(score(nothing, ensembles["LR"]))
     assert run["rows"] == 0 and run["seconds_per_message"] is None
+
+
+def test_request_stream_equals_batch(spark, folder, messages, ensembles):
+    methods = F.array(*[F.lit(a) for a in [*ensembles, "KNN"]])
+    requests = messages.select(
+        "doc_id",
+        F.when(F.col("doc_id") % 4 == 0, "jackpot jackpot jackpot").otherwise(F.col("text")).alias("message"),
+        F.get(methods, (F.col("doc_id") % 6).cast("int")).alias("method"),
+    )
+    requests.write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(requests.schema).parquet(f"{folder}/in")
+    held = list(ensembles.values())
+    answer_requests(stream, held, f"{folder}/out", f"{folder}/ck", available_now=True).awaitTermination()
+    columns = ["doc_id", "method", "ok", "vote", "verdict"]
+    got = spark.read.parquet(f"{folder}/out").select(*columns).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, judge_requests(requests, held).select(*columns).collect()))
+    for row in got:
+        assert row["ok"] == (row["vote"] is not None) == (row["verdict"] is not None)
+        assert row["ok"] or row["doc_id"] % 4 or row["method"] == "KNN"
+
+
+def test_ingest_stream(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    lines = spark.readStream.text(str(tmp_path / "in"))
+
+    def run():
+        for stream in ingest_labelled(lines, f"{tmp_path}/table", f"{tmp_path}/bad", f"{tmp_path}/ck", available_now=True):
+            stream.awaitTermination()
+
+    (tmp_path / "in" / "a.txt").write_text("1\ta\nbad line\n")
+    run()
+    (tmp_path / "in" / "b.txt").write_text("0\tb\nx\tc\n")
+    run()
+    table = spark.read.parquet(f"{tmp_path}/table").select("label", "text").collect()
+    assert sorted(map(tuple, table)) == [(0.0, "b"), (1.0, "a")]
+    assert sorted(r["value"] for r in spark.read.parquet(f"{tmp_path}/bad").collect()) == ["bad line", "x\tc"]

@@ -5,7 +5,7 @@ import __spark_entry__ as entry
 from textjury.plans.storage import shared_dir, source_state
 
 SF_DIR = "/root/testdata/sf0.001"
-TRAINS_ALL = {"out_of_fold_rows", "run_records", "training_sizes", "model_roundtrip", "stream_equals_batch"}
+TRAINS_ALL = {"out_of_fold_rows", "run_records", "training_sizes", "model_roundtrip", "stream_equals_batch", "stream_requests_accepted"}
 RELATIONAL = sorted(set(entry.oracle_sql()) - TRAINS_ALL)
 
 
@@ -48,3 +48,30 @@ def test_source_state_sees_changes(spark, tmp_path):
 
 def test_shared_dir_is_the_named_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+class _Context:
+    def __init__(self, master):
+        self.master, self.folder = master, None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+class _Session:
+    def __init__(self, master):
+        self.sparkContext = _Context(master)
+        self.conf = self
+
+    def get(self, key, default):
+        return default
+
+
+def test_shared_dir_without_setting():
+    local = _Session("local[2]")
+    assert shared_dir(local) == shared_dir(local) != ""
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(_Session("spark://cluster:7077"))

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textjury.operators.evaluation import evaluate, macro_average
-from textjury.plans.registry import ModelStore
-from textjury.plans.scoring import Ensemble, measure, out_of_fold, score
+from textjury.plans.registry import Ensemble, ModelStore
+from textjury.plans.scoring import measure, out_of_fold, score
 from textjury.plans.split import Split
 
 

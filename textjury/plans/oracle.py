@@ -200,7 +200,7 @@ ORACLE: dict[str, str] = {
     "majority_vote": _majority(5),
     "majority_vote_even_k": _majority(4),
     "weighted_vote": _weighted(),
-    "confusion_table": CONFUSION,
+    "confusion_counts": CONFUSION,
     "precision_recall_f1": f"""
         SELECT algorithm, fold, tp, fp, fn, round(precision, 6) AS precision,
                round(recall, 6) AS recall, round(f1, 6) AS f1
@@ -216,6 +216,13 @@ ORACLE: dict[str, str] = {
         FROM ({FOLD_ROWS}), ({ALGORITHM_NAMES}) GROUP BY ALL""",
     "model_roundtrip": "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_mismatch FROM documents",
     "stream_equals_batch": "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_mismatch FROM documents",
+    "stream_requests_accepted": f"""
+        SELECT conv_id, turn, method, CAST({OK} AS INTEGER) AS ok, CAST({OK} AS INTEGER) AS answered
+        FROM ({REQUESTS})""",
+    "stream_ingest": f"""
+        SELECT md5(concat_ws(chr(9), CAST(toxic AS VARCHAR), {ONE_LINE})) AS doc_id,
+               coalesce(CAST(toxic AS VARCHAR), 'no tab between label and text') AS status
+        FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
     "training_sizes": f"""
         SELECT algorithm, CAST({FOLDS} AS INTEGER) AS k,
                CAST(CASE algorithm WHEN 'MP' THEN 1000 ELSE 10000 END AS INTEGER) AS num_features,

@@ -3,31 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textjury.functions.hashing import md5_bucket
-from textjury.operators import folds, term_weights, tokenizing, voting
-from textjury.operators.evaluation import confusion_counts, evaluate, macro_average, with_metrics
+from textjury.operators import evaluation, folds, term_weights, tokenizing, voting
 from textjury.operators.segmenting import segment
+from textjury.plans import scoring
 from textjury.plans.comparison import comparison_board
-from textjury.plans.scoring import (
-    Ensemble,
-    cascade,
-    load_all,
-    measure,
-    out_of_fold,
-    score,
-    score_by_method,
-    score_side_by_side,
-)
 from textjury.plans.training import retrain
 from textjury.plans.workbench import FOLDS, Workbench, workbench
 from textjury.sources.lines import parse_labelled, parse_or_quarantine, read_labelled, read_messages
 from textjury.sources.requests import METHODS, split_valid, validate
 from textjury.sources.tables import append_messages, first_messages, unlabelled_messages
-from textjury.streaming.scoring import score_stream
+from textjury.streaming.ingest import ingest_labelled
+from textjury.streaming.scoring import answer_requests, score_stream
 
 Query = Callable[[Workbench], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -122,22 +114,22 @@ def first_n_messages(b: Workbench) -> DataFrame:
     return first_messages(b.table("documents"), 100)
 
 
-def _requests(b: Workbench) -> DataFrame:
+def _requests(conversations: DataFrame) -> DataFrame:
     offered = F.array(*[F.lit(m) for m in [*METHODS, "KNN"]])
     nth = F.pmod(F.col("conv_id") + F.col("turn"), F.lit(len(METHODS) + 1)).cast("int")
-    return b.table("conversations").select(
+    return conversations.select(
         "conv_id", "turn", F.col("text").alias("message"), F.get(offered, nth).alias("method")
     )
 
 
 @query
 def request_validation(b: Workbench) -> DataFrame:
-    return validate(_requests(b)).select("conv_id", "turn", "method", "message", F.col("ok").cast("int").alias("ok"))
+    return validate(_requests(b.table("conversations"))).select("conv_id", "turn", "method", "message", F.col("ok").cast("int").alias("ok"))
 
 
 @query
 def verdict_text(b: Workbench) -> DataFrame:
-    accepted, _ = split_valid(_requests(b))
+    accepted, _ = split_valid(_requests(b.table("conversations")))
     vote = md5_bucket(F.col("message"), 2)
     return accepted.select("conv_id", "turn", vote.alias("vote")).withColumn(
         "verdict", voting.verdict(F.col("vote"))
@@ -326,18 +318,18 @@ def _judged(b: Workbench) -> DataFrame:
 
 
 @query
-def confusion_table(b: Workbench) -> DataFrame:
-    return confusion_counts(_judged(b), FOLDS, by=("algorithm",))
+def confusion_counts(b: Workbench) -> DataFrame:
+    return evaluation.confusion_counts(_judged(b), FOLDS, by=("algorithm",))
 
 
 @query
 def precision_recall_f1(b: Workbench) -> DataFrame:
-    return _rounded(evaluate(_judged(b), FOLDS, by=("algorithm",)))
+    return _rounded(evaluation.evaluate(_judged(b), FOLDS, by=("algorithm",)))
 
 
 @query
 def macro_metrics(b: Workbench) -> DataFrame:
-    return _rounded(macro_average(evaluate(_judged(b), FOLDS, by=("algorithm",)), by=("algorithm",)))
+    return _rounded(evaluation.macro_average(evaluation.evaluate(_judged(b), FOLDS, by=("algorithm",)), by=("algorithm",)))
 
 
 def _rounded(metrics: DataFrame) -> DataFrame:
@@ -367,7 +359,7 @@ for _algorithm in ("LR", "MP", "SVM", "DT", "GBDT"):
 def out_of_fold_rows(b: Workbench) -> DataFrame:
     """Every labelled row is judged once per algorithm, by the member that never saw it."""
     parts = [
-        out_of_fold(b.split(), b.ensemble(a), b.store).withColumn("algorithm", F.lit(a))
+        scoring.out_of_fold(b.split(), b.ensemble(a), b.store).withColumn("algorithm", F.lit(a))
         for a in METHODS
     ]
     judged = parts[0]
@@ -388,25 +380,25 @@ def run_records(b: Workbench) -> DataFrame:
 
 @query
 def ensemble_score(b: Workbench) -> DataFrame:
-    return score(b.documents(), b.ensemble("LR")).select("doc_id", "votes", "vote")
+    return scoring.score(b.documents(), b.ensemble("LR")).select("doc_id", "votes", "vote")
 
 
 @query
 def score_unlabelled(b: Workbench) -> DataFrame:
     rows = unlabelled_messages(b.documents(), b.table("labels"))
-    return score(rows, b.ensemble("SVM")).select("doc_id", "votes", "vote")
+    return scoring.score(rows, b.ensemble("SVM")).select("doc_id", "votes", "vote")
 
 
 @query
-def score_several(b: Workbench) -> DataFrame:
+def score_side_by_side(b: Workbench) -> DataFrame:
     ensembles = [b.ensemble(a) for a in ("LR", "MP", "SVM")]
-    return score_side_by_side(b.documents(), ensembles).drop("text")
+    return scoring.score_side_by_side(b.documents(), ensembles).drop("text")
 
 
 @query
-def score_requests(b: Workbench) -> DataFrame:
-    accepted, _ = split_valid(_requests(b))
-    scored = score_by_method(accepted, [b.ensemble(a) for a in METHODS])
+def score_by_method(b: Workbench) -> DataFrame:
+    accepted, _ = split_valid(_requests(b.table("conversations")))
+    scored = scoring.score_by_method(accepted, [b.ensemble(a) for a in METHODS])
     return scored.select("conv_id", "turn", "method", "vote").withColumn(
         "verdict", voting.verdict(F.col("vote"))
     )
@@ -414,7 +406,7 @@ def score_requests(b: Workbench) -> DataFrame:
 
 @query
 def cascade_score(b: Workbench) -> DataFrame:
-    scored = cascade(b.documents(), b.ensemble("DT"), b.ensemble("SVM"))
+    scored = scoring.cascade(b.documents(), b.ensemble("DT"), b.ensemble("SVM"))
     return scored.select("doc_id", "unsure", "vote")
 
 
@@ -429,7 +421,7 @@ def algorithm_comparison(b: Workbench) -> DataFrame:
 
 @query
 def scoring_throughput(b: Workbench) -> DataFrame:
-    run = measure(score(b.documents(), b.ensemble("LR")).select("doc_id", "vote"))
+    run = scoring.measure(scoring.score(b.documents(), b.ensemble("LR")).select("doc_id", "vote"))
     return b.spark.createDataFrame(
         [(run["rows"], run["seconds"], run["seconds_per_message"])],
         "rows BIGINT, seconds DOUBLE, seconds_per_message DOUBLE",
@@ -448,21 +440,22 @@ def _mismatches(left: DataFrame, right: DataFrame) -> DataFrame:
 def model_roundtrip(b: Workbench) -> DataFrame:
     """Members saved again and loaded give the same votes on all documents."""
     held = b.ensemble("GBDT")
-    folder = b.new_folder("copy")
+    copy = replace(held.version, path=b.new_folder("copy"))
     for fold, member in enumerate(held.members):
-        member.write().save(f"{folder}/member={fold}")
-    copy = Ensemble(held.version, tuple(type(m).load(f"{folder}/member={i}") for i, m in enumerate(held.members)))
+        member.write().save(copy.member_path(fold))
     return _mismatches(
-        score(b.documents(), held).select("doc_id", "vote"),
-        score(b.documents(), copy).select("doc_id", "vote"),
+        scoring.score(b.documents(), held).select("doc_id", "vote"),
+        scoring.score(b.documents(), b.store.load(copy)).select("doc_id", "vote"),
     )
 
 
-def _streamed(b: Workbench) -> DataFrame:
-    schema = b.table("documents").schema
+def _stream(b: Workbench, table: str) -> DataFrame:
     # a stream reads a single file only through a glob; a folder matches it too
-    source = b.spark.readStream.schema(schema).parquet(f"{b.path('documents')}*")
-    messages = source.select("doc_id", "text")
+    return b.spark.readStream.schema(b.table(table).schema).parquet(f"{b.path(table)}*")
+
+
+def _streamed(b: Workbench) -> DataFrame:
+    messages = _stream(b, "documents").select("doc_id", "text")
     folder = b.new_folder("stream")
     running = score_stream(
         messages, b.ensemble("LR"), f"{folder}/votes", f"{folder}/checkpoint", available_now=True
@@ -480,8 +473,52 @@ def stream_score(b: Workbench) -> DataFrame:
 def stream_equals_batch(b: Workbench) -> DataFrame:
     return _mismatches(
         _streamed(b).select("doc_id", "vote"),
-        score(b.documents(), b.ensemble("LR")).select("doc_id", "vote"),
+        scoring.score(b.documents(), b.ensemble("LR")).select("doc_id", "vote"),
+    )
+
+
+@query
+def stream_requests(b: Workbench) -> DataFrame:
+    """All conversation turns as a request stream; the invalid ones come back without a vote."""
+    folder = b.new_folder("requests")
+    answer_requests(
+        _requests(_stream(b, "conversations")),
+        [b.ensemble(a) for a in METHODS],
+        f"{folder}/answers",
+        f"{folder}/checkpoint",
+        available_now=True,
+    ).awaitTermination()
+    answers = b.spark.read.parquet(f"{folder}/answers")
+    return answers.select("conv_id", "turn", "method", F.col("ok").cast("int").alias("ok"), "vote", "verdict")
+
+
+@query
+def stream_requests_accepted(b: Workbench) -> DataFrame:
+    """Accepted requests get a vote and its text, the others neither."""
+    answered = stream_requests(b)
+    complete = F.col("vote").isNotNull() & F.col("verdict").isNotNull()
+    return answered.select("conv_id", "turn", "method", "ok", complete.cast("int").alias("answered"))
+
+
+@query
+def stream_ingest(b: Workbench) -> DataFrame:
+    """Labelled and unlabelled lines arrive as a text stream; the table keeps the labelled ones."""
+    folder = b.new_folder("ingest")
+    rows = b.table("documents").join(b.table("labels"), "doc_id", "left")
+    line = F.concat_ws("\t", F.col("toxic").cast("string"), _one_line())
+    rows.select(line.alias("value")).write.text(f"{folder}/lines")
+    running = ingest_labelled(
+        b.spark.readStream.text(f"{folder}/lines"),
+        f"{folder}/table",
+        f"{folder}/quarantine",
+        f"{folder}/checkpoint",
+        available_now=True,
     )
+    for stream in running:
+        stream.awaitTermination()
+    table = b.spark.read.parquet(f"{folder}/table").select("doc_id", F.col("label").cast("int").cast("string").alias("status"))
+    rejected = b.spark.read.parquet(f"{folder}/quarantine").select("doc_id", F.col("problem").alias("status"))
+    return table.unionByName(rejected)
 
 
 @query
@@ -493,10 +530,10 @@ def append_and_retrain(b: Workbench) -> DataFrame:
     results = None
     for arrived in (rows.where("lang = 'en'"), rows.where("lang <> 'en'")):
         append_messages(arrived.drop("lang"), path)
-        version = retrain(b.spark.read.parquet(path), store, "DT", k=FOLDS)
-        split, ensemble = load_all(store, "DT")
-        judged = out_of_fold(split, ensemble, store)
-        means = macro_average(evaluate(judged, FOLDS)).select(
+        version = retrain(b.spark.read.parquet(path), store, "DT", k=FOLDS).version
+        split, ensemble = scoring.load_all(store, "DT")
+        judged = scoring.out_of_fold(split, ensemble, store)
+        means = evaluation.macro_average(evaluation.evaluate(judged, FOLDS)).select(
             F.lit(version.version).alias("version"),
             F.lit(version.n_rows).cast("bigint").alias("n_train"),
             "f1",

@@ -48,6 +48,18 @@ class ModelVersion:
         return f"{self.path}/member={fold}"
 
 
+@dataclass(frozen=True)
+class Ensemble:
+    """A version with its members in memory, ready for any number of scorings."""
+
+    version: ModelVersion
+    members: tuple[PipelineModel, ...]
+
+    @property
+    def algorithm(self) -> str:
+        return self.version.algorithm
+
+
 class ModelStore:
     """Models under one shared folder.
 
@@ -85,10 +97,10 @@ class ModelStore:
     def publish(self, version: ModelVersion) -> None:
         append_record(self.spark, f"{self.root}/registry", asdict(version), REGISTRY)
 
-    def load_members(self, version: ModelVersion) -> list[PipelineModel]:
-        """The k members; a missing or unreadable one is an error."""
+    def load(self, version: ModelVersion) -> Ensemble:
+        """A version with its k members; a missing or unreadable one is an error."""
 
-        def load(fold: int) -> PipelineModel:
+        def member(fold: int) -> PipelineModel:
             path = version.member_path(fold)
             try:
                 return PipelineModel.load(path)
@@ -96,7 +108,8 @@ class ModelStore:
                 raise RuntimeError(f"cannot load model {path}") from cause
 
         with ThreadPoolExecutor(version.k) as pool:
-            return list(pool.map(inheritable_thread_target(self.spark)(load), range(version.k)))
+            members = pool.map(inheritable_thread_target(self.spark)(member), range(version.k))
+            return Ensemble(version, tuple(members))
 
     def record(self, version: ModelVersion, metrics: DataFrame) -> None:
         """Append the per-fold metrics of a version to the experiment table."""

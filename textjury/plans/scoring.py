@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Observation
@@ -13,27 +12,14 @@ from pyspark.sql import functions as F
 from textjury.operators.folds import held_out_rows
 from textjury.operators.vectors import term_vectors
 from textjury.operators.voting import majority_vote
-from textjury.plans.registry import ModelStore, ModelVersion
+from textjury.plans.registry import Ensemble, ModelStore, ModelVersion
 from textjury.plans.split import Split, open_split, with_words
 
 NO_WORDS = "array<string>"
 
 
-@dataclass(frozen=True)
-class Ensemble:
-    """A version with its members in memory, ready for any number of scorings."""
-
-    version: ModelVersion
-    members: tuple[PipelineModel, ...]
-
-    @property
-    def algorithm(self) -> str:
-        return self.version.algorithm
-
-
 def load_ensemble(store: ModelStore, algorithm: str, version: ModelVersion | None = None) -> Ensemble:
-    chosen = version or store.require(algorithm)
-    return Ensemble(chosen, tuple(store.load_members(chosen)))
+    return store.load(version or store.require(algorithm))
 
 
 def load_all(store: ModelStore, algorithm: str) -> tuple[Split, Ensemble]:

@@ -18,14 +18,14 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session may go without: it gets a new temporary folder.
     """
-    named = spark.conf.get(SHARED_DIR, None)
+    context = spark.sparkContext
+    named = spark.conf.get(SHARED_DIR, None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {SHARED_DIR} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set(SHARED_DIR, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    return context.getCheckpointDir()
 
 
 def read_records(spark: SparkSession, path: str, schema: str) -> DataFrame | None:

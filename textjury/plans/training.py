@@ -26,10 +26,11 @@ from textjury.operators.vectors import (
     hashing_stage,
     idf_stages,
 )
-from textjury.plans.registry import ModelStore, ModelVersion
+from textjury.plans.registry import Ensemble, ModelStore, ModelVersion
 from textjury.plans.split import Split, build_split
 
-DENSE_BYTES_PER_TASK = 256 * 1024 * 1024
+BYTES_PER_TASK = 64 * 1024 * 1024
+SPARSE_ENTRY_BYTES, DENSE_ENTRY_BYTES = 12, 4
 
 
 def train(
@@ -43,8 +44,8 @@ def train(
     source_version: str | None = None,
     replace: bool = False,
     parallelism: int | None = None,
-) -> ModelVersion:
-    """Split (doc_id, label, text), fit k members, publish them.
+) -> Ensemble:
+    """Split (doc_id, label, text), fit k members, publish them as a version.
 
     Refused when the algorithm has a published version, unless ``replace``.
     """
@@ -56,7 +57,7 @@ def train(
     return train_on_split(split, store, algorithm, num_features, replace, parallelism)
 
 
-def retrain(labelled: DataFrame, store: ModelStore, algorithm: str, **settings) -> ModelVersion:
+def retrain(labelled: DataFrame, store: ModelStore, algorithm: str, **settings) -> Ensemble:
     """Periodic job: train on the table as it is now and publish the next version."""
     return train(labelled, store, algorithm, replace=True, **settings)
 
@@ -68,7 +69,7 @@ def train_on_split(
     num_features: int | None = None,
     replace: bool = False,
     parallelism: int | None = None,
-) -> ModelVersion:
+) -> Ensemble:
     """Fit a member for each fold on all other folds, some fits at a time.
 
     A fit is many short jobs, so several at once keep the cores busy; each one
@@ -85,9 +86,10 @@ def train_on_split(
     version = 1 if previous is None else previous.version + 1
     path = store.new_path(algorithm, version)
     vectors = split.vectors(spark, m)
-    weights = idf_stages(fold_document_frequency(vectors, split.k, m))
+    frequency = fold_document_frequency(vectors, split.k, m)
+    weights = idf_stages(frequency)
     n_rows = sum(c["n"] for c in class_counts)
-    tasks = fit_tasks(n_rows, m)
+    tasks = fit_tasks(algorithm, n_rows, m, entries=int(frequency[:, :-1].sum()))
     started = time.perf_counter()
 
     def fit(fold: int) -> None:
@@ -95,7 +97,7 @@ def train_on_split(
         rows = training_rows(vectors, fold).coalesce(tasks)
         model = estimator(algorithm, m).fit(idf.transform(rows).select("label", FEATURES))
         member = PipelineModel(stages=[hashing_stage(m), idf, model])
-        member.write().overwrite().save(f"{path}/member={fold}")
+        member.write().save(f"{path}/member={fold}")
 
     at_once = parallelism or fits_at_once(spark.sparkContext.defaultParallelism, tasks, split.k)
     with ThreadPoolExecutor(at_once) as pool:
@@ -114,17 +116,22 @@ def train_on_split(
         created_at=datetime.now(timezone.utc).isoformat(),
     )
     store.publish(trained)
-    return trained
+    # A freshly fitted model drags its training summary, and with it the session,
+    # into every scoring task. What comes from the store is the bare model.
+    return store.load(trained)
 
 
-def fit_tasks(n_rows: int, num_features: int) -> int:
-    """Tasks worth having in one fit: as many as its rows would fill as dense blocks.
+def fit_tasks(algorithm: str, n_rows: int, num_features: int, entries: int) -> int:
+    """Tasks worth having in one fit, by the memory its rows take in the estimator.
 
-    Used with ``coalesce``, so it only ever merges the small partitions of a
-    small table. An iteration costs a scheduling round per task; a large table
-    has fewer partitions than this number and keeps them all.
+    The linear models keep the ``entries`` non-zero values, the others a dense
+    row per message. Used with ``coalesce``, so it only ever merges the small
+    partitions of a small table, where each iteration would otherwise pay a
+    scheduling round per task.
     """
-    return max(1, math.ceil(n_rows * num_features * 4 / DENSE_BYTES_PER_TASK))
+    sparse = algorithm in ("LR", "SVM")
+    size = entries * SPARSE_ENTRY_BYTES if sparse else n_rows * num_features * DENSE_ENTRY_BYTES
+    return max(1, math.ceil(size / BYTES_PER_TASK))
 
 
 def fits_at_once(cores: int, tasks: int, k: int) -> int:

@@ -12,8 +12,8 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 
 from textjury.plans.comparison import evaluate_version
-from textjury.plans.registry import ModelStore
-from textjury.plans.scoring import Ensemble, load_ensemble
+from textjury.plans.registry import Ensemble, ModelStore
+from textjury.plans.scoring import load_ensemble
 from textjury.plans.split import Split, build_split
 from textjury.plans.storage import shared_dir, source_state
 from textjury.plans.training import train_on_split
@@ -64,9 +64,11 @@ class Workbench:
         held = self.ensembles.get(algorithm)
         if held is None or held.version.split != split.path:
             latest = self.store.latest(algorithm)
-            if latest is None or latest.split != split.path:
-                train_on_split(split, self.store, algorithm, replace=True)
-            held = self.ensembles[algorithm] = load_ensemble(self.store, algorithm)
+            if latest is not None and latest.split == split.path:
+                held = load_ensemble(self.store, algorithm, latest)
+            else:
+                held = train_on_split(split, self.store, algorithm, replace=True)
+            self.ensembles[algorithm] = held
         return held
 
     def metrics(self, algorithm: str) -> DataFrame:
