@@ -17,10 +17,12 @@ from textjury.plans.scoring import (
     load_ensemble,
     measure,
     out_of_fold,
+    predict,
     predict_member,
     score,
     score_by_method,
     score_side_by_side,
+    score_weighted,
 )
 from textjury.plans.split import build_split, open_split
 from textjury.plans.training import fit_tasks, fits_at_once, retrain, train, train_on_split
@@ -184,6 +186,18 @@ def test_side_by_side_and_by_method_equal_single_scores(messages, ensembles):
         assert row["vote"] == single[row["method"]][row["doc_id"]]
 
 
+def test_predict_a_single_message(ensembles):
+    assert predict("jackpot jackpot jackpot", ensembles["GBDT"]) == 1
+    assert predict("以上比赛规则由江苏科技大学教职工摄影协会负责解释", ensembles["GBDT"]) == 0
+
+
+def test_weighted_score(spark, messages, ensembles):
+    texts = messages.select("doc_id", "text")
+    weights = spark.createDataFrame([(0, 0.0), (1, 1.0), (2, 0.0)], "fold INT, f1 DOUBLE")
+    rows = score_weighted(texts, ensembles["SVM"], weights).collect()
+    assert len(rows) == messages.count() and all(r["vote"] == r["p1"] for r in rows)
+
+
 def test_cascade(messages, ensembles):
     texts = messages.select("doc_id", "text")
     first, second = votes(score(texts, ensembles["SVM"])), votes(score(texts, ensembles["DT"]))
@@ -267,6 +281,7 @@ def test_board_and_records(spark, folder, messages):
         train_on_split(split, store, algorithm, M)
         trained.append(load_ensemble(store, algorithm))
         evaluate_version(store, split, trained[-1])
+        evaluate_version(store, split, trained[-1])  # replaces its records
     board = comparison_board(store, split, trained, messages.select("doc_id", "text"))
     rows = {r["algorithm"]: r for r in board.collect()}
     assert set(rows) == {"LR", "DT"} and rows["DT"]["f1"] == 1.0

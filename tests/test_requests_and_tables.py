@@ -1,7 +1,13 @@
 import pytest
 
 from textjury.sources.requests import split_valid, validate
-from textjury.sources.tables import at_least, first_messages, labelled_messages, unlabelled_messages
+from textjury.sources.tables import (
+    at_least,
+    first_messages,
+    labelled_messages,
+    store_by_key,
+    unlabelled_messages,
+)
 
 
 @pytest.mark.parametrize(
@@ -39,3 +45,20 @@ def test_at_least_only_adds_partitions(spark):
     assert at_least(few, 3).rdd.getNumPartitions() == 3
     many = few.repartition(6)
     assert at_least(many, 3) is many
+
+
+def test_bucketed_tables_join_without_shuffle(spark, capsys):
+    documents = spark.createDataFrame([(i, f"t{i}") for i in range(50)], "doc_id LONG, text STRING")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(0, 50, 3)], "doc_id LONG, toxic INT")
+    store_by_key(documents, "bucketed_documents", 4)
+    store_by_key(labels, "bucketed_labels", 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = labelled_messages(spark.table("bucketed_documents"), spark.table("bucketed_labels"))
+        joined.explain()
+        assert "Exchange" not in capsys.readouterr().out
+        assert joined.count() == 17
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE bucketed_documents")
+        spark.sql("DROP TABLE bucketed_labels")

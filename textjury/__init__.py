@@ -5,7 +5,7 @@ from textjury.operators.evaluation import evaluate, macro_average
 from textjury.operators.folds import assign_folds
 from textjury.operators.voting import majority_vote
 from textjury.plans.registry import ModelStore
-from textjury.plans.scoring import load_ensemble, score, score_by_method, score_side_by_side
+from textjury.plans.scoring import load_ensemble, predict, score, score_by_method, score_side_by_side
 from textjury.plans.split import build_split
 from textjury.plans.training import retrain, train
 from textjury.sources.lines import parse_labelled, read_labelled, read_messages
@@ -22,6 +22,7 @@ __all__ = [
     "macro_average",
     "majority_vote",
     "parse_labelled",
+    "predict",
     "read_labelled",
     "read_messages",
     "retrain",

@@ -11,7 +11,6 @@ INVISIBLE = r"[\p{Cf}\p{Co}]+"
 BLANK = r"[\p{Cc}\p{Z}]+"
 WORD = r"[\p{L}\p{N}]+"
 WORD_OR_OTHER = r"[\p{L}\p{N}]+|[^\p{L}\p{N}]"
-ANY_CHARACTER = r"(?s)."
 EDGE_BLANKS = r"^[\t-\r\x1c-\x20\x85\p{Z}]+|[\t-\r\x1c-\x20\x85\p{Z}]+$"
 
 
@@ -39,20 +38,10 @@ def all_pieces(text: Column) -> Column:
 def char_ngrams(text: Column, n: int = 2) -> Column:
     """Overlapping runs of ``n`` characters, for scripts written without blanks.
 
-    The text is cut into characters once: ``substring`` at every position would
-    walk the string from its start each time, quadratic in the text length.
+    One pass: at each character look ahead for ``n``, then step over the one.
+    (``substring`` at every position would walk the string from its start each
+    time, quadratic in the text length.)
     """
     if n < 1:
         raise ValueError(f"n must be at least 1, got {n}")
-    characters = F.regexp_extract_all(text, F.lit(ANY_CHARACTER), F.lit(0))
-    if n == 1:
-        return characters
-    grams = characters
-    for offset in range(1, n):
-        grams = F.zip_with(
-            grams,
-            F.slice(characters, offset + 1, F.greatest(F.size(characters), F.lit(1))),
-            lambda head, character: F.concat(head, character),
-        )
-    # zip_with pads the shorter side with null, and concat turns that into null
-    return F.filter(grams, lambda gram: gram.isNotNull())
+    return F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{{n}}}))."), F.lit(1))

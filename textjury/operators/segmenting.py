@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textjury.functions.arrays import bind
+from textjury.functions.text import char_ngrams
 
 HAN = r"\p{IsHan}"
 BROADCAST_WORDS = 500_000
 BROADCAST_CHARACTERS = 16 * 1024 * 1024
 SALTS = 64
+CACHED_RUNS = 50_000
 
 
 def pieces(text: Column, script: str = HAN) -> Column:
@@ -56,20 +58,26 @@ def _segment_in_place(
 ) -> DataFrame:
     words = df.sparkSession.sparkContext.broadcast(frozenset(known.toPandas()["token"]))
 
-    def cut(piece: str) -> Iterator[str]:
-        start = 0
+    def cut(piece: str) -> list[str]:
+        tokens, start = [], 0
         while start < len(piece):
             end = min(start + longest, len(piece))
             while end > start + 1 and piece[start:end] not in words.value:
                 end -= 1
-            yield piece[start:end]
+            tokens.append(piece[start:end])
             start = end
+        return tokens
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def cut_all(parts: pd.Series, in_script: pd.Series) -> pd.Series:
+        cut_once = lru_cache(maxsize=CACHED_RUNS)(cut)  # runs repeat within a batch
         return pd.Series(
             [
-                [token for part, inside in zip(row, flags) for token in (cut(part) if inside else (part,))]
+                [
+                    token
+                    for part, inside in zip(row, flags)
+                    for token in (cut_once(part) if inside else (part,))
+                ]
                 for row, flags in zip(parts, in_script)
             ]
         )
@@ -84,7 +92,7 @@ def _segment_by_join(
 ) -> DataFrame:
     placed = df.select(key, F.posexplode(pieces(F.col(text), script)).alias("pos", "piece"))
     in_script = F.col("piece").rlike(rf"^[{script}]")
-    characters = F.regexp_extract_all("piece", F.lit("(?s)."), F.lit(0))
+    characters = char_ngrams(F.col("piece"), 1)
     windows = bind(
         characters,
         lambda c: F.transform(

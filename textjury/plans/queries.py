@@ -404,6 +404,12 @@ def score_by_method(b: Workbench) -> DataFrame:
     )
 
 
+@query
+def weighted_score(b: Workbench) -> DataFrame:
+    scored = scoring.score_weighted(b.documents(), b.ensemble("MP"), b.metrics("MP"))
+    return scored.select("doc_id", "vote")
+
+
 @query
 def cascade_score(b: Workbench) -> DataFrame:
     scored = scoring.cascade(b.documents(), b.ensemble("DT"), b.ensemble("SVM"))

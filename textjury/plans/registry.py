@@ -23,8 +23,8 @@ REGISTRY = (
     "split STRING, n_rows BIGINT, fit_seconds DOUBLE, created_at STRING"
 )
 EXPERIMENTS = (
-    "algorithm STRING, version INT, fold INT, tp BIGINT, fp BIGINT, fn BIGINT, "
-    "precision DOUBLE, recall DOUBLE, f1 DOUBLE, recorded_at TIMESTAMP"
+    "fold INT, tp BIGINT, fp BIGINT, fn BIGINT, precision DOUBLE, recall DOUBLE, f1 DOUBLE, "
+    "recorded_at TIMESTAMP, algorithm STRING, version INT"
 )
 
 
@@ -112,15 +112,15 @@ class ModelStore:
             return Ensemble(version, tuple(members))
 
     def record(self, version: ModelVersion, metrics: DataFrame) -> None:
-        """Append the per-fold metrics of a version to the experiment table."""
-        columns = [field.split()[0] for field in EXPERIMENTS.split(", ")]
-        metrics.withColumns(
-            {
-                "algorithm": F.lit(version.algorithm),
-                "version": F.lit(version.version),
-                "recorded_at": F.current_timestamp(),
-            }
-        ).select(*columns).coalesce(1).write.mode("append").parquet(f"{self.root}/experiments")
+        """Put the per-fold metrics of a version (k rows) into the experiment table.
+
+        Each version has its own partition, so a repeated evaluation replaces it.
+        """
+        folder = f"algorithm={version.algorithm}/version={version.version}"
+        names = ("fold", "tp", "fp", "fn", "precision", "recall", "f1")
+        metrics.select(*names, F.current_timestamp().alias("recorded_at")).coalesce(1).write.mode(
+            "overwrite"
+        ).parquet(f"{self.root}/experiments/{folder}")
 
     def experiments(self) -> DataFrame:
         return self.spark.read.schema(EXPERIMENTS).parquet(f"{self.root}/experiments")

@@ -6,12 +6,12 @@ import time
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from textjury.operators.folds import held_out_rows
 from textjury.operators.vectors import term_vectors
-from textjury.operators.voting import majority_vote
+from textjury.operators.voting import majority_vote, weighted_vote
 from textjury.plans.registry import Ensemble, ModelStore, ModelVersion
 from textjury.plans.split import Split, open_split, with_words
 
@@ -61,6 +61,20 @@ def score(df: DataFrame, ensemble: Ensemble) -> DataFrame:
     return majority_vote(scored, names).drop("words", "tf")
 
 
+def predict(text: str, ensemble: Ensemble) -> int:
+    """The vote on a single message, as 0 or 1. Tables and streams go through :func:`score`."""
+    spark = SparkSession.active()
+    return score(spark.createDataFrame([(text,)], "text STRING"), ensemble).first()["vote"]
+
+
+def score_weighted(df: DataFrame, ensemble: Ensemble, metrics: DataFrame) -> DataFrame:
+    """Add ``vote`` with each member weighted by its F1 on the fold it never saw."""
+    f1 = {row["fold"]: row["f1"] for row in metrics.select("fold", "f1").collect()}  # k rows
+    names = [f"p{i}" for i in range(len(ensemble.members))]
+    scored = score(df, ensemble).drop("votes", "vote")
+    return weighted_vote(scored, names, [f1[i] for i in range(len(names))])
+
+
 def score_side_by_side(df: DataFrame, ensembles: Sequence[Ensemble]) -> DataFrame:
     """One column ``vote_<algorithm>`` per ensemble, all from a single scan.
 

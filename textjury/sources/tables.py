@@ -42,3 +42,12 @@ def first_messages(df: DataFrame, n: int = 100, key: str = "doc_id") -> DataFram
 def append_messages(labelled: DataFrame, path: str) -> None:
     """Add (doc_id, label, text) rows to a labelled table; rows already there keep their fold."""
     labelled.select("doc_id", "label", "text").write.mode("append").parquet(path)
+
+
+def store_by_key(df: DataFrame, table: str, buckets: int, key: str = "doc_id") -> None:
+    """Save a table bucketed by key.
+
+    Messages and labels saved with the same number of buckets join without a
+    shuffle, each time the labelled set is built from a large table.
+    """
+    df.write.bucketBy(buckets, key).sortBy(key).mode("overwrite").saveAsTable(table)
