@@ -12,10 +12,14 @@ import time
 
 from pyspark.sql import SparkSession
 
+from textjury import predict
 from textjury.plans.queries import bound
+from textjury.plans.workbench import workbench
+from textjury.sources.tables import first_messages
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
+PREDICTED = 20
 HEADLINE = [
     "labelled_messages",
     "parse_labelled_lines",
@@ -63,6 +67,16 @@ def main() -> None:
         started = time.perf_counter()
         queries[name](spark, SF_DIR).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - started, 3)
+    bench = workbench(spark, SF_DIR)
+    first = first_messages(bench.table("conversations"), PREDICTED, "conv_id")
+    messages = [row["text"] for row in first.collect()]
+    fits, latency = {}, {}
+    for algorithm, ensemble in bench.ensembles.items():
+        fits[algorithm] = round(ensemble.version.fit_seconds, 3)
+        started = time.perf_counter()
+        for message in messages:
+            predict(message, ensemble)
+        latency[algorithm] = round((time.perf_counter() - started) / len(messages), 4)
     spark.stop()
     print(
         json.dumps(
@@ -71,6 +85,8 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "fit_all_folds_sec": fits,
+                "predict_one_message_sec": latency,
                 "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
             }
         )

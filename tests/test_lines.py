@@ -34,6 +34,10 @@ def test_first_tab_splits(spark, line, label, text):
 def test_bad_line_fails_or_is_set_aside(spark, line, problem):
     with pytest.raises(Exception, match=problem):
         parse_labelled(lines(spark, line)).collect()
+    with pytest.raises(Exception, match=problem):
+        parse_labelled(lines(spark, line)).select("text").collect()
+    with pytest.raises(Exception, match=problem):
+        parse_labelled(lines(spark, line, "1\tok")).count()
     parsed, rejected = parse_or_quarantine(lines(spark, line, "1\tok"))
     assert [tuple(r) for r in parsed.collect()] == [(1.0, "ok")]
     assert [(r["value"], r["problem"]) for r in rejected.collect()] == [(line, problem)]

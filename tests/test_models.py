@@ -6,7 +6,6 @@ from pyspark.ml.feature import IDF, HashingTF
 from pyspark.sql import functions as F
 
 from textjury.operators.classifiers import ALGORITHMS, check_classes, estimator
-from textjury.operators.evaluation import evaluate
 from textjury.operators.folds import training_rows
 from textjury.operators.vectors import FEATURES, fold_document_frequency, idf_stages
 from textjury.plans.comparison import comparison_board, evaluate_version

@@ -5,7 +5,14 @@ import __spark_entry__ as entry
 from textjury.plans.storage import shared_dir, source_state
 
 SF_DIR = "/root/testdata/sf0.001"
-TRAINS_ALL = {"out_of_fold_rows", "run_records", "training_sizes", "model_roundtrip", "stream_equals_batch", "stream_requests_accepted"}
+TRAINS_ALL = {
+    "out_of_fold_rows",
+    "run_records",
+    "training_sizes",
+    "model_roundtrip",
+    "stream_equals_batch",
+    "stream_requests_accepted",
+}
 RELATIONAL = sorted(set(entry.oracle_sql()) - TRAINS_ALL)
 
 
@@ -20,7 +27,7 @@ def sql():
 @pytest.mark.parametrize("name", RELATIONAL)
 def test_query_equals_its_sql(spark, sql, name):
     got = entry.queries()[name](spark, SF_DIR).toArrow()
-    expected = sql.execute(entry.oracle_sql()[name]).to_arrow_table()
+    expected = sql.sql(entry.oracle_sql()[name]).to_arrow_table()
     assert sorted(got.column_names) == sorted(expected.column_names)
     names = ", ".join(sorted(got.column_names))
     sql.register("got", got)

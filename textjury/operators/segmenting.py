@@ -40,7 +40,7 @@ def segment(
     token, a character that starts none is its own token. Everything else is
     kept piece by piece. A word list of up to ``broadcast_words`` words is sent
     to the executors and each message is cut where it lies; a longer one is
-    joined.
+    joined, which needs ``key`` to be unique.
     """
     known = vocabulary.select("token").where(F.length("token") > 1).distinct()
     size = known.agg(

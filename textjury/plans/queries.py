@@ -124,7 +124,8 @@ def _requests(conversations: DataFrame) -> DataFrame:
 
 @query
 def request_validation(b: Workbench) -> DataFrame:
-    return validate(_requests(b.table("conversations"))).select("conv_id", "turn", "method", "message", F.col("ok").cast("int").alias("ok"))
+    checked = validate(_requests(b.table("conversations")))
+    return checked.withColumn("ok", F.col("ok").cast("int"))
 
 
 @query
@@ -329,7 +330,8 @@ def precision_recall_f1(b: Workbench) -> DataFrame:
 
 @query
 def macro_metrics(b: Workbench) -> DataFrame:
-    return _rounded(evaluation.macro_average(evaluation.evaluate(_judged(b), FOLDS, by=("algorithm",)), by=("algorithm",)))
+    metrics = evaluation.evaluate(_judged(b), FOLDS, by=("algorithm",))
+    return _rounded(evaluation.macro_average(metrics, by=("algorithm",)))
 
 
 def _rounded(metrics: DataFrame) -> DataFrame:
@@ -522,9 +524,11 @@ def stream_ingest(b: Workbench) -> DataFrame:
     )
     for stream in running:
         stream.awaitTermination()
-    table = b.spark.read.parquet(f"{folder}/table").select("doc_id", F.col("label").cast("int").cast("string").alias("status"))
-    rejected = b.spark.read.parquet(f"{folder}/quarantine").select("doc_id", F.col("problem").alias("status"))
-    return table.unionByName(rejected)
+    table = b.spark.read.parquet(f"{folder}/table")
+    rejected = b.spark.read.parquet(f"{folder}/quarantine")
+    return table.select("doc_id", F.col("label").cast("int").cast("string").alias("status")).unionByName(
+        rejected.select("doc_id", F.col("problem").alias("status"))
+    )
 
 
 @query

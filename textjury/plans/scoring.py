@@ -29,14 +29,14 @@ def load_all(store: ModelStore, algorithm: str) -> tuple[Split, Ensemble]:
 
 
 def predict_member(df: DataFrame, member: PipelineModel, out: str, tf: str = "tf") -> DataFrame:
-    """Add the prediction of one member to a frame that holds its tf vector."""
+    """Add the prediction ``out`` of one member, and its ``<out>_features``, to a frame with tf vectors."""
     _, idf, model = member.stages
     features = f"{out}_features"
     weighted = idf.copy({idf.inputCol: tf, idf.outputCol: features}).transform(df)
     outputs = {model.featuresCol: features, model.predictionCol: out, model.rawPredictionCol: ""}
     if model.hasParam("probabilityCol"):
         outputs[model.probabilityCol] = ""
-    return model.copy(outputs).transform(weighted).drop(features)
+    return model.copy(outputs).transform(weighted)
 
 
 def _member_votes(
@@ -47,7 +47,7 @@ def _member_votes(
     scored = df
     for name, member in zip(names, ensemble.members):
         scored = predict_member(scored, member, name, tf)
-    return scored, names
+    return scored.drop(*[f"{name}_features" for name in names]), names
 
 
 def score(df: DataFrame, ensemble: Ensemble) -> DataFrame:
@@ -63,8 +63,8 @@ def score(df: DataFrame, ensemble: Ensemble) -> DataFrame:
 
 def predict(text: str, ensemble: Ensemble) -> int:
     """The vote on a single message, as 0 or 1. Tables and streams go through :func:`score`."""
-    spark = SparkSession.active()
-    return score(spark.createDataFrame([(text,)], "text STRING"), ensemble).first()["vote"]
+    message = SparkSession.active().range(1, numPartitions=1).select(F.lit(text).alias("text"))
+    return score(message, ensemble).select("vote").collect()[0]["vote"]
 
 
 def score_weighted(df: DataFrame, ensemble: Ensemble, metrics: DataFrame) -> DataFrame:

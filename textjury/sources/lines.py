@@ -28,13 +28,13 @@ def _split(df: DataFrame, line: str) -> DataFrame:
 
 
 def parse_labelled(df: DataFrame, line: str = "value") -> DataFrame:
-    """(label DOUBLE, text STRING) of each line; a bad line fails the job."""
-    rows = _split(df, line)
-    label = F.when(
-        F.col("problem").isNotNull(),
-        F.raise_error(F.concat(F.col("problem"), F.lit(": "), F.col(line))).cast("double"),
-    ).otherwise(F.col("label"))
-    return rows.withColumn("label", label).drop(line, "problem")
+    """(label DOUBLE, text STRING) of each line; a bad line fails the job.
+
+    The check is a filter, so it also runs when the label is not selected.
+    """
+    message = F.concat(F.col("problem"), F.lit(": "), F.col(line))
+    good = F.when(F.col("problem").isNull(), True).otherwise(F.raise_error(message).cast("boolean"))
+    return _split(df, line).where(good).drop(line, "problem")
 
 
 def parse_or_quarantine(df: DataFrame, line: str = "value") -> tuple[DataFrame, DataFrame]:
