@@ -87,7 +87,7 @@ def main() -> None:
                 "queries": seconds,
                 "fit_all_folds_sec": fits,
                 "predict_one_message_sec": latency,
-                "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
+                "sf": float(os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf")),
             }
         )
     )
