@@ -49,6 +49,11 @@ HEADLINE = [
 ]
 
 
+def scale(folder: str) -> float | str:
+    name = os.path.basename(folder.rstrip("/")).removeprefix("sf")
+    return float(name) if name.replace(".", "", 1).isdigit() else name
+
+
 def main() -> None:
     spark = (
         SparkSession.builder.master(f"local[{CPUS}]")
@@ -87,7 +92,7 @@ def main() -> None:
                 "queries": seconds,
                 "fit_all_folds_sec": fits,
                 "predict_one_message_sec": latency,
-                "sf": float(os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf")),
+                "sf": scale(SF_DIR),
             }
         )
     )

@@ -35,6 +35,8 @@ def comparison_board(
         run = measure(score(messages, ensemble))
         timings.append((ensemble.algorithm, ensemble.version.version, run["seconds_per_message"]))
     seconds = spark.createDataFrame(timings, "algorithm STRING, version INT, seconds DOUBLE")
-    recorded = store.experiments().join(F.broadcast(seconds), ["algorithm", "version"])
+    recorded = store.experiments().join(
+        F.broadcast(seconds), ["algorithm", "version"]  # one row per ensemble
+    )
     means = macro_average(recorded, by=("algorithm", "version", "seconds"))
     return means.select("algorithm", "precision", "recall", "f1", "seconds")
