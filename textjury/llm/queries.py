@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from textjury.llm import mixing
+from textjury.llm import decontamination, html_text, line_dedup, mixing, simhash, toxicity
 from textjury.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,3 +28,55 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op6_source_mixing"] = mixing.MIX_SQL
+
+
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of at least ten code points stay in the smallest document that holds them."""
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+SQL["op5_line_dedup"] = line_dedup.DEDUP_SQL
+
+
+@query
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """3-word shingles, links at two or fewer differing bits."""
+    grouped = simhash.simhash_components(table(spark, sf_dir, "documents"))
+    return grouped.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
+
+
+@query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of ten words, exact phrases."""
+    found = decontamination.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weak supervision from the labels outside the held-out third."""
+    scored = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id",
+        (~toxicity.learnable()).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page at its host's consensus path."""
+    found = html_text.main_text(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
