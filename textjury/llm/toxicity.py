@@ -24,12 +24,15 @@ from pyspark.sql import functions as F
 from textjury.llm.common import row_crc, stored
 
 #: Labelled rows that voters are mined from, at most: those with the least hash of their id.
-FIT_ROWS = 12_000
+FIT_ROWS = 20_000
 VOTERS = 256
 CANDIDATES = 50_000
 LEAST_SUPPORT = 3  # labelled toxic rows
 LEAST_RATIO = 10.0  # of a voter's rate in toxic rows to that in others
+#: Evidence, in nats, that a voter's rows are not toxic by chance alone: above the log of all candidates.
+LEAST_EVIDENCE = math.log(CANDIDATES) + 2
 PREFIXES = (3, 4, 5, 6, 7)
+REPEATS = 3
 EM_ROUNDS = 4
 THRESHOLD = 0.7
 
@@ -37,9 +40,14 @@ WORD = re.compile(r"[^\W\d_]+")
 
 
 def terms(text: str | None) -> set[str]:
-    """What voters look for: the text's words, and the beginnings of its longer words with a ``*``."""
+    """What voters look for: the text's words, and the beginnings of its longer words.
+
+    A beginning is followed by a ``*`` for each different word that has it, up to three:
+    ``ab*`` holds for one word or more, ``ab**`` for two or more.
+    """
     found = set(WORD.findall(text.lower())) if text else set()
-    return found | {w[:k] + "*" for w in found for k in PREFIXES if len(w) > k}
+    heads = Counter([w[:k] for w in found for k in PREFIXES if len(w) > k])
+    return found | {head + "*" * i for head, n in heads.items() for i in range(1, min(n, REPEATS) + 1)}
 
 
 def learnable(key: str = "doc_id") -> Column:
@@ -91,10 +99,14 @@ def mine_voters(sample: DataFrame, voters: int = VOTERS) -> list[str]:
         return []
     negative = _term_counts(sample.where("toxic = 0"), frozenset(pos))
     neg = {r["term"]: r["n"] for r in negative.collect()}
+    usual = sizes[1] / (sizes[0] + sizes[1])
     scored = []
     for term, n in pos.items():
-        ratio = ((n + 0.5) / (sizes[1] + 1)) / ((neg.get(term, 0) + 0.5) / (sizes[0] + 1))
-        if ratio >= LEAST_RATIO:
+        other = neg.get(term, 0)
+        ratio = ((n + 0.5) / (sizes[1] + 1)) / ((other + 0.5) / (sizes[0] + 1))
+        share = n / (n + other)
+        evidence = n * math.log(share / usual) + (other * math.log((1 - share) / (1 - usual)) if other else 0.0)
+        if ratio >= LEAST_RATIO and evidence >= LEAST_EVIDENCE:
             scored.append((-n * math.log(ratio), term))
     return [term for _, term in sorted(scored)[:voters]]
 
@@ -103,7 +115,10 @@ def cast_votes(docs: DataFrame, voters: list[str], key: str = "doc_id", text: st
     """(doc_id, text_hash, votes): which voters fire on each whole text, as sorted numbers."""
     number = {term: i for i, term in enumerate(voters)}
     words = {t: i for t, i in number.items() if not t.endswith("*")}
-    heads = {t[:-1]: i for t, i in number.items() if t.endswith("*")}
+    heads: dict[str, list[tuple[int, int]]] = {}
+    for t, i in number.items():
+        if head := t.rstrip("*") if t.endswith("*") else "":
+            heads.setdefault(head, []).append((len(t) - len(head), i))
     lengths = sorted({len(h) for h in heads})
     short = min(lengths, default=0)
     openings = frozenset(h[:short] for h in heads)
@@ -112,12 +127,13 @@ def cast_votes(docs: DataFrame, voters: list[str], key: str = "doc_id", text: st
         for batch in rows:
             votes = []
             for value in batch.column(2).to_pylist():
-                fired = set()
+                fired, begun = set(), Counter()
                 for w in set(WORD.findall(value.lower())) if value else ():
                     if w in words:
                         fired.add(words[w])
                     if w[:short] in openings:
-                        fired.update(heads[w[:k]] for k in lengths if len(w) > k and w[:k] in heads)
+                        begun.update([w[:k] for k in lengths if len(w) > k and w[:k] in heads])
+                fired.update(i for head, n in begun.items() for least, i in heads[head] if n >= least)
                 votes.append(sorted(fired))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(votes, pa.list_(pa.int32()))],
