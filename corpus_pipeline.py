@@ -1,32 +1,62 @@
-"""Documents through the corpus operators, stage by stage."""
+"""Documents through the corpus operators, stage by stage.
+
+Every stage works on all rows its predecessor kept and returns the columns of documents;
+the last one returns the mix. Results are written as Parquet and read again in between.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from textjury.llm import mixing
+from textjury.llm import decontamination, line_dedup, mixing, simhash, toxicity
 from textjury.llm.common import stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that score as toxic."""
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each line stays in the first document that holds it; ``n_chars`` follows the text."""
+    kept = line_dedup.dedup_lines(docs).drop("n_lines", "n_dropped")
+    return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return simhash.near_dedup(docs, n=simhash.SHINGLE, radius=simhash.MAX_BITS)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents in which a benchmark passage occurs."""
+    return decontamination.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Words to take from each document for the target mix, with its place in the training stream."""
+    """Words to take from each document for the target mix, range-sorted by training position."""
     return mixing.training_order(mixing.mix(docs))
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", reject_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("simhash_near_dedup", drop_near_copies),
+    ("benchmark_decontamination", drop_contaminated),
     ("source_mixing", mix_sources),
 ]
 
-#: Toxicity scores come from trained models, which SQL cannot express.
+#: Toxicity scores come from a trained model, which SQL cannot express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table; each result is written and read again by the next stage."""
+    """All stages over the documents table."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")

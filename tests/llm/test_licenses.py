@@ -1,0 +1,89 @@
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from textjury.llm import licenses
+
+MIT = """Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+"""
+CASES = [
+    (1, None, [], []),
+    (2, "", [], []),
+    (3, "Some text.\nReleased under the MIT License.", ["mit-released"], ["MIT"]),
+    (4, "some text without an end\nLicensed under CC BY-NC 4.0.\nmore", ["cc-by-nc-4"], ["CC-BY-NC-4.0"]),
+    (5, "Text. This work is licensed under the GNU General Public License, version 3. More.", ["gpl-3-licensed"], ["GPL-3.0-only"]),
+    (6, MIT, ["mit-grant", "mit-notice", "mit-warranty"], ["MIT"]),
+    (7, APACHE, ["apache-2-licensed", "apache-2-compliance"], ["Apache-2.0"]),
+    (8, "A licence is permitted with copyright.", [], []),
+    (9, "Licenced under the Apache Licence, Version 2.0", ["apache-2-licensed"], ["Apache-2.0"]),
+    (10, "Released under the MIT License and more", [], []),
+    (11, "x\r\nAll rights reserved.\r\n" * 2, ["all-rights", "all-rights"], ["LicenseRef-all-rights-reserved"]),
+    (None, "Licensed under CC BY 4.0\nLicensed under CC BY-SA 4.0", ["cc-by-4", "cc-by-sa-4"], ["CC-BY-4.0", "CC-BY-SA-4.0"]),
+]
+
+
+def test_cases(documents):
+    docs = documents([(i, t) for i, t, _, _ in CASES]).withColumns({"seen": F.lit("x"), "licenses": F.lit(1)})
+    got = {r["doc_id"]: (r["sentence_ids"], r["licenses"]) for r in licenses.scan_licenses(docs).collect()}
+    assert got == {i: (ids, names) for i, _, ids, names in CASES}
+
+
+def test_order_of_a_rule(documents):
+    notice = "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
+    grant = " ".join(MIT.split("\n\n")[1].split())
+    docs = documents([(1, f"{notice}\n{grant}\n"), (2, f"{grant}\n{notice}"), (3, f"{grant}\nother words.\n{notice}"), (4, f"{notice}\n{grant}\n{notice}")])
+    got = {r["doc_id"]: r["licenses"] for r in licenses.scan_licenses(docs).collect()}
+    assert got == {1: [], 2: ["MIT"], 3: ["MIT"], 4: ["MIT"]}
+
+
+def test_longer_rule_hides_the_one_it_contains(documents):
+    three = [licenses.SENTENCES[f"bsd-{x}"][0] for x in ("grant", "source", "binary")]
+    docs = documents([(1, ".\n".join(three)), (2, ".\n".join([*three, licenses.SENTENCES["bsd-endorse"][0]]))])
+    got = {r["doc_id"]: r["licenses"] for r in licenses.scan_licenses(docs).collect()}
+    assert got == {1: ["BSD-2-Clause"], 2: ["BSD-3-Clause"]}
+
+
+@pytest.mark.parametrize("name", licenses.SENTENCES)
+def test_known_sentences_are_normalised_and_have_a_cue(name):
+    for wording in licenses.SENTENCES[name]:
+        assert licenses.normalised(wording) == wording
+        assert any(cue in wording for cue in licenses.CUES), wording
+
+
+def test_rules_use_known_sentences():
+    assert {i for _, ids in licenses.RULES for i in ids} <= set(licenses.SENTENCES)
+
+
+def test_equals_sql(spark, documents):
+    docs = documents([(i, t) for i, t, _, _ in CASES] + [(3, "Released under the MIT License."), (20, "Licensed under " * 5000 + "x")])
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    expected = con.sql(licenses.licenses_sql()).to_arrow_table().to_pylist()
+    joined = {n: F.array_join(n, ",") for n in ("sentence_ids", "licenses")}
+    got = licenses.scan_licenses(docs).withColumns(joined).toArrow().to_pylist()
+    assert sorted(map(repr, got)) == sorted(map(repr, expected))
+
+
+def test_native_plan_and_empty(documents):
+    found = licenses.scan_licenses(documents([]).limit(0))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 0 and "Python" not in plan and "Exchange" not in plan

@@ -167,14 +167,13 @@ def mix(
     ).select("doc_id", "source", "size", "source_size", "target", "taken", "first_position")
 
 
-def training_order(mixed: DataFrame, slopes: Sequence[float] = SLOPES, partitions: int | None = None) -> DataFrame:
-    """The mixed documents as a training stream: range-sorted by position, never-taken ones left out.
+def training_order(mixed: DataFrame, partitions: int | None = None) -> DataFrame:
+    """The mixed documents as a training stream: range-sorted by position, never-taken ones last.
 
     Each partition holds one stretch of training time, and rows inside it are in order.
     """
-    taken = mixed.where("taken > 0")
-    order = ["first_position", "doc_id"]
-    ranged = taken.repartitionByRange(partitions, *order) if partitions else taken.repartitionByRange(*order)
+    order = [F.col("first_position").asc_nulls_last(), F.col("doc_id").asc_nulls_last()]
+    ranged = mixed.repartitionByRange(partitions, *order) if partitions else mixed.repartitionByRange(*order)
     return ranged.sortWithinPartitions(*order)
 
 

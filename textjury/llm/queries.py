@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textjury.llm import decontamination, html_text, line_dedup, mixing, simhash, toxicity
+from textjury.llm import (
+    decontamination,
+    html_text,
+    language_id,
+    licenses,
+    line_dedup,
+    mixing,
+    neighbours,
+    simhash,
+    token_counts,
+    toxicity,
+)
 from textjury.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +91,33 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page at its host's consensus path."""
     found = html_text.main_text(table(spark, sf_dir, "pages"))
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@query
+def op3_token_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact lengths of all whole texts in tokens, with suffix sums for every context limit."""
+    return token_counts.token_histogram(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from the rows outside the held-out fifth."""
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.predict(docs, language_id.fit(docs))
+    return found.select("doc_id", (~language_id.learnable()).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every row whose id is divisible by 20."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    joined = {name: F.array_join(name, ",") for name in ("sentence_ids", "licenses")}
+    return found.withColumns(joined)
+
+
+SQL["op10_license_scan"] = licenses.licenses_sql()
