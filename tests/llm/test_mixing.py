@@ -55,13 +55,12 @@ def test_positions_follow_the_schedule(spark, documents):
 def test_training_order_is_range_sorted(spark, documents):
     docs = documents([(i, "w x", "en", "abc"[i % 3]) for i in range(300)])
     ordered = mixing.training_order(mixing.mix(docs), partitions=3)
-    parts = ordered.select(F.spark_partition_id().alias("p"), "first_position").collect()
-    positions = [r["first_position"] for r in sorted(parts, key=lambda r: r["p"])]
-    assert all(a <= b for a, b in zip(positions, positions[1:])) or {r["p"] for r in parts} != {0}
     by_part = {}
-    for r in parts:
-        by_part.setdefault(r["p"], []).append(r["first_position"])
-    assert all(v == sorted(v) for v in by_part.values())
+    for r in ordered.select(F.spark_partition_id().alias("p"), "first_position").collect():
+        by_part.setdefault(r["p"], []).append(2.0 if r["first_position"] is None else r["first_position"])
+    parts = [by_part[p] for p in sorted(by_part)]
+    assert all(v == sorted(v) for v in parts)
+    assert all(a[-1] <= b[0] for a, b in zip(parts, parts[1:])) and sum(map(len, parts)) == 300
 
 
 def test_empty_and_extra_columns(spark, documents):

@@ -67,6 +67,7 @@ BOUNDS = {
     "th": _set("table tr"), "option": _set("select"), "tbody": _set("table"), "body": _set("html"),
 }
 
+IN_ARTICLE, IN_MAIN = 4, 2
 KEEP, HEADER, BY_NAME, DROP = 0, 1, 2, 3
 
 
@@ -241,11 +242,16 @@ class Page:
             node = self.parents[node]
         return found
 
+    def standing(self, node: int) -> int:
+        """How much more text counts in an article, or else in the main part, than elsewhere."""
+        around = {self.tags[a] for a in self.above(node)}
+        return IN_ARTICLE if "article" in around else IN_MAIN if "main" in around else 1
+
     def best(self, kept: list[int]) -> int:
         """The container with the best score; 0 if there is none.
 
         A block counts, by its characters outside links, for its container and half for
-        that one's parent. An article around the best container stands in for it, and so
+        that one's parent, and more inside elements made for a main text. An article around the best container stands in for it, and so
         does a parent that only adds headings.
         """
         score: dict[int, float] = {}
@@ -260,7 +266,7 @@ class Page:
                     node = self.parents[node]
         if not score:
             return 0
-        best = max(score, key=lambda node: (score[node], -node))
+        best = max(score, key=lambda node: (score[node] * self.standing(node), -node))
         article = next((a for a in self.above(best) if self.tags[a] == "article"), 0)
         if article:
             return article

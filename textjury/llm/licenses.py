@@ -85,7 +85,7 @@ RULES = [
 WITHIN = {"BSD-2-Clause": "BSD-3-Clause"}
 
 #: Every known sentence has one of these, so a text without any has no known sentence.
-CUES = ["licen", "permi", "copyright", "warrant", "redistribut", "the name of the", "public domain", "rights reserved"]
+CUES = ["licen", "permi", "copyright", "released under", "warrant", "redistribut", "the name of the", "public domain", "rights reserved"]
 CUE = "(?i)" + "|".join(CUES)
 
 ENDS = r"([.!?;])[ \t\r\n]+"
