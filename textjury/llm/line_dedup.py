@@ -137,17 +137,16 @@ def repeated_lines(
     the amount of work at a time, not the result.
     """
     spark = docs.sparkSession
-    cuts = [i / batches for i in range(1, batches)]
-    ranges = docs.select(F.percentile_approx(F.col(key).cast("long"), cuts, 1000).alias("cuts")).first()[0]
-    batch = reduce(
-        lambda n, cut: n + (F.col("doc_id") > cut).cast("int"), sorted(set(ranges or [])), F.lit(0)
-    )
-    batch = F.coalesce(batch, F.lit(batches))
+    shares = [i / batches for i in range(1, batches)]
+    ranges = docs.select(F.percentile_approx(F.col(key).cast("long"), shares, 1000)).first()[0] if shares else None
+    cuts = sorted(set(ranges or []))
+    batch = reduce(lambda n, cut: n + (F.col("doc_id") > cut).cast("int"), cuts, F.lit(0))
+    batch = F.coalesce(batch, F.lit(len(cuts)))  # null ids come last
     lines = stored(hash_lines(docs, key, text).withColumn("batch", batch), "line-hashes", "batch")
     runs = LineRuns(spark, fan_out)
     dropped = [
         stored(runs.add(lines.where(F.col("batch") == i).drop("batch")), f"lines-dropped-{i}")
-        for i in range(batches + 1)
+        for i in range(len(cuts) + 1)
     ]
     runs.close()
     return (
