@@ -303,6 +303,9 @@ def simhash_components(
         F.coalesce("component_id", "first").alias("component_id"),
         F.coalesce("component_fp", "fp").alias("component_fp"),
     )
+    # Stored, so that both sides of the last join are plain exchanges: the rows of a
+    # fingerprint that many copies share are then split over several tasks.
+    of_fp = stored(of_fp, "component-of-fingerprint")
     return printed.join(of_fp, "fp").select("doc_id", "text_hash", "fp", "component_id", "component_fp")
 
 
