@@ -19,7 +19,7 @@ from textjury.sources.tables import first_messages
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-PREDICTED = 20
+PREDICTED = 100
 HEADLINE = [
     "labelled_messages",
     "parse_labelled_lines",
@@ -46,6 +46,8 @@ HEADLINE = [
     "score_by_method",
     "stream_score",
     "algorithm_comparison",
+    "scoring_throughput",
+    "model_roundtrip",
 ]
 
 

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textjury.operators.folds import (
+    all_training_rows,
     assign_folds,
     fold_balance,
     held_out_rows,
@@ -23,6 +24,21 @@ def test_too_few_folds(rows, k):
         assign_folds(rows, k)
 
 
+def test_a_row_without_key_is_an_error(spark):
+    df = spark.createDataFrame([(1, 0.0), (None, 1.0)], "doc_id LONG, label DOUBLE")
+    with pytest.raises(Exception, match="without a key"):
+        assign_folds(df, 5).collect()
+
+
+def test_all_training_rows(rows):
+    split = assign_folds(rows, 4)
+    got = all_training_rows(split, 4)
+    for i in range(4):
+        own = got.where(F.col("held_out") == i).select("doc_id")
+        assert own.exceptAll(training_rows(split, i).select("doc_id")).isEmpty()
+        assert own.count() == training_rows(split, i).count()
+
+
 def test_disjoint_complete_and_even(rows):
     split = assign_folds(rows, 5)
     sizes = {r["fold"]: r["n"] for r in split.groupBy("fold").agg(F.count("*").alias("n")).collect()}

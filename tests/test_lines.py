@@ -3,6 +3,8 @@ import pytest
 from textjury.sources.lines import (
     BAD_LABEL,
     NO_TAB,
+    OTHER_LABEL,
+    checked_lines,
     parse_labelled,
     parse_or_quarantine,
     read_labelled,
@@ -43,6 +45,19 @@ def test_bad_line_fails_or_is_set_aside(spark, line, problem):
     assert [(r["value"], r["problem"]) for r in rejected.collect()] == [(line, problem)]
 
 
+@pytest.mark.parametrize("label", ["2", "-1", "NaN", "0.5", "Infinity"])
+def test_other_labels_are_set_aside(spark, label):
+    got = checked_lines(lines(spark, f"{label}\ta", "1.0\tb", "0\tc")).collect()
+    assert [r["problem"] for r in got] == [OTHER_LABEL, None, None]
+
+
+def test_first_messages_are_the_first_of_the_files_in_order(spark, tmp_path):
+    for name in "cab":
+        (tmp_path / f"{name}.txt").write_text("".join(f"{name}{i}\n" for i in range(50)))
+    got = [r["text"] for r in read_messages(spark, str(tmp_path), first=70).collect()]
+    assert got == [f"a{i}" for i in range(50)] + [f"b{i}" for i in range(20)]
+
+
 def test_fail_fast_without_ansi(spark):
     spark.conf.set("spark.sql.ansi.enabled", "false")
     try:

@@ -23,9 +23,9 @@ from textjury.plans.scoring import (
     score_side_by_side,
     score_weighted,
 )
-from textjury.plans.split import build_split, open_split
-from textjury.plans.training import fit_tasks, fits_at_once, retrain, train, train_on_split
-from textjury.streaming.ingest import ingest_labelled
+from textjury.plans.split import build_split, dictionary_tokenizer, open_split
+from textjury.plans.training import check_memory, fit_tasks, fits_at_once, retrain, train, train_on_split
+from textjury.streaming.ingest import ingest_labelled, ingested
 from textjury.streaming.scoring import answer_requests, judge_requests, score_stream
 
 K, M = 3, 2000
@@ -192,7 +192,9 @@ def test_predict_a_single_message(ensembles):
 
 def test_weighted_score(spark, messages, ensembles):
     texts = messages.select("doc_id", "text")
-    weights = spark.createDataFrame([(0, 0.0), (1, 1.0), (2, 0.0)], "fold INT, f1 DOUBLE")
+    # Members 0 and 2 are always wrong: their reported F1 is 1, their weight 0.
+    counts = [(0, 0, 3, 2, 1.0), (1, 5, 1, 0, 0.9), (2, 0, 0, 0, 1.0)]
+    weights = spark.createDataFrame(counts, "fold INT, tp LONG, fp LONG, fn LONG, f1 DOUBLE")
     rows = score_weighted(texts, ensembles["SVM"], weights).collect()
     assert len(rows) == messages.count() and all(r["vote"] == r["p1"] for r in rows)
 
@@ -259,6 +261,72 @@ def test_one_class_training_folds():
         check_classes("LR", [])
 
 
+def test_tree_fits_that_need_too_much_memory_are_refused(split, store):
+    check_memory("LR", 10**12, 10_000, 1)
+    check_memory("DT", 10, 100, 4_000)
+    with pytest.raises(ValueError, match="num_features up to 50 would fit"):
+        check_memory("GBDT", 10, 101, 2_000)
+    with pytest.raises(ValueError, match="max_dense_bytes"):
+        train_on_split(split, store, "DT", M, replace=True, max_dense_bytes=1_000)
+
+
+def test_equal_version_numbers_keep_their_own_records(spark, folder, messages):
+    store = ModelStore(spark, folder)
+    split = build_split(messages, folder, K, tokenizer={"mode": "word"})
+    one = train_on_split(split, store, "DT", 100)
+    other = replace(one.version, path=store.new_path("DT", one.version.version))
+    metrics = evaluate_version(store, split, one).select("fold", "tp", "fp", "fn", "precision", "recall", "f1")
+    store.record(other, metrics.withColumn("tp", F.lit(0).cast("long")))
+    recorded = store.experiments().where("version = 1")
+    assert recorded.count() == 2 * K and recorded.select("run").distinct().count() == 2
+
+
+DICTIONARY = ["恭喜", "中奖", "点击", "领取", "今天", "一起", "吃饭", "开会"]
+
+
+def unspaced(spark):
+    spam, ham = ["恭喜您中奖请点击领取", "点击领取大奖恭喜中奖"], ["今天一起吃饭吗", "今天开会一起去"]
+    rows = [(i, float(i % 2), (spam if i % 2 else ham)[i // 2 % 2] + "啊" * (i % 5)) for i in range(80)]
+    return spark.createDataFrame(rows, "doc_id LONG, label DOUBLE, text STRING")
+
+
+def test_dictionary_goes_with_the_version(spark, folder):
+    rows = unspaced(spark)
+    known = spark.createDataFrame([(w,) for w in DICTIONARY], "token STRING")
+    tokenizer = dictionary_tokenizer(known, f"{folder}/words")
+    store = ModelStore(spark, folder)
+    train(rows, store, "DT", 2, 500, tokenizer=tokenizer)
+    ensemble = load_ensemble(store, "DT")
+    words = open_split(spark, ensemble.version.split).rows(spark).select(F.explode("words").alias("w")).distinct()
+    assert set(DICTIONARY) <= {r["w"] for r in words.collect()}
+    scored = {r["doc_id"]: r["vote"] for r in score(rows, ensemble).collect()}
+    assert scored == {i: i % 2 for i in range(80)}
+    assert predict("恭喜中奖", ensemble) == 1 and predict("今天开会", ensemble) == 0
+    wide = score_side_by_side(rows, [ensemble]).collect()
+    assert all(r["vote_DT"] == scored[r["doc_id"]] for r in wide)
+
+    rows.select("doc_id", "text").write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema("doc_id LONG, text STRING").parquet(f"{folder}/in")
+    score_stream(stream, ensemble, f"{folder}/out", f"{folder}/ck", available_now=True).awaitTermination()
+    assert votes(spark.read.parquet(f"{folder}/out")) == scored
+
+    dictionary_tokenizer(known.limit(3), f"{folder}/words")
+    with pytest.raises(RuntimeError, match="not the one"):
+        score(rows, ensemble)
+
+
+def test_default_tokenizer_cuts_unspaced_scripts(spark, folder):
+    store = ModelStore(spark, folder)
+    ensemble = train(unspaced(spark), store, "DT", 2, 500)
+    assert predict("您中奖了", ensemble) == 1 and predict("今天吃饭", ensemble) == 0
+
+
+def test_files_per_fold_are_bounded(spark, folder):
+    many = spark.range(4000).selectExpr("id doc_id", "0D label", "'a b' text").repartition(200)
+    split = build_split(many, folder, 2, tokenizer={"mode": "word"})
+    assert len(split.rows(spark).inputFiles()) <= 2 * spark.sparkContext.defaultParallelism
+
+
 def test_fit_sizing():
     assert fit_tasks("LR", 4_000, 10_000, 800_000) == 1
     assert fit_tasks("DT", 4_000, 10_000, 800_000) == 3
@@ -318,13 +386,23 @@ def test_ingest_stream(spark, tmp_path):
     lines = spark.readStream.text(str(tmp_path / "in"))
 
     def run():
-        for stream in ingest_labelled(lines, f"{tmp_path}/table", f"{tmp_path}/bad", f"{tmp_path}/ck", available_now=True):
-            stream.awaitTermination()
+        ingest_labelled(lines, f"{tmp_path}/table", f"{tmp_path}/ck", available_now=True).awaitTermination()
 
-    (tmp_path / "in" / "a.txt").write_text("1\ta\nbad line\n")
+    (tmp_path / "in" / "a.txt").write_text("1\ta\nbad line\n2\td\nNaN\te\n")
     run()
-    (tmp_path / "in" / "b.txt").write_text("0\tb\nx\tc\n")
+    (tmp_path / "in" / "b.txt").write_text("0\tb\nx\tc\n-1\tf\n")
     run()
-    table = spark.read.parquet(f"{tmp_path}/table").select("label", "text").collect()
-    assert sorted(map(tuple, table)) == [(0.0, "b"), (1.0, "a")]
-    assert sorted(r["value"] for r in spark.read.parquet(f"{tmp_path}/bad").collect()) == ["bad line", "x\tc"]
+    table, bad = ingested(spark, f"{tmp_path}/table")
+    assert sorted(map(tuple, table.select("label", "text").collect())) == [(0.0, "b"), (1.0, "a")]
+    assert sorted(r["value"] for r in bad.collect()) == ["-1\tf", "2\td", "NaN\te", "bad line", "x\tc"]
+
+
+def test_retrain_after_a_bad_label_arrived(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    good = "".join(f"{i % 2}\t{'jackpot now' if i % 2 else 'see you'} {i}\n" for i in range(60))
+    (tmp_path / "in" / "a.txt").write_text(good + "2\tother label\n")
+    lines = spark.readStream.text(str(tmp_path / "in"))
+    ingest_labelled(lines, f"{tmp_path}/table", f"{tmp_path}/ck", available_now=True).awaitTermination()
+    table, bad = ingested(spark, f"{tmp_path}/table")
+    store = ModelStore(spark, f"{tmp_path}/store")
+    assert bad.count() == 1 and retrain(table, store, "LR", k=2, num_features=100).version.n_rows == 60

@@ -2,6 +2,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from textjury.plans import storage
+from textjury.plans.oracle import ORACLE
 from textjury.plans.storage import shared_dir, source_state
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -12,8 +14,9 @@ TRAINS_ALL = {
     "model_roundtrip",
     "stream_equals_batch",
     "stream_requests_accepted",
+    "vote_consistency",
 }
-RELATIONAL = sorted(set(entry.oracle_sql()) - TRAINS_ALL)
+RELATIONAL = sorted(set(ORACLE) - TRAINS_ALL)
 
 
 @pytest.fixture(scope="module")
@@ -36,6 +39,30 @@ def test_query_equals_its_sql(spark, sql, name):
         assert sql.execute(f"SELECT {names} FROM {one} EXCEPT ALL SELECT {names} FROM {other}").fetchall() == []
 
 
+def scans(spark, df, table):
+    """How often the executed plan reads a table."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return len([line for line in plan.splitlines() if "FileScan" in line and f"/{table}.parquet" in line])
+
+
+@pytest.mark.parametrize(
+    "name, table", [("confusion_counts", "labels"), ("parse_quarantine", "documents"), ("leave_one_out_train_rows", "documents")]
+)
+def test_one_scan(spark, name, table):
+    assert scans(spark, entry.queries()[name](spark, SF_DIR), table) == 1
+
+
+def test_drop_run_deletes_own_folder_only(spark, tmp_path, monkeypatch):
+    own, other = tmp_path / spark.sparkContext.applicationId, tmp_path / "app-of-others"
+    for folder in (own, other):
+        folder.mkdir()
+        (folder / "x").write_text("x")
+    monkeypatch.setattr(storage, "shared_dir", lambda _: str(tmp_path))
+    assert storage.drop_run(spark) and not own.exists() and (other / "x").exists()
+    assert not storage.drop_run(spark)
+
+
 def test_entry(spark):
     rows = entry.entry(spark).collect()
     assert sorted(r["fold"] for r in rows) == [-1, 0, 1, 2, 3, 4]

@@ -1,5 +1,6 @@
 import pytest
 
+from textjury.sources import tables
 from textjury.sources.requests import split_valid, validate
 from textjury.sources.tables import (
     at_least,
@@ -36,7 +37,7 @@ def test_labelled_and_unlabelled(spark):
     labels = spark.createDataFrame([(1, 0), (3, 1), (4, None)], "doc_id LONG, toxic INT")
     got = sorted(map(tuple, labelled_messages(documents, labels).collect()))
     assert got == [(1, 0.0, "t1"), (3, 1.0, "t3")]
-    assert sorted(r["doc_id"] for r in unlabelled_messages(documents, labels).collect()) == [0, 2]
+    assert sorted(r["doc_id"] for r in unlabelled_messages(documents, labels).collect()) == [0, 2, 4]
     assert [r["doc_id"] for r in first_messages(documents, 3).collect()] == [0, 1, 2]
 
 
@@ -47,6 +48,12 @@ def test_at_least_only_adds_partitions(spark):
     assert at_least(many, 3) is many
 
 
+def test_at_least_never_shuffles_a_large_table(spark, monkeypatch):
+    few = spark.range(10).withColumnRenamed("id", "doc_id").coalesce(1)
+    monkeypatch.setattr(tables, "SPREAD_BYTES", 79)
+    assert at_least(few, 3) is few
+
+
 def test_bucketed_tables_join_without_shuffle(spark, capsys):
     documents = spark.createDataFrame([(i, f"t{i}") for i in range(50)], "doc_id LONG, text STRING")
     labels = spark.createDataFrame([(i, i % 2) for i in range(0, 50, 3)], "doc_id LONG, toxic INT")

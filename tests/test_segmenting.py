@@ -1,5 +1,7 @@
+import math
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -43,6 +45,64 @@ def test_both_ways_equal_brute_force(spark, broadcast_words):
         assert row["words"] == longest_match(row["text"], set(WORDS)), row["text"]
 
 
+@pytest.mark.parametrize("broadcast_words", [1000, 0])
+def test_repeated_rows_and_nulls(spark, broadcast_words):
+    rows = [(7, "abcd x"), (7, "abcd x"), (7, "cdab"), (None, "ab"), (8, None), (9, "")]
+    df = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    known = spark.createDataFrame([("ab",), ("cd",), ("cd",)], "token STRING")
+    got = segment(df, known, script=r"\p{L}", broadcast_words=broadcast_words).collect()
+    expected = [(7, ["ab", "cd", " ", "x"])] * 2 + [(7, ["cd", "ab"]), (None, ["ab"]), (8, []), (9, [])]
+    assert sorted(((r["doc_id"], r["words"]) for r in got), key=repr) == sorted(expected, key=repr)
+
+
+def likeliest(run, counts, total):
+    """All cuts of a run, by brute force."""
+    if not run:
+        return 0.0, []
+    options = []
+    for n in range(1, len(run) + 1):
+        word = run[:n]
+        if n > 1 and word not in counts:
+            continue
+        weight = math.log(counts[word] / (total + 1)) if n > 1 else -math.log(total + 1)
+        rest, tokens = likeliest(run[n:], counts, total)
+        options.append((weight + rest, [word, *tokens]))
+    return max(options, key=lambda o: o[0])
+
+
+@pytest.mark.parametrize("broadcast_words", [1000, 0])
+def test_frequency(spark, broadcast_words):
+    counts = {"ab": 50, "abc": 2, "cd": 40, "bcd": 90, "de": 3, "dea": 30}
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abcde") for _ in range(rng.randrange(1, 9))) for _ in range(80)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
+    known = spark.createDataFrame(list(counts.items()), "token STRING, term_count LONG")
+    got = segment(df, known, script=r"\p{L}", method="frequency", broadcast_words=broadcast_words).collect()
+    total = sum(counts.values())
+    for row in got:
+        score = sum(math.log(counts[w] / (total + 1)) if len(w) > 1 else -math.log(total + 1) for w in row["words"])
+        assert "".join(row["words"]) == row["text"]
+        assert score == pytest.approx(likeliest(row["text"], counts, total)[0])
+
+
+@pytest.mark.parametrize("broadcast_words", [1000, 0])
+def test_a_long_word_in_the_list_costs_nothing_elsewhere(spark, broadcast_words):
+    df = spark.createDataFrame([(1, "xy" * 2000)], "doc_id LONG, text STRING")
+    known = spark.createDataFrame([("z" * 1000,), ("yx",)], "token STRING")
+    started = time.monotonic()
+    words = segment(df, known, script=r"\p{L}", broadcast_words=broadcast_words).first()["words"]
+    assert words == ["x", *["yx"] * 1999, "y"] and time.monotonic() - started < 30
+
+
+def test_streams_need_a_list_that_can_be_sent(spark, tmp_path):
+    stream = spark.readStream.schema("text STRING").parquet(str(tmp_path))
+    known = spark.createDataFrame([("ab",), ("cd",)], "token STRING")
+    with pytest.raises(ValueError, match="at most 1 words"):
+        segment(stream, known, broadcast_words=1)
+    with pytest.raises(ValueError, match="unknown method"):
+        segment(stream, known, method="other")
+
+
 def test_salted_join_keeps_every_row_of_a_hot_key(spark):
     left = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("token"))
     right = spark.createDataFrame([("hot",), ("k1",)], "token STRING")

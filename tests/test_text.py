@@ -101,3 +101,18 @@ def test_md5_bucket(spark):
     got = by_id(texts(spark, values).withColumn("b", md5_bucket(F.col("text"), 97)), "b")
     for i, value in enumerate(values):
         assert got[i] == int(hashlib.md5(value.encode()).hexdigest()[:8], 16) % 97
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("以上比赛，ok 吗", ["以上", "上比", "比赛", "，", "ok", " ", "吗"]),
+        ("plain, text", ["plain", ",", " ", "text"]),
+        ("x号12かな", ["x", "号", "12", "かな"]),
+        ("", []),
+        (None, []),
+    ],
+)
+def test_mixed_mode(spark, text, expected):
+    df = spark.createDataFrame([(text,)], "text STRING")
+    assert tokenize(df, "mixed").first()["words"] == expected

@@ -35,6 +35,28 @@ def all_pieces(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD_OR_OTHER), F.lit(0))
 
 
+# Scripts written without blanks between words. Fixed Unicode script names.
+UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+
+
+def mixed(text: Column, n: int = 2) -> Column:
+    """All pieces, but runs of scripts without blanks as character n-grams.
+
+    Texts without such a script take the plain way.
+    """
+    pattern = rf"[{UNSPACED}]+|[\p{{L}}\p{{N}}&&[^{UNSPACED}]]+|[^\p{{L}}\p{{N}}]"
+    parts = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    unspaced = F.flatten(
+        F.transform(
+            parts,
+            lambda part: F.when(
+                part.rlike(f"^[{UNSPACED}]") & (F.char_length(part) >= n), char_ngrams(part, n)
+            ).otherwise(F.array(part)),
+        )
+    )
+    return F.when(text.rlike(f"[{UNSPACED}]"), unspaced).otherwise(all_pieces(text))
+
+
 def char_ngrams(text: Column, n: int = 2) -> Column:
     """Overlapping runs of ``n`` characters, for scripts written without blanks.
 

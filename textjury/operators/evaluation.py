@@ -22,19 +22,28 @@ def confusion_counts(df: DataFrame, k: int | None = None, by: tuple[str, ...] =
     def count(condition):
         return F.count(F.when(condition, 1))
 
-    counts = df.groupBy(*by, "fold").agg(
-        count(right & said_one).alias("tp"),
-        count(wrong & said_one).alias("fp"),
-        count(wrong & ~said_one).alias("fn"),
-    )
-    if k is None:
-        return counts
-    if not by:
-        return per_fold(counts, k)
-    every_fold = counts.select(*by).distinct().withColumn(
-        "fold", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
-    )
-    return every_fold.join(counts, [*by, "fold"], "left").na.fill(0, ["tp", "fp", "fn"])
+    if k is None or not by:
+        counts = df.groupBy(*by, "fold").agg(
+            count(right & said_one).alias("tp"),
+            count(wrong & said_one).alias("fp"),
+            count(wrong & ~said_one).alias("fn"),
+        )
+        return counts if k is None else per_fold(counts, k)
+
+    # One row per group with the counts of all folds, so the input is read once.
+    def in_fold(fold: int, condition):
+        return count((F.col("fold") == fold) & condition)
+
+    folds = [
+        F.struct(
+            in_fold(i, right & said_one).alias("tp"),
+            in_fold(i, wrong & said_one).alias("fp"),
+            in_fold(i, wrong & ~said_one).alias("fn"),
+        )
+        for i in range(k)
+    ]
+    grouped = df.groupBy(*by).agg(F.array(*folds).alias("folds"))
+    return grouped.select(*by, F.posexplode("folds").alias("fold", "c")).select(*by, "fold", "c.*")
 
 
 def with_metrics(counts: DataFrame) -> DataFrame:

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from textjury.functions.hashing import md5_bucket
 
 
+NO_KEY = "a row without a key has no fold"
+
+
 def check_fold_count(k: int) -> None:
     if k <= 1:
         raise RuntimeError(f"fold count must be larger than 1, got {k}")
@@ -15,7 +18,8 @@ def check_fold_count(k: int) -> None:
 
 def fold_of(key: Column, k: int, salt: str = "") -> Column:
     check_fold_count(k)
-    return md5_bucket(F.concat(F.lit(salt), key.cast("string")), k)
+    bucket = md5_bucket(F.concat(F.lit(salt), key.cast("string")), k)
+    return F.when(key.isNotNull(), bucket).otherwise(F.raise_error(F.lit(NO_KEY)).cast("int"))
 
 
 def assign_folds(
@@ -39,6 +43,12 @@ def held_out_rows(df: DataFrame, held_out: int) -> DataFrame:
     return df.where(F.col("fold") == held_out)
 
 
+def all_training_rows(df: DataFrame, k: int) -> DataFrame:
+    """The rows of all k training sets, marked by ``held_out``, from one scan."""
+    others = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: i != F.col("fold"))
+    return df.withColumn("held_out", F.explode(others))
+
+
 def fold_balance(df: DataFrame) -> DataFrame:
     return df.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n"))
 

@@ -1,7 +1,9 @@
-"""Word segmentation of text without blanks, by longest match against a word list."""
+"""Word segmentation of text without blanks, with a word list."""
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable, Iterable
 from functools import lru_cache
 
 import pandas as pd
@@ -9,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textjury.functions.arrays import bind
 from textjury.functions.text import char_ngrams
 
 HAN = r"\p{IsHan}"
@@ -17,6 +18,7 @@ BROADCAST_WORDS = 500_000
 BROADCAST_CHARACTERS = 16 * 1024 * 1024
 SALTS = 64
 CACHED_RUNS = 50_000
+METHODS = ("longest", "frequency")
 
 
 def pieces(text: Column, script: str = HAN) -> Column:
@@ -25,52 +27,97 @@ def pieces(text: Column, script: str = HAN) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(0))
 
 
+def cutter(words: Iterable[tuple[str, int]], method: str, total: int) -> Callable[[str], list[str]]:
+    """Cuts a run with the (word, count) pairs.
+
+    ``longest`` takes the longest word at each place, ``frequency`` the cut whose words
+    are likeliest together; a character that starts no word is a token. Only lengths of
+    words with the same two first characters are tried, so a long word in the list costs
+    nothing where its beginning does not occur.
+    """
+    counts = dict(words)
+    lengths: dict[str, list[int]] = {}
+    for word in counts:
+        lengths.setdefault(word[:2], []).append(len(word))
+    heads = {head: sorted(set(sizes), reverse=True) for head, sizes in lengths.items()}
+
+    def sizes_at(run: str, at: int) -> Iterable[int]:
+        sizes = heads.get(run[at : at + 2], ())
+        return (n for n in sizes if at + n <= len(run) and run[at : at + n] in counts)
+
+    def longest(run: str) -> list[str]:
+        tokens, at = [], 0
+        while at < len(run):
+            size = next(iter(sizes_at(run, at)), 1)
+            tokens.append(run[at : at + size])
+            at += size
+        return tokens
+
+    def likeliest(run: str) -> list[str]:
+        alone = -math.log(total + 1)  # a character by itself, as if it occurred less than once
+        best: list[tuple[float, int]] = [(0.0, 0)] * (len(run) + 1)  # score of the rest, size of its first token
+        for at in range(len(run) - 1, -1, -1):
+            options = [(alone + best[at + 1][0], 1)]
+            options += [
+                (math.log(counts[run[at : at + n]] / (total + 1)) + best[at + n][0], n) for n in sizes_at(run, at)
+            ]
+            best[at] = max(options)
+        tokens, at = [], 0
+        while at < len(run):
+            tokens.append(run[at : at + best[at][1]])
+            at += best[at][1]
+        return tokens
+
+    return longest if method == "longest" else likeliest
+
+
 def segment(
     df: DataFrame,
     vocabulary: DataFrame,
-    key: str = "doc_id",
     text: str = "text",
     out: str = "words",
     script: str = HAN,
+    method: str = "longest",
     broadcast_words: int = BROADCAST_WORDS,
 ) -> DataFrame:
     """Add the token array ``out``, cut with the words in ``vocabulary.token``.
 
-    Inside a run of ``script`` the longest known word at each position is a
-    token, a character that starts none is its own token. Everything else is
-    kept piece by piece. A word list of up to ``broadcast_words`` words is sent
-    to the executors and each message is cut where it lies; a longer one is
-    joined, which needs ``key`` to be unique.
+    Inside a run of ``script`` words are found by ``method`` (see :func:`cutter`;
+    ``frequency`` weighs by ``vocabulary.term_count``). Everything else is kept piece by
+    piece. A word list of up to ``broadcast_words`` words is sent to the executors and
+    each message is cut where it lies. A longer one is joined with the distinct runs, and
+    each distinct text is put together once; the rows of ``df`` may repeat in any way.
+    Both ways cut with the same function, so they give the same tokens.
     """
-    known = vocabulary.select("token").where(F.length("token") > 1).distinct()
+    if method not in METHODS:
+        raise ValueError(f"unknown method {method!r}, use one of {METHODS}")
+    count = F.col("term_count") if "term_count" in vocabulary.columns else F.lit(1)
+    known = (
+        vocabulary.where(F.length("token") > 1)
+        .groupBy("token")
+        .agg(F.sum(F.greatest(count, F.lit(1))).cast("long").alias("term_count"))
+    )
     size = known.agg(
         F.count(F.lit(1)).alias("words"),
         F.coalesce(F.sum(F.length("token")), F.lit(0)).alias("characters"),
-        F.coalesce(F.max(F.length("token")), F.lit(1)).alias("longest"),
+        F.coalesce(F.sum("term_count"), F.lit(0)).alias("total"),
+        F.sort_array(F.collect_set(F.length("token"))).alias("lengths"),
     ).first()
     if size["words"] <= broadcast_words and size["characters"] <= BROADCAST_CHARACTERS:
-        return _segment_in_place(df, known, size["longest"], text, out, script)
-    return _segment_by_join(df, known, size["longest"], key, text, out, script)
+        return _segment_in_place(df, known, size["total"], text, out, script, method)
+    if df.isStreaming:
+        raise ValueError(f"a stream can be cut with at most {broadcast_words} words, got {size['words']}")
+    return _segment_by_join(df, known, size["total"], size["lengths"], text, out, script, method)
 
 
 def _segment_in_place(
-    df: DataFrame, known: DataFrame, longest: int, text: str, out: str, script: str
+    df: DataFrame, known: DataFrame, total: int, text: str, out: str, script: str, method: str
 ) -> DataFrame:
-    words = df.sparkSession.sparkContext.broadcast(frozenset(known.toPandas()["token"]))
-
-    def cut(piece: str) -> list[str]:
-        tokens, start = [], 0
-        while start < len(piece):
-            end = min(start + longest, len(piece))
-            while end > start + 1 and piece[start:end] not in words.value:
-                end -= 1
-            tokens.append(piece[start:end])
-            start = end
-        return tokens
+    words = df.sparkSession.sparkContext.broadcast(list(known.toPandas().itertuples(index=False, name=None)))
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def cut_all(parts: pd.Series, in_script: pd.Series) -> pd.Series:
-        cut_once = lru_cache(maxsize=CACHED_RUNS)(cut)  # runs repeat within a batch
+        cut_once = lru_cache(maxsize=CACHED_RUNS)(cutter(words.value, method, total))  # runs repeat within a batch
         return pd.Series(
             [
                 [
@@ -88,76 +135,42 @@ def _segment_in_place(
 
 
 def _segment_by_join(
-    df: DataFrame, known: DataFrame, longest: int, key: str, text: str, out: str, script: str
+    df: DataFrame, known: DataFrame, total: int, lengths: list[int], text: str, out: str, script: str, method: str
 ) -> DataFrame:
-    placed = df.select(key, F.posexplode(pieces(F.col(text), script)).alias("pos", "piece"))
-    in_script = F.col("piece").rlike(rf"^[{script}]")
-    characters = char_ngrams(F.col("piece"), 1)
-    windows = bind(
-        characters,
-        lambda c: F.transform(
-            F.sequence(F.lit(1), F.size(c) - 1), lambda at: F.slice(c, at, F.lit(longest))
-        ),
-    )
-    candidates = (
-        placed.where(in_script & (F.length("piece") > 1))
-        .select(key, "pos", F.posexplode(windows).alias("at", "window"))
-        .select(
-            key,
-            "pos",
-            (F.col("at") + 1).alias("at"),
-            "window",
-            F.explode(F.sequence(F.lit(2), F.size("window"))).alias("size"),
-        )
-        .withColumn("token", F.array_join(F.slice("window", F.lit(1), F.col("size")), ""))
-        .drop("window")
+    whole = F.coalesce(F.col(text), F.lit(""))
+    texts = df.select(F.md5(whole.cast("binary")).alias("text_id"), whole.alias("text")).dropDuplicates(["text_id"])
+    placed = texts.select("text_id", F.posexplode(pieces(F.col("text"), script)).alias("pos", "piece")).withColumn(
+        "run_id", F.when(F.col("piece").rlike(rf"^[{script}]"), F.md5(F.col("piece").cast("binary")))
     )
-    longest_at = (
-        salted_join(candidates, known, "token")
-        .groupBy(key, "pos", "at")
-        .agg(F.max("size").alias("size"))
+    runs = placed.where("run_id is not null").select("run_id", F.col("piece").alias("run")).dropDuplicates(["run_id"])
+    parts = F.flatten(F.array(*[char_ngrams(F.col("run"), n) for n in lengths]))
+    candidates = runs.select("run_id", F.explode(F.array_distinct(parts)).alias("token"))
+    found = salted_join(candidates, known, "token").groupBy("run_id").agg(
+        F.collect_list(F.struct("token", "term_count")).alias("found")  # the words of one run
     )
-    matches = longest_at.groupBy(key, "pos").agg(
-        F.sort_array(F.collect_list(F.struct("at", "size"))).alias("matches")  # one run of one text
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def cut_runs(run: pd.Series, words: pd.Series, counts: pd.Series) -> pd.Series:
+        return pd.Series([cutter(zip(w, c), method, total)(r) for r, w, c in zip(run, words, counts)])
+
+    none = F.array().cast("array<struct<token:string,term_count:bigint>>")
+    cut = (
+        runs.join(found, "run_id", "left")
+        .withColumn("found", F.coalesce("found", none))
+        .select("run_id", cut_runs("run", F.col("found.token"), F.col("found.term_count")).alias("tokens"))
     )
-    none = F.array().cast("array<struct<at:int,size:int>>")
-    cut = placed.join(matches, [key, "pos"], "left").select(
-        key,
-        "pos",
-        F.when(in_script, bind(characters, lambda c: _walk(c, F.coalesce("matches", none))))
-        .otherwise(F.array("piece"))
-        .alias("tokens"),
+    whole_again = placed.join(cut, "run_id", "left").select(
+        "text_id", "pos", F.coalesce("tokens", F.array("piece")).alias("tokens")
     )
     in_order = F.sort_array(F.collect_list(F.struct("pos", "tokens")))  # the pieces of one text
-    rebuilt = cut.groupBy(key).agg(
-        F.flatten(F.transform(in_order, lambda row: row["tokens"])).alias(out)
+    rebuilt = whole_again.groupBy("text_id").agg(
+        F.flatten(F.transform(in_order, lambda row: row["tokens"])).alias("_tokens")
     )
-    return df.join(rebuilt, key, "left").withColumn(
-        out, F.coalesce(out, F.array().cast("array<string>"))
-    )
-
-
-def _walk(characters: Column, matches: Column) -> Column:
-    """Tokens of a run from its characters and its (position, size) matches in order."""
-
-    def take(state: Column, match: Column) -> Column:
-        word = F.array_join(F.slice(characters, match["at"], match["size"]), "")
-        skipped = F.slice(characters, state["next"], match["at"] - state["next"])
-        taken = F.struct(
-            (match["at"] + match["size"]).alias("next"),
-            F.concat(state["tokens"], skipped, F.array(word)).alias("tokens"),
-        )
-        return F.when(match["at"] >= state["next"], taken).otherwise(state)
-
-    start = F.struct(F.lit(1).alias("next"), F.array().cast("array<string>").alias("tokens"))
-    return F.aggregate(
-        matches,
-        start,
-        take,
-        lambda state: F.concat(
-            state["tokens"], F.slice(characters, state["next"], F.size(characters))
-        ),
+    joined = df.withColumn("_text_id", F.md5(whole.cast("binary"))).join(
+        rebuilt.withColumnRenamed("text_id", "_text_id"), "_text_id", "left"
     )
+    tokens = F.coalesce("_tokens", F.array().cast("array<string>"))
+    return joined.withColumn(out, tokens).drop("_text_id", "_tokens")
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: str) -> DataFrame:

@@ -12,6 +12,7 @@ from textjury.functions.arrays import counted
 
 MODES: dict[str, Callable[[Column, int], Column]] = {
     "keep_all": lambda text, n: T.all_pieces(text),
+    "mixed": T.mixed,
     "word": lambda text, n: T.words(text),
     "char_ngram": T.char_ngrams,
 }
@@ -40,9 +41,10 @@ def tokenize(
     """Add the token array ``out``.
 
     ``keep_all`` keeps every piece of the text in order, blanks and punctuation
-    included and case untouched. ``word`` keeps letters and digits only.
-    ``char_ngram`` is for scripts written without blanks. Segmentation with a
-    word list is :func:`textjury.operators.segmenting.segment`.
+    included and case untouched. ``mixed`` does the same, but cuts runs of scripts
+    without blanks into character n-grams. ``word`` keeps letters and digits only.
+    ``char_ngram`` cuts everything into n-grams. Segmentation with a word list is
+    :func:`textjury.operators.segmenting.segment`.
     """
     return df.withColumn(out, tokens(F.col(text), mode, n, lowercase))
 

@@ -40,5 +40,10 @@ def weighted_vote(
     return df.withColumn(vote, (share > sum(weights) / 2).cast("int"))
 
 
+def f1_weight() -> Column:
+    """F1 from tp, fp and fn as a weight: 0 without a true positive, where the reported F1 may be 1."""
+    return F.when(F.col("tp") == 0, 0.0).otherwise(2 * F.col("tp") / (2 * F.col("tp") + F.col("fp") + F.col("fn")))
+
+
 def verdict(vote: Column) -> Column:
     return F.when(vote == 1, VERDICT_SPAM).when(vote == 0, VERDICT_NOT_SPAM)

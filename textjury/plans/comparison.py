@@ -18,7 +18,7 @@ def evaluate_version(store: ModelStore, split: Split, ensemble: Ensemble) -> Dat
     version = ensemble.version
     store.record(version, evaluate(out_of_fold(split, ensemble, store), split.k))
     return store.experiments().where(
-        (F.col("algorithm") == version.algorithm) & (F.col("version") == version.version)
+        (F.col("algorithm") == version.algorithm) & (F.col("run") == version.run)
     )
 
 
@@ -27,16 +27,17 @@ def comparison_board(
 ) -> DataFrame:
     """One row per algorithm: mean precision, recall, F1 and seconds per scored message.
 
-    The seconds come from scoring all of ``messages`` once per algorithm.
+    The seconds come from scoring all of ``messages`` once per algorithm, cutting and
+    hashing included, as each algorithm would run alone.
     """
     spark = store.spark
     timings = []
     for ensemble in ensembles:
         run = measure(score(messages, ensemble))
-        timings.append((ensemble.algorithm, ensemble.version.version, run["seconds_per_message"]))
-    seconds = spark.createDataFrame(timings, "algorithm STRING, version INT, seconds DOUBLE")
+        timings.append((ensemble.algorithm, ensemble.version.run, run["seconds_per_message"]))
+    seconds = spark.createDataFrame(timings, "algorithm STRING, run STRING, seconds DOUBLE")
     recorded = store.experiments().join(
-        F.broadcast(seconds), ["algorithm", "version"]  # one row per ensemble
+        F.broadcast(seconds), ["algorithm", "run"]  # one row per ensemble
     )
-    means = macro_average(recorded, by=("algorithm", "version", "seconds"))
+    means = macro_average(recorded, by=("algorithm", "run", "seconds"))
     return means.select("algorithm", "precision", "recall", "f1", "seconds")

@@ -89,9 +89,36 @@ def _collisions(m: int) -> str:
               FROM (SELECT DISTINCT token FROM ({TOKENS})) GROUP BY 1)"""
 
 
+def _from_counts(members: int) -> str:
+    names = [f"p{i}" for i in range(members + 1)]
+    said = ", ".join(f"{p} AS {n}" for p, n in zip([*_members(members), "1 - toxic"], names))
+    weights = ", ".join(
+        f"""CASE WHEN count(*) FILTER ({n} = 1 AND toxic = 1) = 0 THEN 0::DOUBLE
+                 ELSE 2 * count(*) FILTER ({n} = 1 AND toxic = 1)
+                      / (2 * count(*) FILTER ({n} = 1 AND toxic = 1) + count(*) FILTER ({n} <> toxic))
+            END AS w{n}"""
+        for n in names
+    )
+    share = " + ".join(f"CASE WHEN {n} = 1 THEN w{n} ELSE 0::DOUBLE END" for n in names)
+    return f"""
+        WITH r AS (SELECT doc_id, toxic, {said} FROM labels WHERE toxic IS NOT NULL),
+        w AS (SELECT {weights} FROM r)
+        SELECT doc_id, CAST({share} > ({' + '.join(f'w{n}' for n in names)}) / 2 AS INTEGER) AS vote FROM r, w"""
+
+
+MARKER_COUNTS = f"""
+    SELECT fold, count(*) FILTER (label = 1) AS tp, CAST(0 AS BIGINT) AS fp, CAST(0 AS BIGINT) AS fn
+    FROM ({FOLD_ROWS}) GROUP BY fold"""
+MARGINS = f"SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_mismatch FROM ({LABELLED})"
+
 ORACLE: dict[str, str] = {
     "labelled_messages": LABELLED,
     "unlabelled_texts": UNLABELLED,
+    "labelled_and_unlabelled_cover_all": """
+        SELECT (SELECT count(*) FROM documents) AS n_found,
+               (SELECT count(*) FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+                WHERE toxic IS NOT NULL AND d.doc_id % 10 <> 0) AS n_labelled,
+               CAST(0 AS BIGINT) AS n_both, CAST(0 AS BIGINT) AS n_neither""",
     "parse_labelled_lines": """
         SELECT d.doc_id, CAST(l.toxic AS DOUBLE) AS label, d.source || chr(9) || d.text AS text
         FROM documents d JOIN labels l ON d.doc_id = l.doc_id""",
@@ -220,12 +247,29 @@ ORACLE: dict[str, str] = {
         SELECT conv_id, turn, method, CAST({OK} AS INTEGER) AS ok, CAST({OK} AS INTEGER) AS answered
         FROM ({REQUESTS})""",
     "stream_ingest": f"""
-        SELECT md5(concat_ws(chr(9), CAST(toxic AS VARCHAR), {ONE_LINE})) AS doc_id,
-               coalesce(CAST(toxic AS VARCHAR), 'no tab between label and text') AS status
-        FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
+        SELECT md5(concat_ws(chr(9), CAST(label AS VARCHAR), line)) AS doc_id,
+               CASE WHEN label IS NULL THEN 'no tab between label and text'
+                    WHEN label = 2 THEN 'label is not 0 or 1' ELSE CAST(label AS VARCHAR) END AS status
+        FROM (SELECT CASE WHEN toxic IS NOT NULL AND d.doc_id % 17 = 0 THEN 2 ELSE toxic END AS label,
+                     {ONE_LINE} AS line
+              FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)""",
+    "weighted_vote_from_counts": _from_counts(5),
+    "marker_cv_dt": MARKER_COUNTS,
+    "marker_cv_gbdt": MARKER_COUNTS,
+    "lr_margins": MARGINS,
+    "svm_margins": MARGINS,
+    "vote_consistency": f"""
+        SELECT algorithm, (SELECT count(*) FROM documents) AS n_rows, CAST(0 AS BIGINT) AS n_mismatch
+        FROM ({ALGORITHM_NAMES})""",
     "training_sizes": f"""
         SELECT algorithm, CAST({FOLDS} AS INTEGER) AS k,
                CAST(CASE algorithm WHEN 'MP' THEN 1000 ELSE 10000 END AS INTEGER) AS num_features,
                (SELECT count(*) FROM ({LABELLED})) AS n_rows
         FROM ({ALGORITHM_NAMES})""",
 }
+ORACLE["tokenize_dictionary_joined"] = ORACLE["tokenize_dictionary"]
+ORACLE["dictionary_split_roundtrip"] = f"""
+    SELECT fold, count(*) AS n, CAST(sum(coalesce(n_tokens, 0)) AS BIGINT) AS n_tokens
+    FROM ({FOLD_ROWS}) r
+    LEFT JOIN (SELECT doc_id, sum(n) AS n_tokens FROM ({ORACLE['tokenize_dictionary']}) GROUP BY doc_id) t
+    ON r.doc_id = t.doc_id GROUP BY fold"""

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,12 +15,14 @@ from textjury.operators import evaluation, folds, term_weights, tokenizing, voti
 from textjury.operators.segmenting import segment
 from textjury.plans import scoring
 from textjury.plans.comparison import comparison_board
-from textjury.plans.training import retrain
+from textjury.plans.split import build_split, dictionary_tokenizer
+from textjury.plans.training import retrain, train_on_split
 from textjury.plans.workbench import FOLDS, Workbench, workbench
-from textjury.sources.lines import parse_labelled, parse_or_quarantine, read_labelled, read_messages
+from textjury.sources.lines import checked_lines, parse_labelled, read_labelled, read_messages
 from textjury.sources.requests import METHODS, split_valid, validate
 from textjury.sources.tables import append_messages, first_messages, unlabelled_messages
-from textjury.streaming.ingest import ingest_labelled
+from textjury.sources.tables import labelled_messages as from_labels
+from textjury.streaming.ingest import ingest_labelled, ingested
 from textjury.streaming.scoring import answer_requests, score_stream
 
 Query = Callable[[Workbench], DataFrame]
@@ -61,6 +65,28 @@ def unlabelled_texts(b: Workbench) -> DataFrame:
     return unlabelled_messages(b.table("documents"), b.table("labels"))
 
 
+@query
+def labelled_and_unlabelled_cover_all(b: Workbench) -> DataFrame:
+    """Also where some labels are null, each document is in one of the two sets."""
+    documents = b.table("documents")
+    known = F.when(F.col("doc_id") % 10 != 0, F.col("toxic"))
+    labels = b.table("labels").withColumn("toxic", known)
+    sets = from_labels(documents, labels).select("doc_id", F.lit(1).alias("labelled"), F.lit(0).alias("unlabelled"))
+    sets = sets.unionByName(
+        unlabelled_messages(documents, labels).select(
+            "doc_id", F.lit(0).alias("labelled"), F.lit(1).alias("unlabelled")
+        )
+    )
+    found = sets.groupBy("doc_id").agg(F.sum("labelled").alias("labelled"), F.sum("unlabelled").alias("unlabelled"))
+    both = documents.select("doc_id").join(found, "doc_id", "left")
+    return both.agg(
+        F.count("labelled").alias("n_found"),
+        F.sum("labelled").alias("n_labelled"),
+        F.count(F.when((F.col("labelled") > 0) & (F.col("unlabelled") > 0), 1)).alias("n_both"),
+        F.count(F.when(F.col("labelled").isNull(), 1)).alias("n_neither"),
+    )
+
+
 @query
 def parse_labelled_lines(b: Workbench) -> DataFrame:
     """Lines whose text holds a second tab, which must stay in the text."""
@@ -78,13 +104,12 @@ def parse_quarantine(b: Workbench) -> DataFrame:
         .when(F.col("lang") == "en", F.concat_ws("\t", "lang", "text"))
         .otherwise(F.col("text"))
     )
-    parsed, rejected = parse_or_quarantine(rows.select("doc_id", line.alias("value")))
-    return parsed.select(
-        "doc_id", F.lit("parsed").alias("status"), F.length("text").cast("bigint").alias("n_chars")
-    ).unionByName(
-        rejected.select(
-            "doc_id", F.col("problem").alias("status"), F.length("value").cast("bigint").alias("n_chars")
-        )
+    checked = checked_lines(rows.select("doc_id", line.alias("value")))
+    shown = F.when(F.col("problem").isNull(), F.col("text")).otherwise(F.col("value"))
+    return checked.select(
+        "doc_id",
+        F.coalesce("problem", F.lit("parsed")).alias("status"),
+        F.length(shown).cast("bigint").alias("n_chars"),
     )
 
 
@@ -175,6 +200,26 @@ def tokenize_dictionary(b: Workbench) -> DataFrame:
     return tokenizing.token_counts(segment(rows, known, script=r"\p{L}"))
 
 
+@query
+def tokenize_dictionary_joined(b: Workbench) -> DataFrame:
+    """The same cut as a list too long to send would get, with every row there twice."""
+    known = tokenizing.vocabulary(tokenizing.tokenize(b.table("benchmark"), "word", lowercase=True))
+    rows = b.documents().withColumn("text", F.lower("text"))
+    cut = segment(rows.unionByName(rows), known, script=r"\p{L}", broadcast_words=0)
+    return tokenizing.token_counts(cut).distinct()
+
+
+@query
+def dictionary_split_roundtrip(b: Workbench) -> DataFrame:
+    """A split whose tokenizer is a stored word list."""
+    known = tokenizing.vocabulary(tokenizing.tokenize(b.table("benchmark"), "word", lowercase=True))
+    tokenizer = dictionary_tokenizer(known, b.new_folder("words"), lowercase=True, script=r"\p{L}")
+    split = build_split(b.labelled(), b.root, FOLDS, tokenizer=tokenizer)
+    return split.rows(b.spark).groupBy("fold").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.size("words")).cast("bigint").alias("n_tokens")
+    )
+
+
 @query
 def vocabulary(b: Workbench) -> DataFrame:
     return tokenizing.vocabulary(_words(b))
@@ -214,14 +259,7 @@ def leave_one_out_train_counts(b: Workbench) -> DataFrame:
 def leave_one_out_train_rows(b: Workbench) -> DataFrame:
     """The rows of all k training sets."""
     rows = folds.assign_folds(b.labelled().select("doc_id", "label"), FOLDS)
-    sets = [
-        folds.training_rows(rows, i).select(F.lit(i).alias("held_out"), "doc_id", "label")
-        for i in range(FOLDS)
-    ]
-    everything = sets[0]
-    for one in sets[1:]:
-        everything = everything.unionByName(one)
-    return everything
+    return folds.all_training_rows(rows, FOLDS).select("held_out", "doc_id", "label")
 
 
 @query
@@ -302,6 +340,19 @@ def weighted_vote(b: Workbench) -> DataFrame:
     return voting.weighted_vote(rows, names, MEMBER_WEIGHTS).select("doc_id", "vote")
 
 
+@query
+def weighted_vote_from_counts(b: Workbench) -> DataFrame:
+    """Members weighted by F1 from their counts; the last one is always wrong and has no weight."""
+    members = _md5_members(b, 5)[0].join(b.table("labels").where("toxic is not null"), "doc_id")
+    rows = members.withColumn("p5", 1 - F.col("toxic"))
+    names = [f"p{i}" for i in range(6)]
+    said = F.array(*[F.struct(F.lit(i).alias("fold"), F.col(n).alias("prediction")) for i, n in enumerate(names)])
+    judged = rows.select(F.col("toxic").alias("label"), F.inline(said))
+    counted = evaluation.confusion_counts(judged, len(names)).select("fold", voting.f1_weight().alias("weight"))
+    weights = {r["fold"]: r["weight"] for r in counted.collect()}
+    return voting.weighted_vote(rows, names, [weights[i] for i in range(len(names))]).select("doc_id", "vote")
+
+
 def _judged(b: Workbench) -> DataFrame:
     """Four made-up judges of all labels; together they meet every 0/0 case."""
     toxic, quality = F.col("toxic").cast("double"), F.col("quality").cast("double")
@@ -357,6 +408,105 @@ for _algorithm in ("LR", "MP", "SVM", "DT", "GBDT"):
     _cross_validated(_algorithm)
 
 
+MARKER = " zqmarker" * 100
+MARKER_FEATURES = 2_000
+
+
+def _marker_cv(algorithm: str) -> Query:
+    """A marker word tells the classes apart, so what a tree must predict follows from the labels."""
+
+    def run(b: Workbench) -> DataFrame:
+        marked = F.concat("text", F.when(F.col("label") == 1, F.lit(MARKER)).otherwise(""))
+        store = type(b.store)(b.spark, b.new_folder(f"marker-{algorithm}"))
+        split = build_split(
+            b.labelled().withColumn("text", marked), store.root, FOLDS, tokenizer={"mode": "word"}
+        )
+        ensemble = train_on_split(split, store, algorithm, num_features=MARKER_FEATURES)
+        judged = scoring.out_of_fold(split, ensemble, store)
+        return evaluation.evaluate(judged, FOLDS).select("fold", "tp", "fp", "fn")
+
+    run.__name__ = f"marker_cv_{algorithm.lower()}"
+    return query(run)
+
+
+_marker_cv("DT")
+_marker_cv("GBDT")
+
+
+def _margins(algorithm: str) -> Query:
+    """Margins and predictions recomputed in long form from coefficients, idf and term counts."""
+
+    def run(b: Workbench) -> DataFrame:
+        ensemble, split = b.ensemble(algorithm), b.split()
+        vectors = split.vectors(b.spark, ensemble.version.num_features)
+        weights, intercepts, shown = [], [], None
+        for fold, member in enumerate(ensemble.members):
+            _, idf, model = member.stages
+            by_bucket = model.coefficients.toArray() * idf.getScalingVec().toArray()
+            weights += [(fold, bucket, float(w)) for bucket, w in enumerate(by_bucket)]
+            intercepts.append(float(model.intercept))
+            held = folds.held_out_rows(vectors, fold)
+            judged = model.transform(idf.copy({idf.inputCol: "tf"}).transform(held)).select(
+                "doc_id", vector_to_array("rawPrediction")[1].alias("raw"), "prediction"
+            )
+            shown = judged if shown is None else shown.unionByName(judged)
+        table = b.spark.createDataFrame(weights, "fold INT, bucket INT, weight DOUBLE")  # k times the buckets
+        tf = F.unwrap_udt("tf")
+        long = vectors.select(
+            "doc_id", "fold", F.inline(F.arrays_zip(tf["indices"].alias("bucket"), tf["values"].alias("n")))
+        )
+        sums = long.join(F.broadcast(table), ["fold", "bucket"]).groupBy("doc_id").agg(
+            F.sum(F.col("n") * F.col("weight")).alias("margin")
+        )
+        bias = F.get(F.array(*[F.lit(i) for i in intercepts]), F.col("fold"))
+        margin = F.coalesce("margin", F.lit(0.0)) + bias
+        both = vectors.select("doc_id", "fold").join(sums, "doc_id", "left").join(shown, "doc_id", "full")
+        same = (F.abs(margin - F.col("raw")) <= 1e-6 * (1 + F.abs("raw"))) & (
+            F.col("prediction") == (F.col("raw") > 0).cast("double")
+        )
+        return both.agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count(F.when(~F.coalesce(same, F.lit(False)), 1)).alias("n_mismatch"),
+        )
+
+    run.__name__ = f"{algorithm.lower()}_margins"
+    return query(run)
+
+
+_margins("LR")
+_margins("SVM")
+
+
+@query
+def vote_consistency(b: Workbench) -> DataFrame:
+    """Votes add up, and the three ways of scoring agree, for every algorithm and document."""
+    documents = b.documents()
+    ensembles = {a: b.ensemble(a) for a in METHODS}
+    wide = scoring.score_side_by_side(documents, list(ensembles.values())).drop("text")
+    named = F.get(F.array(*[F.lit(a) for a in METHODS]), F.pmod("doc_id", F.lit(len(METHODS))).cast("int"))
+    asked = documents.select("doc_id", F.col("text").alias("message"), named.alias("method"))
+    routed = scoring.score_by_method(asked, list(ensembles.values())).select(
+        "doc_id", "method", F.col("vote").alias("routed")
+    )
+    every = wide.join(routed, "doc_id")
+    results = []
+    for algorithm, ensemble in ensembles.items():
+        members = [F.col(f"p{i}") for i in range(len(ensemble.members))]
+        added = sum(members[1:], members[0])
+        good = (F.col("votes") == added) & (F.col("vote") == (added > len(members) / 2).cast("int"))
+        good &= F.col("vote") == F.col(f"vote_{algorithm}")
+        good &= (F.col("method") != algorithm) | (F.col("routed") == F.col("vote"))
+        both = scoring.score(documents, ensemble).drop("text").join(every, "doc_id", "full")
+        results.append(
+            both.agg(
+                F.lit(algorithm).alias("algorithm"),
+                F.count(F.lit(1)).alias("n_rows"),
+                F.count(F.when(~F.coalesce(good, F.lit(False)), 1)).alias("n_mismatch"),
+            )
+        )
+    return reduce(DataFrame.unionByName, results)
+
+
 @query
 def out_of_fold_rows(b: Workbench) -> DataFrame:
     """Every labelled row is judged once per algorithm, by the member that never saw it."""
@@ -510,22 +660,19 @@ def stream_requests_accepted(b: Workbench) -> DataFrame:
 
 @query
 def stream_ingest(b: Workbench) -> DataFrame:
-    """Labelled and unlabelled lines arrive as a text stream; the table keeps the labelled ones."""
+    """Lines arrive as a text stream: with a label, without one, and some with a label of 2."""
     folder = b.new_folder("ingest")
     rows = b.table("documents").join(b.table("labels"), "doc_id", "left")
-    line = F.concat_ws("\t", F.col("toxic").cast("string"), _one_line())
+    label = F.when(F.col("toxic").isNotNull() & (F.col("doc_id") % 17 == 0), 2).otherwise(F.col("toxic"))
+    line = F.concat_ws("\t", label.cast("string"), _one_line())
     rows.select(line.alias("value")).write.text(f"{folder}/lines")
-    running = ingest_labelled(
+    ingest_labelled(
         b.spark.readStream.text(f"{folder}/lines"),
         f"{folder}/table",
-        f"{folder}/quarantine",
         f"{folder}/checkpoint",
         available_now=True,
-    )
-    for stream in running:
-        stream.awaitTermination()
-    table = b.spark.read.parquet(f"{folder}/table")
-    rejected = b.spark.read.parquet(f"{folder}/quarantine")
+    ).awaitTermination()
+    table, rejected = ingested(b.spark, f"{folder}/table")
     return table.select("doc_id", F.col("label").cast("int").cast("string").alias("status")).unionByName(
         rejected.select("doc_id", F.col("problem").alias("status"))
     )

@@ -24,7 +24,7 @@ REGISTRY = (
 )
 EXPERIMENTS = (
     "fold INT, tp BIGINT, fp BIGINT, fn BIGINT, precision DOUBLE, recall DOUBLE, f1 DOUBLE, "
-    "recorded_at TIMESTAMP, algorithm STRING, version INT"
+    "recorded_at TIMESTAMP, algorithm STRING, version INT, run STRING"
 )
 
 
@@ -44,6 +44,11 @@ class ModelVersion:
     def tokenizer_settings(self) -> dict[str, Any]:
         return json.loads(self.tokenizer)
 
+    @property
+    def run(self) -> str:
+        """Tells versions apart even if two trainings at once took the same number."""
+        return self.path.rstrip("/").rpartition("/")[2]
+
     def member_path(self, fold: int) -> str:
         return f"{self.path}/member={fold}"
 
@@ -92,7 +97,7 @@ class ModelStore:
         return found
 
     def new_path(self, algorithm: str, version: int) -> str:
-        return f"{self.root}/models/{algorithm}/v={version}-{uuid.uuid4().hex[:8]}"
+        return f"{self.root}/models/{algorithm}/v{version}-{uuid.uuid4().hex[:8]}"
 
     def publish(self, version: ModelVersion) -> None:
         append_record(self.spark, f"{self.root}/registry", asdict(version), REGISTRY)
@@ -114,9 +119,10 @@ class ModelStore:
     def record(self, version: ModelVersion, metrics: DataFrame) -> None:
         """Put the per-fold metrics of a version (k rows) into the experiment table.
 
-        Each version has its own partition, so a repeated evaluation replaces it.
+        Each training has its own partition, so a repeated evaluation replaces it and
+        another training's records stay, even one with the same version number.
         """
-        folder = f"algorithm={version.algorithm}/version={version.version}"
+        folder = f"algorithm={version.algorithm}/version={version.version}/run={version.run}"
         names = ("fold", "tp", "fp", "fn", "precision", "recall", "f1")
         metrics.select(*names, F.current_timestamp().alias("recorded_at")).coalesce(1).write.mode(
             "overwrite"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
+from hashlib import md5
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from textjury.operators.folds import held_out_rows
 from textjury.operators.vectors import term_vectors
-from textjury.operators.voting import majority_vote, weighted_vote
+from textjury.operators.voting import f1_weight, majority_vote, weighted_vote
 from textjury.plans.registry import Ensemble, ModelStore, ModelVersion
 from textjury.plans.split import Split, open_split, with_words
 
@@ -68,11 +69,15 @@ def predict(text: str, ensemble: Ensemble) -> int:
 
 
 def score_weighted(df: DataFrame, ensemble: Ensemble, metrics: DataFrame) -> DataFrame:
-    """Add ``vote`` with each member weighted by its F1 on the fold it never saw."""
-    f1 = {row["fold"]: row["f1"] for row in metrics.select("fold", "f1").collect()}  # k rows
+    """Add ``vote`` with each member weighted by its F1 on the fold it never saw.
+
+    ``metrics`` has (fold, tp, fp, fn). A member without a true positive has no weight.
+    """
+    counted = metrics.select("fold", f1_weight().alias("weight"))
+    weights = {row["fold"]: row["weight"] for row in counted.collect()}  # k rows
     names = [f"p{i}" for i in range(len(ensemble.members))]
     scored = score(df, ensemble).drop("votes", "vote")
-    return weighted_vote(scored, names, [f1[i] for i in range(len(names))])
+    return weighted_vote(scored, names, [weights[i] for i in range(len(names))])
 
 
 def score_side_by_side(df: DataFrame, ensembles: Sequence[Ensemble]) -> DataFrame:
@@ -86,7 +91,7 @@ def score_side_by_side(df: DataFrame, ensembles: Sequence[Ensemble]) -> DataFram
     for ensemble in ensembles:
         tokenizer = ensemble.version.tokenizer_settings()
         m = ensemble.version.num_features
-        words = f"words_{'_'.join(str(v) for v in tokenizer.values())}"
+        words = f"words_{md5(ensemble.version.tokenizer.encode()).hexdigest()}"
         tf = f"{words}_tf{m}"
         if words not in helpers:
             scored = with_words(scored, tokenizer).withColumnRenamed("words", words)

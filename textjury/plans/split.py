@@ -12,22 +12,69 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textjury.operators.folds import assign_folds, check_fold_count
+from textjury.operators.segmenting import segment
 from textjury.operators.tokenizing import tokenize
 from textjury.operators.vectors import term_vectors
 from textjury.plans.storage import append_record, read_records
 
 MANIFEST = "fingerprint STRING, settings STRING"
-GIVEN_WORDS = {"mode": "given"}
-DEFAULT_TOKENIZER = {"mode": "keep_all"}
+DEFAULT_TOKENIZER = {"mode": "mixed"}
+BYTES_PER_FILE = 128 * 1024 * 1024
+
+
+def dictionary_tokenizer(
+    vocabulary: DataFrame, path: str, lowercase: bool = False, **settings: Any
+) -> dict[str, Any]:
+    """Store a word list (token, optionally term_count) under ``path``; returns the tokenizer setting that uses it.
+
+    The setting holds the list's digest, and goes with the split and with every version
+    trained on it: training, scoring and streams cut with the same list, or refuse.
+    ``settings`` are ``script`` and ``method`` of :func:`textjury.operators.segmenting.segment`.
+    """
+    columns = [c for c in ("token", "term_count") if c in vocabulary.columns]
+    vocabulary.select(columns).write.mode("overwrite").parquet(path)
+    digest = _digest(vocabulary.sparkSession.read.parquet(path))
+    return {"mode": "dictionary", "words": path, "digest": digest, "lowercase": lowercase, **settings}
+
+
+def _digest(words: DataFrame) -> str:
+    row = words.agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*words.columns).cast("decimal(38,0)")).alias("hash")
+    ).first()
+    return f"{row['n']}:{row['hash']}"
 
 
 def with_words(df: DataFrame, tokenizer: dict[str, Any]) -> DataFrame:
-    """Apply a tokenizer setting; ``{"mode": "given"}`` takes the column ``words`` as it is."""
+    """Apply a tokenizer setting.
+
+    ``{"mode": "given"}`` takes the column ``words`` as it is; a setting of
+    :func:`dictionary_tokenizer` cuts with its stored word list.
+    """
     if tokenizer["mode"] == "given":
         return df.withColumn("words", F.coalesce("words", F.array().cast("array<string>")))
+    if tokenizer["mode"] == "dictionary":
+        settings = {k: v for k, v in tokenizer.items() if k not in ("mode", "words", "digest", "lowercase")}
+        known = df.sparkSession.read.parquet(tokenizer["words"])
+        if _digest(known) != tokenizer["digest"]:
+            raise RuntimeError(f"the word list {tokenizer['words']} is not the one this tokenizer was made with")
+        if not tokenizer["lowercase"]:
+            return segment(df, known, **settings)
+        lowered = df.withColumn("_lowered", F.lower("text"))
+        return segment(lowered, known, text="_lowered", **settings).drop("_lowered")
     return tokenize(df, **tokenizer)
 
 
+def folders_at_size(df: DataFrame, k: int) -> DataFrame:
+    """Fewer write tasks where each of a task's ``k`` files would be small.
+
+    A scan task writes one file per fold. Merging tasks, without a shuffle, until a file
+    holds about ``BYTES_PER_FILE`` of input keeps their number near that of the data.
+    """
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    wanted = max(df.sparkSession.sparkContext.defaultParallelism, -(-size // (k * BYTES_PER_FILE)))
+    return df.coalesce(int(min(wanted, 2**31 - 1)))
+
+
 @dataclass(frozen=True)
 class Split:
     path: str
@@ -48,7 +95,8 @@ class Split:
         path = f"{self.path}/tf-{num_features}"
         if not _is_complete(spark, path, self.fingerprint):
             hashed = term_vectors(self.rows(spark), num_features)
-            hashed.select("doc_id", "label", "tf", "fold").write.mode("overwrite").partitionBy(
+            hashed = folders_at_size(hashed.select("doc_id", "label", "tf", "fold"), self.k)
+            hashed.write.mode("overwrite").partitionBy(
                 "fold"
             ).parquet(f"{path}/rows")
             _complete(spark, path, self.fingerprint, {"num_features": num_features})
@@ -115,7 +163,8 @@ def build_split(
     if not _is_complete(spark, split.path, fingerprint):
         key = F.col("doc_id") if group_key is None else group_key
         rows = with_words(assign_folds(labelled, k, salt, key), tokenizer)
-        rows.select("doc_id", "label", "words", "fold").write.mode("overwrite").partitionBy(
+        rows = folders_at_size(rows.select("doc_id", "label", "words", "fold"), k)
+        rows.write.mode("overwrite").partitionBy(
             "fold"
         ).parquet(f"{split.path}/rows")
         _complete(spark, split.path, fingerprint, settings)

@@ -28,6 +28,15 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def drop_run(spark: SparkSession) -> bool:
+    """Delete what this application stored on the way: its own folder under the shared one, no other.
+
+    Nothing that it returned may be read afterwards. Tells whether there was something.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def read_records(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     """JSON rows under ``path``, or None when nothing was written there yet."""
     try:

@@ -31,6 +31,9 @@ from textjury.plans.split import Split, build_split
 
 BYTES_PER_TASK = 64 * 1024 * 1024
 SPARSE_ENTRY_BYTES, DENSE_ENTRY_BYTES = 12, 4
+TREES = ("DT", "GBDT")
+#: Memory that the dense rows of one tree fit may take on all executors together.
+MAX_DENSE_BYTES = 64 * 1024**3
 
 
 def train(
@@ -44,6 +47,7 @@ def train(
     source_version: str | None = None,
     replace: bool = False,
     parallelism: int | None = None,
+    max_dense_bytes: int = MAX_DENSE_BYTES,
 ) -> Ensemble:
     """Split (doc_id, label, text), fit k members, publish them as a version.
 
@@ -54,7 +58,7 @@ def train(
     split = build_split(
         labelled, store.root, k, salt, tokenizer, source_version=source_version
     )
-    return train_on_split(split, store, algorithm, num_features, replace, parallelism)
+    return train_on_split(split, store, algorithm, num_features, replace, parallelism, max_dense_bytes)
 
 
 def retrain(labelled: DataFrame, store: ModelStore, algorithm: str, **settings) -> Ensemble:
@@ -69,12 +73,16 @@ def train_on_split(
     num_features: int | None = None,
     replace: bool = False,
     parallelism: int | None = None,
+    max_dense_bytes: int = MAX_DENSE_BYTES,
 ) -> Ensemble:
     """Fit a member for each fold on all other folds, some fits at a time.
 
     A fit is many short jobs, so several at once keep the cores busy; each one
     caches its own training rows, so ``parallelism`` bounds the memory in use.
-    Without it, fits share the cluster until their tasks fill every core.
+    Without it, fits share the cluster until their tasks fill every core. The tree
+    learners keep a dense row of bins per message; a fit whose rows come to more than
+    ``max_dense_bytes`` is refused before it starts. Set that to what your executors can
+    cache, or choose ``num_features`` by it.
     """
     algorithm = algorithm_code(algorithm)
     previous = _may_train(store, algorithm, replace)
@@ -82,6 +90,7 @@ def train_on_split(
     m = num_features or DEFAULT_NUM_FEATURES[algorithm]
     class_counts = split.class_counts(spark)
     check_classes(algorithm, class_counts)
+    check_memory(algorithm, sum(c["n"] for c in class_counts), m, max_dense_bytes)
 
     version = 1 if previous is None else previous.version + 1
     path = store.new_path(algorithm, version)
@@ -121,6 +130,17 @@ def train_on_split(
     return store.load(trained)
 
 
+def check_memory(algorithm: str, n_rows: int, num_features: int, most: int) -> None:
+    """Refuse a tree fit whose dense rows are larger than ``most`` bytes."""
+    size = n_rows * num_features * DENSE_ENTRY_BYTES
+    if algorithm in TREES and size > most:
+        fitting = most // (n_rows * DENSE_ENTRY_BYTES)
+        raise ValueError(
+            f"{algorithm} keeps {num_features} bins per message: {size / 1e9:.1f} GB for {n_rows} messages, "
+            f"more than max_dense_bytes; num_features up to {fitting} would fit"
+        )
+
+
 def fit_tasks(algorithm: str, n_rows: int, num_features: int, entries: int) -> int:
     """Tasks worth having in one fit, by the memory its rows take in the estimator.
 

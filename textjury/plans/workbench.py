@@ -79,7 +79,7 @@ class Workbench:
             evaluate_version(self.store, self.split(), ensemble)
             self.evaluated.add(version.path)
         return self.store.experiments().where(
-            f"algorithm = '{version.algorithm}' and version = {version.version}"
+            f"algorithm = '{version.algorithm}' and run = '{version.run}'"
         )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 TAB = "\t"
 NO_TAB = "no tab between label and text"
 BAD_LABEL = "label is not a number"
+OTHER_LABEL = "label is not 0 or 1"
 
 
 def _number(label: Column) -> Column:
@@ -37,9 +38,19 @@ def parse_labelled(df: DataFrame, line: str = "value") -> DataFrame:
     return _split(df, line).where(good).drop(line, "problem")
 
 
-def parse_or_quarantine(df: DataFrame, line: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Parsed rows, and the rejected lines with the reason."""
+def checked_lines(df: DataFrame, line: str = "value") -> DataFrame:
+    """(..., line, label, text, problem) in one frame; ``problem`` is null for a line to train on.
+
+    Unlike :func:`parse_labelled` this lets no label but 0 and 1 pass.
+    """
     rows = _split(df, line)
+    other = F.col("problem").isNull() & ~F.col("label").isin(0.0, 1.0)
+    return rows.withColumn("problem", F.when(other, OTHER_LABEL).otherwise(F.col("problem")))
+
+
+def parse_or_quarantine(df: DataFrame, line: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Parsed rows, and the rejected lines with the reason. Two frames over one input: each reads it."""
+    rows = checked_lines(df, line)
     parsed = rows.where("problem is null").drop(line, "problem")
     rejected = rows.where("problem is not null").drop("label", "text")
     return parsed, rejected
@@ -55,6 +66,17 @@ def read_labelled(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_messages(spark: SparkSession, path: str, first: int | None = None) -> DataFrame:
-    """One message per line, without its line end; ``first`` keeps that many lines."""
-    messages = spark.read.text(path).select(F.col("value").alias("text"))
-    return messages if first is None else messages.limit(first)
+    """One message per line, without its line end; ``first`` keeps that many lines.
+
+    The first lines are those of the files in the order of their paths, each from its start.
+    """
+    lines = spark.read.text(path)
+    if first is None:
+        return lines.select(F.col("value").alias("text"))
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
+    return (
+        lines.select(F.col("value").alias("text"), place.alias("place"))
+        .orderBy("place")
+        .limit(first)
+        .select("text")
+    )

@@ -6,14 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+SPREAD_BYTES = 1024 * 1024 * 1024
+
+
 def at_least(df: DataFrame, partitions: int | None = None, key: str = "doc_id") -> DataFrame:
     """Spread a scan that has fewer partitions than asked for (default: one per core).
 
-    Only for few, unsplittable files. A scan that already feeds every core is
-    returned unchanged, so a large table is never shuffled here.
+    Only for few, unsplittable files: an input of more than ``SPREAD_BYTES``, and a scan
+    that already feeds every core, is returned unchanged. The rows are the same either way.
     """
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     wanted = partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= wanted:
+    if size > SPREAD_BYTES or df.rdd.getNumPartitions() >= wanted:
         return df
     return df.repartition(wanted, key)
 
@@ -29,9 +33,12 @@ def labelled_messages(
 
 
 def unlabelled_messages(
-    documents: DataFrame, labels: DataFrame, key: str = "doc_id"
+    documents: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id"
 ) -> DataFrame:
-    return documents.select(key, "text").join(labels.select(key), key, "left_anti")
+    """(key, text) of the messages without a label; a null label is none."""
+    return documents.select(key, "text").join(
+        labels.where(F.col(label).isNotNull()).select(key), key, "left_anti"
+    )
 
 
 def first_messages(df: DataFrame, n: int = 100, key: str = "doc_id") -> DataFrame:
