@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textjury.llm.common import stored
+
 PATHS_PER_HOST = 16
 #: Winning paths are broadcast up to so many rows (each at most ``PATH_CHARACTERS``), else joined on a salted host.
 BROADCAST_ROWS = 50_000
@@ -383,7 +385,7 @@ def main_text(
     larger set of pages.
     """
     if paths is None:
-        paths = host_paths(pages, url, html)
+        paths = stored(host_paths(pages, url, html), "host-paths")
     rows = pages.select(
         F.col(key).cast("long").alias("page_id"),
         F.col(url).alias("url"),
