@@ -266,7 +266,7 @@ def train_linear(patterns: DataFrame, model: LabelModel) -> tuple[np.ndarray, fl
                           F.struct(F.lit(0.0).alias("y"), (F.col("n") * (1 - F.col("p"))).alias("w")))).alias("x"),
     ).select("features", "x.y", "x.w").where("w > 0")
     fitted = LogisticRegression(
-        labelCol="y", weightCol="w", regParam=1e-5, maxIter=40, standardization=False, aggregationDepth=2
+        labelCol="y", weightCol="w", regParam=1e-7, maxIter=200, tol=1e-9, standardization=False
     ).fit(stored(both, "posterior-labels"))
     return fitted.coefficients.toArray(), float(fitted.intercept)
 
