@@ -46,7 +46,7 @@ def test_held_out_accuracy(documents, corpus, model):
 
 def test_odd_texts(documents, model):
     draw = random.Random(8)
-    rows = [(1, None), (2, ""), (3, "12 -- 34 !"), (None, text(draw, "ya", 30)), (5, text(draw, "xb", 30_000)), (6, "x"), (6, "x")]
+    rows = [(1, None), (2, ""), (3, "12 -- 34 ! ½ ²"), (None, text(draw, "ya", 30)), (5, text(draw, "xb", 30_000)), (6, "x"), (6, "x")]
     docs = documents(rows).withColumns({"lang_pred": F.lit("no"), "score": F.lit(9)})
     got = [(r["doc_id"], r["lang_pred"], r["score"]) for r in language_id.predict(docs, model).collect()]
     assert [(i, p, s) for i, p, s in got if i in (1, 2, 3)] == [(1, "und", 0.0), (2, "und", 0.0), (3, "und", 0.0)]

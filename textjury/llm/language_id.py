@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 from textjury.llm.common import row_crc, stored
 
 #: Labelled rows per language that machines are fitted on, at most: those with the least hash of their id.
-FIT_ROWS = 1_500
+FIT_ROWS = 1_000
+#: And of all languages together, so their ids can be broadcast.
+FIT_ROWS_IN_ALL = 200_000
 BINS_LOG2 = 12
 BINS = 1 << BINS_LOG2
 GRAMS = (1, 2, 3, 4)  # bytes of lower-cased words
@@ -35,8 +37,8 @@ WORD = re.compile(r"[^\W\d_]+")
 
 def spelled(text: str | None) -> np.ndarray | None:
     """Hashed byte n-grams within the words of a whole text, square roots of counts at length one; None without letters."""
-    words = WORD.findall(text.lower()) if text else None
-    if not words:
+    words = WORD.findall(text.lower()) if text else []
+    if not any(c.isalpha() for w in words for c in w):
         return None
     codes = np.frombuffer(f" {' '.join(words)} ".encode(), np.uint8).astype(np.uint32)
     counts = np.zeros(BINS)
@@ -60,12 +62,15 @@ def fit_sample(docs: DataFrame, key: str, text: str, lang: str, rows: int) -> Da
     usable = docs.where(
         F.col(lang).isNotNull() & (F.col(lang) != "") & F.col(text).rlike(r"\p{L}") & learnable(key)
     ).select(F.xxhash64(key, text).alias("draw"), F.col(lang).cast("string").alias("lang"))
+    usable = stored(usable.distinct(), "language-rows")
+    langs = usable.agg(F.count_distinct("lang")).first()[0]
     place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
-    chosen = usable.distinct().withColumn("place", place).where(F.col("place") <= rows)
+    most = min(rows, max(1, FIT_ROWS_IN_ALL // max(langs, 1)))
+    chosen = usable.withColumn("place", place).where(F.col("place") <= most)
     texts = docs.where(learnable(key)).select(
         F.xxhash64(key, text).alias("draw"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")
     )
-    return texts.join(chosen, ["draw", "lang"]).dropDuplicates(["draw", "lang"]).select("lang", "text", "place")
+    return texts.join(F.broadcast(chosen), ["draw", "lang"]).dropDuplicates(["draw", "lang"]).select("lang", "text", "place")
 
 
 def families(sample: DataFrame) -> list[list[str]]:
@@ -103,14 +108,16 @@ def families(sample: DataFrame) -> list[list[str]]:
 
 
 def fit_machine(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
-    """A linear support vector machine: squared hinge loss, classes weighted equally, accelerated gradient steps."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
+    """A linear support vector machine: squared hinge loss, classes weighted equally, accelerated gradient steps.
+
+    The last column of ``x`` is 1 and takes the bias.
+    """
     share = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)).astype(x.dtype)
     w = ahead = np.zeros(x.shape[1], x.dtype)
     momentum = 1.0
     for _ in range(STEPS):
         slack = np.maximum(0, 1 - y * (x @ ahead))
-        step = ahead - (RIDGE * ahead - 2 * x.T @ (share * y * slack)) / (4 + RIDGE)
+        step = ahead - (RIDGE * ahead - 2 * ((share * y * slack) @ x)) / (4 + RIDGE)
         after = (1 + math.sqrt(1 + 4 * momentum * momentum)) / 2
         ahead = step + (momentum - 1) / after * (step - w)
         w, momentum = step, after
@@ -137,8 +144,11 @@ def fit_machines(sample: DataFrame, grouped: list[list[str]], rows: int) -> dict
     )
 
     def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        pairs = [(x, y) for x, y in zip(map(spelled, rows["text"]), rows["y"]) if x is not None]
-        w, bias = fit_machine(np.array([x for x, _ in pairs]), np.array([y for _, y in pairs], np.float32))
+        x = np.ones((len(rows), BINS + 1), np.float32)
+        for i, text in enumerate(rows["text"]):
+            if (vector := spelled(text)) is not None:
+                x[i, :-1] = vector
+        w, bias = fit_machine(x, rows["y"].to_numpy(np.float32))
         return pd.DataFrame({"a": [key[0]], "b": [key[1]], "w": [w.tolist()], "bias": [bias]})
 
     fitted = (
