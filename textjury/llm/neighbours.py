@@ -10,6 +10,7 @@ that visit it.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +30,9 @@ CALIBRATION = 128
 BRANCHES = 16
 LEAF_VECTORS = 48  # of the fitted sample
 ROUNDS = 8
-SHARD_ROWS = 8_192
+#: Rows of a shard for each root of all rows: shards, and with them the answers to merge, grow slower than the table.
+SHARD_ROWS_PER_ROOT = 36
+SCORES_AT_A_TIME = 2_000_000
 QUERIES_PER_GROUP = 4_096
 SEED = 7
 
@@ -245,7 +248,7 @@ def shards_of(placed: DataFrame, shard_rows: int) -> dict[int, tuple[int, int]]:
 
 
 def search(
-    placed: DataFrame, tree: KMeansTree, queries: DataFrame, visits: int, k: int, shard_rows: int = SHARD_ROWS
+    placed: DataFrame, tree: KMeansTree, queries: DataFrame, visits: int, k: int, shard_rows: int
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest of each query in the leaves it visits."""
     home = shards_of(placed, shard_rows)
@@ -291,8 +294,9 @@ def search(
         held, starts = np.unique(leaf, return_index=True)
         spans = dict(zip(held.tolist(), zip(starts.tolist(), [*starts[1:].tolist(), len(leaf)])))
         out = []
-        for first in range(0, left.num_rows, 256):
-            block = left.slice(first, 256)
+        size = max(1, SCORES_AT_A_TIME // len(v))
+        for first in range(0, left.num_rows, size):
+            block = left.slice(first, size)
             own, vectors = block["query_id"].to_pylist(), block["query"].to_pylist()
             q = matrix(vectors)
             scores = np.full((len(q), len(v)), -np.inf)
@@ -332,7 +336,7 @@ def nearest(
     vector: str = "embedding",
     k: int = NEAREST,
     recall: float = RECALL,
-    shard_rows: int = SHARD_ROWS,
+    shard_rows: int | None = None,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each query row its k nearest other rows by inner product.
 
@@ -350,4 +354,5 @@ def nearest(
     tree = fit_tree(vectors)
     placed = stored(in_leaves(vectors, tree), "leaves")
     visits = calibrate(placed, tree, vectors.where(~is_query), k, recall)
+    shard_rows = shard_rows or SHARD_ROWS_PER_ROOT * math.isqrt(vectors.count())
     return search(placed, tree, vectors.where(is_query).distinct(), visits, k, shard_rows)
