@@ -10,7 +10,7 @@ passage that many documents hold makes no hot key.
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -64,6 +64,11 @@ class Tests:
         self.windows = list(of_window)
         self.window_classes = [sorted(c) for c in of_window.values()]
         self.term_ids = {t: i for i, t in enumerate(sorted({t for w in self.windows for t in w}))}
+        #: By term, the windows in which it is the one that fewest windows have.
+        uses = Counter(t for w in self.windows for t in set(w))
+        self.by_rarest: dict[bytes, list[int]] = defaultdict(list)
+        for i, w in enumerate(self.windows):
+            self.by_rarest[min(w, key=lambda t: (uses[t], t))].append(i)
         #: By window size, whether a window of that size has the term.
         self.by_size = {size: np.zeros(len(self.term_ids), bool) for size in {len(w) for w in self.windows}}
         for w in self.windows:
@@ -172,10 +177,12 @@ def intersect(lists: list[np.ndarray], offsets: list[int], slop: int) -> np.ndar
 
 def match(indexed: DataFrame, tests: Tests, slop: int = 0) -> DataFrame:
     """``indexed`` with the matches of a block of tests added to those it has."""
-    sent = indexed.sparkSession.sparkContext.broadcast((tests.windows, tests.window_classes, tests.class_ids))
+    sent = indexed.sparkSession.sparkContext.broadcast(
+        (tests.windows, tests.by_rarest, tests.window_classes, tests.class_ids)
+    )
 
     def search(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows, window_classes, class_ids = sent.value
+        windows, by_rarest, window_classes, class_ids = sent.value
         for batch in rows:
             added: list[tuple[list, list, list]] = []
             for r in range(batch.num_rows):
@@ -185,7 +192,8 @@ def match(indexed: DataFrame, tests: Tests, slop: int = 0) -> DataFrame:
                 starts, sizes, items = (
                     list(batch.column(n)[r].as_py()) for n in ("hit_starts", "hit_sizes", "hit_items")
                 )
-                for window, classes in zip(windows, window_classes) if lists else ():
+                for w in (w for term in lists for w in by_rarest.get(term, ())):
+                    window, classes = windows[w], window_classes[w]
                     if not all(map(lists.__contains__, window)):
                         continue
                     found = intersect([lists[t] for t in window], list(range(len(window))), slop)
