@@ -15,6 +15,8 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from textjury.llm.common import stored
+
 TOKENIZERS = "/opt/tokenizers"
 RANKS = "byte_bpe_50k.tiktoken"
 #: How this vocabulary's encoder cuts a text into pieces. A fixed value that belongs to the vocabulary.
@@ -129,4 +131,5 @@ def token_histogram(
     Null and empty texts have length 0. Repeated rows count each. An empty table gives an
     empty histogram. Other columns are ignored.
     """
-    return suffix_sums(histogram(token_lengths(docs, read_ranks(folder, vocabulary), vocabulary, text=text)))
+    lengths = token_lengths(docs, read_ranks(folder, vocabulary), vocabulary, text=text)
+    return suffix_sums(stored(histogram(lengths), "token-histogram"))
