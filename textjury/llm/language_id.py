@@ -63,10 +63,15 @@ def fit_sample(docs: DataFrame, key: str, text: str, lang: str, rows: int) -> Da
         F.col(lang).isNotNull() & (F.col(lang) != "") & F.col(text).rlike(r"\p{L}") & learnable(key)
     ).select(F.xxhash64(key, text).alias("draw"), F.col(lang).cast("string").alias("lang"))
     usable = stored(usable.distinct(), "language-rows")
-    langs = usable.agg(F.count_distinct("lang")).first()[0]
+    counts = stored(usable.groupBy("lang").agg(F.count("*").alias("n")), "language-counts")
+    most = min(rows, max(1, FIT_ROWS_IN_ALL // max(counts.count(), 1)))
+    # Draws are spread evenly, so a large language's least ones lie below a share of their
+    # range. Only those are ranked, and no task sees a whole language.
+    few = (F.col("draw") / 2.0**64 + 0.5) * F.col("n") <= 4 * most + 100
     place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
-    most = min(rows, max(1, FIT_ROWS_IN_ALL // max(langs, 1)))
-    chosen = usable.withColumn("place", place).where(F.col("place") <= most)
+    chosen = (
+        usable.join(counts, "lang").where(few).select("draw", "lang", place.alias("place")).where(F.col("place") <= most)
+    )
     texts = docs.where(learnable(key)).select(
         F.xxhash64(key, text).alias("draw"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")
     )
