@@ -258,6 +258,7 @@ ORACLE: dict[str, str] = {
     "marker_cv_gbdt": MARKER_COUNTS,
     "lr_margins": MARGINS,
     "svm_margins": MARGINS,
+    "mp_margins": MARGINS,
     "vote_consistency": f"""
         SELECT algorithm, (SELECT count(*) FROM documents) AS n_rows, CAST(0 AS BIGINT) AS n_mismatch
         FROM ({ALGORITHM_NAMES})""",

@@ -6,8 +6,9 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textjury.functions.hashing import md5_bucket
@@ -433,36 +434,64 @@ _marker_cv("DT")
 _marker_cv("GBDT")
 
 
-def _margins(algorithm: str) -> Query:
-    """Margins and predictions recomputed in long form from coefficients, idf and term counts."""
+def _linear(model) -> tuple[np.ndarray, np.ndarray, list]:
+    return model.coefficients.toArray()[None, :], np.array([model.intercept]), []
+
+
+def _perceptron(model) -> tuple[np.ndarray, np.ndarray, list]:
+    """First layer's weights (unit, input) and biases, and those of the layers above it."""
+    flat, sizes, layers = model.weights.toArray(), model.getLayers(), []
+    for n_in, n_out in zip(sizes, sizes[1:]):
+        matrix, rest = flat[: n_in * n_out].reshape(n_in, n_out).T, flat[n_in * n_out :]
+        layers.append((matrix, rest[:n_out]))
+        flat = rest[n_out:]
+    return *layers[0], layers[1:]
+
+
+def _margin(sums: list[Column], bias: np.ndarray, layers: list) -> Column:
+    values = [s + float(c) for s, c in zip(sums, bias)]
+    for matrix, constants in layers:
+        hidden = [1 / (1 + F.exp(-v)) for v in values]
+        values = [
+            sum((h * float(w) for h, w in zip(hidden, row)), F.lit(float(c))) for row, c in zip(matrix, constants)
+        ]
+    return values[-1]
+
+
+def _margins(algorithm: str, parts: Callable) -> Query:
+    """Margins and predictions recomputed in long form from weights, idf and term counts."""
 
     def run(b: Workbench) -> DataFrame:
         ensemble, split = b.ensemble(algorithm), b.split()
         vectors = split.vectors(b.spark, ensemble.version.num_features)
-        weights, intercepts, shown = [], [], None
+        weights, margin, shown = [], F.lit(None).cast("double"), None
         for fold, member in enumerate(ensemble.members):
             _, idf, model = member.stages
-            by_bucket = model.coefficients.toArray() * idf.getScalingVec().toArray()
-            weights += [(fold, bucket, float(w)) for bucket, w in enumerate(by_bucket)]
-            intercepts.append(float(model.intercept))
+            first, bias, layers = parts(model)
+            by_bucket = first * idf.getScalingVec().toArray()
+            weights += [(fold, bucket, w) for bucket, w in enumerate(by_bucket.T.tolist())]
+            sums = [F.coalesce(F.get("sums", i), F.lit(0.0)) for i in range(len(bias))]
+            margin = F.when(F.col("fold") == fold, _margin(sums, bias, layers)).otherwise(margin)
             held = folds.held_out_rows(vectors, fold)
             judged = model.transform(idf.copy({idf.inputCol: "tf"}).transform(held)).select(
-                "doc_id", vector_to_array("rawPrediction")[1].alias("raw"), "prediction"
+                "doc_id",
+                vector_to_array("rawPrediction")[0].alias("other"),
+                vector_to_array("rawPrediction")[1].alias("raw"),
+                "prediction",
             )
             shown = judged if shown is None else shown.unionByName(judged)
-        table = b.spark.createDataFrame(weights, "fold INT, bucket INT, weight DOUBLE")  # k times the buckets
+        units = len(weights[0][2])
+        table = b.spark.createDataFrame(weights, "fold INT, bucket INT, weight ARRAY<DOUBLE>")  # k times the buckets
         tf = F.unwrap_udt("tf")
         long = vectors.select(
             "doc_id", "fold", F.inline(F.arrays_zip(tf["indices"].alias("bucket"), tf["values"].alias("n")))
         )
         sums = long.join(F.broadcast(table), ["fold", "bucket"]).groupBy("doc_id").agg(
-            F.sum(F.col("n") * F.col("weight")).alias("margin")
+            F.array(*[F.sum(F.col("n") * F.get("weight", i)) for i in range(units)]).alias("sums")
         )
-        bias = F.get(F.array(*[F.lit(i) for i in intercepts]), F.col("fold"))
-        margin = F.coalesce("margin", F.lit(0.0)) + bias
         both = vectors.select("doc_id", "fold").join(sums, "doc_id", "left").join(shown, "doc_id", "full")
         same = (F.abs(margin - F.col("raw")) <= 1e-6 * (1 + F.abs("raw"))) & (
-            F.col("prediction") == (F.col("raw") > 0).cast("double")
+            F.col("prediction") == (F.col("raw") > F.col("other")).cast("double")
         )
         return both.agg(
             F.count(F.lit(1)).alias("n_rows"),
@@ -473,8 +502,9 @@ def _margins(algorithm: str) -> Query:
     return query(run)
 
 
-_margins("LR")
-_margins("SVM")
+_margins("LR", _linear)
+_margins("SVM", _linear)
+_margins("MP", _perceptron)
 
 
 @query
