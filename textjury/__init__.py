@@ -6,7 +6,7 @@ from textjury.operators.folds import assign_folds
 from textjury.operators.voting import majority_vote
 from textjury.plans.registry import ModelStore
 from textjury.plans.scoring import load_ensemble, predict, score, score_by_method, score_side_by_side
-from textjury.plans.split import build_split
+from textjury.plans.split import build_split, dictionary_tokenizer
 from textjury.plans.training import retrain, train
 from textjury.sources.lines import parse_labelled, read_labelled, read_messages
 from textjury.operators.tokenizing import tokenize
@@ -17,6 +17,7 @@ __all__ = [
     "ModelStore",
     "assign_folds",
     "build_split",
+    "dictionary_tokenizer",
     "evaluate",
     "load_ensemble",
     "macro_average",
