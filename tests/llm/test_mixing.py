@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textjury.llm import mixing
+from textjury.llm.queries import QUERIES
 
 ROWS = [
     (1, "a b c", "en", "x"),
@@ -72,3 +73,14 @@ def test_empty_and_extra_columns(spark, documents):
 def test_native_plan(spark, documents):
     plan = mixing.mix(documents([(1, "a b")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_query_follows_the_schedule(spark, documents, tmp_path):
+    """The rows of op6 come in the order of the curriculum, which sets the slopes of the sources apart."""
+    docs = documents([(i, "w x y", "en", "abc"[i % 3]) for i in range(300)])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    query = QUERIES["op6_source_mixing"](spark, str(tmp_path))
+    assert "rangepartitioning(first_position" in query._jdf.queryExecution().executedPlan().toString()
+    place = {r["doc_id"]: r["first_position"] for r in mixing.mix(docs).collect()}
+    got = [2.0 if place[r["doc_id"]] is None else place[r["doc_id"]] for r in query.collect()]
+    assert got == sorted(got) and len(set(got)) > 200

@@ -33,8 +33,11 @@ def query(run: Query) -> Query:
 
 @query
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weights 5, 2, 1 by source rank, 150 % of all words, at most two passes over a source."""
-    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    """Weights 5, 2, 1 by source rank, 150 % of all words, at most two passes over a source.
+
+    The rows come range-sorted by the training position of the document's first read.
+    """
+    mixed = mixing.training_order(mixing.mix(table(spark, sf_dir, "documents")))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
