@@ -84,3 +84,33 @@ def test_query_follows_the_schedule(spark, documents, tmp_path):
     place = {r["doc_id"]: r["first_position"] for r in mixing.mix(docs).collect()}
     got = [2.0 if place[r["doc_id"]] is None else place[r["doc_id"]] for r in query.collect()]
     assert got == sorted(got) and len(set(got)) > 200
+
+
+def test_every_pass_has_its_positions(spark, documents):
+    """Source a is capped at twice its size: its words over time follow its schedule on both passes."""
+    docs = documents([(i, "w", "en", "abc"[i % 3]) for i in range(3000)])
+    mixed = mixing.mix(docs, weights=(5, 2, 1), budget=1.5, slopes=(-0.9, 0.0, 0.9))
+    stream = mixing.training_stream(mixed, partitions=3)
+    assert mixed.where("source = 'a' and taken = 2 and size(reads) = 2").count() == 1000
+    for t in (0.25, 0.5, 0.75):
+        taken = {r["source"]: (r["n"], r["all"]) for r in stream.groupBy("source").agg(F.sum(F.when(F.col("position") < t, F.col("words"))).alias("n"), F.sum("words").alias("all")).collect()}
+        for source, slope in zip("abc", (-0.9, 0.0, 0.9)):
+            n, everything = taken[source]
+            assert n == pytest.approx(everything * (t * (1 - slope) + slope * t * t), abs=3)
+    rows = stream.select(F.spark_partition_id().alias("p"), "position").collect()
+    assert [r["position"] for r in rows] == sorted(r["position"] for r in rows) and len({r["p"] for r in rows}) == 3
+    assert stream.agg(F.sum("words")).first()[0] == mixed.agg(F.sum("taken")).first()[0] == len(rows)
+
+
+@pytest.mark.parametrize("more", [0, 500])
+def test_stream_equals_sql(spark, documents, more):
+    docs = documents(ROWS + [(10 + i, "w " * (i % 17), "en", f"s{i % 5}" if i % 3 else "hot") for i in range(more)])
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    key = lambda r: (repr(r["doc_id"]), r["pass"], r["words"], r["position"])
+    expected = sorted(con.sql(mixing.STREAM_SQL).to_arrow_table().to_pylist(), key=key)
+    got = sorted(mixing.training_stream(mixing.mix(docs)).toArrow().to_pylist(), key=key)
+    columns = ("doc_id", "source", "pass", "words")
+    assert [[r[c] for c in columns] for r in got] == [[r[c] for c in columns] for r in expected]
+    assert [r["position"] for r in got] == pytest.approx([r["position"] for r in expected], abs=1e-12)
+    assert max(r["pass"] for r in got) == 1

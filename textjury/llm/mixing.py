@@ -2,7 +2,8 @@
 
 Each source has a weight schedule over training time 0..1. Its integral is the
 source's share of the budget; inverting the cumulative demand turns the n-th word
-taken from a source into a training position, and documents are range-sorted by it.
+taken from a source into a training position, on every pass over the source, and
+documents or their reads are range-sorted by it.
 Only DataFrame functions are used.
 """
 
@@ -140,11 +141,13 @@ def mix(
     source: str = "source",
     text: str = "text",
 ) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken, first_position), one row per input row.
+    """(doc_id, source, size, source_size, target, taken, first_position, reads), one row per input row.
 
     A source is read in draw order, over and over, until its target is met; the document
-    at which that happens counts in part. ``taken`` counts repeats. ``first_position`` is
-    the training time 0..1 of the document's first word, null if it is never taken.
+    at which that happens counts in part. ``reads`` is an array<struct<position, words>> with
+    one entry for each pass in which the document is taken: the training time 0..1 of its
+    first word in that pass, and how many words are taken then. ``taken`` is the sum of these
+    words, ``first_position`` the position of the first read, null if there is none.
 
     Rows of a null source form a source of their own, ranked last. Null and empty texts
     have size 0 and nothing is taken of them. Repeated rows are separate documents; rows
@@ -158,13 +161,30 @@ def mix(
     targets = source_targets(totals.drop("n"), weights, budget, most, slopes)
     rows = placed(sized, targets, documents)
     words = F.floor("target").cast("long")
-    passes = F.when(F.col("source_size") > 0, F.floor(words / F.col("source_size"))).otherwise(0).cast("long")
-    rest = F.least(F.greatest(words - passes * F.col("source_size") - F.col("start"), F.lit(0)), F.col("size"))
-    rows = rows.withColumn("taken", (passes * F.col("size") + rest).cast("long"))
-    return rows.withColumn(
-        "first_position",
-        F.when(F.col("taken") > 0, arrival(F.col("start"), F.col("target"), F.col("slope"))),
-    ).select("doc_id", "source", "size", "source_size", "target", "taken", "first_position")
+    # The document's first word of pass p is the (p * source_size + start)-th asked of its source.
+    count = F.floor((words - 1 - F.col("start")) / F.col("source_size")) + 1
+    none = F.array().cast("array<struct<position:double,words:bigint>>")
+
+    def read(at: Column) -> Column:
+        begin = at * F.col("source_size") + F.col("start")
+        return F.struct(
+            arrival(begin, F.col("target"), F.col("slope")).alias("position"),
+            F.least(F.col("size"), words - begin).cast("long").alias("words"),
+        )
+
+    reads = F.when(
+        (F.col("size") > 0) & (F.col("start") < words), F.transform(F.sequence(F.lit(0), count - 1), read)
+    ).otherwise(none)
+    return (
+        rows.withColumn("reads", reads)
+        .withColumns(
+            {
+                "taken": F.aggregate("reads", F.lit(0).cast("long"), lambda n, r: n + r["words"]),
+                "first_position": F.get("reads", 0)["position"],
+            }
+        )
+        .select("doc_id", "source", "size", "source_size", "target", "taken", "first_position", "reads")
+    )
 
 
 def training_order(mixed: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -177,6 +197,19 @@ def training_order(mixed: DataFrame, partitions: int | None = None) -> DataFrame
     return ranged.sortWithinPartitions(*order)
 
 
+def training_stream(mixed: DataFrame, partitions: int | None = None) -> DataFrame:
+    """(doc_id, source, pass, position, words): one row per read, range-sorted by position.
+
+    A document that is taken in several passes comes once for each, at that pass's place;
+    never-taken ones are not in the stream.
+    """
+    reads = mixed.select("doc_id", "source", F.posexplode("reads").alias("pass", "read"))
+    reads = reads.select("doc_id", "source", "pass", "read.position", "read.words")
+    order = [F.col("position"), F.col("doc_id").asc_nulls_last(), F.col("pass")]
+    ranged = reads.repartitionByRange(partitions, *order) if partitions else reads.repartitionByRange(*order)
+    return ranged.sortWithinPartitions(*order)
+
+
 MIX_SQL = """
 WITH sized AS (
     SELECT doc_id, CAST(source AS VARCHAR) AS source,
@@ -208,3 +241,26 @@ SELECT doc_id, size, source_size, target,
             + least(greatest(words - (words // source_size) * source_size - start, 0), size) END AS BIGINT) AS taken
 FROM placed
 """
+
+#: The rows of ``training_stream``, by the same targets.
+STREAM_SQL = (
+    MIX_SQL.partition("placed AS (")[0]
+    + """sloped AS (
+    SELECT *, CAST(target AS DOUBLE) AS asked, CAST(floor(target) AS BIGINT) AS upto,
+           CAST(([-0.5, 0.0, 0.5])[(row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1] AS DOUBLE) AS slope
+    FROM targets),
+placed AS (
+    SELECT doc_id, s.source, size, source_size, asked, upto, slope,
+           CAST(sum(size) OVER (PARTITION BY s.source ORDER BY draw, size ROWS UNBOUNDED PRECEDING) - size AS BIGINT) AS start
+    FROM sized s JOIN sloped t ON s.source IS NOT DISTINCT FROM t.source),
+reads AS (
+    SELECT *, unnest(range(CASE WHEN size > 0 AND start < upto THEN (upto - 1 - start) // source_size + 1 ELSE 0 END)) AS pass
+    FROM placed),
+shares AS (SELECT *, pass * source_size + start AS begin, least((pass * source_size + start) / asked, 1.0) AS share FROM reads)
+SELECT doc_id, source, pass,
+       CASE WHEN slope = 0 THEN share
+            ELSE (sqrt((1 - slope) * (1 - slope) + 4 * slope * share) - (1 - slope)) / (2 * slope) END AS position,
+       least(size, upto - begin) AS words
+FROM shares
+"""
+)
