@@ -87,3 +87,36 @@ def test_native_plan_and_empty(documents):
     found = licenses.scan_licenses(documents([]).limit(0))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert found.count() == 0 and "Python" not in plan and "Exchange" not in plan
+
+
+GPL = """This program is free software{a} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation{b} either version {n} of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY{c} without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+GPL_3, GPL_2 = GPL.format(a=":", b=",", c=";", n=3), GPL.format(a=";", b=";", c=";", n=2)
+
+
+def test_original_gpl_notices(spark, documents):
+    """As published, as a comment block, on one line, and with other marks where ';' stands."""
+    comment = lambda text, mark: "\n".join(f"{mark} {line}" for line in text.split("\n"))
+    rows, expected = [], {}
+    for n, text in ((3, GPL_3), (2, GPL_2)):
+        forms = [text, "int main() {}\n\n" + text, comment(text, " *"), comment(text, "#"), " ".join(text.split())]
+        forms += [GPL.format(a=a, b=b, c=c, n=n) for a in ":;," for b in ";," for c in ";,"]
+        for form in forms:
+            expected[len(rows)] = [f"GPL-{n}.0-or-later"]
+            rows.append((len(rows), form))
+    docs = documents(rows)
+    found = licenses.scan_licenses(docs)
+    assert {r["doc_id"]: r["licenses"] for r in found.collect()} == expected
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    joined = {n: F.array_join(n, ",") for n in ("sentence_ids", "licenses")}
+    got = found.withColumns(joined).toArrow().to_pylist()
+    assert sorted(map(repr, got)) == sorted(map(repr, con.sql(licenses.licenses_sql()).to_arrow_table().to_pylist()))

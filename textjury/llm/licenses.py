@@ -28,9 +28,14 @@ SENTENCES = {
     "apache-2-as-is": ["unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied"],
     "gpl-3-licensed": ["this work is licensed under the gnu general public license version 3", "licensed under the gnu general public license version 3", "this program is licensed under the gnu general public license version 3", "spdx license identifier gpl 3.0 only"],
     "gpl-2-licensed": ["this work is licensed under the gnu general public license version 2", "licensed under the gnu general public license version 2", "spdx license identifier gpl 2.0 only"],
-    "gpl-free": ["this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"],
-    "gpl-2-free": ["this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version"],
-    "gpl-warranty": ["this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"],
+    "gpl-free": ["this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version", "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"],
+    "gpl-2-free": ["this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version", "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version"],
+    # Parts of GPL sentences, as their public texts are cut at ';'.
+    "gpl-terms": ["you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"],
+    "gpl-3-later": ["either version 3 of the license or at your option any later version"],
+    "gpl-2-later": ["either version 2 of the license or at your option any later version"],
+    "gpl-warranty": ["this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose", "this program is distributed in the hope that it will be useful but without any warranty"],
+    "gpl-implied": ["without even the implied warranty of merchantability or fitness for a particular purpose"],
     "gpl-copy": ["you should have received a copy of the gnu general public license along with this program"],
     "lgpl-3-licensed": ["licensed under the gnu lesser general public license version 3", "spdx license identifier lgpl 3.0 only"],
     "agpl-3-licensed": ["licensed under the gnu affero general public license version 3", "spdx license identifier agpl 3.0 only"],
@@ -63,6 +68,8 @@ RULES = [
     ("GPL-2.0-only", ["gpl-2-licensed"]),
     ("GPL-3.0-or-later", ["gpl-free", "gpl-warranty"]),
     ("GPL-2.0-or-later", ["gpl-2-free", "gpl-warranty"]),
+    ("GPL-3.0-or-later", ["gpl-terms", "gpl-3-later", "gpl-warranty"]),
+    ("GPL-2.0-or-later", ["gpl-terms", "gpl-2-later", "gpl-warranty"]),
     ("LGPL-3.0-only", ["lgpl-3-licensed"]),
     ("AGPL-3.0-only", ["agpl-3-licensed"]),
     ("MPL-2.0", ["mpl-2-subject"]),
