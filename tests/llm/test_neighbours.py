@@ -96,3 +96,21 @@ def test_empty(spark):
     empty = table(spark, [[1.0, 2.0]]).limit(0)
     assert neighbours.nearest(empty, F.col("vec_id") % 20 == 0).collect() == []
     assert neighbours.nearest(table(spark, [[1.0, 2.0], [1.0, 1.0]], first=1), F.col("vec_id") % 20 == 0).collect() == []
+
+
+def test_small_leaves_are_not_the_end(spark):
+    """Leaves of a few outliers: a query there goes on until it has its 20, copies of its own row not counted."""
+    draw = np.random.default_rng(5)
+    far = 40 * np.repeat(draw.normal(size=(8, 8)), 5, axis=0)
+    x = np.vstack([draw.normal(size=(1160, 8)) * 0.01 + 1, far + 0.01 * draw.normal(size=(40, 8))])
+    rows = table(spark, x)
+    repeated = rows.unionByName(table(spark, [x[1180]] * 30).withColumn("vec_id", F.lit(1180).cast("long")))
+    vectors = neighbours.packed(repeated, "vec_id", "embedding")
+    tree = neighbours.fit_tree(vectors)
+    placed = neighbours.in_leaves(vectors, tree)
+    assert min(neighbours.leaf_sizes(placed).values()) < 20
+    found = neighbours.search(placed, tree, vectors.where("vec_id % 20 = 0"), 1, 20, 400)
+    counts = {r["query_id"]: r["count"] for r in found.groupBy("query_id").count().collect()}
+    assert counts == {i: 20 for i in range(0, 1200, 20)}
+    few = neighbours.nearest(rows.where("vec_id < 15 or vec_id = 1180"), F.col("vec_id") % 20 == 0)
+    assert few.count() == 2 * 15

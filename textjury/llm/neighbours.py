@@ -3,7 +3,7 @@
 The tree is fitted on a bounded sample and routes every vector to a leaf. A query visits
 leaves best bin first, through a priority queue over the tree's nodes; how many it visits
 is widened until queries whose neighbours are known by brute force reach the recall asked
-for. Leaves are packed into shards of bounded size, and each shard answers the queries
+for, and a query goes on until its leaves hold as many candidates as it wants. Leaves are packed into shards of bounded size, and each shard answers the queries
 that visit it.
 """
 
@@ -128,17 +128,20 @@ class KMeansTree:
             waiting += [(below[c], rows[nearest == c]) for c in np.unique(nearest)]
         return leaf
 
-    def visits(self, queries: np.ndarray, most: int) -> list[list[int]]:
-        """The first ``most`` leaves of each query, best bin first."""
+    def visits(
+        self, queries: np.ndarray, most: int, sizes: dict[int, int] | None = None, least: list[int] | None = None
+    ) -> list[list[int]]:
+        """The first ``most`` leaves of each query, best bin first, and on until they hold its ``least`` rows by ``sizes``."""
         flat = np.hstack([queries, np.zeros((len(queries), 1))])
         square = np.einsum("ij,ij->i", self.points, self.points)
         found = []
-        for row in (square - 2 * flat @ self.points.T).tolist():
-            queue, leaves = [(row[0], 0)], []
-            while queue and len(leaves) < most:
+        for row, wanted in zip((square - 2 * flat @ self.points.T).tolist(), least or [0] * len(queries)):
+            queue, leaves, held = [(row[0], 0)], [], 0
+            while queue and (len(leaves) < most or held < wanted):
                 _, node = heapq.heappop(queue)
                 if self.leaf[node] >= 0:
                     leaves.append(self.leaf[node])
+                    held += sizes.get(self.leaf[node], 0) if sizes else 0
                 else:
                     for child in self.children[node]:
                         heapq.heappush(queue, (row[child], child))
@@ -232,9 +235,13 @@ def calibrate(placed: DataFrame, tree: KMeansTree, others: DataFrame, k: int, re
     return visits
 
 
-def shards_of(placed: DataFrame, shard_rows: int) -> dict[int, tuple[int, int]]:
+def leaf_sizes(placed: DataFrame) -> dict[int, int]:
+    """Rows of each leaf that has any."""
+    return {r["leaf"]: r["n"] for r in placed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
+
+
+def shards_of(sizes: dict[int, int], shard_rows: int) -> dict[int, tuple[int, int]]:
     """For each leaf its first shard and how many shards it is cut into. Small leaves share a shard."""
-    sizes = {r["leaf"]: r["n"] for r in placed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
     shard, filled, found = 0, 0, {}
     for leaf in sorted(sizes):
         if filled + sizes[leaf] > shard_rows and filled:
@@ -250,9 +257,16 @@ def shards_of(placed: DataFrame, shard_rows: int) -> dict[int, tuple[int, int]]:
 def search(
     placed: DataFrame, tree: KMeansTree, queries: DataFrame, visits: int, k: int, shard_rows: int
 ) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest of each query in the leaves it visits."""
-    home = shards_of(placed, shard_rows)
-    sent = placed.sparkSession.sparkContext.broadcast((tree, home))  # bounded by the tree's leaves
+    """(query_id, rank, vec_id, score): the k nearest of each query in the leaves it visits.
+
+    ``queries`` are all rows with a query's id; equal ones are answered once.
+    """
+    sizes = leaf_sizes(placed)
+    home = shards_of(sizes, shard_rows)
+    sent = placed.sparkSession.sparkContext.broadcast((tree, home, sizes))  # bounded by the tree's leaves
+    # Rows with the query's own id are no candidates, wherever they lie.
+    queries = queries.groupBy("vec_id", "vector").agg(F.count("*").alias("own"))
+    queries = queries.withColumn("own", F.sum("own").over(Window.partitionBy("vec_id")))
     groups = max(1, -(-queries.count() // QUERIES_PER_GROUP))
 
     def spread(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,7 +283,8 @@ def search(
         """A query goes to all shards that hold a leaf it visits."""
         for batch in rows:
             out = []
-            orders = sent.value[0].visits(matrix(batch.column(1).to_pylist()), visits)
+            wanted = [k + own for own in batch.column(2).to_pylist()]
+            orders = sent.value[0].visits(matrix(batch.column(1).to_pylist()), visits, sent.value[2], wanted)
             for query, vector, order in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), orders):
                 at: dict[int, list[int]] = {}
                 for leaf in order:
@@ -317,7 +332,7 @@ def search(
         spread, "vec_id long, vector binary, leaf int, shard int"
     )
     vectors = vectors.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    asked = queries.select("vec_id", "vector").mapInArrow(ask, "query_id long, query binary, shard int, leaves array<int>")
+    asked = queries.select("vec_id", "vector", "own").mapInArrow(ask, "query_id long, query binary, shard int, leaves array<int>")
     found = (
         asked.withColumn("part", group)
         .groupBy("shard", "part")
@@ -345,7 +360,7 @@ def nearest(
     vectors in double precision; ties go to smaller ids. Rows whose id or vector is null,
     whose vector is zero, empty or has null or non-finite components, or another length
     than most, take no part. Repeated rows are candidates each; a repeated query row is
-    answered once. With fewer than k candidates all visited are returned. Tables without
+    answered once. Fewer than k come back only if the table has fewer candidates. Tables without
     usable rows or queries give no rows. Other columns are ignored.
     """
     vectors = stored(packed(table, key, vector), "vectors")
@@ -355,4 +370,4 @@ def nearest(
     placed = stored(in_leaves(vectors, tree), "leaves")
     visits = calibrate(placed, tree, vectors.where(~is_query), k, recall)
     shard_rows = shard_rows or SHARD_ROWS_PER_ROOT * math.isqrt(vectors.count())
-    return search(placed, tree, vectors.where(is_query).distinct(), visits, k, shard_rows)
+    return search(placed, tree, vectors.where(is_query), visits, k, shard_rows)
