@@ -79,3 +79,29 @@ def test_nulls_repeats_and_extra_columns(spark):
     expected = [(1, None, "Some text."), (2, "http://a.example/", ""), (None, "http://a.example/", "Some text."), (3, "", ""), (3, "", ""), (4, "no url", "Some text.")]
     assert got == sorted(expected, key=repr)
     assert html_text.main_text(table.limit(0)).count() == 0
+
+
+STORY = "<article><h2>Title</h2><p>The story of the page in some words, long enough to be it.</p></article>"
+TEXT = "Title\nThe story of the page in some words, long enough to be it."
+HEAD = "<header><h1>Site name</h1></header>"
+
+
+@pytest.mark.parametrize("name", ["content-sidebar-wrap", "layout-sidebar-right", "page-menu-open", "header-wrap"])
+def test_wrappers_by_name(name):
+    assert own(f"<body>{HEAD}<div class={name}>{STORY}<div class=sidebar><p>a side</p></div></div>") == TEXT
+    assert own(f"<body>{HEAD}<div id={name}><main>{STORY}</main></div>") == TEXT
+    plain = STORY.replace("article", "div")
+    assert own(f"<body>{HEAD}<div class={name}>{plain}<div class=sidebar><p>a side</p></div></div>") == TEXT
+
+
+def test_page_in_a_form():
+    assert own(f"<body><form action=/>{HEAD}{STORY}<span hidden>no</span><input><button>go</button></form>") == TEXT
+    assert own(f"<body><form><div><p>Some <span hidden>no</span>text.</p></div></form>") == "Some\ntext."
+
+
+def test_what_is_dropped_beside_a_story_stays_dropped():
+    plain = STORY.replace("article", "div")
+    more = "<p>" + "other words, " * 30 + "</p>"
+    assert own(f"<div class=story>{plain}</div><div class=comments>{more}</div>") == TEXT
+    assert own(f"{STORY}<div class=related-posts>{more}</div><form>{more}</form>") == TEXT
+    assert own(f"{STORY}<div class=sidebar><article>{more}</article></div>") == TEXT

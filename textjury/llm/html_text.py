@@ -71,6 +71,8 @@ BOUNDS = {
 
 IN_ARTICLE, IN_MAIN = 4, 2
 KEEP, HEADER, BY_NAME, DROP = 0, 1, 2, 3
+#: A name or form drops nothing that holds so large a part of the page's text outside links.
+WRAPS = 0.75
 
 
 def _step(tag: str, names: list[str], ident: str) -> str:
@@ -82,16 +84,19 @@ class Page:
     """A page as a tree of its block elements and a list of its text blocks.
 
     blocks: (element, text, characters inside links, whether it is a heading).
+    ``own`` is what an element says of itself, ``firm`` what holds there even if wrappers drop nothing.
     """
 
     def __init__(self, html: str):
         self.tags, self.steps, self.parents, self.states = ["#root"], [""], [-1], [KEEP]
+        self.own, self.firm, self.comments = [KEEP], [KEEP], [False]
         self.blocks: list[tuple[int, str, int, bool]] = []
         self._stack: list[tuple[str, int]] = [("#root", 0)]  # tag, its block element
         self._text: list[str] = []
         self._linked: list[str] = []
         self._links = 0
         self._parse(html)
+        self._unwrap()
 
     def _flush(self) -> None:
         if self._text:
@@ -145,31 +150,37 @@ class Page:
         for name, a, b, c in ATTRIBUTE.findall(attributes) if attributes else ():
             given.setdefault(name.lower(), a or b or c)
         names, ident = given.get("class", "").split(), given.get("id", "").strip()
-        state = self.states[self._stack[-1][1]] if tag not in BLOCKS else KEEP
+        state, firm, comment = KEEP, True, False
         if (
             tag in DROPPED_TAGS
+            and tag != "form"
             or "hidden" in given
             or given.get("aria-hidden", "").lower() == "true"
             or given.get("role", "").lower() in DROPPED_ROLES
             or HIDDEN.search(given.get("style", ""))
         ):
             state = DROP
+        elif tag == "form":
+            state, firm = DROP, False
         else:
             marks = [n for n in [*names, ident] if n and not OPPOSITE.match(n)]
             if any(map(COMMENT_NAME.search, marks)):
-                state = max(state, BY_NAME)
+                state, firm, comment = BY_NAME, False, True
             elif tag not in ("html", "body", "main", "article") and any(map(DROPPED_NAME.search, marks)):
-                state = max(state, BY_NAME)
+                state, firm = BY_NAME, False
             elif tag == "header" or tag not in HEADINGS and any(map(HEADER_NAME.search, marks)):
-                state = max(state, HEADER)
+                state, firm = HEADER, tag == "header"
         parent = self._stack[-1][1]
-        if tag in BLOCKS or state > self.states[parent]:
+        if tag in BLOCKS or state > self.states[parent] or firm and state > self.firm[parent]:
             if tag not in BLOCKS:
                 self._flush_inline()
             self.tags.append(tag)
             self.steps.append(_step(tag, names, ident))
             self.parents.append(parent)
             self.states.append(max(state, self.states[parent]))
+            self.own.append(state)
+            self.firm.append(max(state if firm else KEEP, self.firm[parent]))
+            self.comments.append(comment)
             self._stack.append((tag, len(self.tags) - 1))
         else:
             self._stack.append((tag, parent))
@@ -195,9 +206,10 @@ class Page:
                 elif tag == "br":
                     self._say(" ")
                 else:
-                    dropped = self.states[self._stack[-1][1]]
+                    inside = self._stack[-1][1]
                     self._close(tag)
-                    if self.states[self._stack[-1][1]] < dropped and self._text:
+                    now = self._stack[-1][1]
+                    if (self.states[now] < self.states[inside] or self.firm[now] < self.firm[inside]) and self._text:
                         self._text, self._linked = [], []
             elif opening:
                 tag = opening.lower()
@@ -218,6 +230,36 @@ class Page:
                 self._say(found.group()[9:].removesuffix("]]>"))
         self._flush()
 
+    def _unwrap(self) -> None:
+        """Elements dropped by their name, or as a form, that wrap the main text drop nothing.
+
+        Those are the ones around the page's only main or single article, or around most of its
+        text outside links where no article or main element stands free. Comments wrap only a main.
+        """
+        n = len(self.tags)
+        soft = [self.own[i] > KEEP and self.firm[i] < self.own[i] for i in range(n)]
+        if not any(soft):
+            return
+        text, mains, articles = [0] * n, [0] * n, [0] * n
+        for node, block, linked, _ in self.blocks:
+            if self.firm[node] < DROP:
+                text[node] += len(block) - linked
+        within = [False] * n  # an article or main is around
+        free = False
+        for i in range(1, n):
+            within[i] = within[self.parents[i]] or self.tags[self.parents[i]] in ("article", "main")
+            if self.tags[i] in ("article", "main") and self.firm[i] < DROP:
+                mains[i], articles[i] = self.tags[i] == "main", self.tags[i] == "article"
+                free = free or self.states[i] == KEEP
+        for i in range(n - 1, 0, -1):
+            for counts in (text, mains, articles):
+                counts[self.parents[i]] += counts[i]
+        for i in range(1, n):
+            if soft[i] and not within[i] and not free and self.tags[i] not in ("article", "main"):
+                wraps = mains[i] or not self.comments[i] and (articles[i] == 1 or text[i] >= WRAPS * text[0] > 0)
+                self.own[i] = KEEP if wraps else self.own[i]
+            self.states[i] = max(self.own[i], self.states[self.parents[i]])
+
     def clean(self, most: int) -> list[int]:
         """Numbers of the blocks outside dropped parts; of headers only headings."""
         return [
