@@ -18,20 +18,21 @@ COLUMNS = {
     "op7": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
     "op8": ["doc_id", "held_out", "lang_pred", "score"],
     "op9": ["query_id", "rank", "vec_id", "score"],
+    "op11": ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"],
 }
 
 
 @pytest.fixture(scope="module")
 def sql():
     connection = duckdb.connect()
-    for table in ("documents", "pages", "benchmark"):
+    for table in ("documents", "pages", "benchmark", "conversations", "labels"):
         path = f"{SF_DIR}/{table}.parquet"
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{path}{'/*.parquet' if os.path.isdir(path) else ''}'")
     return connection
 
 
 def test_all_are_registered():
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 12)}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 

@@ -15,6 +15,7 @@ from textjury.llm import (
     line_dedup,
     mixing,
     neighbours,
+    prefix_trie,
     simhash,
     token_counts,
     toxicity,
@@ -124,3 +125,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op10_license_scan"] = licenses.licenses_sql()
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+SQL["op11_prefix_trie"] = prefix_trie.TRIE_SQL
