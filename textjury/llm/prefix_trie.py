@@ -19,12 +19,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textjury.llm.common import row_crc, stored
+from textjury.llm.common import lookup, row_crc, stored
 
 FAMILY = 100  # conversations that begin with turns of the same one
 MOST_SHARED = 6  # a conversation shares fewer turns than this
-#: A key is heavy, and joined by broadcast, if it has over 1/4,096 of the rows; so at most 4,095 are.
-HEAVY_KEYS = 4_096
 BLOCK = 64  # parentheses whose least excess is kept
 SLICE_BYTES = 1 << 16
 NODES_PER_SHARD = 100_000
@@ -53,19 +51,6 @@ def running(
     )
 
 
-def lookup(rows: DataFrame, table: DataFrame, on: list[str], weight: str, total: int, how: str = "inner") -> DataFrame:
-    """``rows`` joined with ``table``, which has one row per key and in ``weight`` how many rows have it.
-
-    Keys above total / HEAVY_KEYS go by broadcast, at most HEAVY_KEYS of them; the rest is shuffled.
-    """
-    limit = max(32, -(-total // HEAVY_KEYS))
-    heavy = F.broadcast(table.where(F.col(weight) > limit).drop(weight))
-    light = table.where(F.col(weight) <= limit).drop(weight)
-    by_broadcast = rows.join(heavy, on, "inner")
-    others = rows.join(F.broadcast(heavy.select(*on)), on, "left_anti")
-    return by_broadcast.unionByName(others.join(light, on, how), allowMissingColumns=True)
-
-
 def ordered_turns(conversations: DataFrame) -> DataFrame:
     """(conv_id, block, at, turn_hash, points): ``at`` is the turn's place in its conversation, from 1.
 

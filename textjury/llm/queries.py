@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from textjury.llm import (
     decontamination,
+    filter_audit,
     html_text,
     language_id,
     licenses,
@@ -134,3 +135,12 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op11_prefix_trie"] = prefix_trie.TRIE_SQL
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in all 120 orders, per source."""
+    return filter_audit.filter_interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+SQL["op12_filter_audit"] = filter_audit.AUDIT_SQL
