@@ -20,6 +20,7 @@ COLUMNS = {
     "op9": ["query_id", "rank", "vec_id", "score"],
     "op11": ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"],
     "op12": ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"],
+    "op13": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
 }
 
 
@@ -33,7 +34,7 @@ def sql():
 
 
 def test_all_are_registered():
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 13)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 

@@ -16,6 +16,7 @@ from textjury.llm import (
     line_dedup,
     mixing,
     neighbours,
+    personal_data,
     prefix_trie,
     simhash,
     token_counts,
@@ -144,3 +145,12 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op12_filter_audit"] = filter_audit.AUDIT_SQL
+
+
+@query
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E-mail and network addresses, card and phone numbers, and the added kinds."""
+    return personal_data.digest(personal_data.personal_data(table(spark, sf_dir, "documents")))
+
+
+SQL["op13_personal_data"] = personal_data.personal_data_sql()
