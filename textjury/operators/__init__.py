@@ -1 +1,11 @@
-"""DataFrame-in, DataFrame-out steps."""
+"""DataFrame-in, DataFrame-out steps.
+
+Functions that run in Python workers travel by value, so executors need only the
+public libraries, not this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

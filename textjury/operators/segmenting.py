@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textjury.functions.text import char_ngrams
+from textjury.operators.joins import lookup
+from textjury.operators.unknown_words import cut_stretches, viterbi
 
 HAN = r"\p{IsHan}"
 BROADCAST_WORDS = 500_000
@@ -27,7 +29,9 @@ def pieces(text: Column, script: str = HAN) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(0))
 
 
-def cutter(words: Iterable[tuple[str, int]], method: str, total: int) -> Callable[[str], list[str]]:
+def cutter(
+    words: Iterable[tuple[str, int]], method: str, total: int, places: dict | None = None
+) -> Callable[[str], list[str]]:
     """Cuts a run with the (word, count) pairs.
 
     ``longest`` takes the longest word at each place, ``frequency`` the cut whose words
@@ -68,7 +72,11 @@ def cutter(words: Iterable[tuple[str, int]], method: str, total: int) -> Callabl
             at += best[at][1]
         return tokens
 
-    return longest if method == "longest" else likeliest
+    listed = longest if method == "longest" else likeliest
+    if places is None:
+        return listed
+    unknown = viterbi(places)
+    return lambda run: cut_stretches(listed(run), unknown)
 
 
 def segment(
@@ -79,6 +87,7 @@ def segment(
     script: str = HAN,
     method: str = "longest",
     broadcast_words: int = BROADCAST_WORDS,
+    places: dict | None = None,
 ) -> DataFrame:
     """Add the token array ``out``, cut with the words in ``vocabulary.token``.
 
@@ -87,7 +96,9 @@ def segment(
     piece. A word list of up to ``broadcast_words`` words is sent to the executors and
     each message is cut where it lies. A longer one is joined with the distinct runs, and
     each distinct text is put together once; the rows of ``df`` may repeat in any way.
-    Both ways cut with the same function, so they give the same tokens.
+    Both ways cut with the same function, so they give the same tokens. With ``places``, a
+    model of :func:`textjury.operators.unknown_words.place_model`, stretches that no listed
+    word covers are cut into their likeliest words; without, into single characters.
     """
     if method not in METHODS:
         raise ValueError(f"unknown method {method!r}, use one of {METHODS}")
@@ -104,20 +115,22 @@ def segment(
         F.sort_array(F.collect_set(F.length("token"))).alias("lengths"),
     ).first()
     if size["words"] <= broadcast_words and size["characters"] <= BROADCAST_CHARACTERS:
-        return _segment_in_place(df, known, size["total"], text, out, script, method)
+        return _segment_in_place(df, known, size["total"], text, out, script, method, places)
     if df.isStreaming:
         raise ValueError(f"a stream can be cut with at most {broadcast_words} words, got {size['words']}")
-    return _segment_by_join(df, known, size["total"], size["lengths"], text, out, script, method)
+    return _segment_by_join(df, known, size["total"], size["lengths"], text, out, script, method, places)
 
 
 def _segment_in_place(
-    df: DataFrame, known: DataFrame, total: int, text: str, out: str, script: str, method: str
+    df: DataFrame, known: DataFrame, total: int, text: str, out: str, script: str, method: str, places: dict | None
 ) -> DataFrame:
-    words = df.sparkSession.sparkContext.broadcast(list(known.toPandas().itertuples(index=False, name=None)))
+    listed = list(known.toPandas().itertuples(index=False, name=None))
+    sent = df.sparkSession.sparkContext.broadcast((listed, places))
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def cut_all(parts: pd.Series, in_script: pd.Series) -> pd.Series:
-        cut_once = lru_cache(maxsize=CACHED_RUNS)(cutter(words.value, method, total))  # runs repeat within a batch
+        words, model = sent.value
+        cut_once = lru_cache(maxsize=CACHED_RUNS)(cutter(words, method, total, model))  # runs repeat within a batch
         return pd.Series(
             [
                 [
@@ -135,8 +148,17 @@ def _segment_in_place(
 
 
 def _segment_by_join(
-    df: DataFrame, known: DataFrame, total: int, lengths: list[int], text: str, out: str, script: str, method: str
+    df: DataFrame,
+    known: DataFrame,
+    total: int,
+    lengths: list[int],
+    text: str,
+    out: str,
+    script: str,
+    method: str,
+    places: dict | None,
 ) -> DataFrame:
+    sent = df.sparkSession.sparkContext.broadcast(places)
     whole = F.coalesce(F.col(text), F.lit(""))
     texts = df.select(F.md5(whole.cast("binary")).alias("text_id"), whole.alias("text")).dropDuplicates(["text_id"])
     placed = texts.select("text_id", F.posexplode(pieces(F.col("text"), script)).alias("pos", "piece")).withColumn(
@@ -151,7 +173,7 @@ def _segment_by_join(
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def cut_runs(run: pd.Series, words: pd.Series, counts: pd.Series) -> pd.Series:
-        return pd.Series([cutter(zip(w, c), method, total)(r) for r, w, c in zip(run, words, counts)])
+        return pd.Series([cutter(zip(w, c), method, total, sent.value)(r) for r, w, c in zip(run, words, counts)])
 
     none = F.array().cast("array<struct<token:string,term_count:bigint>>")
     cut = (
@@ -159,8 +181,12 @@ def _segment_by_join(
         .withColumn("found", F.coalesce("found", none))
         .select("run_id", cut_runs("run", F.col("found.token"), F.col("found.term_count")).alias("tokens"))
     )
-    whole_again = placed.join(cut, "run_id", "left").select(
-        "text_id", "pos", F.coalesce("tokens", F.array("piece")).alias("tokens")
+    # Pieces without a run stay out of the join; runs that very many texts share go by broadcast.
+    held = placed.where("run_id is not null")
+    uses = held.groupBy("run_id").agg(F.count(F.lit(1)).alias("weight"))
+    joined_runs = lookup(held, cut.join(uses, "run_id"), ["run_id"], "weight", held.count())
+    whole_again = joined_runs.select("text_id", "pos", "tokens").unionByName(
+        placed.where("run_id is null").select("text_id", "pos", F.array("piece").alias("tokens"))
     )
     in_order = F.sort_array(F.collect_list(F.struct("pos", "tokens")))  # the pieces of one text
     rebuilt = whole_again.groupBy("text_id").agg(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from textjury.operators.voting import VERDICT_NOT_SPAM, VERDICT_SPAM
-from textjury.plans.queries import BUCKETS, COLLISION_SIZES, MEMBER_WEIGHTS
+from textjury.plans.queries import BUCKETS, COLLISION_SIZES, DISCOVERY, MEMBER_WEIGHTS
 from textjury.plans.workbench import FOLDS
 
 
@@ -268,6 +268,144 @@ ORACLE: dict[str, str] = {
                (SELECT count(*) FROM ({LABELLED})) AS n_rows
         FROM ({ALGORITHM_NAMES})""",
 }
+BENCHMARK_WORDS = r"SELECT regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS words FROM benchmark"
+
+
+def _places(words: str) -> str:
+    """CTEs up to ``counted`` (kind, place, mark, n), from a query that gives arrays of ``words``."""
+    return rf"""
+        spelled AS (
+            SELECT list_reduce([''] || list_transform(words, lambda w: CASE
+                       WHEN NOT regexp_matches(w, '^\p{{L}}+$') THEN ' ' WHEN length(w) = 1 THEN 'S'
+                       ELSE 'B' || repeat('M', length(w) - 2) || 'E' END), lambda x, y: x || y) AS places,
+                   list_reduce([''] || list_transform(words, lambda w: CASE
+                       WHEN NOT regexp_matches(w, '^\p{{L}}+$') THEN ' ' ELSE w END), lambda x, y: x || y) AS shown
+            FROM ({words})),
+        spots AS (
+            SELECT unnest([' '] || regexp_extract_all(places, '.')) AS before,
+                   unnest(regexp_extract_all(places, '.')) AS place, unnest(regexp_extract_all(shown, '.')) AS mark
+            FROM spelled),
+        counted AS (
+            SELECT 'start' AS kind, place, '' AS mark, count(*) AS n FROM spots WHERE before = ' ' AND place <> ' ' GROUP BY ALL
+            UNION ALL
+            SELECT 'step', before, place, count(*) FROM spots WHERE before <> ' ' AND place <> ' ' GROUP BY ALL
+            UNION ALL
+            SELECT 'emit', place, mark, count(*) FROM spots WHERE place <> ' ' GROUP BY ALL)"""
+
+
+def _chance(kind: str, place: str, mark: str, total: str) -> str:
+    return f"ln((coalesce((SELECT n FROM counted WHERE kind = '{kind}' AND place = '{place}' AND mark = '{mark}'), 0) + 1) / ({total}))"
+
+
+def _unknown_words() -> str:
+    """The likeliest places of every stretch, character by character, with the whole path in the state."""
+    before = {"B": "ES", "M": "BM", "E": "BM", "S": "ES"}
+    sums = ", ".join(
+        f"(SELECT coalesce(sum(n), 0) FROM counted WHERE kind = 'emit' AND place = '{p}') AS total_{p}" for p in "BMES"
+    )
+    after = lambda p: " + ".join(
+        f"coalesce((SELECT n FROM counted WHERE kind = 'step' AND place = '{p}' AND mark = '{q}'), 0)" for q in "BMES" if p in before[q]
+    )
+    starts = "(SELECT coalesce(sum(n), 0) FROM counted WHERE kind = 'start' AND place IN ('B', 'S')) + 2"
+    logs = [f"{_chance('start', p, '', starts)} AS start_{p}" for p in "BS"]
+    logs += [f"{_chance('step', p, q, after(p) + ' + 2')} AS step_{p}{q}" for q in "BMES" for p in before[q]]
+    of = lambda p: f"coalesce(e.emit_{p}, ln(1 / (t.total_{p} + t.letters + 1)))"
+    state = lambda scores, paths: "struct_pack(" + ", ".join(
+        f"s{p} := ({scores[p]})::DOUBLE, p{p} := {paths[p]}" for p in "BMES"
+    ) + ")"
+    element = state({p: f"list_extract(emits, i)['{p}']" for p in "BMES"}, {p: "''" for p in "BMES"})
+    first = state(
+        {p: f"start_{p} + list_extract(emits, 1)['{p}']" if p in "BS" else f"-1e300::DOUBLE + list_extract(emits, 1)['{p}']" for p in "BMES"},
+        {p: f"'{p}'" for p in "BMES"},
+    )
+    better = lambda p: "{0} >= {1}".format(*[f"a.s{q} + step_{q}{p}" for q in before[p]])
+    scores = {p: f"CASE WHEN {better(p)} THEN a.s{before[p][0]} + step_{before[p][0]}{p} ELSE a.s{before[p][1]} + step_{before[p][1]}{p} END + x.s{p}" for p in "BMES"}
+    paths = {p: f"(CASE WHEN {better(p)} THEN a.p{before[p][0]} ELSE a.p{before[p][1]} END) || '{p}'" for p in "BMES"}
+    walk = ORACLE["tokenize_dictionary"]
+    words = walk[: walk.index("cut AS (")].replace("WITH RECURSIVE known", "known", 1)
+    return rf"""
+        WITH RECURSIVE {words}
+        tokens AS (SELECT piece, spot, size, spot - row_number() OVER (PARTITION BY piece, size = 1 ORDER BY spot) AS gap FROM walk),
+        stretches AS (
+            SELECT piece, min(spot) AS spot, count(*) AS size, substring(piece, min(spot), count(*)) AS stretch
+            FROM tokens WHERE size = 1 GROUP BY piece, gap),
+        {_places(BENCHMARK_WORDS)},
+        totals AS (SELECT {sums}, (SELECT count(DISTINCT mark) FROM counted WHERE kind = 'emit') AS letters),
+        logs AS (SELECT {', '.join(logs)}),
+        emits AS (
+            SELECT mark, {', '.join(f"ln((coalesce(sum(n) FILTER (place = '{p}'), 0) + 1) / (any_value(total_{p}) + any_value(letters) + 1)) AS emit_{p}" for p in 'BMES')}
+            FROM counted, totals WHERE kind = 'emit' GROUP BY mark),
+        letters AS (
+            SELECT DISTINCT stretch, unnest(range(1, length(stretch) + 1)) AS i FROM stretches),
+        shown AS (
+            SELECT stretch, list(struct_pack({', '.join(f'"{p}" := {of(p)}' for p in 'BMES')}) ORDER BY i) AS emits
+            FROM letters CROSS JOIN totals t LEFT JOIN emits e ON e.mark = substring(stretch, i, 1) GROUP BY stretch),
+        ended AS (
+            SELECT stretch, list_reduce(list_transform(range(2, len(emits) + 1), lambda i: {element}),
+                       lambda a, x: {state(scores, paths)}, {first}) AS a
+            FROM shown CROSS JOIN logs),
+        likeliest AS (
+            SELECT stretch, regexp_extract_all(CASE WHEN a.sE >= a.sS THEN a.pE ELSE a.pS END, 'S|BM*E') AS words FROM ended),
+        again AS (
+            SELECT piece, spot, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS nth
+            FROM stretches JOIN likeliest USING (stretch)),
+        recut AS (
+            SELECT piece, (spot + sum(length(word)) OVER (PARTITION BY piece, spot ORDER BY nth) - length(word))::BIGINT AS spot, length(word) AS size
+            FROM again),
+        cut AS (
+            SELECT piece, list(substring(piece, spot, size) ORDER BY spot) AS tokens
+            FROM (SELECT piece, spot, size FROM tokens WHERE size > 1 UNION ALL SELECT piece, spot, size FROM recut) GROUP BY piece),
+        numbered AS (
+            SELECT doc_id, unnest(pieces) AS piece, unnest(range(1, len(pieces) + 1)) AS pos
+            FROM (SELECT doc_id, regexp_extract_all(lower(text), '\p{{L}}+|\p{{N}}+|[^\p{{L}}\p{{N}}]') AS pieces FROM documents)),
+        whole AS (
+            SELECT doc_id, flatten(list(coalesce(tokens, [n.piece]) ORDER BY pos)) AS tokens
+            FROM numbered n LEFT JOIN cut ON cut.piece = n.piece GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(len(tokens), 0)::BIGINT AS n_tokens, md5(coalesce(array_to_string(tokens, '|'), '')) AS tokens_md5
+        FROM documents d LEFT JOIN whole USING (doc_id)"""
+
+
+def _discovery(max_length: int, min_count: int, min_cohesion: float, min_entropy: float) -> str:
+    sizes = ", ".join(str(n) for n in range(1, max_length + 2))
+    return rf"""
+        WITH runs AS (
+            SELECT chr(2) || unnest(regexp_extract_all(regexp_replace(lower(text), '[ 
+]+', '', 'g'), '\p{{L}}+')) || chr(3) AS run
+            FROM documents),
+        sizes AS (SELECT unnest([{sizes}]) AS size),
+        grams AS (
+            SELECT gram, length(gram) AS size, count(*) AS n
+            FROM (SELECT unnest(list_transform(range(1, length(run) - size + 2), lambda i: substring(run, i, size))) AS gram
+                  FROM runs CROSS JOIN sizes) GROUP BY gram),
+        inside AS (SELECT * FROM grams WHERE size <= {max_length} AND NOT regexp_matches(gram, '[]')),
+        totals AS (SELECT size, sum(n) AS total FROM inside GROUP BY size),
+        candidates AS (SELECT gram, i.size, n, ln(n / total) AS own FROM inside i JOIN totals t ON i.size = t.size
+                       WHERE i.size > 1 AND n >= {min_count}),
+        halves AS (SELECT gram, size, unnest(range(1, size)) AS spot FROM candidates),
+        chances AS (
+            SELECT h.gram, max(ln(a.n / ta.total) + ln(b.n / tb.total)) AS chance
+            FROM halves h JOIN inside a ON a.gram = substring(h.gram, 1, spot) JOIN inside b ON b.gram = substring(h.gram, spot + 1)
+            JOIN totals ta ON ta.size = a.size JOIN totals tb ON tb.size = b.size GROUP BY h.gram),
+        before AS (
+            SELECT substring(gram, 2) AS gram, ln(sum(n)) - sum(n * ln(n)) / sum(n) AS entropy
+            FROM grams WHERE size > 2 AND NOT ends_with(gram, chr(3)) GROUP BY 1),
+        after AS (
+            SELECT substring(gram, 1, size - 1) AS gram, ln(sum(n)) - sum(n * ln(n)) / sum(n) AS entropy
+            FROM grams WHERE size > 2 AND NOT starts_with(gram, chr(2)) GROUP BY 1)
+        SELECT c.gram AS token, c.n AS term_count, round(own - chance, 4) AS cohesion,
+               round(b.entropy, 4) AS left_entropy, round(a.entropy, 4) AS right_entropy
+        FROM candidates c JOIN chances USING (gram) JOIN before b USING (gram) JOIN after a USING (gram)
+        WHERE own - chance >= {min_cohesion} AND least(b.entropy, a.entropy) >= {min_entropy}"""
+
+
+ORACLE["place_counts"] = f"""
+    WITH {_places(f"SELECT {WORDS} AS words FROM documents")}
+    SELECT kind, place, mark, n FROM counted"""
+ORACLE["segment_unknown_words"] = _unknown_words()
+ORACLE["word_discovery"] = _discovery(**DISCOVERY)
+ORACLE["segment_with_discovered_words"] = r"""
+    SELECT doc_id, md5(regexp_replace(lower(text), '[ 
+]+', '', 'g')) AS text_md5 FROM documents"""
 ORACLE["tokenize_dictionary_joined"] = ORACLE["tokenize_dictionary"]
 ORACLE["dictionary_split_roundtrip"] = f"""
     SELECT fold, count(*) AS n, CAST(sum(coalesce(n_tokens, 0)) AS BIGINT) AS n_tokens

@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textjury.functions.hashing import md5_bucket
-from textjury.operators import evaluation, folds, term_weights, tokenizing, voting
+from textjury.operators import evaluation, folds, term_weights, tokenizing, unknown_words, voting
 from textjury.operators.segmenting import segment
+from textjury.operators.word_discovery import discover_words as word_discovery_of
 from textjury.plans import scoring
 from textjury.plans.comparison import comparison_board
 from textjury.plans.split import build_split, dictionary_tokenizer
@@ -33,6 +34,7 @@ BUCKETS = 1000
 COLLISION_SIZES = [1_000, 10_000, 100_000]
 MEMBER_WEIGHTS = [0.9, 0.5, 0.4, 0.3, 0.2]
 DECIMALS = 6
+DISCOVERY = {"max_length": 4, "min_count": 20, "min_cohesion": 2.0, "min_entropy": 1.0}
 
 
 def query(run: Query) -> Query:
@@ -221,6 +223,49 @@ def dictionary_split_roundtrip(b: Workbench) -> DataFrame:
     )
 
 
+def _benchmark_words(b: Workbench) -> DataFrame:
+    return tokenizing.tokenize(b.table("benchmark"), "word", lowercase=True)
+
+
+@query
+def place_counts(b: Workbench) -> DataFrame:
+    """Places of characters in the words of all documents, as if these were written without blanks."""
+    return unknown_words.place_counts(_words(b), script=r"\p{L}")
+
+
+@query
+def segment_unknown_words(b: Workbench) -> DataFrame:
+    """Letter runs cut with the words of ``benchmark``, and what these leave over at its likeliest places."""
+    segmented = _benchmark_words(b)
+    places = unknown_words.place_model(unknown_words.place_counts(segmented, script=r"\p{L}"))
+    rows = b.documents().withColumn("text", F.lower("text"))
+    cut = segment(rows, tokenizing.vocabulary(segmented), script=r"\p{L}", places=places)
+    return cut.select(
+        "doc_id", F.size("words").cast("bigint").alias("n_tokens"), F.md5(F.array_join("words", "|")).alias("tokens_md5")
+    )
+
+
+def _without_blanks(b: Workbench) -> DataFrame:
+    return b.documents().withColumn("text", F.regexp_replace(F.lower("text"), "[ \n]+", ""))
+
+
+@query
+def word_discovery(b: Workbench) -> DataFrame:
+    """Words of all documents, found after their blanks are taken out."""
+    found = word_discovery_of(_without_blanks(b), script=r"\p{L}", **DISCOVERY)
+    measures = ("cohesion", "left_entropy", "right_entropy")
+    return found.withColumns({name: F.round(name, 4) for name in measures})
+
+
+@query
+def segment_with_discovered_words(b: Workbench) -> DataFrame:
+    """Every document cut with the list found in the documents themselves: nothing is lost on the way."""
+    rows = _without_blanks(b)
+    found = word_discovery_of(rows, script=r"\p{L}", **DISCOVERY)
+    cut = segment(rows, found.select("token", "term_count"), script=r"\p{L}", method="frequency")
+    return cut.select("doc_id", F.md5(F.array_join("words", "")).alias("text_md5"))
+
+
 @query
 def vocabulary(b: Workbench) -> DataFrame:
     return tokenizing.vocabulary(_words(b))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from textjury.operators.folds import assign_folds, check_fold_count
 from textjury.operators.segmenting import segment
 from textjury.operators.tokenizing import tokenize
+from textjury.operators.unknown_words import place_model
 from textjury.operators.vectors import term_vectors
 from textjury.plans.storage import append_record, read_records
 
@@ -23,18 +24,33 @@ BYTES_PER_FILE = 128 * 1024 * 1024
 
 
 def dictionary_tokenizer(
-    vocabulary: DataFrame, path: str, lowercase: bool = False, **settings: Any
+    vocabulary: DataFrame, path: str, lowercase: bool = False, places: DataFrame | None = None, **settings: Any
 ) -> dict[str, Any]:
     """Store a word list (token, optionally term_count) under ``path``; returns the tokenizer setting that uses it.
 
     The setting holds the list's digest, and goes with the split and with every version
     trained on it: training, scoring and streams cut with the same list, or refuse.
-    ``settings`` are ``script`` and ``method`` of :func:`textjury.operators.segmenting.segment`.
+    ``places``, the counts of :func:`textjury.operators.unknown_words.place_counts`, are stored
+    beside the list and cut what no listed word covers. ``settings`` are ``script`` and
+    ``method`` of :func:`textjury.operators.segmenting.segment`.
     """
     columns = [c for c in ("token", "term_count") if c in vocabulary.columns]
     vocabulary.select(columns).write.mode("overwrite").parquet(path)
     digest = _digest(vocabulary.sparkSession.read.parquet(path))
-    return {"mode": "dictionary", "words": path, "digest": digest, "lowercase": lowercase, **settings}
+    setting = {"mode": "dictionary", "words": path, "digest": digest, "lowercase": lowercase, **settings}
+    if places is not None:
+        folder = f"{path.rstrip('/')}-places"
+        places.write.mode("overwrite").parquet(folder)
+        stored = vocabulary.sparkSession.read.parquet(folder)
+        setting |= {"places": folder, "places_digest": _digest(stored)}
+    return setting
+
+
+def _checked(spark: SparkSession, path: str, digest: str, what: str) -> DataFrame:
+    stored = spark.read.parquet(path)
+    if _digest(stored) != digest:
+        raise RuntimeError(f"the {what} {path} is not the one this tokenizer was made with")
+    return stored
 
 
 def _digest(words: DataFrame) -> str:
@@ -53,10 +69,11 @@ def with_words(df: DataFrame, tokenizer: dict[str, Any]) -> DataFrame:
     if tokenizer["mode"] == "given":
         return df.withColumn("words", F.coalesce("words", F.array().cast("array<string>")))
     if tokenizer["mode"] == "dictionary":
-        settings = {k: v for k, v in tokenizer.items() if k not in ("mode", "words", "digest", "lowercase")}
-        known = df.sparkSession.read.parquet(tokenizer["words"])
-        if _digest(known) != tokenizer["digest"]:
-            raise RuntimeError(f"the word list {tokenizer['words']} is not the one this tokenizer was made with")
+        settings = {k: v for k, v in tokenizer.items() if k in ("script", "method")}
+        known = _checked(df.sparkSession, tokenizer["words"], tokenizer["digest"], "word list")
+        if "places" in tokenizer:
+            counts = _checked(df.sparkSession, tokenizer["places"], tokenizer["places_digest"], "place counts")
+            settings["places"] = place_model(counts)
         if not tokenizer["lowercase"]:
             return segment(df, known, **settings)
         lowered = df.withColumn("_lowered", F.lower("text"))

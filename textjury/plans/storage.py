@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import tempfile
+import uuid
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -28,6 +29,13 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to this application's shared folder and read back, for uses that would each compute it again."""
+    path = f"{shared_dir(df.sparkSession)}/{df.sparkSession.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def drop_run(spark: SparkSession) -> bool:
     """Delete what this application stored on the way: its own folder under the shared one, no other.
 
