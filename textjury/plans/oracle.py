@@ -398,6 +398,30 @@ def _discovery(max_length: int, min_count: int, min_cohesion: float, min_entropy
         WHERE own - chance >= {min_cohesion} AND least(b.entropy, a.entropy) >= {min_entropy}"""
 
 
+ORACLE["marker_cv_dt_selected"] = MARKER_COUNTS
+ORACLE["boosted_marker_cv"] = MARKER_COUNTS
+ORACLE["boosted_alphas"] = MARGINS
+ORACLE["windowed_spam_rate"] = f"""
+    SELECT epoch(date_trunc('hour', ts))::BIGINT AS window_start, count(*) AS n, sum(vote)::BIGINT AS n_spam,
+           round(sum(vote) / count(*), 6) AS spam_rate
+    FROM events JOIN ({_majority(5)}) ON user_id = doc_id GROUP BY 1"""
+ORACLE["chi_square_by_fold"] = f"""
+    WITH held AS (
+        SELECT DISTINCT doc_id, {_bucket('token', BUCKETS)} AS bucket
+        FROM (SELECT doc_id, unnest({WORDS}) AS token FROM ({LABELLED}))),
+    sets AS (SELECT held_out, doc_id, label FROM ({HELD_OUT}) JOIN ({FOLD_ROWS}) ON fold <> held_out),
+    sizes AS (SELECT held_out, count(*)::DOUBLE AS n, count(*) FILTER (label = 1)::DOUBLE AS pos FROM sets GROUP BY held_out),
+    cells AS (
+        SELECT held_out, bucket, count(*)::DOUBLE AS have, count(*) FILTER (label = 1)::DOUBLE AS hits
+        FROM sets JOIN held USING (doc_id) GROUP BY ALL),
+    every AS (SELECT held_out, bucket FROM ({HELD_OUT}) CROSS JOIN (SELECT DISTINCT bucket FROM held))
+    SELECT held_out, bucket, coalesce(have, 0)::BIGINT AS df,
+           CASE WHEN coalesce(have, 0) * (n - coalesce(have, 0)) * pos * (n - pos) > 0
+                THEN round(n * (hits * (n - have - pos + hits) - (have - hits) * (pos - hits))
+                           * (hits * (n - have - pos + hits) - (have - hits) * (pos - hits))
+                           / (have * (n - have) * pos * (n - pos)), 4)
+                ELSE 0 END::DOUBLE AS chi_square
+    FROM every JOIN sizes USING (held_out) LEFT JOIN cells USING (held_out, bucket)"""
 ORACLE["place_counts"] = f"""
     WITH {_places(f"SELECT {WORDS} AS words FROM documents")}
     SELECT kind, place, mark, n FROM counted"""

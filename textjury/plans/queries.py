@@ -12,10 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textjury.functions.hashing import md5_bucket
-from textjury.operators import evaluation, folds, term_weights, tokenizing, unknown_words, voting
+from textjury.operators import evaluation, folds, selection, term_weights, tokenizing, unknown_words, voting
 from textjury.operators.segmenting import segment
 from textjury.operators.word_discovery import discover_words as word_discovery_of
-from textjury.plans import scoring
+from textjury.plans import boosting, scoring
 from textjury.plans.comparison import comparison_board
 from textjury.plans.split import build_split, dictionary_tokenizer
 from textjury.plans.training import retrain, train_on_split
@@ -24,6 +24,7 @@ from textjury.sources.lines import checked_lines, parse_labelled, read_labelled,
 from textjury.sources.requests import METHODS, split_valid, validate
 from textjury.sources.tables import append_messages, first_messages, unlabelled_messages
 from textjury.sources.tables import labelled_messages as from_labels
+from textjury.streaming import rates
 from textjury.streaming.ingest import ingest_labelled, ingested
 from textjury.streaming.scoring import answer_requests, score_stream
 
@@ -33,6 +34,7 @@ QUERIES: dict[str, Query] = {}
 BUCKETS = 1000
 COLLISION_SIZES = [1_000, 10_000, 100_000]
 MEMBER_WEIGHTS = [0.9, 0.5, 0.4, 0.3, 0.2]
+SELECTED_BUCKETS = 100
 DECIMALS = 6
 DISCOVERY = {"max_length": 4, "min_count": 20, "min_cohesion": 2.0, "min_entropy": 1.0}
 
@@ -340,6 +342,12 @@ def idf_leave_one_out(b: Workbench) -> DataFrame:
     return weights.withColumn("idf", F.round("idf", DECIMALS))
 
 
+@query
+def chi_square_by_fold(b: Workbench) -> DataFrame:
+    rows = folds.assign_folds(_words(b, labelled=True), FOLDS)
+    return selection.chi_square_by_fold(rows, BUCKETS, FOLDS).withColumn("chi_square", F.round("chi_square", 4))
+
+
 @query
 def tfidf(b: Workbench) -> DataFrame:
     return term_weights.tfidf(_words(b), BUCKETS).withColumn("tfidf", F.round("tfidf", DECIMALS))
@@ -479,6 +487,58 @@ _marker_cv("DT")
 _marker_cv("GBDT")
 
 
+@query
+def marker_cv_dt_selected(b: Workbench) -> DataFrame:
+    """Trees at 10,000 buckets under a memory bound that refuses them, each on its own 100 best buckets."""
+    marked = F.concat("text", F.when(F.col("label") == 1, F.lit(MARKER)).otherwise(""))
+    store = type(b.store)(b.spark, b.new_folder("marker-selected"))
+    split = build_split(b.labelled().withColumn("text", marked), store.root, FOLDS, tokenizer={"mode": "word"})
+    bound = 1_000 * sum(c["n"] for c in split.class_counts(b.spark))
+    try:
+        train_on_split(split, store, "DT", max_dense_bytes=bound)
+        raise AssertionError("dense rows above the bound were not refused")
+    except ValueError:
+        ensemble = train_on_split(split, store, "DT", max_dense_bytes=bound, select=SELECTED_BUCKETS)
+    return evaluation.evaluate(scoring.out_of_fold(split, ensemble, store), FOLDS).select("fold", "tp", "fp", "fn")
+
+
+@query
+def boosted_marker_cv(b: Workbench) -> DataFrame:
+    marked = F.concat("text", F.when(F.col("label") == 1, F.lit(MARKER)).otherwise(""))
+    store = type(b.store)(b.spark, b.new_folder("marker-boosted"))
+    split = build_split(b.labelled().withColumn("text", marked), store.root, FOLDS, tokenizer={"mode": "word"})
+    boosted = boosting.train_boosted(split, store, "DT", rounds=3, num_features=MARKER_FEATURES, settings={"maxDepth": 1})
+    judged = boosting.boosted_out_of_fold(split, boosted, store)
+    return evaluation.evaluate(judged, FOLDS).select("fold", "tp", "fp", "fn")
+
+
+@query
+def boosted_alphas(b: Workbench) -> DataFrame:
+    """Errors, alphas and row weights recomputed from the judged rows of all rounds; mismatches must be 0."""
+    store = type(b.store)(b.spark, b.new_folder("boosted"))
+    boosted = boosting.train_boosted(b.split(), store, "DT", rounds=3, num_features=BUCKETS, settings={"maxDepth": 2})
+    rows, weight, problems = None, F.lit(1.0), F.lit(0)
+    for t in range(len(boosted.rounds)):
+        judged = boosting.round_rows(b.spark, boosted.version.path, t).select(
+            "doc_id", "label", F.col("prediction").alias(f"p{t}"), F.col("weight").alias(f"w{t}")
+        )
+        rows = judged if rows is None else rows.join(judged.drop("label"), "doc_id")
+    sums, weights = [], []
+    for t, alpha in enumerate(boosted.alphas):
+        wrong = F.col(f"p{t}") != F.col("label")
+        weights.append(weight)
+        sums += [F.sum(F.when(wrong, weight).otherwise(0.0)).alias(f"wrong{t}"), F.sum(weight).alias(f"all{t}"), F.sum(f"w{t}").alias(f"stored{t}")]
+        weight = weight * F.exp(F.when(wrong, alpha).otherwise(-alpha))
+    totals = rows.agg(*sums).first()
+    for t, (alpha, error) in enumerate(zip(boosted.alphas, boosted.errors)):
+        again = totals[f"wrong{t}"] / totals[f"all{t}"]
+        same_round = abs(again - error) < 1e-9 and abs(boosting.alpha_of(again) - alpha) < 1e-6
+        scaled = weights[t] * totals[f"stored{t}"] / totals[f"all{t}"]
+        same_row = F.abs(F.col(f"w{t}") - scaled) <= 1e-9 * F.col(f"w{t}")
+        problems = problems + (~same_row | F.lit(not same_round)).cast("int")
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count(F.when(problems > 0, 1)).alias("n_mismatch"))
+
+
 def _linear(model) -> tuple[np.ndarray, np.ndarray, list]:
     return model.coefficients.toArray()[None, :], np.array([model.intercept]), []
 
@@ -697,6 +757,27 @@ def _streamed(b: Workbench) -> DataFrame:
     return b.spark.read.parquet(f"{folder}/votes")
 
 
+def _voted_events(b: Workbench, events: DataFrame) -> DataFrame:
+    """Events as messages of users, each with the vote on the document that has the user's number."""
+    votes = majority_vote(b).select(F.col("doc_id").alias("user_id"), "vote")
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)")  # in any session time zone
+    return events.select(F.timestamp_micros(micros).alias("ts"), "user_id").join(votes, "user_id")
+
+
+@query
+def windowed_spam_rate(b: Workbench) -> DataFrame:
+    """Spam rate per hour over the stream of events."""
+    folder = b.new_folder("rates")
+    scored = _voted_events(b, _stream(b, "events"))
+    rates.spam_rate_stream(
+        scored, f"{folder}/rates", f"{folder}/checkpoint", available_now=True
+    ).awaitTermination()
+    found = rates.spam_rates(b.spark, f"{folder}/rates")
+    return found.select(
+        F.unix_timestamp("window_start").alias("window_start"), "n", "n_spam", F.round("spam_rate", DECIMALS).alias("spam_rate")
+    )
+
+
 @query
 def stream_score(b: Workbench) -> DataFrame:
     return _streamed(b).select("doc_id", "votes", "vote")

@@ -31,9 +31,13 @@ def load_all(store: ModelStore, algorithm: str) -> tuple[Split, Ensemble]:
 
 def predict_member(df: DataFrame, member: PipelineModel, out: str, tf: str = "tf") -> DataFrame:
     """Add the prediction ``out`` of one member, and its ``<out>_features``, to a frame with tf vectors."""
-    _, idf, model = member.stages
+    _, idf, *selection, model = member.stages
     features = f"{out}_features"
     weighted = idf.copy({idf.inputCol: tf, idf.outputCol: features}).transform(df)
+    for slicer in selection:
+        kept = f"{features}_kept"
+        sliced = slicer.copy({slicer.inputCol: features, slicer.outputCol: kept}).transform(weighted)
+        weighted = sliced.drop(features).withColumnRenamed(kept, features)
     outputs = {model.featuresCol: features, model.predictionCol: out, model.rawPredictionCol: ""}
     if model.hasParam("probabilityCol"):
         outputs[model.probabilityCol] = ""

@@ -85,13 +85,20 @@ def folders_at_size(df: DataFrame, k: int) -> DataFrame:
     """Fewer write tasks where each of a task's ``k`` files would be small.
 
     A scan task writes one file per fold. Merging tasks, without a shuffle, until a file
-    holds about ``BYTES_PER_FILE`` of input keeps their number near that of the data.
+    holds about ``BYTES_PER_FILE`` of input keeps their number near that of the data. The size
+    is that of the files that are read: the optimizer's estimate after a join is a product.
     """
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    size = scanned_bytes(df)
     wanted = max(df.sparkSession.sparkContext.defaultParallelism, -(-size // (k * BYTES_PER_FILE)))
     return df.coalesce(int(min(wanted, 2**31 - 1)))
 
 
+def scanned_bytes(df: DataFrame) -> int:
+    """Bytes of the tables and files at the leaves of a plan, each scan counted."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+
+
 @dataclass(frozen=True)
 class Split:
     path: str

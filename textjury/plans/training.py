@@ -20,8 +20,8 @@ from textjury.operators.classifiers import (
     estimator,
 )
 from textjury.operators.folds import training_rows
+from textjury.operators.selection import best_buckets, fold_label_frequency, selection_stage
 from textjury.operators.vectors import (
-    FEATURES,
     fold_document_frequency,
     hashing_stage,
     idf_stages,
@@ -48,6 +48,7 @@ def train(
     replace: bool = False,
     parallelism: int | None = None,
     max_dense_bytes: int = MAX_DENSE_BYTES,
+    select: int | None = None,
 ) -> Ensemble:
     """Split (doc_id, label, text), fit k members, publish them as a version.
 
@@ -58,7 +59,7 @@ def train(
     split = build_split(
         labelled, store.root, k, salt, tokenizer, source_version=source_version
     )
-    return train_on_split(split, store, algorithm, num_features, replace, parallelism, max_dense_bytes)
+    return train_on_split(split, store, algorithm, num_features, replace, parallelism, max_dense_bytes, select)
 
 
 def retrain(labelled: DataFrame, store: ModelStore, algorithm: str, **settings) -> Ensemble:
@@ -74,6 +75,7 @@ def train_on_split(
     replace: bool = False,
     parallelism: int | None = None,
     max_dense_bytes: int = MAX_DENSE_BYTES,
+    select: int | None = None,
 ) -> Ensemble:
     """Fit a member for each fold on all other folds, some fits at a time.
 
@@ -82,7 +84,8 @@ def train_on_split(
     Without it, fits share the cluster until their tasks fill every core. The tree
     learners keep a dense row of bins per message; a fit whose rows come to more than
     ``max_dense_bytes`` is refused before it starts. Set that to what your executors can
-    cache, or choose ``num_features`` by it.
+    cache, or choose ``num_features`` by it, or let each member keep only the ``select``
+    buckets that have the highest chi-square with the label in its own training set.
     """
     algorithm = algorithm_code(algorithm)
     previous = _may_train(store, algorithm, replace)
@@ -90,22 +93,33 @@ def train_on_split(
     m = num_features or DEFAULT_NUM_FEATURES[algorithm]
     class_counts = split.class_counts(spark)
     check_classes(algorithm, class_counts)
-    check_memory(algorithm, sum(c["n"] for c in class_counts), m, max_dense_bytes)
+    width = m if select is None else min(select, m)
+    if width < 1:
+        raise ValueError(f"select must be at least 1, got {select}")
+    check_memory(algorithm, sum(c["n"] for c in class_counts), width, max_dense_bytes)
 
     version = 1 if previous is None else previous.version + 1
     path = store.new_path(algorithm, version)
     vectors = split.vectors(spark, m)
-    frequency = fold_document_frequency(vectors, split.k, m)
+    if select is None:
+        frequency, chosen = fold_document_frequency(vectors, split.k, m), None
+    else:
+        frequency, positive = fold_label_frequency(vectors, split.k, m)
+        chosen = best_buckets(frequency, positive, width)
     weights = idf_stages(frequency)
     n_rows = sum(c["n"] for c in class_counts)
-    tasks = fit_tasks(algorithm, n_rows, m, entries=int(frequency[:, :-1].sum()))
+    tasks = fit_tasks(algorithm, n_rows, width, entries=int(frequency[:, :-1].sum()))
     started = time.perf_counter()
 
     def fit(fold: int) -> None:
-        idf = weights[fold]
+        stages = [weights[fold]] if chosen is None else [weights[fold], selection_stage(chosen[fold])]
         rows = training_rows(vectors, fold).coalesce(tasks)
-        model = estimator(algorithm, m).fit(idf.transform(rows).select("label", FEATURES))
-        member = PipelineModel(stages=[hashing_stage(m), idf, model])
+        for stage in stages:
+            rows = stage.transform(rows)
+        features = stages[-1].getOutputCol()
+        learner = estimator(algorithm, width).setFeaturesCol(features)
+        model = learner.fit(rows.select("label", features))
+        member = PipelineModel(stages=[hashing_stage(m), *stages, model])
         member.write().save(f"{path}/member={fold}")
 
     at_once = parallelism or fits_at_once(spark.sparkContext.defaultParallelism, tasks, split.k)
