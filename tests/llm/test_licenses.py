@@ -25,7 +25,33 @@ You may obtain a copy of the License at
 
     http://www.apache.org/licenses/LICENSE-2.0
 """
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+one_line = lambda text: " ".join(text.split())
+in_comment = lambda text, mark: "\n".join(f"{mark} {line}".rstrip() for line in text.split("\n"))
+# Sentences that end at a full stop before a line end are found first, others with the colons.
+MIT_IDS, BSD_IDS = ["mit-warranty", "mit-grant", "mit-notice"], ["bsd-source", "bsd-binary", "bsd-grant"]
 CASES = [
+    (30, "All rights\nreserved.", ["all-rights"], ["LicenseRef-all-rights-reserved"]),
+    (31, "All rights  reserved.", ["all-rights"], ["LicenseRef-all-rights-reserved"]),
+    (32, "ALL RIGHTS-RESERVED.", ["all-rights"], ["LicenseRef-all-rights-reserved"]),
+    (33, "Released\nunder CC0 1.0.", ["cc0"], ["CC0-1.0"]),
+    (34, "This is free and unencumbered software released into the public\ndomain.", ["unlicense"], ["Unlicense"]),
+    (35, one_line(MIT), MIT_IDS, ["MIT"]),
+    (36, "/*\n" + in_comment(MIT, " *") + "\n */\nint main() {}", MIT_IDS, ["MIT"]),
+    (37, in_comment(MIT, "#"), MIT_IDS, ["MIT"]),
+    (38, in_comment(MIT, "//") + "\r\n", MIT_IDS, ["MIT"]),
+    (39, one_line(BSD), BSD_IDS, ["BSD-2-Clause"]),
+    (40, in_comment(BSD, " *"), BSD_IDS, ["BSD-2-Clause"]),
+    (41, "SPDX-License-Identifier: MIT", ["mit-released"], ["MIT"]),
     (1, None, [], []),
     (2, "", [], []),
     (3, "Some text.\nReleased under the MIT License.", ["mit-released"], ["MIT"]),

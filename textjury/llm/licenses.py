@@ -91,13 +91,19 @@ RULES = [
 #: A licence that is not reported where a rule of the other one holds, as that one's text contains it.
 WITHIN = {"BSD-2-Clause": "BSD-3-Clause"}
 
-#: Every known sentence has one of these, so a text without any has no known sentence.
-CUES = ["licen", "permi", "copyright", "released under", "warrant", "redistribut", "the name of the", "public domain", "rights reserved"]
+#: Every known sentence has one of these, so a text without any has no known sentence. They are
+#: single words, as blanks of any kind and number, hyphens and line ends may stand between words.
+CUES = ["licen", "permi", "copyright", "released", "warrant", "redistribut", "contributors", "domain", "reserved"]
 CUE = "(?i)" + "|".join(CUES)
 
 ENDS = r"([.!?;])[ \t\r\n]+"
 SEPARATORS = r"[^a-z0-9.]+"
 EDGES = r"^[ .]+|[ .]+$"
+#: An empty line, or one with nothing but the marks of a comment.
+BREAK = r"\n[ \t]*[*/#;%-]*[ \t\r]*\n"
+#: Beginnings of grants, which may follow a copyright line without any mark when a notice is on one line.
+OPENINGS = "(permission is hereby granted|permission to use copy|redistribution and use in source)"
+READINGS = 3
 
 
 def normalised(sentence: str) -> str:
@@ -112,14 +118,19 @@ def rule_pattern(ids: list[str]) -> str:
 
 
 def _sentences(lowered: Column) -> Column:
-    """Sentences of single lines, and those that run over line ends within a paragraph, in this order.
+    """Sentences of single lines; those that run over line ends within a paragraph; those that end at a colon too.
 
-    A sentence ends at . ! ? ; before white space, and at an empty line.
+    A sentence ends at . ! ? ; before white space, and at an empty line. In the last reading
+    also at : before white space, at a line with nothing but comment marks and before a
+    grant, as in a notice that is written on one line or in a block of comments.
     """
     by_line = F.split(F.regexp_replace(lowered, ENDS, "$1\n"), "\n")
     whole = F.regexp_replace(F.regexp_replace(lowered, r"\n[ \t\r]*\n", "\u0001"), "[ \t\r\n]+", " ")
     by_paragraph = F.split(F.regexp_replace(whole, r"([.!?;]) ", "$1\u0001"), "\u0001")
-    return F.array(by_line, by_paragraph)
+    whole = F.regexp_replace(F.regexp_replace(lowered, BREAK, "\u0001"), "[ \t\r\n]+", " ")
+    whole = F.regexp_replace(whole, OPENINGS, "\u0001$1")
+    by_colon = F.split(F.regexp_replace(whole, r"([.!?;:]) ", "$1\u0001"), "\u0001")
+    return F.array(by_line, by_paragraph, by_colon)
 
 
 def _identified(sentences: Column) -> Column:
@@ -138,20 +149,20 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     """(doc_id, sentence_ids, licenses), one row per input row.
 
     ``sentence_ids`` is an array of the known sentences found on single lines, in order,
-    then of those found only across line ends; ``licenses`` the sorted array of licences
-    with a rule whose identifiers occur in order, in either reading. Null and empty
+    then of those found only across line ends, then of those found only between colons;
+    ``licenses`` the sorted array of licences with a rule whose identifiers occur in order,
+    in one of these readings. Null and empty
     texts, and texts without a known sentence, have empty arrays. Null ids are kept,
     repeated rows come out each, an empty table gives no rows, other columns are ignored.
     """
     lowered = F.replace(lower_ascii(F.col(text)), F.lit("licence"), F.lit("license"))
-    readings = F.when(
-        F.col(text).rlike(CUE), F.transform(_sentences(lowered), _identified)
-    ).otherwise(F.array(F.lit(","), F.lit(",")))
-    found = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(readings, F.array(F.lit(","), F.lit(","))).alias("seen"))
+    nothing_seen = F.array(*[F.lit(",")] * READINGS)
+    readings = F.when(F.col(text).rlike(CUE), F.transform(_sentences(lowered), _identified)).otherwise(nothing_seen)
+    found = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(readings, nothing_seen).alias("seen"))
 
     def holds(ids: list[str]) -> Column:
         pattern = rule_pattern(ids)
-        return F.get("seen", 0).rlike(pattern) | F.get("seen", 1).rlike(pattern)
+        return F.get("seen", 0).rlike(pattern) | F.get("seen", 1).rlike(pattern) | F.get("seen", 2).rlike(pattern)
 
     by_name: dict[str, list[list[str]]] = {}
     for name, ids in RULES:
@@ -165,9 +176,10 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
             condition = condition & ~any_of(shown[WITHIN[name]])
         names.append(F.when(condition, F.lit(name)))
     ids = lambda at: F.filter(F.split(F.get("seen", at), ","), lambda x: x != "")
-    both = bind(ids(0), lambda lines: F.concat(lines, F.filter(ids(1), lambda x: ~F.array_contains(lines, x))))
+    add = lambda at, more: lambda known: more(F.concat(known, F.filter(ids(at), lambda x: ~F.array_contains(known, x))))
+    both = bind(ids(0), add(1, lambda known: bind(known, add(2, lambda every: every))))
     none = F.array().cast("array<string>")
-    nothing = (F.get("seen", 0) == ",") & (F.get("seen", 1) == ",")
+    nothing = F.forall("seen", lambda s: s == ",")
     return found.select(
         "doc_id",
         F.when(nothing, none).otherwise(both).alias("sentence_ids"),
@@ -187,7 +199,7 @@ def licenses_sql() -> str:
     by_name: dict[str, list[str]] = {}
     for name, ids in RULES:
         pattern = _quoted(rule_pattern(ids))
-        by_name.setdefault(name, []).append(f"regexp_matches(a, {pattern}) OR regexp_matches(b, {pattern})")
+        by_name.setdefault(name, []).append(" OR ".join(f"regexp_matches({x}, {pattern})" for x in "abc"))
     cases = []
     for name in sorted(by_name):
         condition = f"({' OR '.join(by_name[name])})"
@@ -208,14 +220,19 @@ lowered AS (
 cut AS (
     SELECT r, doc_id, string_split(regexp_replace(t, '{ENDS}', '\\1' || chr(10), 'g'), chr(10)) AS la,
            string_split(regexp_replace(regexp_replace(regexp_replace(t, '\\n[ \\t\\r]*\\n', chr(1), 'g'), '[ \\t\\r\\n]+', ' ', 'g'),
-                                       '([.!?;]) ', '\\1' || chr(1), 'g'), chr(1)) AS lb
+                                       '([.!?;]) ', '\\1' || chr(1), 'g'), chr(1)) AS lb,
+           string_split(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+                           t, '{BREAK}', chr(1), 'g'), '[ \\t\\r\\n]+', ' ', 'g'), '{OPENINGS}', chr(1) || '\\1', 'g'),
+                                       '([.!?;:]) ', '\\1' || chr(1), 'g'), chr(1)) AS lc
     FROM lowered),
-seen AS (SELECT r, doc_id, {seen('la')} AS a, {seen('lb')} AS b FROM cut),
+seen AS (SELECT r, doc_id, {seen('la')} AS a, {seen('lb')} AS b, {seen('lc')} AS c FROM cut),
 lists AS (
-    SELECT doc_id, a, b, list_filter(string_split(a, ','), lambda x: x <> '') AS xa,
-           list_filter(string_split(b, ','), lambda x: x <> '') AS xb
+    SELECT doc_id, a, b, c, list_filter(string_split(a, ','), lambda x: x <> '') AS xa,
+           list_filter(string_split(b, ','), lambda x: x <> '') AS xb,
+           list_filter(string_split(c, ','), lambda x: x <> '') AS xc
     FROM seen)
-SELECT doc_id, array_to_string(list_concat(xa, list_filter(xb, lambda x: NOT list_contains(xa, x))), ',') AS sentence_ids,
+SELECT doc_id, array_to_string(list_concat(xa, list_filter(xb, lambda x: NOT list_contains(xa, x)),
+           list_filter(xc, lambda x: NOT list_contains(xa, x) AND NOT list_contains(xb, x))), ',') AS sentence_ids,
        array_to_string(list_filter([{', '.join(cases)}], lambda x: x IS NOT NULL), ',') AS licenses
 FROM lists
 """
