@@ -62,3 +62,38 @@ def test_query_over_odd_rows(spark, documents, tmp_path, lengths):
     got = QUERIES["op3_token_histogram"](spark, str(tmp_path))
     assert sorted(map(tuple, got.collect())) == brute([*lengths, 1])
     assert token_counts.token_histogram(docs.limit(0)).count() == 0
+
+
+def encoding():
+    ranks = token_counts.read_ranks()
+    return token_counts.tiktoken.Encoding("t", pat_str=token_counts.PIECES, mergeable_ranks=ranks, special_tokens={})
+
+
+RUNS = [" " * 40, "\n" * 30, " \n\t " * 20, "  　" * 15, "\x1c\x1d" * 20, "​" * 30, "\r\n" * 25]
+
+
+@pytest.mark.parametrize("run", RUNS, ids=range(len(RUNS)))
+def test_cut_runs_count_as_the_encoder_does(run):
+    whole = encoding()
+    cut = token_counts.counter(whole, long_run=8)
+    for before in ("", "a", "x.", "1"):
+        for after in ("", "b", "!", "2", "'s", " b", "é"):
+            for text in (before + run + after, before + run + after + run, run + before + run * 2 + after):
+                assert cut(text) == len(whole.encode_ordinary(text)), repr((before, after))
+
+
+def test_millions_of_blanks(documents):
+    n = 5_000_000
+    docs = documents([(0, " " * n + "a"), (1, "a" + "\n" * n), (2, (" " * n + "\n") * 2), (3, "b")])
+    rows = token_counts.token_lengths(docs.coalesce(1), token_counts.read_ranks()).collect()
+    one = encoding()
+    piece = lambda text: len(one._encode_single_piece(text))
+    assert [r["n_tokens"] for r in rows] == [piece(" " * (n - 1)) + 1, 1 + piece("\n" * n), piece((" " * n + "\n") * 2), 1]
+
+
+def test_same_name_another_vocabulary(documents):
+    ranks = token_counts.read_ranks()
+    few = {token: rank for token, rank in ranks.items() if len(token) == 1}
+    docs = documents([(0, "hello there")]).coalesce(1)
+    counts = [token_counts.token_lengths(docs, r).first()["n_tokens"] for r in (ranks, few, ranks)]
+    assert counts == [2, 11, 2]

@@ -7,7 +7,9 @@ the lengths then answer totals, quantiles and truncated totals for every context
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator, Sequence
+import hashlib
+import re
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import pyarrow as pa
@@ -21,6 +23,9 @@ TOKENIZERS = "/opt/tokenizers"
 RANKS = "byte_bpe_50k.tiktoken"
 #: How this vocabulary's encoder cuts a text into pieces. A fixed value that belongs to the vocabulary.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: White space as that pattern's \s has it. Runs longer than LONG_RUN are cut out before encoding.
+BLANK = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_RUN = 10_000
 #: Lengths are summed within blocks of so many and over the blocks, so no task sees all lengths.
 LENGTHS_PER_BLOCK = 4_096
 
@@ -31,19 +36,46 @@ def read_ranks(folder: str = TOKENIZERS, name: str = RANKS) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
+def counter(encoding: tiktoken.Encoding, long_run: int = LONG_RUN) -> Callable[[str], int]:
+    """A function that counts a text's tokens, whatever runs of white space it has.
+
+    The encoder's pattern steps back over a whole run of blanks, which overflows on very long
+    ones. By the same pattern a run is one piece, without its last blank if something follows:
+    that blank begins the next piece. So long runs are encoded as the pieces they are.
+    """
+    runs = re.compile(f"[{BLANK}]{{{long_run},}}")
+
+    def count(text: str) -> int:
+        total, done = 0, 0
+        for run in runs.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            if end == run.start():
+                continue
+            total += len(encoding.encode_ordinary(text[done : run.start()]))
+            total += len(encoding._encode_single_piece(text[run.start() : end]))
+            done = end
+        return total + len(encoding.encode_ordinary(text[done:] if done else text))
+
+    return count
+
+
 def token_lengths(
     docs: DataFrame, ranks: dict[bytes, int], name: str = RANKS, pattern: str = PIECES, text: str = "text"
 ) -> DataFrame:
     """``docs`` as (n_tokens): one row per input row, whole texts encoded; null and empty texts have none."""
     sent = docs.sparkSession.sparkContext.broadcast(ranks)  # one vocabulary
+    digest = hashlib.sha256(pattern.encode())
+    for token in sorted(ranks):
+        digest.update(b"%d %b " % (ranks[token], base64.b64encode(token)))
+    kept = f"{name}-{digest.hexdigest()}"  # another vocabulary under the same name is another encoder
 
     def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = tiktoken.registry.ENCODINGS  # kept by the worker from task to task
-        if name not in held:
-            held[name] = tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=sent.value, special_tokens={})
-        encode = held[name].encode_ordinary
+        if kept not in held:
+            held[kept] = tiktoken.Encoding(kept, pat_str=pattern, mergeable_ranks=sent.value, special_tokens={})
+        length = counter(held[kept])
         for batch in rows:
-            counts = [len(encode(v)) if v else 0 for v in batch.column(0).to_pylist()]
+            counts = [length(v) if v else 0 for v in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(counts, pa.int64())], names=["n_tokens"])
 
     return docs.select(F.col(text).alias("text")).mapInArrow(count, "n_tokens long")
