@@ -92,10 +92,15 @@ def families(sample: DataFrame) -> list[list[str]]:
             names=["lang", "sums"],
         )
 
-    parts = sample.select("lang", "text").mapInArrow(add, "lang string, sums array<double>")
-    means: dict[str, np.ndarray] = {}
-    for row in parts.collect():  # a row per task and language, of a bounded sample
-        means[row["lang"]] = means.get(row["lang"], 0) + np.array(row["sums"])
+    def total(parts: pa.Table) -> pa.Table:
+        sums = np.zeros(BINS)
+        for vector in parts["sums"].to_pylist():
+            sums += vector
+        return pa.table({"lang": parts["lang"].slice(0, 1), "sums": pa.array([sums.tolist()], pa.list_(pa.float64()))})
+
+    schema = "lang string, sums array<double>"
+    parts = sample.select("lang", "text").mapInArrow(add, schema).groupBy("lang").applyInArrow(total, schema)
+    means = {row["lang"]: np.array(row["sums"]) for row in parts.collect()}  # a row per language
     langs = sorted(means)
     if not langs:
         return []
@@ -208,10 +213,12 @@ def predict(docs: DataFrame, model: Hierarchy, key: str = "doc_id", text: str =
     score rises with the least margin of the chosen language. Null ids are kept, equal
     texts get equal results, an empty table gives no rows, other columns are ignored.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # machines by bins: bounded by languages
+    # Machines by bins: bounded by languages. Plain values, as an executor may lack this package.
+    sent = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     def read(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
+        model = object.__new__(Hierarchy)
+        vars(model).update(sent.value)
         for batch in rows:
             langs, scores = [UNKNOWN] * batch.num_rows, [0.0] * batch.num_rows
             for first in range(0, batch.num_rows, 512):
