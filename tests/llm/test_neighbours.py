@@ -114,3 +114,25 @@ def test_small_leaves_are_not_the_end(spark):
     assert counts == {i: 20 for i in range(0, 1200, 20)}
     few = neighbours.nearest(rows.where("vec_id < 15 or vec_id = 1180"), F.col("vec_id") % 20 == 0)
     assert few.count() == 2 * 15
+
+
+def test_only_vectors_of_hot_shards_are_repeated(spark, monkeypatch):
+    """Shuffled vector rows stay below (1 + share of hot shards) times all; the answers do not change."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(12, 8)) * 20
+    rows = np.concatenate([c + rng.normal(size=(100, 8)) for c in centres])
+    df = table(spark, rows)
+    expected = result(neighbours.nearest(df, F.col("vec_id") % 4 == 0, k=5, shard_rows=100))
+    monkeypatch.setattr(neighbours, "QUERIES_PER_GROUP", 40)
+    sent, old = [], neighbours.for_groups
+
+    def counted(vectors, groups):
+        repeated = old(vectors, groups)
+        hot = groups.where("groups > 1").count() / groups.count()
+        sent.append((repeated.count(), len(rows), hot, groups.agg(F.max("groups")).first()[0]))
+        return repeated
+
+    monkeypatch.setattr(neighbours, "for_groups", counted)
+    assert result(neighbours.nearest(df, F.col("vec_id") % 4 == 0, k=5, shard_rows=100)) == expected
+    (repeated, n, hot, most) = sent[0]
+    assert most >= 1 and repeated <= (1 + hot * (most - 1)) * n + 100

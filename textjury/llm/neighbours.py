@@ -149,6 +149,13 @@ class KMeansTree:
         return found
 
 
+def rebuilt(state: dict) -> KMeansTree:
+    """A tree from the plain values that were sent; an executor may lack this package."""
+    tree = object.__new__(KMeansTree)
+    vars(tree).update(state)
+    return tree
+
+
 def best(scores: np.ndarray, q: np.ndarray, v: np.ndarray, ids: np.ndarray, own: int, k: int) -> list[tuple[int, float]]:
     """The ``k`` largest exact inner products among rough ``scores``, ties to smaller ids; not those with id ``own``.
 
@@ -182,11 +189,12 @@ def fit_tree(vectors: DataFrame) -> KMeansTree:
 
 def in_leaves(vectors: DataFrame, tree: KMeansTree) -> DataFrame:
     """(vec_id, vector, leaf) of every vector."""
-    sent = vectors.sparkSession.sparkContext.broadcast(tree)  # bounded by the fitted sample
+    sent = vectors.sparkSession.sparkContext.broadcast(vars(tree))  # bounded by the fitted sample
 
     def route(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree = rebuilt(sent.value)
         for batch in rows:
-            leaf = sent.value.assign(matrix(batch.column(1).to_pylist()))
+            leaf = tree.assign(matrix(batch.column(1).to_pylist()))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf, pa.int32())], names=["vec_id", "vector", "leaf"])
 
     return vectors.mapInArrow(route, "vec_id long, vector binary, leaf int")
@@ -254,6 +262,18 @@ def shards_of(sizes: dict[int, int], shard_rows: int) -> dict[int, tuple[int, in
     return found
 
 
+def query_groups(asked: DataFrame, per_group: int | None = None) -> DataFrame:
+    """(shard, groups): into how many groups the queries that come to a shard are cut, by their number there."""
+    per_group = per_group or QUERIES_PER_GROUP
+    counted = asked.select(F.explode("shards").alias("shard")).groupBy("shard").agg(F.count("*").alias("n"))
+    return counted.select("shard", F.ceil(F.col("n") / per_group).cast("int").alias("groups"))
+
+
+def for_groups(vectors: DataFrame, groups: DataFrame) -> DataFrame:
+    """``vectors`` of the shards that have queries, once for every group of these; other vectors go nowhere."""
+    return vectors.join(groups, "shard").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).drop("groups")
+
+
 def search(
     placed: DataFrame, tree: KMeansTree, queries: DataFrame, visits: int, k: int, shard_rows: int
 ) -> DataFrame:
@@ -263,11 +283,10 @@ def search(
     """
     sizes = leaf_sizes(placed)
     home = shards_of(sizes, shard_rows)
-    sent = placed.sparkSession.sparkContext.broadcast((tree, home, sizes))  # bounded by the tree's leaves
+    sent = placed.sparkSession.sparkContext.broadcast((vars(tree), home, sizes))  # bounded by the tree's leaves
     # Rows with the query's own id are no candidates, wherever they lie.
     queries = queries.groupBy("vec_id", "vector").agg(F.count("*").alias("own"))
     queries = queries.withColumn("own", F.sum("own").over(Window.partitionBy("vec_id")))
-    groups = max(1, -(-queries.count() // QUERIES_PER_GROUP))
 
     def spread(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A vector goes to its leaf's shard, to one of them if there are several."""
@@ -280,22 +299,22 @@ def search(
             )
 
     def ask(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A query goes to all shards that hold a leaf it visits."""
+        """A query goes to all shards that hold a leaf it visits; one row per query, with its shards."""
+        tree = rebuilt(sent.value[0])
         for batch in rows:
-            out = []
+            shards, leaves = [], []
             wanted = [k + own for own in batch.column(2).to_pylist()]
-            orders = sent.value[0].visits(matrix(batch.column(1).to_pylist()), visits, sent.value[2], wanted)
-            for query, vector, order in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), orders):
+            for order in tree.visits(matrix(batch.column(1).to_pylist()), visits, sent.value[2], wanted):
                 at: dict[int, list[int]] = {}
                 for leaf in order:
                     shard, parts = sent.value[1].get(leaf, (0, 0))
                     for part in range(parts):
                         at.setdefault(shard + part, []).append(leaf)
-                out += [(query, vector, shard, leaves) for shard, leaves in at.items()]
-            columns = list(zip(*out)) or [[]] * 4
-            kinds = (pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int32()))
+                shards.append(list(at))
+                leaves.append(list(at.values()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, kinds)], names=["query_id", "query", "shard", "leaves"]
+                [*batch.columns[:2], pa.array(shards, pa.list_(pa.int32())), pa.array(leaves, pa.list_(pa.list_(pa.int32())))],
+                names=["query_id", "query", "shards", "leaves"],
             )
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -327,14 +346,23 @@ def search(
                 out += [(own[i], vectors[i], *x) for x in best(scores[i], q[i], v, ids, own[i], k)]
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out), kinds)], schema=kinds) if out else kinds.empty_table()
 
-    group = F.pmod(F.xxhash64("query_id", "query"), F.lit(groups)).cast("int")
+    asked = stored(
+        queries.select("vec_id", "vector", "own").mapInArrow(
+            ask, "query_id long, query binary, shards array<int>, leaves array<array<int>>"
+        ),
+        "asked",
+    )
+    groups = F.broadcast(query_groups(asked))  # one row per shard
+    asked = asked.select("query_id", "query", F.inline(F.arrays_zip(F.col("shards").alias("shard"), F.col("leaves"))))
+    group = F.pmod(F.xxhash64("query_id", "query"), F.col("groups")).cast("int")
     vectors = placed.withColumn("draw", F.pmod(F.xxhash64("vec_id"), F.lit(2**31))).mapInArrow(
         spread, "vec_id long, vector binary, leaf int, shard int"
     )
-    vectors = vectors.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    asked = queries.select("vec_id", "vector", "own").mapInArrow(ask, "query_id long, query binary, shard int, leaves array<int>")
+    vectors = for_groups(vectors, groups)
     found = (
-        asked.withColumn("part", group)
+        asked.join(groups, "shard")
+        .withColumn("part", group)
+        .drop("groups")
         .groupBy("shard", "part")
         .cogroup(vectors.groupBy("shard", "part"))
         .applyInArrow(answer, "query_id long, query binary, vec_id long, score double")
