@@ -1,3 +1,7 @@
+import random
+import re
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,14 +65,90 @@ def test_hosts_vote(spark):
     assert got[9] == "A short story."
     assert got[3] == "The story of this page, number 3, in some words."
     assert got[10] == "A text in the box that is longer than the story."
-    salted = html_text.with_paths(
-        table.select("page_id", "html", html_text.host(F.col("url")).alias("host")), html_text.host_paths(table), 0
-    )
-    small = html_text.with_paths(
-        table.select("page_id", "html", html_text.host(F.col("url")).alias("host")), html_text.host_paths(table)
-    )
-    key = lambda rows: sorted((r["page_id"], sorted(map(tuple, r["paths"]))) for r in rows.collect())
-    assert key(salted) == key(small)
+    joined = html_text.main_text(table, broadcast_rows=0)
+    assert {r["page_id"]: r["text"] for r in joined.collect()} == got
+
+
+def test_long_paths_keep_siblings_apart(spark):
+    """An ancestor whose path is longer than any bound does not stand for what is beside the story."""
+    wide = "c" * 3000
+    story = "<p>The story of this page, number {n}, in some words that go on for a while.</p>"
+    links = "<ul><li><a href=/>a link</a> and words beside it</li></ul>"
+    page = f"<body><div class={wide}><div class=story>{story}</div><div class=links>{links}</div></div>"
+    table = spark.createDataFrame([(i, "http://long.example/", page.format(n=i)) for i in range(6)], SCHEMA)
+    for rows in (1000, 0):
+        got = {r["text"] for r in html_text.main_text(table, broadcast_rows=rows).collect()}
+        assert got == {f"The story of this page, number {i}, in some words that go on for a while." for i in range(6)}
+
+
+def test_many_templates_on_one_host(spark):
+    """Every template's votes count, also the twentieth's and those of the hundredth."""
+    usual = "<div class=story-{t}><p>The story of the page in some words.</p></div><div class=box><p>short</p></div>"
+    odd = "<div class=story-{t}><p>A short story.</p></div><div class=box><p>A text that is longer than the story.</p></div>"
+    names = [f"{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(100)]
+    pages = [(n, "http://many.example/", usual.format(t=t)) for n, t in enumerate(names) for _ in range(3)]
+    pages += [(1000 + n, "http://many.example/", odd.format(t=t)) for n, t in enumerate(names)]
+    table = spark.createDataFrame(pages, SCHEMA)
+    votes = {t: 3 for t in names} | {"box": 100}
+    for rows in (1000, 0):
+        got = {r["page_id"]: r["text"] for r in html_text.main_text(table, broadcast_rows=rows).collect()}
+        story, box = "A short story.", "A text that is longer than the story."
+        expected = story if votes["aa"] * len(story) > votes["box"] * len(box) else box
+        assert {got[1000 + n] for n in range(100)} == {expected}
+    assert html_text.host_paths(table).count() == 101
+
+
+def test_deep_pages_take_linear_time():
+    shapes = ["<div>x", "<blockquote>x", "<li>x", "<td>x", "<section><p>x", "<div>x</p></i>", "<ul><li>x", "<b>x<div>y"]
+
+    def seconds(shape, n):
+        start = time.perf_counter()
+        html_text.extract(shape * n, {b"none": 1})
+        html_text.vote(shape * n)
+        return time.perf_counter() - start
+
+    for shape in shapes:
+        seconds(shape, 100)
+        assert seconds(shape, 16_000) < 10 * max(seconds(shape, 4_000), 0.02), shape
+
+
+def plain_dom(html):
+    """Text of a generated page by a tree of its own: the one container with most text outside links, its blocks in order."""
+    tree, stack = ("#", []), []
+    node = tree
+    for token in re.findall(r"<[^>]+>|[^<]+", html):
+        if token.startswith("</"):
+            node = stack.pop()
+        elif token.startswith("<"):
+            stack.append(node)
+            node[1].append((token[1:-1], []))
+            node = node[1][-1]
+        elif token.strip():
+            node[1].append(" ".join(token.split()))
+
+    def blocks(at):
+        own = [c for c in at[1] if isinstance(c, str)]
+        below = [b for c in at[1] if not isinstance(c, str) for b in blocks(c)]
+        return own + below
+
+    def containers(at):
+        for c in at[1]:
+            if not isinstance(c, str):
+                yield c
+                yield from containers(c)
+
+    found = [c for c in containers(tree) if c[0].startswith("div") and any(not isinstance(k, str) and k[0] == "p" for k in c[1])]
+    best = max(found, key=lambda c: sum(len(b) for k in c[1] if not isinstance(k, str) and k[0] == "p" for b in blocks(k)))
+    return "\n".join(blocks(best))
+
+
+def test_equals_a_plain_tree_on_generated_pages():
+    rng = random.Random(7)
+    for _ in range(200):
+        columns = ["".join(f"<p>{'word ' * rng.randint(1, 6)}</p>" for _ in range(rng.randint(1, 3))) for _ in range(3)]
+        columns[rng.randrange(3)] = "".join(f"<p>{'text ' * rng.randint(20, 30)}</p>" for _ in range(rng.randint(2, 5)))
+        page = "<body><section>" + "".join(f"<div class=c{chr(97 + i)}>{c}</div>" for i, c in enumerate(columns)) + "</section></body>"
+        assert own(page) == plain_dom(page)
 
 
 def test_nulls_repeats_and_extra_columns(spark):

@@ -3,26 +3,26 @@
 Every page's containers are scored by the text right beneath them. A page votes for the
 generalised path (tags with classes and ids, digits as 0) of its best container, and
 votes are counted per host in Spark. Each page is then extracted again at the path that
-has most of its host's votes and most of the page's text.
+has most of its host's votes and most of the page's text. A path is known by a 128-bit hash
+of all its steps, and every path that has a vote counts.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 from html import unescape
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textjury.llm.common import stored
+from textjury.llm.common import lookup, stored
 
-PATHS_PER_HOST = 16
-#: Winning paths are broadcast up to so many rows (each at most ``PATH_CHARACTERS``), else joined on a salted host.
+#: Votes are broadcast up to so many (host, path) rows; more are joined with the paths of each page.
 BROADCAST_ROWS = 50_000
-PATH_CHARACTERS = 1_000
-SALTS = 32
 
 _NAME = r"[^\s/>]*+"
 _ATTRIBUTES = (
@@ -83,18 +83,22 @@ def _step(tag: str, names: list[str], ident: str) -> str:
 class Page:
     """A page as a tree of its block elements and a list of its text blocks.
 
-    blocks: (element, text, characters inside links, whether it is a heading).
+    Elements are numbered in page order, so an element and what is in it have consecutive numbers.
+    blocks: (element, text, characters inside links, whether it is a heading). ``keys`` hold the
+    hash of each element's path, made of its parent's key and its own step.
     ``own`` is what an element says of itself, ``firm`` what holds there even if wrappers drop nothing.
     """
 
     def __init__(self, html: str):
-        self.tags, self.steps, self.parents, self.states = ["#root"], [""], [-1], [KEEP]
+        self.tags, self.keys, self.parents, self.states = ["#root"], [b""], [-1], [KEEP]
+        self.worth, self.article = [1], [0]  # how much text counts there; the nearest article around
         self.own, self.firm, self.comments = [KEEP], [KEEP], [False]
         self.blocks: list[tuple[int, str, int, bool]] = []
         self._stack: list[tuple[str, int]] = [("#root", 0)]  # tag, its block element
         self._text: list[str] = []
         self._linked: list[str] = []
         self._links = 0
+        self._open_tags: Counter[str] = Counter()
         self._parse(html)
         self._unwrap()
 
@@ -119,10 +123,13 @@ class Page:
             self._flush()
         for tag, _ in self._stack[depth:]:
             self._links -= tag == "a"
+            self._open_tags[tag] -= 1
         del self._stack[depth:]
 
     def _close(self, tag: str) -> None:
         block = tag in BLOCKS
+        if not self._open_tags[tag]:
+            return
         for depth in range(len(self._stack) - 1, 0, -1):
             open_tag = self._stack[depth][0]
             if open_tag == tag:
@@ -135,6 +142,8 @@ class Page:
         """End what opening ``tag`` ends: an open paragraph, or a sibling that needs no end tag."""
         kinds, bounds = CLOSES.get(tag, frozenset()), BOUNDS.get(tag, frozenset())
         for depth in range(len(self._stack) - 1, 0, -1):
+            if not self._open_tags["p"] and not any(self._open_tags[kind] for kind in kinds):
+                return
             open_tag = self._stack[depth][0]
             if open_tag in kinds:
                 self._pop_to(depth)
@@ -175,8 +184,10 @@ class Page:
             if tag not in BLOCKS:
                 self._flush_inline()
             self.tags.append(tag)
-            self.steps.append(_step(tag, names, ident))
+            self.keys.append(blake2b(self.keys[parent] + _step(tag, names, ident).encode("utf-8", "replace"), digest_size=16).digest())
             self.parents.append(parent)
+            self.worth.append(max(self.worth[parent], IN_ARTICLE if tag == "article" else IN_MAIN if tag == "main" else 1))
+            self.article.append(len(self.tags) - 1 if tag == "article" else self.article[parent])
             self.states.append(max(state, self.states[parent]))
             self.own.append(state)
             self.firm.append(max(state if firm else KEEP, self.firm[parent]))
@@ -184,6 +195,7 @@ class Page:
             self._stack.append((tag, len(self.tags) - 1))
         else:
             self._stack.append((tag, parent))
+        self._open_tags[tag] += 1
 
     def _flush_inline(self) -> None:
         """An inline element that is dropped parts the text around it into blocks."""
@@ -201,7 +213,7 @@ class Page:
             closing, opening, attributes = found.groups()
             if closing:
                 tag = closing.lower()
-                if tag == "p" and not any(t == "p" for t, _ in self._stack):
+                if tag == "p" and not self._open_tags["p"]:
                     self._flush()
                 elif tag == "br":
                     self._say(" ")
@@ -272,24 +284,24 @@ class Page:
         """Clean blocks; if names alone would drop the whole page, names drop nothing."""
         return self.clean(BY_NAME) or self.clean(DROP)
 
-    def path(self, node: int) -> str:
-        steps = []
-        while node > 0:
-            steps.append(self.steps[node])
-            node = self.parents[node]
-        return ">".join(reversed(steps))[:PATH_CHARACTERS]
-
-    def above(self, node: int) -> list[int]:
-        found = []
-        while node > 0:
-            found.append(node)
-            node = self.parents[node]
-        return found
-
-    def standing(self, node: int) -> int:
-        """How much more text counts in an article, or else in the main part, than elsewhere."""
-        around = {self.tags[a] for a in self.above(node)}
-        return IN_ARTICLE if "article" in around else IN_MAIN if "main" in around else 1
+    def sums(self, kept: list[int]) -> tuple[list[int], list[int], list[int]]:
+        """Characters, blocks and headings among ``kept`` in each element and all that is in it."""
+        sums = tuple([0] * len(self.tags) for _ in range(3))
+        for i in kept:
+            node, text, _, heading = self.blocks[i]
+            for values, value in zip(sums, (len(text), 1, int(heading))):
+                values[node] += value
+        for node in range(len(self.tags) - 1, 0, -1):
+            for values in sums:
+                values[self.parents[node]] += values[node]
+        return sums
+
+    def within(self, nodes: set[int], kept: list[int]) -> list[int]:
+        """The blocks among ``kept`` that are in one of ``nodes``."""
+        inside = [False] * len(self.tags)
+        for node in range(1, len(inside)):
+            inside[node] = node in nodes or inside[self.parents[node]]
+        return [i for i in kept if inside[self.blocks[i][0]]]
 
     def best(self, kept: list[int]) -> int:
         """The container with the best score; 0 if there is none.
@@ -299,10 +311,13 @@ class Page:
         does a parent that only adds headings.
         """
         score: dict[int, float] = {}
+        container = list(range(len(self.tags)))
+        for node in range(1, len(container)):
+            if self.tags[node] in PARAGRAPHS:
+                container[node] = container[self.parents[node]]
         for i in kept:
             node, text, linked, _ = self.blocks[i]
-            while node > 0 and self.tags[node] in PARAGRAPHS:
-                node = self.parents[node]
+            node = container[node]
             worth = len(text) - linked
             for share in (1.0, 0.5):
                 if node > 0:
@@ -310,52 +325,53 @@ class Page:
                     node = self.parents[node]
         if not score:
             return 0
-        best = max(score, key=lambda node: (score[node] * self.standing(node), -node))
-        article = next((a for a in self.above(best) if self.tags[a] == "article"), 0)
-        if article:
-            return article
+        best = max(score, key=lambda node: (score[node] * self.worth[node], -node))
+        if self.article[best]:
+            return self.article[best]
+        _, blocks, headings = self.sums(kept)
         while True:
             parent = self.parents[best]
             if parent <= 0 or self.tags[parent] in ("body", "html"):
                 return best
-            added = [b for b in (self.blocks[i] for i in kept) if parent in self.above(b[0]) and best not in self.above(b[0])]
-            if not added or not all(heading for _, _, _, heading in added):
+            added = blocks[parent] - blocks[best]
+            if not added or headings[parent] - headings[best] < added:
                 return best
             best = parent
 
 
-def vote(html: str) -> tuple[str, int] | None:
-    """The generalised path of a page's best container, and its characters."""
+def vote(html: str) -> tuple[bytes, int] | None:
+    """The generalised path of a page's best container, as its key, and its characters."""
     page = Page(html)
     kept = page.kept()
     best = page.best(kept)
-    if not best:
-        return None
-    return page.path(best), sum(len(page.blocks[i][1]) for i in kept if best in page.above(page.blocks[i][0]))
+    return (page.keys[best], page.sums(kept)[0][best]) if best else None
+
 
+def paths_of(page: Page, kept: list[int]) -> dict[bytes, int]:
+    """The characters under each path of a page that has any."""
+    found: dict[bytes, int] = {}
+    for key, size in zip(page.keys[1:], page.sums(kept)[0][1:]):
+        if size:
+            found[key] = found.get(key, 0) + size  # equal paths are never inside one another
+    return found
 
-def extract(html: str, votes: dict[str, int]) -> str:
-    """A page's main text, given its host's paths with their votes.
 
-    Without a path of the host on the page its own best container is taken, and without
-    any container all its clean text.
+def extract(html: str, votes: dict[bytes, int], winner: bytes | None = None) -> str:
+    """A page's main text, given its host's paths with their votes, or the ``winner`` among the page's paths.
+
+    The winner has most votes times characters on the page, then the greater key. Without a
+    path of the host on the page its own best container is taken, and without any container
+    all its clean text.
     """
     page = Page(html)
     kept = page.kept()
-    by_path: dict[str, list[int]] = {}
-    paths: dict[int, str] = {}
-    for i in kept if votes else ():
-        for node in page.above(page.blocks[i][0]):
-            if node not in paths:
-                paths[node] = page.path(node)
-            held = by_path.setdefault(paths[node], []) if paths[node] in votes else None
-            if held is not None and (not held or held[-1] != i):
-                held.append(i)
-    if by_path:
-        size = lambda path: sum(len(page.blocks[i][1]) for i in by_path[path])
-        chosen = by_path[max(by_path, key=lambda path: (votes[path] * size(path), path))]
+    if votes:
+        sizes = {key: size for key, size in paths_of(page, kept).items() if key in votes}
+        winner = max(sizes, key=lambda key: (votes[key] * sizes[key], key), default=None)
+    if winner is not None:
+        chosen = page.within({node for node, key in enumerate(page.keys) if key == winner}, kept)
     elif best := page.best(kept):
-        chosen = [i for i in kept if best in page.above(page.blocks[i][0])]
+        chosen = page.within({best}, kept)
     else:
         chosen = kept
     return "\n".join(page.blocks[i][1] for i in chosen)
@@ -367,45 +383,43 @@ def host(url: Column) -> Column:
     return F.coalesce(found, F.lit(""))
 
 
-def host_paths(pages: DataFrame, url: str = "url", html: str = "html", most: int = PATHS_PER_HOST) -> DataFrame:
-    """(host, paths): the paths with most votes of each host, as array<struct<path, votes>>."""
+def host_paths(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """(host, path, votes): every path, by its key, that a page of the host votes for."""
 
     def cast(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            hosts, paths, sizes = [], [], []
-            for name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if found := vote(value):
-                    hosts.append(name)
-                    paths.append(found[0])
-                    sizes.append(found[1])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(sizes, pa.int64())],
-                names=["host", "path", "size"],
-            )
+            found = [(name, key[0]) for name, value in zip(*(c.to_pylist() for c in batch.columns)) if (key := vote(value))]
+            hosts, paths = zip(*found) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.binary())], names=["host", "path"])
 
     named = pages.select(host(F.col(url)).alias("host"), F.col(html).alias("html"))
-    votes = (
-        named.where("host <> '' and html is not null")
-        .mapInArrow(cast, "host string, path string, size long")
-        .groupBy("host", "path")
-        .agg(F.count("*").alias("votes"), F.sum("size").alias("size"))
-    )
-    first = Window.partitionBy("host").orderBy(F.desc("votes"), F.desc("size"), "path")
-    ranked = votes.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= most)
-    return ranked.groupBy("host").agg(F.collect_list(F.struct("path", "votes")).alias("paths"))
+    votes = named.where("host <> '' and html is not null").mapInArrow(cast, "host string, path binary")
+    return votes.groupBy("host", "path").agg(F.count("*").alias("votes"))
 
 
-def with_paths(pages: DataFrame, paths: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``pages`` (host, ...) with the paths of their host.
+def winners(pages: DataFrame, paths: DataFrame) -> DataFrame:
+    """(page, winner): for each distinct (host, html) in ``pages`` the path that ``extract`` would choose.
 
-    The paths are broadcast if they are few enough. If not, hosts are salted, so that a
-    host with a large part of all pages is shared out over several tasks.
+    For votes of any number: the paths on a page meet their votes by (host, path); frequent
+    ones, such as the body of a large host's pages, by broadcast.
     """
-    if paths.count() * PATHS_PER_HOST <= broadcast_rows:
-        return pages.join(F.broadcast(paths), "host", "left")
-    salted = paths.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salt = F.pmod(F.xxhash64("html"), F.lit(SALTS)).cast("int")
-    return pages.withColumn("salt", salt).join(salted, ["host", "salt"], "left").drop("salt")
+
+    def offer(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            out = []
+            for page, name, value in zip(*(c.to_pylist() for c in batch.columns)):
+                parsed = Page(value)
+                out += [(page, name, key, size) for key, size in paths_of(parsed, parsed.kept()).items()]
+            columns = list(zip(*out)) or [()] * 4
+            kinds = (pa.string(), pa.string(), pa.binary(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["page", "host", "path", "size"])
+
+    whole = pages.where("host <> '' and html is not null").select("page", "host", "html").dropDuplicates(["page"])
+    offered = stored(whole.mapInArrow(offer, "page string, host string, path binary, size long"), "page-paths")
+    uses = offered.groupBy("host", "path").agg(F.count("*").alias("weight"))
+    met = lookup(offered, paths.join(uses, ["host", "path"]), ["host", "path"], "weight", offered.count())
+    best = F.max(F.struct((F.col("votes") * F.col("size")).alias("score"), F.col("path").alias("winner"))).alias("best")
+    return met.groupBy("page").agg(best).select("page", "best.winner")
 
 
 def main_text(
@@ -414,6 +428,7 @@ def main_text(
     url: str = "url",
     html: str = "html",
     paths: DataFrame | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """(page_id, url, text), one row per input row.
 
@@ -422,9 +437,10 @@ def main_text(
     pages, and pages without text, have an empty text. Pages without a host (null or
     odd url) take no part in votes and are extracted by their own best container. Null
     ids are kept, repeated rows vote and come out each by itself, ties between paths go
-    to more characters, then to the smaller path. An empty table gives no rows. Other
-    columns are ignored. ``paths`` may give the result of ``host_paths`` on an earlier,
-    larger set of pages.
+    to the greater key. An empty table gives no rows. Other columns are ignored. ``paths``
+    may give the result of ``host_paths`` on an earlier, larger set of pages. Up to
+    ``broadcast_rows`` of its rows are sent to the executors; more are joined with the
+    paths of each page, which gives the same texts.
     """
     if paths is None:
         paths = stored(host_paths(pages, url, html), "host-paths")
@@ -435,18 +451,27 @@ def main_text(
         host(F.col(url)).alias("host"),
     )
 
+    few = paths.limit(broadcast_rows + 1).collect()  # a bounded number of hashes
+    by_host: dict[str, dict[bytes, int]] = {}
+    if len(few) <= broadcast_rows:
+        for row in few:
+            by_host.setdefault(row["host"], {})[bytes(row["path"])] = row["votes"]
+        chosen = rows.withColumn("winner", F.lit(None).cast("binary"))
+    else:
+        rows = rows.withColumn("page", F.md5(F.concat_ws("\u0000", "host", "html").cast("binary")))
+        uses = rows.groupBy("page").agg(F.count("*").alias("weight"))
+        won = stored(winners(rows, paths), "page-winners").join(uses, "page", "right")
+        chosen = lookup(rows, won, ["page"], "weight", rows.count())
+    sent = pages.sparkSession.sparkContext.broadcast(by_host)
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [
-                extract(value, {p["path"]: p["votes"] for p in known or ()}) if value else ""
-                for value, known in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+                extract(value, sent.value.get(name, {}), winner) if value else ""
+                for name, value, winner in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "winner")))
             ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"]
             )
 
-    return (
-        with_paths(rows, paths)
-        .select("page_id", "url", "html", "paths")
-        .mapInArrow(read, "page_id long, url string, text string")
-    )
+    return chosen.select("page_id", "url", "host", "html", "winner").mapInArrow(read, "page_id long, url string, text string")
