@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textjury.llm.common import stored
+from textjury.llm.common import stored, unused
 
 WINDOW = 10
 DOCUMENTS_PER_ROW = 2_000
@@ -293,9 +293,10 @@ def contamination(
 
 
 def without_contaminated(docs: DataFrame, tests: DataFrame, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:
-    """``docs`` without the rows in which a test item occurs. Columns _doc and _hash would clash."""
+    """``docs`` without the rows in which a test item occurs."""
+    doc, hashed = unused(docs, "_doc", "_hash")
     found = contamination(docs, tests, key, text, **settings).where("n_hit > 0")
-    bad = found.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).distinct()
+    bad = found.select(F.col("doc_id").alias(doc), F.col("text_hash").alias(hashed)).distinct()
     return docs.join(
-        bad, F.col(key).cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64(text) == F.col("_hash")), "left_anti"
+        bad, F.col(key).cast("long").eqNullSafe(F.col(doc)) & (F.xxhash64(text) == F.col(hashed)), "left_anti"
     )

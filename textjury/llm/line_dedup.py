@@ -1,9 +1,10 @@
 """Line dedup across documents with levelled sorted runs of line hashes.
 
-All line keys seen so far lie in runs: tables bucketed and sorted by hash, so that a
-batch joins them without moving or sorting them. A batch's keys are merge-joined with
-every run; those found were seen before, the others become a new run. Runs of a level
-are merged into one of the next level as soon as there are enough of them.
+All line keys seen so far lie in runs: tables bucketed and sorted by hash. A batch's keys
+are merge-joined with every run, which moves no run between tasks; Spark sorts the files
+of a bucket once more for the join. Keys found were seen before, the others become a new
+run. Runs of a level are merged into one of the next level as soon as there are enough of
+them, by a shuffle and sort of their keys.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textjury.functions.arrays import bind
-from textjury.llm.common import BLANKS, new_folder, stored
+from textjury.llm.common import BLANKS, new_folder, stored, unused
 
 LEAST_KEY = 10  # code points
 BATCHES = 4
@@ -144,11 +145,13 @@ def repeated_lines(
     batch = F.coalesce(batch, F.lit(len(cuts)))  # null ids come last
     lines = stored(hash_lines(docs, key, text).withColumn("batch", batch), "line-hashes", "batch")
     runs = LineRuns(spark, fan_out)
-    dropped = [
-        stored(runs.add(lines.where(F.col("batch") == i).drop("batch")), f"lines-dropped-{i}")
-        for i in range(len(cuts) + 1)
-    ]
-    runs.close()
+    try:
+        dropped = [
+            stored(runs.add(lines.where(F.col("batch") == i).drop("batch")), f"lines-dropped-{i}")
+            for i in range(len(cuts) + 1)
+        ]
+    finally:
+        runs.close()
     return (
         reduce(DataFrame.unionByName, dropped)
         .groupBy("doc_id", "text_hash")
@@ -165,30 +168,30 @@ def dedup_lines(
     and occurs in two or more documents stays in the smallest doc_id only, there with all
     its repeats. Rows with the same doc_id are one document in this. Null ids come last;
     lines that only they hold stay. Null and empty texts are one empty line and come out
-    empty. An empty table gives no rows. Input columns named n_lines, n_dropped,
-    text_hash or dropped would clash and are replaced by those of this operator.
+    empty. An empty table gives no rows. Input columns named n_lines or n_dropped are
+    replaced by those of this operator; all others stay, whatever their names.
     """
-    own = {"n_lines", "n_dropped", "text_hash", "dropped"} - {key, text}
-    docs = docs.drop(*own)
+    docs = docs.drop(*({"n_lines", "n_dropped"} - {key, text}))
+    doc, hashed, places = unused(docs, "_doc", "_hash", "_dropped")
     repeated = repeated_lines(docs, key, text, batches, fan_out).withColumnsRenamed(
-        {"doc_id": "_doc", "text_hash": "_hash"}
+        {"doc_id": doc, "text_hash": hashed, "dropped": places}
     )
     whole = F.coalesce(F.col(text), F.lit(""))
     joined = docs.join(
         repeated,
-        F.col(key).cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64(whole) == F.col("_hash")),
+        F.col(key).cast("long").eqNullSafe(F.col(doc)) & (F.xxhash64(whole) == F.col(hashed)),
         "left",
     )
     lines = F.split(whole, "\n", -1)
-    staying = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("dropped"))
+    staying = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(places))
     kept = bind(lines, lambda of: F.array_join(F.transform(staying, lambda i: F.get(of, i)), "\n"))
     return joined.withColumns(
         {
-            text: F.when(F.col("dropped").isNull(), whole).otherwise(kept),
+            text: F.when(F.col(places).isNull(), whole).otherwise(kept),
             "n_lines": F.size(lines).cast("long"),
-            "n_dropped": F.coalesce(F.size("dropped"), F.lit(0)).cast("long"),
+            "n_dropped": F.coalesce(F.size(places), F.lit(0)).cast("long"),
         }
-    ).drop("_doc", "_hash", "dropped")
+    ).drop(doc, hashed, places)
 
 
 DEDUP_SQL = r"""

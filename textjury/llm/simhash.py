@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textjury.llm.common import stored
+from textjury.llm.common import stored, unused
 
 SHINGLE = 3  # words
 MAX_BITS = 2
@@ -318,19 +318,19 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", **setti
     """``docs`` with one row of each component: that of the smallest doc_id, nulls last.
 
     Of rows that share this id the one with the least text hash stays, and of rows that
-    are equal in id and text any one. Columns _key, _no_key and _hash would clash.
+    are equal in id and text any one. All columns of ``docs`` stay, whatever their names.
     """
-    identity = ["_key", "_no_key", "_hash"]
+    identity = id_name, no_id, hash_name = unused(docs, "_key", "_no_key", "_hash")
     grouped = simhash_components(docs, key, text, **settings)
-    order = F.struct(F.col("doc_id").isNull().alias("_no_key"), F.col("doc_id").alias("_key"), F.col("text_hash").alias("_hash"))
+    order = F.struct(F.col("doc_id").isNull().alias(no_id), F.col("doc_id").alias(id_name), F.col("text_hash").alias(hash_name))
     kept = (
         grouped.groupBy("component_fp")
         .agg(F.min(order).alias("row"))
-        .select(F.coalesce("row._key", F.lit(0)).alias("_key"), "row._no_key", "row._hash")
+        .select(F.coalesce(F.col(f"row.{id_name}"), F.lit(0)).alias(id_name), f"row.{no_id}", f"row.{hash_name}")
     )
     own = F.col(key).cast("long")
     return (
-        docs.withColumns({"_key": F.coalesce(own, F.lit(0)), "_no_key": own.isNull(), "_hash": F.xxhash64(text)})
+        docs.withColumns({id_name: F.coalesce(own, F.lit(0)), no_id: own.isNull(), hash_name: F.xxhash64(text)})
         .join(kept, identity, "left_semi")
         .dropDuplicates(identity)
         .drop(*identity)

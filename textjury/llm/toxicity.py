@@ -21,7 +21,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textjury.llm.common import row_crc, stored
+from textjury.llm.common import row_crc, stored, unused
 
 #: Labelled rows that voters are mined from, at most: those with the least hash of their id.
 FIT_ROWS = 20_000
@@ -316,13 +316,14 @@ def score_toxicity(
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:
-    """``docs`` without the rows that score at least the threshold. Columns _doc and _hash would clash."""
+    """``docs`` without the rows that score at least the threshold."""
+    doc, hashed = unused(docs, "_doc", "_hash")
     rejected = (
         score_toxicity(docs, labels, key, text, **settings)
         .where(F.col("score") >= THRESHOLD)
-        .select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"))
+        .select(F.col("doc_id").alias(doc), F.col("text_hash").alias(hashed))
         .distinct()
     )
     return docs.join(
-        rejected, F.col(key).cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64(text) == F.col("_hash")), "left_anti"
+        rejected, F.col(key).cast("long").eqNullSafe(F.col(doc)) & (F.xxhash64(text) == F.col(hashed)), "left_anti"
     )
