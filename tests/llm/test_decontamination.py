@@ -120,3 +120,27 @@ def test_query(spark, tmp_path, documents, items_table):
     digest = lambda ids: hashlib.sha256(",".join(ids).encode()).hexdigest()
     expected = [(i, n, h, len(x), digest(x), h > 0) for i, n, h, x in brute(docs, items)]
     assert sorted(map(tuple, got), key=repr) == sorted(expected, key=repr)
+
+
+def test_many_equal_items_and_a_hot_passage(spark, documents, items_table):
+    """10,000 equal items are one class; many items that share a passage are noted once per document."""
+    passage = "one two three four five six seven eight nine ten"
+    items = [(i, passage) for i in range(10_000)] + [(20_000 + i, f"w{i} {passage} x{i}") for i in range(50)]
+    docs = [(i, f"start {passage} " * 3) for i in range(300)] + [(1000, "nothing of it"), (1001, passage), (1001, passage)]
+    found = d.contamination(documents(docs), items_table(items))
+    rows = {r["doc_id"]: (r["n_hit"], r["n_items"], r["least"]) for r in found.select(
+        "doc_id", "n_hit", F.size("item_ids").alias("n_items"), F.get("item_ids", 0).alias("least")).collect()}
+    assert rows[0] == (30, 10_050, "0") and rows[299] == rows[0] and rows[1000] == (0, 0, None) and rows[1001] == (10, 10_050, "0")
+    assert found.count() == 303
+    classes, ids, blocks = d.test_classes(items_table(items), "item_id", "text", 1_000)
+    assert (classes.count(), ids.count(), blocks > 1) == (51, 10_050, True)
+
+
+def test_a_class_is_noted_once_per_document(spark, documents, items_table):
+    text = "a b c d e f g h i j " * 400
+    classes, _, _ = d.test_classes(items_table([(1, "a b c d e f g h i j " * 4)]), "item_id", "text", 10**6)
+    tests = d.Tests([(r["class"], bytes(r["words"])) for r in classes.collect()])
+    empty = {n: F.array().cast(f"array<{t}>") for n, t in zip(d.HITS, ("long", "int", "int", "long"))}
+    indexed = d.index(documents([(1, text), (2, text)]).coalesce(1), tests, True).withColumns(empty)
+    (row,) = d.match(indexed, tests)[0].collect()
+    assert len(row["classes"]) == 2 < len(row["hit_starts"])

@@ -16,15 +16,16 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textjury.llm.common import stored, unused
+from textjury.llm.common import lookup, stored, unused
 
 WINDOW = 10
 DOCUMENTS_PER_ROW = 2_000
 WORDS_PER_ROW = 1_000_000
-#: Test texts are sent to the executors in blocks of at most so many bytes.
+#: Test texts are sent to the executors in blocks of about so many bytes.
 BLOCK_BYTES = 16_000_000
 
 _KEPT = frozenset(b"0123456789abcdefghijklmnopqrstuvwxyz") | frozenset(range(128, 256))
@@ -35,9 +36,10 @@ INDEX = (
     "doc_ids array<long>, text_hashes array<long>, n_words array<int>, "
     "terms array<binary>, starts array<long>, postings array<long>"
 )
-MATCHES = INDEX + ", hit_starts array<long>, hit_sizes array<int>, hit_items array<array<string>>"
+MATCHES = INDEX + ", hit_starts array<long>, hit_sizes array<int>, class_docs array<int>, classes array<long>"
+HITS = ["hit_starts", "hit_sizes", "class_docs", "classes"]
 RESULT = (
-    "doc_id long, text_hash long, n_words long, n_hit long, item_ids array<string>, "
+    "doc_id long, text_hash long, n_words long, n_hit long, classes array<long>, "
     "spans array<struct<first: int, last: int>>"
 )
 
@@ -48,16 +50,12 @@ def words(text: bytes | None) -> list[bytes]:
 
 
 class Tests:
-    """A block of test items as windows. Items of equal words are one class with several ids."""
-
-    def __init__(self, items: list[tuple[object, bytes | None]], window: int = WINDOW):
-        classes: dict[tuple[bytes, ...], set[str]] = defaultdict(set)
-        for item_id, text in items:
-            if found := tuple(words(text)):
-                classes[found].add(str(item_id))
-        self.class_ids = [sorted(ids) for ids in classes.values()]
+    """A block of test classes, (number, spaced words), as windows."""
+
+    def __init__(self, classes: list[tuple[int, bytes]], window: int = WINDOW):
         of_window: dict[tuple[bytes, ...], set[int]] = defaultdict(set)
-        for c, found in enumerate(classes):
+        for c, text in classes:
+            found = tuple(text.split())
             size = min(window, len(found))
             for at in range(len(found) - size + 1):
                 of_window[found[at : at + size]].add(c)
@@ -87,20 +85,30 @@ class Tests:
         return keep
 
 
-def test_blocks(tests: DataFrame, item_key: str, item_text: str, block_bytes: int) -> list[list[tuple]]:
-    """The test items, in blocks of bounded size, read a partition at a time."""
-    blocks, size = [[]], 0
-    rows = tests.select(item_key, F.col(item_text).cast("binary").alias("text")).where(
-        F.col(item_key).isNotNull() & F.col("text").isNotNull()
+def test_classes(tests: DataFrame, item_key: str, item_text: str, block_bytes: int) -> tuple[DataFrame, DataFrame, int]:
+    """(class, words, block) of the items with words, (class, item_id) of all of these, and the number of blocks.
+
+    Items of equal words are one class, so that a task gets each text once, whatever its
+    copies. Blocks are cut in Spark, by a hash of the words.
+    """
+
+    def spaced(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            pairs = [(i, b" ".join(f)) for i, t in zip(*(c.to_pylist() for c in batch.columns)) if (f := words(t))]
+            ids, texts = zip(*pairs) if pairs else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(texts, pa.binary())], names=["item_id", "words"])
+
+    rows = tests.where(F.col(item_key).isNotNull() & F.col(item_text).isNotNull()).select(
+        F.col(item_key).cast("string").alias("item_id"), F.col(item_text).cast("binary").alias("text")
     )
-    for item_id, text in rows.toLocalIterator():
-        text = bytes(text)
-        if size + len(text) > block_bytes and blocks[-1]:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((item_id, text))
-        size += len(text)
-    return blocks
+    items = stored(rows.mapInArrow(spaced, "item_id string, words binary"), "test-items")
+    texts = items.groupBy("words").agg(F.count("*").alias("weight"))
+    size, n = texts.agg(F.sum(F.octet_length("words")), F.sum("weight")).first()
+    blocks = max(1, -(-(size or 0) // block_bytes))
+    block = F.pmod(F.xxhash64("words"), F.lit(blocks)).cast("int").alias("block")
+    classes = stored(texts.select(F.monotonically_increasing_id().alias("class"), "words", "weight", block), "test-classes")
+    named = lookup(items, classes.drop("block"), ["words"], "weight", n or 0).select("class", "item_id")
+    return classes.select("class", "words", "block"), stored(named.distinct(), "test-ids"), blocks
 
 
 def index(docs: DataFrame, tests: Tests | None, exact: bool, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -175,58 +183,59 @@ def intersect(lists: list[np.ndarray], offsets: list[int], slop: int) -> np.ndar
     return starts
 
 
-def match(indexed: DataFrame, tests: Tests, slop: int = 0) -> DataFrame:
-    """``indexed`` with the matches of a block of tests added to those it has."""
-    sent = indexed.sparkSession.sparkContext.broadcast(
-        (tests.windows, tests.by_rarest, tests.window_classes, tests.class_ids)
-    )
+def match(indexed: DataFrame, tests: Tests, slop: int = 0) -> tuple[DataFrame, Broadcast]:
+    """``indexed`` with the matches of a block of tests added to those it has, and what was sent for it.
+
+    A class is noted once per document, however often and in however many windows it occurs.
+    """
+    sent = indexed.sparkSession.sparkContext.broadcast((tests.windows, dict(tests.by_rarest), tests.window_classes))
 
     def search(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows, by_rarest, window_classes, class_ids = sent.value
+        windows, by_rarest, window_classes = sent.value
         for batch in rows:
-            added: list[tuple[list, list, list]] = []
+            added: list[tuple[list, ...]] = []
             for r in range(batch.num_rows):
                 get = lambda name: batch.column(name)[r].values  # noqa: B023, E731
                 bounds, postings = get("starts").to_numpy(), get("postings").to_numpy()
                 lists = {t: postings[a:b] for t, a, b in zip(get("terms").to_pylist(), bounds, bounds[1:])}
-                starts, sizes, items = (
-                    list(batch.column(n)[r].as_py()) for n in ("hit_starts", "hit_sizes", "hit_items")
-                )
+                starts, sizes, class_docs, classes = (list(batch.column(n)[r].as_py()) for n in HITS)
+                noted: dict[int, set[int]] = {}
                 for w in (w for term in lists for w in by_rarest.get(term, ())):
-                    window, classes = windows[w], window_classes[w]
+                    window = windows[w]
                     if not all(map(lists.__contains__, window)):
                         continue
                     found = intersect([lists[t] for t in window], list(range(len(window))), slop)
                     if len(found):
-                        item_ids = sorted({i for c in classes for i in class_ids[c]})
                         starts += found.tolist()
                         sizes += [len(window)] * len(found)
-                        items += [item_ids] * len(found)
-                added.append((starts, sizes, items))
-            kinds = [pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.list_(pa.string()))]
+                        for doc in np.unique((found + len(window) - 1) >> _DOC).tolist():
+                            noted.setdefault(doc, set()).update(window_classes[w])
+                for doc, held in noted.items():
+                    class_docs += [doc] * len(held)
+                    classes += held
+                added.append((starts, sizes, class_docs, classes))
+            kinds = [pa.list_(k()) for k in (pa.int64, pa.int32, pa.int32, pa.int64)]
             columns = [pa.array(values, kind) for values, kind in zip(zip(*added), kinds)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:6], *columns],
-                names=[*batch.schema.names[:6], "hit_starts", "hit_sizes", "hit_items"],
+                names=[*batch.schema.names[:6], *HITS],
             )
 
-    return indexed.mapInArrow(search, MATCHES)
+    return indexed.mapInArrow(search, MATCHES), sent
 
 
 def judged(matched: DataFrame) -> DataFrame:
-    """One row per document: its words, those inside a match, the items matched and the spans."""
+    """One row per document: its words, those inside a match, the classes matched, ascending, and the spans."""
 
     def judge(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.struct([("first", pa.int32()), ("last", pa.int32())])
         for batch in rows:
-            for row in batch.select(
-                ["doc_ids", "text_hashes", "n_words", "hit_starts", "hit_sizes", "hit_items"]
-            ).to_pylist():
+            for row in batch.select(["doc_ids", "text_hashes", "n_words", *HITS]).to_pylist():
                 ids, n = row["doc_ids"], len(row["doc_ids"])
                 hit, found, spans = [0] * n, [set() for _ in range(n)], [[] for _ in range(n)]
-                seen: set[tuple[int, tuple]] = set()
-                hits = sorted(zip(row["hit_starts"], row["hit_sizes"], map(tuple, row["hit_items"])))
-                for start, size, items in hits:
+                for doc, held in zip(row["class_docs"], row["classes"]):
+                    found[doc].add(held)
+                for start, size in sorted(zip(row["hit_starts"], row["hit_sizes"])):
                     start = max(start, (start + size - 1) >> _DOC << _DOC)  # slop may reach before the text
                     doc, first = start >> _DOC, start & (1 << _DOC) - 1
                     last = min(first + size, row["n_words"][doc]) - 1
@@ -237,24 +246,38 @@ def judged(matched: DataFrame) -> DataFrame:
                     else:
                         spans[doc].append([first, last])
                         hit[doc] += last - first + 1
-                    if (doc, items) not in seen:
-                        seen.add((doc, items))
-                        found[doc].update(items)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(ids, pa.int64()),
                         pa.array(row["text_hashes"], pa.int64()),
                         pa.array(row["n_words"], pa.int64()),
                         pa.array(hit, pa.int64()),
-                        pa.array([sorted(f) for f in found], pa.list_(pa.string())),
+                        pa.array([sorted(f) for f in found], pa.list_(pa.int64())),
                         pa.array([[{"first": a, "last": b} for a, b in s] for s in spans], pa.list_(kind)),
                     ],
-                    names=["doc_id", "text_hash", "n_words", "n_hit", "item_ids", "spans"],
+                    names=["doc_id", "text_hash", "n_words", "n_hit", "classes", "spans"],
                 )
 
     return matched.mapInArrow(judge, RESULT)
 
 
+def with_items(found: DataFrame, ids: DataFrame) -> DataFrame:
+    """``found`` with ``item_ids``, sorted as text, in place of its classes.
+
+    Documents with the same classes share one list, which is put together once; a list that
+    very many documents share goes to them by broadcast.
+    """
+    kept = ["doc_id", "text_hash", "n_words", "n_hit"]
+    hit = found.where(F.size("classes") > 0)
+    sets = stored(hit.groupBy("classes").agg(F.count("*").alias("weight")), "class-sets")
+    total = sets.agg(F.sum("weight")).first()[0] or 0
+    uses = sets.select("classes", F.explode("classes").alias("class"))
+    lists = uses.join(ids, "class").groupBy("classes").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
+    named = lookup(hit, stored(sets.join(lists, "classes"), "item-lists"), ["classes"], "weight", total)
+    none = found.where(F.size("classes") == 0).select(*kept, F.array().cast("array<string>").alias("item_ids"), "spans")
+    return named.select(*kept, "item_ids", "spans").unionByName(none)
+
+
 def contamination(
     docs: DataFrame,
     tests: DataFrame,
@@ -278,18 +301,23 @@ def contamination(
     document ids are kept. Empty tables: no documents give no rows, no items give no
     hits. Other columns are ignored.
     """
-    blocks = [Tests(block, window) for block in test_blocks(tests, item_key, item_text, block_bytes)]
-    pruned = blocks[0] if len(blocks) == 1 else None
+    classes, ids, blocks = test_classes(tests, item_key, item_text, block_bytes)
+    block = lambda b: Tests([(r["class"], bytes(r["words"])) for r in classes.where(F.col("block") == b).collect()], window)
+    pruned = block(0) if blocks == 1 else None
     found = stored(index(docs, pruned, slop == 0, key, text), "positional-index").withColumns(
         {
             "hit_starts": F.array().cast("array<long>"),
             "hit_sizes": F.array().cast("array<int>"),
-            "hit_items": F.array().cast("array<array<string>>"),
+            "class_docs": F.array().cast("array<int>"),
+            "classes": F.array().cast("array<long>"),
         }
     )
-    for block in blocks:
-        found = match(found, block, slop)
-    return judged(found)
+    for b in range(blocks):
+        found, sent = match(found, pruned or block(b), slop)
+        if blocks > 1:  # one block at a time on the driver and the executors
+            found = stored(found, "matched")
+            sent.unpersist()
+    return with_items(stored(judged(found), "contamination"), ids)
 
 
 def without_contaminated(docs: DataFrame, tests: DataFrame, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:
