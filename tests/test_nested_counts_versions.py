@@ -1,0 +1,96 @@
+import random
+from concurrent.futures import ThreadPoolExecutor
+
+import pytest
+from pyspark import inheritable_thread_target
+from pyspark.sql import functions as F
+
+from textjury import ModelStore, build_split, retrain
+from textjury.operators.folds import assign_folds
+from textjury.operators.term_weights import idf_leave_one_out
+from textjury.plans.fold_counts import FoldCounts
+from textjury.plans.nested import nested_vote
+from textjury.plans.storage import claim
+
+LABELLED = "doc_id string, label double, text string"
+
+
+def labelled(spark, n=90, seed=1):
+    rng = random.Random(seed)
+    rows = [(str(i), float(i % 3 == 0), " ".join(["spam"] * (i % 3 == 0) + rng.choices("abcdefg", k=4))) for i in range(n)]
+    return spark.createDataFrame(rows, LABELLED)
+
+
+def test_nested_vote_uses_members_that_never_saw_the_fold(spark, folder, monkeypatch):
+    split = build_split(labelled(spark), folder, 3, tokenizer={"mode": "word"})
+    seen = []
+    from textjury.plans import nested
+
+    old = nested.estimator
+
+    def watched(algorithm, m):
+        learner = old(algorithm, m)
+        fit = learner.fit
+        learner.fit = lambda rows: (seen.append(rows.count()), fit(rows))[1]
+        return learner
+
+    monkeypatch.setattr(nested, "estimator", watched)
+    judged = nested_vote(split, ModelStore(spark, folder), "DT", num_features=32, parallelism=1).collect()
+    sizes = {c["fold"]: c["n"] for c in split.class_counts(spark)}
+    assert sorted(seen) == sorted(sizes.values())  # of three folds, each member learned from the one it keeps
+    assert len(judged) == 90 and all(r["prediction"] == r["label"] for r in judged)
+    assert {r["votes"] for r in judged} == {0, 2}
+
+
+def test_nested_vote_is_a_strict_majority(spark, folder):
+    split = build_split(labelled(spark, seed=5), folder, 4, tokenizer={"mode": "word"})
+    for r in nested_vote(split, ModelStore(spark, folder), "LR", num_features=16).collect():
+        assert r["prediction"] == float(r["votes"] > 1) and 0 <= r["votes"] <= 3
+
+
+def test_nested_vote_takes_three_folds(spark, folder):
+    split = build_split(labelled(spark), folder, 2, tokenizer={"mode": "word"})
+    with pytest.raises(ValueError, match="3 folds"):
+        nested_vote(split, ModelStore(spark, folder), "DT")
+
+
+def counted(df):
+    return sorted((r["held_out"], r["bucket"], r["df"], round(r["idf"], 9)) for r in df.collect())
+
+
+def test_added_batches_equal_a_full_count(spark, folder):
+    words = labelled(spark).withColumn("words", F.split("text", " "))
+    whole = counted(idf_leave_one_out(assign_folds(words, 3), 64, 3))
+    counts = FoldCounts(spark, f"{folder}/c", 64, 3)
+    parts = [words.where(F.col("doc_id").cast("int") % 4 == i) for i in range(4)]
+    for i, part in enumerate(parts):
+        counts.add(part, str(i))
+    assert counted(counts.idf_leave_one_out()) == whole
+    counts.add(parts[2], "2")  # a repeated job
+    assert counted(FoldCounts(spark, f"{folder}/c", 64, 3).idf_leave_one_out()) == whole
+    counts.compact()
+    assert counted(counts.idf_leave_one_out()) == whole
+    assert [r[0] for r in spark.read.parquet(f"{folder}/c/counts").select("batch").distinct().collect()] == ["all"]
+
+
+def test_counts_of_other_settings_are_refused(spark, folder):
+    FoldCounts(spark, f"{folder}/c", 64, 3)
+    with pytest.raises(ValueError, match="holds counts"):
+        FoldCounts(spark, f"{folder}/c", 128, 3)
+
+
+def test_one_of_many_claims_succeeds(spark, folder):
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(inheritable_thread_target(spark)(lambda i: claim(spark, f"{folder}/claims/{i % 3}")), range(48)))
+    assert sum(won) == 3
+
+
+def test_trainings_at_once_take_different_numbers(spark, folder):
+    store = ModelStore(spark, folder)
+    df = labelled(spark)
+    train = inheritable_thread_target(spark)(lambda _: retrain(df, store, "DT", k=2, num_features=32).version)
+    with ThreadPoolExecutor(2) as pool:
+        versions = list(pool.map(train, range(2)))
+    assert sorted(v.version for v in versions) == [1, 2]
+    assert store.latest("DT").version == 2 and store.registry().count() == 2
+    assert retrain(df, store, "DT", k=2, num_features=32).version.version == 3

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -45,22 +45,24 @@ def estimator(algorithm: str, num_features: int):
     return ALGORITHMS[algorithm_code(algorithm)](num_features)
 
 
-def check_classes(algorithm: str, class_counts: list[dict]) -> None:
+def check_classes(algorithm: str, class_counts: list[dict], left_out: Iterable[tuple[int, ...]] | None = None) -> None:
     """Refuse label sets that the algorithm cannot learn from, before any fit.
 
-    ``class_counts`` has one entry per fold: fold, n, n_zero, n_one.
+    ``class_counts`` has one entry per fold: fold, n, n_zero, n_one. ``left_out`` has the folds
+    that each training set leaves out, by default one each.
     """
     total = {name: sum(c[name] for c in class_counts) for name in ("n", "n_zero", "n_one")}
     if total["n"] == 0:
         raise ValueError("no labelled messages")
     if total["n_zero"] + total["n_one"] != total["n"]:
         raise ValueError("labels must be 0 or 1")
-    for c in class_counts:
-        outside = {name: total[name] - c[name] for name in total}
+    for folds in left_out or [(c["fold"],) for c in class_counts]:
+        outside = {name: total[name] - sum(c[name] for c in class_counts if c["fold"] in folds) for name in total}
+        named = f"fold {folds[0]}" if len(folds) == 1 else f"folds {folds}"
         if outside["n"] == 0:
-            raise ValueError(f"all messages are in fold {c['fold']}: nothing left to train on")
+            raise ValueError(f"all messages are in {named}: nothing left to train on")
         if algorithm == "SVM" and 0 in (outside["n_zero"], outside["n_one"]):
             raise ValueError(
-                f"the messages outside fold {c['fold']} have one class only; "
+                f"the messages outside {named} have one class only; "
                 "the linear SVM needs both"
             )

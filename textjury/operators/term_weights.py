@@ -61,6 +61,11 @@ def _frequency_by_fold(
             F.max("bucket").alias("marker"),
         )
     )
+    return split_messages(counts)
+
+
+def split_messages(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(bucket, n) of the buckets and (m) of all messages, from (bucket, n, marker)."""
     per_bucket = counts.where(F.col("marker") != ALL_MESSAGES).select("bucket", "n")
     messages = counts.where(F.col("marker") == ALL_MESSAGES).select(F.col("n").alias("m"))
     return per_bucket, messages
@@ -79,7 +84,11 @@ def idf_leave_one_out(df: DataFrame, num_buckets: int, k: int, words: str = "wor
 
     Training set i has the total document frequency minus that of fold i.
     """
-    per_bucket, messages = _frequency_by_fold(df, num_buckets, k, F.col("fold"), words)
+    return idf_of_training_sets(*_frequency_by_fold(df, num_buckets, k, F.col("fold"), words))
+
+
+def idf_of_training_sets(per_bucket: DataFrame, messages: DataFrame) -> DataFrame:
+    """(held_out, bucket, df, idf) from the messages per fold: (bucket, n) of each bucket and (m) of all."""
 
     def outside(n: Column) -> Column:
         total = F.aggregate(n, F.lit(0).cast("bigint"), lambda acc, own: acc + own)

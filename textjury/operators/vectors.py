@@ -48,8 +48,10 @@ def idf_stages(by_fold: np.ndarray) -> list[ElementwiseProduct]:
     training set is counted twice.
     """
     training = by_fold.sum(axis=0) - by_fold
-    weights = np.log((training[:, -1:] + 1) / (training[:, :-1] + 1))
-    return [
-        ElementwiseProduct(scalingVec=Vectors.dense(row), inputCol=TF, outputCol=FEATURES)
-        for row in weights
-    ]
+    return [idf_stage(row) for row in training]
+
+
+def idf_stage(training: np.ndarray) -> ElementwiseProduct:
+    """Weights from one training set's messages per bucket and, last, its number of messages."""
+    weights = np.log((training[-1] + 1) / (training[:-1] + 1))
+    return ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol=TF, outputCol=FEATURES)

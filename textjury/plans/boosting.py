@@ -105,8 +105,7 @@ def train_boosted(
     n_rows = sum(c["n"] for c in class_counts)
     check_memory(algorithm, n_rows, m, max_dense_bytes)
 
-    previous = target.latest(algorithm)
-    number = 1 if previous is None else previous.version + 1
+    number = target.claim_version(algorithm)
     path = target.new_path(algorithm, number)
     vectors = split.vectors(spark, m)
     frequency = fold_document_frequency(vectors, split.k, m)

@@ -400,6 +400,8 @@ def _discovery(max_length: int, min_count: int, min_cohesion: float, min_entropy
 
 ORACLE["marker_cv_dt_selected"] = MARKER_COUNTS
 ORACLE["boosted_marker_cv"] = MARKER_COUNTS
+ORACLE["nested_vote_metrics"] = MARKER_COUNTS
+ORACLE["incremental_idf"] = ORACLE["idf_leave_one_out"]
 ORACLE["boosted_alphas"] = MARGINS
 ORACLE["windowed_spam_rate"] = f"""
     SELECT epoch(date_trunc('hour', ts))::BIGINT AS window_start, count(*) AS n, sum(vote)::BIGINT AS n_spam,

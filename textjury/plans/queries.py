@@ -15,7 +15,7 @@ from textjury.functions.hashing import md5_bucket
 from textjury.operators import evaluation, folds, selection, term_weights, tokenizing, unknown_words, voting
 from textjury.operators.segmenting import segment
 from textjury.operators.word_discovery import discover_words as word_discovery_of
-from textjury.plans import boosting, scoring
+from textjury.plans import boosting, fold_counts, nested, scoring
 from textjury.plans.comparison import comparison_board
 from textjury.plans.split import build_split, dictionary_tokenizer
 from textjury.plans.training import retrain, train_on_split
@@ -348,6 +348,16 @@ def chi_square_by_fold(b: Workbench) -> DataFrame:
     return selection.chi_square_by_fold(rows, BUCKETS, FOLDS).withColumn("chi_square", F.round("chi_square", 4))
 
 
+@query
+def incremental_idf(b: Workbench) -> DataFrame:
+    """English messages are counted first, the others added later: the same idf as from the whole table."""
+    counts = fold_counts.FoldCounts(b.spark, b.new_folder("fold-counts"), BUCKETS, FOLDS)
+    rows = _words(b, labelled=True).join(b.table("documents").select("doc_id", "lang"), "doc_id")
+    counts.add(rows.where("lang = 'en'"), "first")
+    counts.add(rows.where("lang <> 'en'"), "second")
+    return counts.idf_leave_one_out().withColumn("idf", F.round("idf", DECIMALS))
+
+
 @query
 def tfidf(b: Workbench) -> DataFrame:
     return term_weights.tfidf(_words(b), BUCKETS).withColumn("tfidf", F.round("tfidf", DECIMALS))
@@ -502,6 +512,16 @@ def marker_cv_dt_selected(b: Workbench) -> DataFrame:
     return evaluation.evaluate(scoring.out_of_fold(split, ensemble, store), FOLDS).select("fold", "tp", "fp", "fn")
 
 
+@query
+def nested_vote_metrics(b: Workbench) -> DataFrame:
+    """The vote on rows that no voting member saw, on the marker data."""
+    marked = F.concat("text", F.when(F.col("label") == 1, F.lit(MARKER)).otherwise(""))
+    store = type(b.store)(b.spark, b.new_folder("marker-nested"))
+    split = build_split(b.labelled().withColumn("text", marked), store.root, FOLDS, tokenizer={"mode": "word"})
+    judged = nested.nested_vote(split, store, "DT", num_features=MARKER_FEATURES)
+    return evaluation.evaluate(judged, FOLDS).select("fold", "tp", "fp", "fn")
+
+
 @query
 def boosted_marker_cv(b: Workbench) -> DataFrame:
     marked = F.concat("text", F.when(F.col("label") == 1, F.lit(MARKER)).otherwise(""))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textjury.operators.classifiers import algorithm_code
-from textjury.plans.storage import append_record, read_records
+from textjury.plans.storage import append_record, claim, read_records
 
 REGISTRY = (
     "algorithm STRING, version INT, path STRING, k INT, num_features INT, tokenizer STRING, "
@@ -99,6 +99,17 @@ class ModelStore:
     def new_path(self, algorithm: str, version: int) -> str:
         return f"{self.root}/models/{algorithm}/v{version}-{uuid.uuid4().hex[:8]}"
 
+    def claim_version(self, algorithm: str) -> int:
+        """The next version number, taken by creating its claim: of two trainings at once, one gets n and one n + 1.
+
+        A training that fails leaves its number unused.
+        """
+        newest = self.latest(algorithm)
+        number = 1 if newest is None else newest.version + 1
+        while not claim(self.spark, f"{self.root}/claims/{algorithm_code(algorithm)}/{number}"):
+            number += 1
+        return number
+
     def publish(self, version: ModelVersion) -> None:
         append_record(self.spark, f"{self.root}/registry", asdict(version), REGISTRY)
 

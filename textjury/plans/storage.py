@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -45,10 +46,30 @@ def drop_run(spark: SparkSession) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create an empty file that must not exist yet; of several that try at once, one succeeds."""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(place.getParent())
+    try:
+        if system.getScheme() == "file":  # Hadoop's own local create looks first and creates then
+            nothing = spark.sparkContext._gateway.new_array(jvm.java.nio.file.attribute.FileAttribute, 0)
+            local = system.makeQualified(place).toUri().getPath()
+            jvm.java.nio.file.Files.createFile(jvm.java.io.File(local).toPath(), nothing)
+        else:
+            system.create(place, False).close()
+    except Py4JJavaError as taken:
+        if taken.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
+    return True
+
+
 def read_records(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     """JSON rows under ``path``, or None when nothing was written there yet."""
     try:
-        return spark.read.schema(schema).json(path)
+        return spark.read.schema(schema).option("recursiveFileLookup", "true").json(path)
     except AnalysisException as missing:
         if missing.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -56,10 +77,14 @@ def read_records(spark: SparkSession, path: str, schema: str) -> DataFrame | Non
 
 
 def append_record(spark: SparkSession, path: str, record: dict[str, Any], schema: str) -> None:
-    """Append one row. Its file appears when the write commits, whole or not at all."""
+    """Append one row. Its file appears when the write commits, whole or not at all.
+
+    Each row has a folder of its own: writers that commit to one folder at once would share,
+    and delete, their temporary files.
+    """
     names = [field.split()[0] for field in schema.split(", ")]
     row = Row(*names)(*[record[name] for name in names])
-    spark.createDataFrame([row], schema).coalesce(1).write.mode("append").json(path)
+    spark.createDataFrame([row], schema).coalesce(1).write.json(f"{path}/{uuid.uuid4().hex}")
 
 
 def _listing(spark: SparkSession, paths: tuple[str, ...]) -> DataFrame:

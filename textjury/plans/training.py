@@ -88,7 +88,7 @@ def train_on_split(
     buckets that have the highest chi-square with the label in its own training set.
     """
     algorithm = algorithm_code(algorithm)
-    previous = _may_train(store, algorithm, replace)
+    _may_train(store, algorithm, replace)
     spark = store.spark
     m = num_features or DEFAULT_NUM_FEATURES[algorithm]
     class_counts = split.class_counts(spark)
@@ -98,7 +98,7 @@ def train_on_split(
         raise ValueError(f"select must be at least 1, got {select}")
     check_memory(algorithm, sum(c["n"] for c in class_counts), width, max_dense_bytes)
 
-    version = 1 if previous is None else previous.version + 1
+    version = store.claim_version(algorithm)
     path = store.new_path(algorithm, version)
     vectors = split.vectors(spark, m)
     if select is None:
