@@ -7,12 +7,11 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textjury.operators.joins import lookup as lookup
 from textjury.plans.storage import shared_dir
 
 #: Characters that separate words and are stripped from lines.
 BLANKS = " \t\n\x0b\f\r"
-#: A key is heavy, and joined by broadcast, if it has over 1/4,096 of the rows; so at most 4,095 are.
-HEAVY_KEYS = 4_096
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -56,16 +55,3 @@ def lower_ascii(text: Column) -> Column:
 def row_crc(key: str) -> Column:
     """crc32 of the key as text; null keys count as the empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary"))
-
-
-def lookup(rows: DataFrame, table: DataFrame, on: list[str], weight: str, total: int, how: str = "inner") -> DataFrame:
-    """``rows`` joined with ``table``, which has one row per key and in ``weight`` how many rows have it.
-
-    Keys above total / HEAVY_KEYS go by broadcast, at most HEAVY_KEYS of them; the rest is shuffled.
-    """
-    limit = max(32, -(-total // HEAVY_KEYS))
-    heavy = F.broadcast(table.where(F.col(weight) > limit).drop(weight))
-    light = table.where(F.col(weight) <= limit).drop(weight)
-    by_broadcast = rows.join(heavy, on, "inner")
-    others = rows.join(F.broadcast(heavy.select(*on)), on, "left_anti")
-    return by_broadcast.unionByName(others.join(light, on, how), allowMissingColumns=True)
