@@ -22,7 +22,7 @@ RELATIONAL = sorted(set(ORACLE) - TRAINS_ALL)
 @pytest.fixture(scope="module")
 def sql():
     connection = duckdb.connect()
-    for table in ("documents", "labels", "conversations", "benchmark"):
+    for table in ("documents", "labels", "conversations", "benchmark", "events"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     return connection
 
