@@ -42,7 +42,7 @@ def boosted(split):
 
 def test_rounds_and_alphas(spark, split, boosted):
     assert 1 <= len(boosted.alphas) <= 3 and all(e < 0.5 for e in boosted.errors)
-    assert [math.isclose(a, 0.5 * math.log((1 - e) / e)) for a, e in zip(boosted.alphas, boosted.errors)]
+    assert all(math.isclose(a, 0.5 * math.log((1 - e) / e)) for a, e in zip(boosted.alphas, boosted.errors))
     weights = {}
     for t, alpha in enumerate(boosted.alphas):
         judged = boosting.round_rows(spark, boosted.version.path, t).collect()
