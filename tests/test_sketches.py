@@ -1,0 +1,92 @@
+import math
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from textjury.operators import sketches
+from textjury.operators.tokenizing import tokenize, vocabulary
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def words(spark):
+    return tokenize(spark.read.parquet(f"{SF_DIR}/documents.parquet"), "word", lowercase=True).select("doc_id", "words")
+
+
+def rows(spark, *lists):
+    return spark.createDataFrame([(list_,) for list_ in lists], "words array<string>")
+
+
+def test_estimates_are_those_of_the_library(spark, words):
+    """A sketch read by Spark's own reader gives the same estimates, cell for cell."""
+    narrow = {"error": 0.05, "confidence": 0.9, "seed": 7}
+    tokens = words.select(F.explode("words").alias("token"))
+    binary = tokens.agg(
+        F.count_min_sketch(sketches.token_number(F.col("token")), F.lit(0.05), F.lit(0.9), F.lit(7))
+    ).first()[0]
+    jvm = spark._jvm.org.apache.spark.util.sketch.CountMinSketch.readFrom(bytes(binary))
+    sketch = sketches.count_sketch(words, **narrow)
+    got = sketches.with_estimates(tokens.distinct(), sketch, confidence=0.9).select(
+        sketches.token_number(F.col("token")).alias("number"), F.col("estimate").alias("n")
+    ).collect()
+    assert len(got) > 50 and sketch.first()["total"] == jvm.totalCount()
+    long = spark._jvm.java.lang.Long
+    assert all(r["n"] == jvm.estimateCount(long.valueOf(r["number"])) for r in got)
+
+
+def test_never_below_and_within_the_bound(words):
+    known = vocabulary(words)
+    wide = sketches.sketch_error(known, sketches.count_sketch(words)).first()
+    assert wide["n_below"] == 0 and wide["n_above"] <= 0.01 * wide["n_words"]
+    small = sketches.sketch_error(known, sketches.count_sketch(words, error=0.02, confidence=0.8), 0.02, 0.8).first()
+    assert small["n_below"] == 0 and small["n_above"] <= math.ceil(0.2 * small["n_words"])
+
+
+@pytest.mark.parametrize("groups", [1, 3])
+def test_sum_of_batches_is_the_sketch_of_all(words, groups):
+    one = sketches.count_sketch(words.where("doc_id % 3 = 0"), error=0.01, groups=groups)
+    other = sketches.count_sketch(words.where("doc_id % 3 <> 0").repartition(5), error=0.01, groups=groups)
+    assert sketches.add_sketches(one.unionByName(other)).first() == sketches.count_sketch(words, error=0.01).first()
+
+
+def test_sketches_of_other_settings_are_refused(spark):
+    one, other = (sketches.count_sketch(rows(spark, ["a"]), error=e) for e in (0.1, 0.05))
+    with pytest.raises(Exception, match="different error"):
+        sketches.add_sketches(one.unionByName(other)).collect()
+
+
+def test_estimates_want_the_confidence_of_the_sketch(spark):
+    asked = spark.createDataFrame([("a",)], "token string")
+    with pytest.raises(Exception, match="not made with confidence"):
+        sketches.with_estimates(asked, sketches.count_sketch(rows(spark, ["a"]), error=0.1, confidence=0.5)).collect()
+
+
+def test_frequent_words_are_exact(spark):
+    lists = [[f"w{i % m}" for i in range(40)] + [f"only{m}"] for m in range(1, 30)] + [None, [], ["hot"] * 5000]
+    count = Counter(w for list_ in lists for w in list_ or [])
+    df = rows(spark, *lists)
+    for error in (0.3, 1e-4):  # a coarse sketch only lets more through before the exact counts
+        got = sketches.frequent_words(df, 25, sketch=sketches.count_sketch(df, error=error)).collect()
+        assert {r["token"]: r["term_count"] for r in got} == {w: n for w, n in count.items() if n >= 25}
+
+
+def test_rare_words_stay_out_of_the_shuffle(spark):
+    """What is grouped are the tokens whose estimate reaches the bound."""
+    df = rows(spark, *[[f"rare{i}", "common"] for i in range(2000)])
+    tokens = df.select(F.explode("words").alias("token")).distinct()
+    passing = sketches.with_estimates(tokens, sketches.count_sketch(df)).where("estimate >= 10").collect()
+    assert "common" in {r["token"] for r in passing} and len(passing) < 20
+
+
+def test_empty_and_null(spark):
+    for df in (rows(spark, []).limit(0), rows(spark, None, [], [None])):
+        sketch = sketches.count_sketch(df, error=0.1)
+        assert sketch.first()["total"] == 0
+        assert sketches.frequent_words(df, 1).count() == 0
+        asked = spark.createDataFrame([("a",), (None,)], "token string")
+        assert {r["token"]: r["estimate"] for r in sketches.with_estimates(asked, sketch).collect()} == {"a": 0, None: None}
+        assert sketches.sketch_error(vocabulary(df.where("size(words) = 0")), sketch, 0.1).first().asDict() == {
+            "n_words": 0, "n_terms": 0, "n_below": 0, "n_above": 0,
+        }

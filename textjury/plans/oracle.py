@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from textjury.operators.voting import VERDICT_NOT_SPAM, VERDICT_SPAM
-from textjury.plans.queries import BUCKETS, COLLISION_SIZES, DISCOVERY, MEMBER_WEIGHTS
+from textjury.plans.queries import BUCKETS, COLLISION_SIZES, DISCOVERY, FREQUENT, MEMBER_WEIGHTS
 from textjury.plans.workbench import FOLDS
 
 
@@ -438,3 +438,10 @@ ORACLE["dictionary_split_roundtrip"] = f"""
     FROM ({FOLD_ROWS}) r
     LEFT JOIN (SELECT doc_id, sum(n) AS n_tokens FROM ({ORACLE['tokenize_dictionary']}) GROUP BY doc_id) t
     ON r.doc_id = t.doc_id GROUP BY fold"""
+ORACLE["frequent_words"] = f"""
+    SELECT token, count(*) AS term_count, count(DISTINCT doc_id) AS doc_count
+    FROM ({TOKENS}) GROUP BY token HAVING count(*) >= {FREQUENT}"""
+ORACLE["sketch_error"] = f"""
+    SELECT count(DISTINCT token) AS n_words, count(*) AS n_terms,
+           CAST(0 AS BIGINT) AS n_below, CAST(1 AS INTEGER) AS within_bound
+    FROM ({TOKENS})"""

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textjury.functions.hashing import md5_bucket
-from textjury.operators import evaluation, folds, selection, term_weights, tokenizing, unknown_words, voting
+from textjury.operators import evaluation, folds, selection, sketches, term_weights, tokenizing, unknown_words, voting
 from textjury.operators.segmenting import segment
 from textjury.operators.word_discovery import discover_words as word_discovery_of
 from textjury.plans import boosting, fold_counts, nested, scoring
@@ -36,6 +36,7 @@ COLLISION_SIZES = [1_000, 10_000, 100_000]
 MEMBER_WEIGHTS = [0.9, 0.5, 0.4, 0.3, 0.2]
 SELECTED_BUCKETS = 100
 DECIMALS = 6
+FREQUENT = 50
 DISCOVERY = {"max_length": 4, "min_count": 20, "min_cohesion": 2.0, "min_entropy": 1.0}
 
 
@@ -281,6 +282,21 @@ def hash_collisions(b: Workbench) -> DataFrame:
 # Folds
 
 
+@query
+def frequent_words(b: Workbench) -> DataFrame:
+    """Words with at least 50 occurrences; rarer ones are kept out of the shuffle by a sketch of all."""
+    return sketches.frequent_words(_words(b), FREQUENT)
+
+
+@query
+def sketch_error(b: Workbench) -> DataFrame:
+    """Sketched against exact counts: none may be below, and one word in a hundred above the bound."""
+    words = _words(b)
+    found = sketches.sketch_error(tokenizing.vocabulary(words), sketches.count_sketch(words))
+    within = F.col("n_above") <= (1 - sketches.CONFIDENCE) * F.col("n_words")
+    return found.select("n_words", "n_terms", "n_below", within.cast("int").alias("within_bound"))
+
+
 @query
 def fold_assignment(b: Workbench) -> DataFrame:
     return folds.assign_folds(b.table("documents"), FOLDS).select("doc_id", "fold")
