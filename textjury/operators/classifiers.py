@@ -11,6 +11,7 @@ from pyspark.ml.classification import (
     LogisticRegression,
     MultilayerPerceptronClassifier,
 )
+from pyspark.ml.linalg import Vectors
 
 SEED = 20181116
 
@@ -45,6 +46,23 @@ def estimator(algorithm: str, num_features: int):
     return ALGORITHMS[algorithm_code(algorithm)](num_features)
 
 
+#: Share of the previous weights that a warm start keeps.
+SHRINK = 0.3
+
+
+def warm_started(
+    learner: MultilayerPerceptronClassifier, previous, shrink: float = SHRINK
+) -> MultilayerPerceptronClassifier:
+    """A perceptron that begins at the shrunken weights of a ``previous`` model of the same layers, not at random ones.
+
+    Weights of a finished fit are so sure of their answers that new rows cannot move them; shrunk
+    they keep the direction, and the fit can go on.
+    """
+    if learner.getLayers() != previous.getLayers():
+        raise ValueError(f"a perceptron of layers {learner.getLayers()} cannot begin at one of {previous.getLayers()}")
+    return learner.setInitialWeights(Vectors.dense(shrink * previous.weights.toArray()))
+
+
 def check_classes(algorithm: str, class_counts: list[dict], left_out: Iterable[tuple[int, ...]] | None = None) -> None:
     """Refuse label sets that the algorithm cannot learn from, before any fit.
 

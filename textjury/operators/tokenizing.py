@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from textjury.functions import text as T
 from textjury.functions.arrays import counted
+from textjury.functions.hashing import similar_bucket, similar_signature
 
 MODES: dict[str, Callable[[Column, int], Column]] = {
     "keep_all": lambda text, n: T.all_pieces(text),
@@ -37,6 +38,7 @@ def tokenize(
     lowercase: bool = False,
     text: str = "text",
     out: str = "words",
+    similar: int | None = None,
 ) -> DataFrame:
     """Add the token array ``out``.
 
@@ -44,9 +46,12 @@ def tokenize(
     included and case untouched. ``mixed`` does the same, but cuts runs of scripts
     without blanks into character n-grams. ``word`` keeps letters and digits only.
     ``char_ngram`` cuts everything into n-grams. Segmentation with a word list is
-    :func:`textjury.operators.segmenting.segment`.
+    :func:`textjury.operators.segmenting.segment`. With ``similar`` each token becomes its
+    :func:`textjury.functions.hashing.similar_signature` of so many rows: whatever hashes the
+    tokens later puts similar ones into one bucket.
     """
-    return df.withColumn(out, tokens(F.col(text), mode, n, lowercase))
+    cut = tokens(F.col(text), mode, n, lowercase)
+    return df.withColumn(out, cut if similar is None else F.transform(cut, lambda t: similar_signature(t, similar)))
 
 
 def token_rows(df: DataFrame, key: str = "doc_id", words: str = "words") -> DataFrame:
@@ -72,3 +77,12 @@ def vocabulary(df: DataFrame, words: str = "words") -> DataFrame:
         .groupBy("token")
         .agg(F.sum("n").alias("term_count"), F.count(F.lit(1)).alias("doc_count"))
     )
+
+
+def similar_words(df: DataFrame, num_buckets: int, rows: int = 2, n: int = 2, words: str = "words") -> DataFrame:
+    """(token, bucket) of every distinct token, similar tokens tending to share a bucket.
+
+    Tokens are made distinct before they are hashed, so a frequent one costs no more than a rare one.
+    """
+    distinct = df.select(F.explode(F.array_distinct(words)).alias("token")).where("token is not null").distinct()
+    return distinct.withColumn("bucket", similar_bucket(F.col("token"), num_buckets, rows, n))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from textjury.operators.voting import VERDICT_NOT_SPAM, VERDICT_SPAM
-from textjury.plans.queries import BUCKETS, COLLISION_SIZES, DISCOVERY, FREQUENT, MEMBER_WEIGHTS
+from textjury.plans.queries import BUCKETS, COLLISION_SIZES, DISCOVERY, FREQUENT, MEMBER_WEIGHTS, SIMILAR_ROWS
 from textjury.plans.workbench import FOLDS
 
 
@@ -445,3 +445,12 @@ ORACLE["sketch_error"] = f"""
     SELECT count(DISTINCT token) AS n_words, count(*) AS n_terms,
            CAST(0 AS BIGINT) AS n_below, CAST(1 AS INTEGER) AS within_bound
     FROM ({TOKENS})"""
+_LEAST = " || ".join(
+    f"substr(list_min(list_transform(grams, g -> md5('{row}:' || g))), 1, 8)" for row in range(SIMILAR_ROWS)
+)
+ORACLE["similar_word_buckets"] = f"""
+    SELECT token, {_bucket(_LEAST, COLLISION_SIZES[-1])} AS bucket
+    FROM (SELECT token, list_transform(range(1, length(token) + 2),
+                                       i -> substring(chr(2) || token || chr(3), i, 2)) AS grams
+          FROM (SELECT DISTINCT token FROM ({TOKENS})))"""
+ORACLE["similar_marker_cv"] = MARKER_COUNTS

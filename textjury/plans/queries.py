@@ -37,6 +37,7 @@ MEMBER_WEIGHTS = [0.9, 0.5, 0.4, 0.3, 0.2]
 SELECTED_BUCKETS = 100
 DECIMALS = 6
 FREQUENT = 50
+SIMILAR_ROWS = 2
 DISCOVERY = {"max_length": 4, "min_count": 20, "min_cohesion": 2.0, "min_entropy": 1.0}
 
 
@@ -297,6 +298,12 @@ def sketch_error(b: Workbench) -> DataFrame:
     return found.select("n_words", "n_terms", "n_below", within.cast("int").alias("within_bound"))
 
 
+@query
+def similar_word_buckets(b: Workbench) -> DataFrame:
+    """Buckets by the least hashes of a word's character bigrams."""
+    return tokenizing.similar_words(_words(b), COLLISION_SIZES[-1], SIMILAR_ROWS)
+
+
 @query
 def fold_assignment(b: Workbench) -> DataFrame:
     return folds.assign_folds(b.table("documents"), FOLDS).select("doc_id", "fold")
@@ -528,6 +535,31 @@ def marker_cv_dt_selected(b: Workbench) -> DataFrame:
     return evaluation.evaluate(scoring.out_of_fold(split, ensemble, store), FOLDS).select("fold", "tp", "fp", "fn")
 
 
+@query
+def similar_marker_cv(b: Workbench) -> DataFrame:
+    """Trees on buckets of similar words still find the marker."""
+    marked = F.concat("text", F.when(F.col("label") == 1, F.lit(MARKER)).otherwise(""))
+    store = type(b.store)(b.spark, b.new_folder("marker-similar"))
+    tokenizer = {"mode": "word", "similar": SIMILAR_ROWS}
+    split = build_split(b.labelled().withColumn("text", marked), store.root, FOLDS, tokenizer=tokenizer)
+    ensemble = train_on_split(split, store, "DT", num_features=MARKER_FEATURES)
+    return evaluation.evaluate(scoring.out_of_fold(split, ensemble, store), FOLDS).select("fold", "tp", "fp", "fn")
+
+
+@query
+def hashing_comparison(b: Workbench) -> DataFrame:
+    """Logistic regression on spread and on similar buckets, as few of them: mean metrics of both."""
+    store = type(b.store)(b.spark, b.new_folder("hashings"))
+    boards = []
+    for name, similar in (("spread", None), ("similar", SIMILAR_ROWS)):
+        tokenizer = {"mode": "word", "lowercase": True, "similar": similar}
+        split = build_split(b.labelled(), store.root, FOLDS, tokenizer=tokenizer)
+        ensemble = train_on_split(split, store, "LR", num_features=BUCKETS, replace=True)
+        means = evaluation.macro_average(evaluation.evaluate(scoring.out_of_fold(split, ensemble, store), FOLDS))
+        boards.append(means.select(F.lit(name).alias("hashing"), "precision", "recall", "f1"))
+    return reduce(DataFrame.unionByName, boards)
+
+
 @query
 def nested_vote_metrics(b: Workbench) -> DataFrame:
     """The vote on rows that no voting member saw, on the marker data."""

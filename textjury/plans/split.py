@@ -146,6 +146,16 @@ def _complete(spark: SparkSession, path: str, fingerprint: str, settings: dict)
     append_record(spark, f"{path}/manifest", record, MANIFEST)
 
 
+def fold_settings(spark: SparkSession, path: str) -> dict[str, Any]:
+    """What decides a row's words and fold in a stored split: rows that two splits with equal ones share are in one fold."""
+    done = read_records(spark, f"{path}/manifest", MANIFEST)
+    row = None if done is None else done.first()
+    if row is None:
+        raise RuntimeError(f"no complete split under {path}")
+    settings = json.loads(row["settings"])
+    return {name: settings[name] for name in ("k", "salt", "group_key", "tokenizer")}
+
+
 def open_split(spark: SparkSession, path: str) -> Split:
     """A split stored earlier, with the settings from its manifest."""
     done = read_records(spark, f"{path}/manifest", MANIFEST)
