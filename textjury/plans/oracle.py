@@ -445,12 +445,11 @@ ORACLE["sketch_error"] = f"""
     SELECT count(DISTINCT token) AS n_words, count(*) AS n_terms,
            CAST(0 AS BIGINT) AS n_below, CAST(1 AS INTEGER) AS within_bound
     FROM ({TOKENS})"""
-_LEAST = " || ".join(
-    f"substr(list_min(list_transform(grams, g -> md5('{row}:' || g))), 1, 8)" for row in range(SIMILAR_ROWS)
-)
+_LEAST = " || ".join(f"substr(min(md5('{row}:' || gram)), 1, 8)" for row in range(SIMILAR_ROWS))
 ORACLE["similar_word_buckets"] = f"""
-    SELECT token, {_bucket(_LEAST, COLLISION_SIZES[-1])} AS bucket
-    FROM (SELECT token, list_transform(range(1, length(token) + 2),
-                                       i -> substring(chr(2) || token || chr(3), i, 2)) AS grams
-          FROM (SELECT DISTINCT token FROM ({TOKENS})))"""
+    WITH words AS (SELECT DISTINCT token FROM ({TOKENS})),
+    places AS (SELECT token, unnest(range(1, length(token) + 2)) AS place FROM words),
+    grams AS (SELECT token, substring(chr(2) || token || chr(3), place, 2) AS gram FROM places),
+    signatures AS (SELECT token, {_LEAST} AS signature FROM grams GROUP BY token)
+    SELECT token, {_bucket('signature', COLLISION_SIZES[-1])} AS bucket FROM signatures"""
 ORACLE["similar_marker_cv"] = MARKER_COUNTS
