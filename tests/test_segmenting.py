@@ -2,11 +2,13 @@ import math
 import random
 import re
 import time
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from textjury.operators.segmenting import salted_join, segment
+from textjury.operators.segmenting import cut_batch, cutter, salted_join, segment
 
 WORDS = ["比赛", "规则", "江苏", "江苏科技大学", "科技", "大学", "负责", "解释", "以上", "教职工", "摄影协会"]
 
@@ -109,3 +111,17 @@ def test_salted_join_keeps_every_row_of_a_hot_key(spark):
     got = salted_join(left, right, "token").groupBy("token").count().collect()
     expected = left.join(right, "token").groupBy("token").count().collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, expected))
+
+
+def test_a_batch_is_cut_with_few_tokens_as_python_objects():
+    rows, length = 400, 5_000
+    parts = pa.array([["ab" * (length // 2), " "]] * rows + [[]])
+    marks = pa.array([[True, False]] * rows + [[]])
+    cut = cutter([("ab", 1)], "longest", 1)
+    tracemalloc.start()
+    got = cut_batch(parts, marks, cut)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.value_lengths().to_pylist() == [length // 2 + 1] * rows + [0]
+    assert got[rows - 1].as_py() == ["ab"] * (length // 2) + [" "]
+    assert most < 25e6  # all tokens at once are 1,000,400 strings

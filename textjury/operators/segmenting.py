@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +22,12 @@ HAN = r"\p{IsHan}"
 BROADCAST_WORDS = 500_000
 BROADCAST_CHARACTERS = 16 * 1024 * 1024
 SALTS = 64
-CACHED_RUNS = 50_000
+#: Runs whose tokens a task keeps, and the longest of them: a run as long as a text hardly repeats, and its tokens take space.
+CACHED_RUNS, CACHED_LENGTH = 20_000, 32
+#: Pieces and characters that a task cuts before their tokens become Arrow arrays; until then each is a Python object.
+CUT_PIECES, CUT_CHARACTERS = 16_384, 262_144
+#: Rows whose tokens leave a task at once.
+CUT_ROWS = 256
 METHODS = ("longest", "frequency")
 
 
@@ -121,26 +129,52 @@ def segment(
     return _segment_by_join(df, known, size["total"], size["lengths"], text, out, script, method, places)
 
 
+def _values(column: pa.Array) -> list:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def cut_rows(rows: pa.Array, marks: pa.Array, cut: Callable[[str], list[str]]) -> Iterator[pa.Array]:
+    """The tokens of a batch, some rows at a time: an iterator's batches need not be those it got."""
+    if not len(rows):
+        yield cut_batch(rows, marks, cut)
+    for at in range(0, len(rows), CUT_ROWS):
+        yield cut_batch(rows[at : at + CUT_ROWS], marks[at : at + CUT_ROWS], cut)
+
+
+def cut_batch(rows: pa.Array, marks: pa.Array, cut: Callable[[str], list[str]]) -> pa.Array:
+    """The pieces of all rows in one sequence, cut some at a time, so that few tokens are Python objects at once."""
+    ends = np.concatenate([[0], np.cumsum(rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
+    flat, inside = rows.flatten(), marks.flatten()
+    size_of = np.concatenate([[0], np.cumsum(pc.utf8_length(flat).fill_null(0).to_numpy(zero_copy_only=False))])
+    tokens, before, at = [], np.zeros(len(flat) + 1, np.int64), 0
+    while at < len(flat):
+        most = int(np.searchsorted(size_of, size_of[at] + CUT_CHARACTERS, "right")) - 1
+        end = min(max(at + 1, most), at + CUT_PIECES, len(flat))
+        chunk, sizes = [], []
+        for part, in_script in zip(_values(flat[at:end]), _values(inside[at:end])):
+            found = cut(part) if in_script else (part,)
+            chunk.extend(found)
+            sizes.append(len(found))
+        tokens.append(pa.array(chunk, pa.string()))
+        before[at + 1 : end + 1] = before[at] + np.cumsum(sizes)
+        at = end
+    every = pa.concat_arrays(tokens) if tokens else pa.array([], pa.string())
+    return pa.ListArray.from_arrays(pa.array(before[ends].astype(np.int32)), every)
+
+
 def _segment_in_place(
     df: DataFrame, known: DataFrame, total: int, text: str, out: str, script: str, method: str, places: dict | None
 ) -> DataFrame:
     listed = list(known.toPandas().itertuples(index=False, name=None))
     sent = df.sparkSession.sparkContext.broadcast((listed, places))
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def cut_all(parts: pd.Series, in_script: pd.Series) -> pd.Series:
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def cut_all(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         words, model = sent.value
-        cut_once = lru_cache(maxsize=CACHED_RUNS)(cutter(words, method, total, model))  # runs repeat within a batch
-        return pd.Series(
-            [
-                [
-                    token
-                    for part, inside in zip(row, flags)
-                    for token in (cut_once(part) if inside else (part,))
-                ]
-                for row, flags in zip(parts, in_script)
-            ]
-        )
+        cut = cutter(words, method, total, model)  # once per task
+        cut_short = lru_cache(maxsize=CACHED_RUNS)(cut)  # runs repeat
+        for rows, marks in batches:
+            yield from cut_rows(rows, marks, lambda run: cut_short(run) if len(run) <= CACHED_LENGTH else cut(run))
 
     parts = pieces(F.col(text), script)
     inside = F.transform(parts, lambda part: part.rlike(rf"^[{script}]"))
