@@ -10,6 +10,7 @@ from textjury import ModelStore, build_split, load_boosted, score_boosted, train
 from textjury.operators.classifiers import DEFAULT_NUM_FEATURES
 from textjury.operators.selection import best_buckets, chi_square_by_fold, fold_label_frequency
 from textjury.plans import boosting, scoring
+from textjury.plans import split as split_plans
 from textjury.plans.split import folders_at_size, scanned_bytes
 from textjury.plans.training import train_on_split
 from textjury.streaming.rates import spam_rate_stream, spam_rates, windowed_counts, with_rate
@@ -222,3 +223,10 @@ def test_sliding_windows_and_missing_times(spark):
     found = with_rate(windowed_counts(df, "ts", "2 hours", "1 hour")).collect()
     got = {round((r["window_start"].timestamp() - T0.timestamp()) / 3600): (r["n"], r["n_spam"], r["spam_rate"]) for r in found}
     assert got == {-1: (1, 1, 1.0), 0: (2, 1, 0.5), 1: (1, 0, 0.0)}
+
+
+def test_merged_write_tasks_stay_bounded(spark, monkeypatch):
+    rows = spark.range(0, 64_000, numPartitions=64)  # 512,000 bytes
+    assert folders_at_size(rows, 5).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(split_plans, "BYTES_PER_TASK", 16_000)
+    assert folders_at_size(rows, 5).rdd.getNumPartitions() == 32

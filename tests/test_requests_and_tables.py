@@ -69,3 +69,13 @@ def test_bucketed_tables_join_without_shuffle(spark, capsys):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP TABLE bucketed_documents")
         spark.sql("DROP TABLE bucketed_labels")
+
+
+def test_at_least_bounds_what_a_task_gets(spark, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    one = spark.range(1000, numPartitions=1).withColumnRenamed("id", "doc_id")  # 8,000 bytes
+    assert at_least(one).rdd.getNumPartitions() == cores
+    monkeypatch.setattr(tables, "SPREAD_BYTES_PER_TASK", 1000)
+    spread = at_least(one)
+    assert spread.rdd.getNumPartitions() == 8 > cores and spread.count() == 1000
+    assert at_least(one, 3).rdd.getNumPartitions() == 3

@@ -20,7 +20,7 @@ from textjury.plans.storage import append_record, read_records
 
 MANIFEST = "fingerprint STRING, settings STRING"
 DEFAULT_TOKENIZER = {"mode": "mixed"}
-BYTES_PER_FILE = 128 * 1024 * 1024
+BYTES_PER_FILE, BYTES_PER_TASK = 128 * 1024 * 1024, 256 * 1024 * 1024
 
 
 def dictionary_tokenizer(
@@ -85,11 +85,12 @@ def folders_at_size(df: DataFrame, k: int) -> DataFrame:
     """Fewer write tasks where each of a task's ``k`` files would be small.
 
     A scan task writes one file per fold. Merging tasks, without a shuffle, until a file
-    holds about ``BYTES_PER_FILE`` of input keeps their number near that of the data. The size
-    is that of the files that are read: the optimizer's estimate after a join is a product.
+    holds about ``BYTES_PER_FILE`` of input keeps their number near that of the data; a task gets
+    no more than about ``BYTES_PER_TASK``, as it may read that from a shuffle. The size is that
+    of the files that are read: the optimizer's estimate after a join is a product.
     """
     size = scanned_bytes(df)
-    wanted = max(df.sparkSession.sparkContext.defaultParallelism, -(-size // (k * BYTES_PER_FILE)))
+    wanted = max(df.sparkSession.sparkContext.defaultParallelism, -(-size // min(k * BYTES_PER_FILE, BYTES_PER_TASK)))
     return df.coalesce(int(min(wanted, 2**31 - 1)))
 
 

@@ -6,20 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-SPREAD_BYTES = 1024 * 1024 * 1024
+SPREAD_BYTES, SPREAD_BYTES_PER_TASK = 1024 * 1024 * 1024, 32 * 1024 * 1024
 
 
 def at_least(df: DataFrame, partitions: int | None = None, key: str = "doc_id") -> DataFrame:
     """Spread a scan that has fewer partitions than asked for (default: one per core).
 
-    Only for few, unsplittable files: an input of more than ``SPREAD_BYTES``, and a scan
-    that already feeds every core, is returned unchanged. The rows are the same either way.
+    By default a task then gets about ``SPREAD_BYTES_PER_TASK`` at most, also where few cores
+    have registered yet. Only for few, unsplittable files: an input of more than
+    ``SPREAD_BYTES``, and a scan that already feeds every core, is returned unchanged. The rows
+    are the same either way.
     """
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     wanted = partitions or df.sparkSession.sparkContext.defaultParallelism
     if size > SPREAD_BYTES or df.rdd.getNumPartitions() >= wanted:
         return df
-    return df.repartition(wanted, key)
+    return df.repartition(wanted if partitions else max(wanted, -(-size // SPREAD_BYTES_PER_TASK)), key)
 
 
 def labelled_messages(
