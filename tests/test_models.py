@@ -24,7 +24,7 @@ from textjury.plans.scoring import (
     score_weighted,
 )
 from textjury.plans.split import build_split, dictionary_tokenizer, open_split
-from textjury.plans.training import check_memory, fit_tasks, fits_at_once, retrain, train, train_on_split
+from textjury.plans.training import check_memory, fit_tasks, fits_at_once, partial_sums, retrain, train, train_on_split
 from textjury.streaming.ingest import ingest_labelled, ingested
 from textjury.streaming.scoring import answer_requests, judge_requests, score_stream
 
@@ -334,6 +334,19 @@ def test_fit_sizing():
     assert fits_at_once(4_000, fit_tasks("SVM", 10**10, 10_000, 10**12), 5) == 1
 
 
+def test_tasks_of_large_fits_are_bounded():
+    assert fit_tasks("GBDT", 200_000, 10_000, 0) == 120
+    assert fit_tasks("GBDT", 200_000, 10_000, 0, cores=12) == 12  # a histogram per task and node
+    assert fit_tasks("DT", 1_200_000, 10_000, 0, cores=12) == 45  # at most 1 GiB each
+    assert fit_tasks("DT", 4_000, 10_000, 800_000, cores=12) == 3
+    for entries in (10**6, 10**7, 2 * 10**7, 5 * 10**7, 3 * 10**8):
+        tasks = fit_tasks("SVM", 10**6, 10_000, entries, cores=12)
+        assert tasks <= 12 and partial_sums(tasks) <= 2  # gradients to the driver per pass
+    assert [partial_sums(n) for n in (1, 2, 5, 6, 11, 12, 59)] == [1, 2, 5, 2, 2, 3, 7]
+    assert fits_at_once(12, 11, 5) == 5
+    assert fits_at_once(12, 12, 5, size=8 * 10**9) == 1  # what they cache together is bounded too
+
+
 def test_given_words_and_group_key(spark, folder, messages):
     words = messages.select("doc_id", "label", F.split("text", " ").alias("words"), "text")
     split = build_split(words, folder, K, tokenizer={"mode": "given"}, group_key=F.md5("text"))

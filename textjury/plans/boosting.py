@@ -30,7 +30,7 @@ from textjury.plans.registry import ModelStore, ModelVersion
 from textjury.plans.scoring import predict_member
 from textjury.plans.split import Split, folders_at_size, with_words
 from textjury.plans.storage import append_record, read_records
-from textjury.plans.training import MAX_DENSE_BYTES, check_memory, fit_tasks, fits_at_once
+from textjury.plans.training import MAX_DENSE_BYTES, check_memory, fit_bytes, fit_tasks, fits_at_once
 
 WEIGHT = "weight"
 ROUNDS = "round INT, error DOUBLE, alpha DOUBLE"
@@ -110,8 +110,9 @@ def train_boosted(
     vectors = split.vectors(spark, m)
     frequency = fold_document_frequency(vectors, split.k, m)
     weights = idf_stages(frequency)
-    tasks = fit_tasks(algorithm, n_rows, m, entries=int(frequency[:, :-1].sum()))
-    at_once = parallelism or fits_at_once(spark.sparkContext.defaultParallelism, tasks, split.k)
+    cores, entries = spark.sparkContext.defaultParallelism, int(frequency[:, :-1].sum())
+    tasks = fit_tasks(algorithm, n_rows, m, entries, cores)
+    at_once = parallelism or fits_at_once(cores, tasks, split.k, fit_bytes(algorithm, n_rows, m, entries))
     started = time.perf_counter()
     rows = vectors.select("doc_id", "label", "tf", "fold", F.lit(1.0).alias(WEIGHT))
     for t in range(rounds):

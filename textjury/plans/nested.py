@@ -25,7 +25,7 @@ from textjury.operators.voting import majority_vote
 from textjury.plans.registry import ModelStore
 from textjury.plans.scoring import predict_member
 from textjury.plans.split import Split
-from textjury.plans.training import MAX_DENSE_BYTES, check_memory, fit_tasks, fits_at_once
+from textjury.plans.training import MAX_DENSE_BYTES, check_memory, fit_bytes, fit_tasks, fits_at_once
 
 
 def nested_vote(
@@ -52,7 +52,8 @@ def nested_vote(
     check_memory(algorithm, n_rows, m, max_dense_bytes)
     vectors = split.vectors(spark, m)
     frequency = fold_document_frequency(vectors, split.k, m)
-    tasks = fit_tasks(algorithm, n_rows, m, entries=int(frequency[:, :-1].sum()))
+    cores, entries = spark.sparkContext.defaultParallelism, int(frequency[:, :-1].sum())
+    tasks = fit_tasks(algorithm, n_rows, m, entries, cores)
     root = f"{store.root}/nested/{algorithm}-{uuid.uuid4().hex[:8]}"
 
     def fit(pair: tuple[int, int]) -> PipelineModel:
@@ -63,7 +64,7 @@ def nested_vote(
         PipelineModel(stages=[hashing_stage(m), idf, model]).write().save(path)
         return PipelineModel.load(path)
 
-    at_once = parallelism or fits_at_once(spark.sparkContext.defaultParallelism, tasks, len(pairs))
+    at_once = parallelism or fits_at_once(cores, tasks, len(pairs), fit_bytes(algorithm, n_rows, m, entries))
     with ThreadPoolExecutor(at_once) as pool:
         members = dict(zip(pairs, pool.map(inheritable_thread_target(spark)(fit), pairs)))
     parts = []
