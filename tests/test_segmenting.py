@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from textjury.operators.segmenting import cut_batch, cutter, salted_join, segment
+from textjury.operators.segmenting import CUT_ROWS, HEAVY_LENGTH, cut_batch, cutter, row_slices, salted_join, segment
 
 WORDS = ["比赛", "规则", "江苏", "江苏科技大学", "科技", "大学", "负责", "解释", "以上", "教职工", "摄影协会"]
 
@@ -125,3 +125,35 @@ def test_a_batch_is_cut_with_few_tokens_as_python_objects():
     assert got.value_lengths().to_pylist() == [length // 2 + 1] * rows + [0]
     assert got[rows - 1].as_py() == ["ab"] * (length // 2) + [" "]
     assert most < 25e6  # all tokens at once are 1,000,400 strings
+
+
+def test_hot_and_long_runs_joined(spark):
+    """Runs of all texts go by broadcast, rare and very long ones by the join; all are put together as in place."""
+    long = "ab" * HEAVY_LENGTH
+    texts = [f"abx, cab {chr(97 + i % 26) * (i // 26 + 1)}! {long if i % 2 else ''}{i}" for i in range(80)] + [None, "", "..."]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 2)], "id int, text string")
+    known = spark.createDataFrame([("ab", 3), ("cab", 1), ("zz", 2)], "token string, term_count long")
+    for method in ("longest", "frequency"):
+        ways = [
+            sorted((r["id"], r["words"]) for r in segment(df, known, script=r"\p{L}", method=method, **extra).collect())
+            for extra in ({}, {"broadcast_words": 0})
+        ]
+        assert ways[0] == ways[1] and len(ways[0]) == len(texts) * 2
+    assert ways[1][0][1][:4] == ["ab", "x", ",", " "]
+
+
+def test_only_distinct_runs_of_a_text_are_joined(spark):
+    """The pieces of a text do not become rows: what is exploded are its distinct runs."""
+    df = spark.createDataFrame([("ab ab ab, ab!",)], "text string")
+    known = spark.createDataFrame([("ab",)], "token string")
+    cut = segment(df, known, script=r"\p{L}", broadcast_words=0)
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode(array_distinct(" in plan and "posexplode(" not in plan
+    assert cut.first()["words"] == ["ab", " ", "ab", " ", "ab", ",", " ", "ab", "!"]
+
+
+def test_row_slices_cover_all_rows():
+    lists = pa.array([["x"] * 9_000, None, ["y"] * 40_000, [], *[["z"]] * 600])
+    sizes = [len(s[0]) for s in row_slices(lists)]
+    assert sizes[:2] == [2, 1] and sum(sizes) == len(lists) and max(sizes) <= CUT_ROWS
+    assert [len(s[0]) for s in row_slices(lists[:0])] == [0]
