@@ -90,3 +90,13 @@ def test_empty_and_null(spark):
         assert sketches.sketch_error(vocabulary(df.where("size(words) = 0")), sketch, 0.1).first().asDict() == {
             "n_words": 0, "n_terms": 0, "n_below": 0, "n_above": 0,
         }
+
+
+def test_a_token_is_hashed_once_for_all_rows_of_the_sketch(spark):
+    """No step of the plan holds the token's hash once per cell."""
+    df = rows(spark, ["a", "b", None], ["a"])
+    tokens = df.select(F.explode("words").alias("token"))
+    passing = sketches.with_estimates(tokens, sketches.count_sketch(df, error=0.1)).where("estimate >= 2")
+    plan = passing._jdf.queryExecution().optimizedPlan().toString()
+    assert max(line.count("md5(") for line in plan.splitlines()) == 1
+    assert [r["token"] for r in passing.collect()] == ["a", "a"]

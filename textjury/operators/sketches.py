@@ -109,7 +109,9 @@ def with_estimates(
     """
     held = {name: sketch.select(name).scalar() for name in ("depth", "width", "coefficients", "cells")}
     depth = math.ceil(-math.log(1 - confidence) / math.log(2))
-    number = token_number(F.col(token))
+    # A generated column is worked out once per row; of a plain one, the estimate holds a copy for each cell.
+    number = F.col("_token_number")
+    numbered = df.withColumn("_token_number", F.explode(F.array(token_number(F.col(token)))))
 
     def cell(row: int) -> Column:
         product = F.get(held["coefficients"], F.lit(row)) * number
@@ -118,7 +120,8 @@ def with_estimates(
 
     other = F.raise_error(F.lit(f"the sketch was not made with confidence {confidence}")).cast("bigint")
     least = cell(0) if depth == 1 else F.least(*[cell(row) for row in range(depth)])
-    return df.withColumn(out, F.when(held["depth"] != depth, other).when(F.col(token).isNotNull(), least))
+    estimated = numbered.withColumn(out, F.when(held["depth"] != depth, other).when(F.col(token).isNotNull(), least))
+    return estimated.drop("_token_number")
 
 
 def frequent_words(
