@@ -179,3 +179,25 @@ def test_discovered_list_cuts_unspaced_text(spark):
     tokens = [w for r in cut.select("words").collect() for w in r["words"]]
     assert sum(w in words for w in tokens) / len(tokens) > 0.9
     assert tokenize(texts, "mixed").select("words").first()["words"]
+
+
+def test_places_are_counted_by_distinct_word(spark):
+    """Steps and starts between and inside words of every length, repeated words, characters beyond the basic plane."""
+    rng = random.Random(5)
+    words = ["a", "b", "ab", "abc", "abcd", "abcde", "1", "x1", "", ",", "𝒜", "𝒜b", "é𝒜b"]
+    rows = [rng.choices(words, k=rng.randint(0, 30)) for _ in range(200)] + [None, []]
+    got = {(r["kind"], r["place"], r["mark"]): r["n"] for r in counted(spark, rows, script=r"\p{L}").collect()}
+    assert got == expected_counts(rows, str.isalpha)
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
+
+
+def test_words_are_grouped_before_they_are_spelled(spark):
+    """The characters come from distinct words: their Generate is above an aggregation by word."""
+    df = spark.createDataFrame([(["ab", "c"],)] * 3, "words array<string>")
+    lines = final_plan(place_counts(df, script=r"\p{L}"))
+    spelled = next(i for i, line in enumerate(lines) if "Generate posexplode" in line)
+    assert any("HashAggregate(keys=[word" in line for line in lines[spelled:])

@@ -13,8 +13,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textjury.functions.arrays import bind
-
 PLACES = "BMES"
 #: Places that may come before each place, and at a stretch's ends.
 BEFORE = {"B": "ES", "M": "BM", "E": "BM", "S": "ES"}
@@ -28,30 +26,37 @@ def place_counts(df: DataFrame, words: str = "words", script: str = r"\p{IsHan}"
     """(kind, place, mark, n) of segmented text: ``start`` of a run, ``step`` to the place ``mark``, ``emit`` of the character ``mark``.
 
     A run is a sequence of tokens in ``script`` (a character class) with no other token between.
-    At most 4 rows per character leave a map task.
+    What is inside a word is counted once per distinct word, which leaves a map task as one row,
+    and then spelled; what is between words is six numbers per message.
     """
     size = F.char_length
-    spelled = lambda w: F.when(size(w) == 1, "S").otherwise(F.concat(F.lit("B"), F.repeat(F.lit("M"), size(w) - 2), F.lit("E")))
     inside = lambda w: w.rlike(rf"^[{script}]+$")
-    tokens = F.filter(F.col(words), lambda w: w != "")
-    places = F.array_join(F.transform(tokens, lambda w: F.when(inside(w), spelled(w)).otherwise(" ")), "")
-    characters = F.array_join(F.transform(tokens, lambda w: F.when(inside(w), w).otherwise(" ")), "")
-
-    def item(kind: str, place: Column, mark: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), place.alias("place"), mark.alias("mark"))
-
-    def items(cut: Column) -> Column:
-        place, character = cut["place"], cut["character"]
-        previous = lambda i: F.when(i > 0, F.get(place, i - 1)).otherwise(" ")
-        come = F.transform(place, lambda p, i: F.when(previous(i) == " ", item(START, p, F.lit(""))).otherwise(item(STEP, previous(i), p)))
-        shown = F.transform(place, lambda p, i: item(EMIT, p, F.get(character, i)))
-        return F.concat(
-            F.filter(come, lambda x: (x["place"] != " ") & (x["mark"] != " ")), F.filter(shown, lambda x: x["place"] != " ")
-        )
-
-    cut = F.struct(F.split(places, "").alias("place"), F.split(characters, "").alias("character"))
-    every = df.where(F.size(words) > 0).select(F.inline(bind(cut, items)))
-    return every.groupBy("kind", "place", "mark").agg(F.count(F.lit(1)).alias("n"))
+    rows = df.where(F.size(words) > 0).select(F.filter(F.col(words), lambda w: w != "").alias("tokens"))
+
+    def item(kind: str, place: Column, mark: Column, n: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), place.alias("place"), mark.alias("mark"), n.cast("bigint").alias("n"))
+
+    def place(at: Column) -> Column:
+        return F.when(F.col("size") == 1, "S").when(at == 0, "B").when(at == F.col("size") - 1, "E").otherwise("M")
+
+    word, at, n = F.col("word"), F.col("at"), F.col("n")
+    distinct = rows.select(F.explode("tokens").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    # A word of another script becomes null here and not in a filter, which would be moved before the counting.
+    characters = F.split(F.when(inside(word), word), "")
+    spelled = distinct.select("n", size("word").alias("size"), F.posexplode(characters).alias("at", "character"))
+    shown, come = item(EMIT, place(at), F.col("character"), n), item(STEP, place(at - 1), place(at), n)
+    within = spelled.select(F.inline(F.when(at == 0, F.array(shown)).otherwise(F.array(shown, come))))
+    # Between words: S is a word of one character, W a longer one, which begins at B and ends at E; a blank is any other token.
+    kinds = F.array_join(F.transform("tokens", lambda w: F.when(~inside(w), " ").when(size(w) == 1, "S").otherwise("W")), "")
+    pairs = {f"{p}{q}": F.regexp_count("kinds", F.lit(f"{p}(?={q})")) for p in "SW" for q in "SW"}
+    first = {q: F.regexp_count("kinds", F.lit(f"(?<![SW]){q}")) for q in "SW"}
+    seams = rows.select(kinds.alias("kinds")).agg(*[F.sum(found).alias(name) for name, found in {**pairs, **first}.items()])
+    after, before = {"S": "S", "W": "E"}, {"S": "S", "W": "B"}  # place that ends, and that begins, such a word
+    between = [item(STEP, F.lit(after[name[0]]), F.lit(before[name[1]]), F.col(name)) for name in pairs]
+    begun = [item(START, F.lit(before[q]), F.lit(""), F.col(q)) for q in first]
+    joined = seams.select(F.inline(F.array(*between, *begun)))
+    every = within.unionByName(joined.where("n > 0"))
+    return every.groupBy("kind", "place", "mark").agg(F.sum("n").alias("n"))
 
 
 def place_model(counts: DataFrame) -> dict:
