@@ -8,7 +8,7 @@ import pytest
 from textjury import build_split, dictionary_tokenizer, tokenize
 from textjury.operators.segmenting import segment
 from textjury.operators.unknown_words import BEFORE, FIRST, LAST, PLACES, cut_stretches, place_counts, place_model, viterbi
-from textjury.operators.word_discovery import discover_words
+from textjury.operators.word_discovery import CLOSE, OPEN, discover_words, gram_counts
 from textjury.plans.split import with_words
 
 WORDS = [["今天", "天气", "很", "好", "。", "出去玩", "吧"], ["今", "天气预报", "x1", "好"], [], None, ["", "你好"]]
@@ -201,3 +201,16 @@ def test_words_are_grouped_before_they_are_spelled(spark):
     lines = final_plan(place_counts(df, script=r"\p{L}"))
     spelled = next(i for i, line in enumerate(lines) if "Generate posexplode" in line)
     assert any("HashAggregate(keys=[word" in line for line in lines[spelled:])
+
+
+def test_grams_follow_from_windows(spark):
+    texts = ["abcab", "a", "", None, "ab1abc", "𝒜b𝒜b"] * 3
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    expected = Counter()
+    for text in texts:
+        for run in "".join(c if c.isalpha() else " " for c in text or "").split():
+            run = OPEN + run + CLOSE
+            expected.update(run[at : at + n] for n in range(1, 4) for at in range(len(run) - n + 1))
+    grams = gram_counts(df, 3, script=r"\p{L}")
+    assert {(r["gram"], r["size"]): r["n"] for r in grams.collect()} == {(g, len(g)): n for g, n in expected.items()}
+    assert any("HashAggregate(keys=[window" in line for line in final_plan(grams))  # one row per character, not one per n-gram

@@ -67,3 +67,10 @@ def char_ngrams(text: Column, n: int = 2) -> Column:
     if n < 1:
         raise ValueError(f"n must be at least 1, got {n}")
     return F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{{n}}}))."), F.lit(1))
+
+
+def char_windows(text: Column, n: int) -> Column:
+    """The ``n`` characters from each character on, fewer at the end of the text."""
+    if n < 1:
+        raise ValueError(f"n must be at least 1, got {n}")
+    return F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{1,{n}}}))."), F.lit(1))

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textjury.functions.text import char_ngrams
+from textjury.functions.text import char_windows
 from textjury.operators.joins import lookup
 from textjury.plans.storage import stored
 
@@ -28,13 +28,18 @@ OPEN, CLOSE = "\x02", "\x03"
 def gram_counts(df: DataFrame, max_length: int, text: str = "text", script: str = HAN) -> DataFrame:
     """(gram, size, n) of the n-grams of up to ``max_length`` characters in runs of ``script``, with the runs' edges.
 
-    Counted in every task before the shuffle, so a frequent gram leaves each task as one row.
+    What is counted first is one window per character, of up to ``max_length`` characters to the
+    run's end; the n-grams that begin there are its beginnings, so they follow from the distinct
+    windows. Both are counted in every task before the shuffle, so a frequent one leaves each task as one row.
     """
     runs = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(f"[{script}]+"), F.lit(0))
     edged = F.transform(runs, lambda run: F.concat(F.lit(OPEN), run, F.lit(CLOSE)))
-    sizes = range(1, max_length + 1)
-    grams = F.flatten(F.transform(edged, lambda run: F.flatten(F.array(*[char_ngrams(run, n) for n in sizes]))))
-    counted = df.select(F.explode(grams).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    windows = F.flatten(F.transform(edged, lambda run: char_windows(run, max_length)))
+    distinct = df.select(F.explode(windows).alias("window")).groupBy("window").agg(F.count(F.lit(1)).alias("n"))
+    beginnings = F.transform(
+        F.sequence(F.lit(1), F.char_length("window")), lambda size: F.substring(F.col("window"), F.lit(1), size)
+    )
+    counted = distinct.select(F.explode(beginnings).alias("gram"), "n").groupBy("gram").agg(F.sum("n").alias("n"))
     return counted.select("gram", F.char_length("gram").alias("size"), "n")
 
 
