@@ -110,3 +110,14 @@ def test_refused(spark, first, labelled):
         train_on_split(same, store, "MP", num_features=M, replace=True, select=10, warm_start=True)
     with pytest.raises(ValueError, match="layers"):
         warm_started(estimator("MP", M + 1), ensemble.members[0].stages[-1])
+
+
+def test_signatures_of_tokens_are_those_of_single_words(spark):
+    """The tokenizer works them out per distinct token of a batch; nulls, marks and characters beyond the basic plane too."""
+    texts = ["ab ab cd a", None, "", "𝒜b é 今天", "x" * 300, *[f"word{i % 7} same" for i in range(50)]]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    for rows in (1, 3):
+        signed = tokenize(tokenize(df, "word", out="plain"), "word", similar=rows)
+        got = signed.withColumn("expected", F.transform("plain", lambda t: similar_signature(t, rows))).collect()
+        assert len(got) == len(texts) and all(r["words"] == r["expected"] for r in got)
+    assert "transform(" not in signed._jdf.queryExecution().optimizedPlan().toString()

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
 
 from textjury.functions import text as T
 from textjury.functions.arrays import counted
-from textjury.functions.hashing import similar_bucket, similar_signature
+from textjury.functions.hashing import BEGIN, END, similar_bucket
+
+#: Characters in the n-grams of a signature; tokens whose signature a task keeps, and the longest of them.
+SIMILAR_GRAM, CACHED_SIGNATURES, CACHED_LENGTH = 2, 50_000, 64
 
 MODES: dict[str, Callable[[Column, int], Column]] = {
     "keep_all": lambda text, n: T.all_pieces(text),
@@ -51,7 +57,39 @@ def tokenize(
     tokens later puts similar ones into one bucket.
     """
     cut = tokens(F.col(text), mode, n, lowercase)
-    return df.withColumn(out, cut if similar is None else F.transform(cut, lambda t: similar_signature(t, similar)))
+    return df.withColumn(out, cut if similar is None else signatures(similar)(cut))
+
+
+def signatures(rows: int) -> Callable[[Column], Column]:
+    """:func:`textjury.functions.hashing.similar_signature` of each token of an array, worked out once per distinct token of a batch.
+
+    Plain values and functions only, so that a worker can use them without this package.
+    """
+    if rows < 1:
+        raise ValueError(f"rows must be at least 1, got {rows}")
+    n, begin, end, kept, short = SIMILAR_GRAM, BEGIN, END, CACHED_SIGNATURES, CACHED_LENGTH
+
+    @F.arrow_udf(ST.ArrayType(ST.StringType()))
+    def sign_all(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        from functools import lru_cache
+        from hashlib import md5
+
+        @lru_cache(maxsize=kept)  # tokens repeat
+        def signature(token: str | None) -> str | None:
+            if token is None:
+                return None
+            marked = begin + token + end
+            grams = {marked[i : i + n] for i in range(len(marked) - n + 1)}
+            return "".join(min(md5(f"{row}:{gram}".encode()).hexdigest() for gram in grams)[:8] for row in range(rows))
+
+        for batch in batches:
+            found = batch.flatten().dictionary_encode()
+            asked = ((token, signature if token is None or len(token) <= short else signature.__wrapped__) for token in found.dictionary.to_pylist())
+            signed = pa.array([sign(token) for token, sign in asked], pa.string())
+            ends = np.concatenate([[0], np.cumsum(batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
+            yield pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), signed.take(found.indices))
+
+    return sign_all
 
 
 def token_rows(df: DataFrame, key: str = "doc_id", words: str = "words") -> DataFrame:
