@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from textjury.operators.classifiers import ALGORITHMS, check_classes, estimator
 from textjury.operators.folds import training_rows
 from textjury.operators.vectors import FEATURES, fold_document_frequency, idf_stages
+from textjury.plans import training
 from textjury.plans.comparison import comparison_board, evaluate_version
 from textjury.plans.registry import ModelStore
 from textjury.plans.scoring import (
@@ -24,7 +25,7 @@ from textjury.plans.scoring import (
     score_weighted,
 )
 from textjury.plans.split import build_split, dictionary_tokenizer, open_split
-from textjury.plans.training import check_memory, fit_tasks, fits_at_once, partial_sums, retrain, train, train_on_split
+from textjury.plans.training import check_memory, fit_tasks, fits_at_once, partial_sums, retrain, spread, train, train_on_split
 from textjury.streaming.ingest import ingest_labelled, ingested
 from textjury.streaming.scoring import answer_requests, judge_requests, score_stream
 
@@ -347,6 +348,36 @@ def test_tasks_of_large_fits_are_bounded():
     assert fits_at_once(12, 12, 5, size=8 * 10**9) == 1  # what they cache together is bounded too
 
 
+def test_tasks_of_a_fit_hold_as_many_rows(spark, folder, monkeypatch):
+    """One write task had nearly all rows, so one file of each fold has; merged, its task has them too."""
+    seen = []
+
+    class Recorded:
+        def setFeaturesCol(self, name):
+            self.learner = estimator("LR", 100).setFeaturesCol(name)
+            return self
+
+        def fit(self, rows):
+            seen.append([r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()])
+            return self.learner.fit(rows)
+
+    monkeypatch.setattr(training, "estimator", lambda algorithm, width: Recorded())
+    monkeypatch.setattr(training, "BYTES_PER_TASK", 1_000)
+    rows = spark.range(800, numPartitions=4).where("id < 200 or id % 20 = 0")
+    rows = rows.selectExpr("id doc_id", "double(id % 2) label", "if(id % 2 = 1, 'a b c', 'a d e') text")
+    train(rows, ModelStore(spark, folder), "LR", 2, 100)
+    assert len(seen) == 2 and all(len(sizes) > 1 for sizes in seen)
+    assert all(max(sizes) <= min(sizes) + 8 for sizes in seen)  # at most one row more from each partition
+
+
+def test_many_partitions_are_merged_without_a_shuffle(spark):
+    many = spark.range(100, numPartitions=8 * 3)
+    assert spread(many, 3).rdd.getNumPartitions() == 3
+    assert "Coalesce 3" in spread(many, 3)._jdf.queryExecution().executedPlan().toString()
+    assert spread(many, 4).rdd.getNumPartitions() == 4
+    assert "Exchange" in spread(many, 4)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_given_words_and_group_key(spark, folder, messages):
     words = messages.select("doc_id", "label", F.split("text", " ").alias("words"), "text")
     split = build_split(words, folder, K, tokenizer={"mode": "given"}, group_key=F.md5("text"))

@@ -30,7 +30,7 @@ from textjury.plans.registry import ModelStore, ModelVersion
 from textjury.plans.scoring import predict_member
 from textjury.plans.split import Split, folders_at_size, with_words
 from textjury.plans.storage import append_record, read_records
-from textjury.plans.training import MAX_DENSE_BYTES, check_memory, fit_bytes, fit_tasks, fits_at_once
+from textjury.plans.training import MAX_DENSE_BYTES, check_memory, fit_bytes, fit_tasks, fits_at_once, spread
 
 WEIGHT = "weight"
 ROUNDS = "round INT, error DOUBLE, alpha DOUBLE"
@@ -118,7 +118,7 @@ def train_boosted(
     for t in range(rounds):
 
         def fit(fold: int) -> None:
-            own = training_rows(rows, fold).coalesce(tasks)
+            own = spread(training_rows(rows, fold), tasks)
             model = weak.fit(weights[fold].transform(own).select("label", FEATURES, WEIGHT))
             PipelineModel(stages=[hashing_stage(m), weights[fold], model]).write().save(member_path(path, t, fold))
 

@@ -25,7 +25,7 @@ from textjury.operators.voting import majority_vote
 from textjury.plans.registry import ModelStore
 from textjury.plans.scoring import predict_member
 from textjury.plans.split import Split
-from textjury.plans.training import MAX_DENSE_BYTES, check_memory, fit_bytes, fit_tasks, fits_at_once
+from textjury.plans.training import MAX_DENSE_BYTES, check_memory, fit_bytes, fit_tasks, fits_at_once, spread
 
 
 def nested_vote(
@@ -58,7 +58,7 @@ def nested_vote(
 
     def fit(pair: tuple[int, int]) -> PipelineModel:
         idf = idf_stage(frequency.sum(axis=0) - frequency[list(pair)].sum(axis=0))
-        rows = vectors.where(~F.col("fold").isin(*pair)).coalesce(tasks)
+        rows = spread(vectors.where(~F.col("fold").isin(*pair)), tasks)
         model = estimator(algorithm, m).fit(idf.transform(rows).select("label", FEATURES))
         path = f"{root}/without={pair[0]}-{pair[1]}"
         PipelineModel(stages=[hashing_stage(m), idf, model]).write().save(path)
