@@ -1,4 +1,5 @@
 from dataclasses import replace
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -8,9 +9,9 @@ from pyspark.sql import functions as F
 from textjury.operators.classifiers import ALGORITHMS, check_classes, estimator
 from textjury.operators.folds import training_rows
 from textjury.operators.vectors import FEATURES, fold_document_frequency, idf_stages
-from textjury.plans import training
+from textjury.plans import queries, training
 from textjury.plans.comparison import comparison_board, evaluate_version
-from textjury.plans.registry import ModelStore
+from textjury.plans.registry import Ensemble, ModelStore
 from textjury.plans.scoring import (
     cascade,
     load_all,
@@ -26,6 +27,7 @@ from textjury.plans.scoring import (
 )
 from textjury.plans.split import build_split, dictionary_tokenizer, open_split
 from textjury.plans.training import check_memory, fit_tasks, fits_at_once, partial_sums, retrain, spread, train, train_on_split
+from textjury.sources.requests import METHODS
 from textjury.streaming.ingest import ingest_labelled, ingested
 from textjury.streaming.scoring import answer_requests, judge_requests, score_stream
 
@@ -370,6 +372,24 @@ def test_tasks_of_a_fit_hold_as_many_rows(spark, folder, monkeypatch):
     assert all(max(sizes) <= min(sizes) + 8 for sizes in seen)  # at most one row more from each partition
 
 
+def test_joint_votes_are_computed_once(spark, folder, messages, ensembles, monkeypatch):
+    once = messages.select("doc_id", "text").limit(60)
+    once.unionByName(once.limit(20)).unionByName(spark.sql("select null doc_id, 'a' text")).write.parquet(f"{folder}/documents")
+    held = {a: Ensemble(replace(ensembles["LR"].version, algorithm=a), ensembles["LR"].members) for a in METHODS}
+    bench = SimpleNamespace(ensemble=held.get, documents=lambda: spark.read.parquet(f"{folder}/documents"))
+
+    def scans(found):
+        leaves = found._jdf.queryExecution().optimizedPlan().collectLeaves()
+        return sum("text#" in leaves.apply(i).toString() for i in range(leaves.size()))
+
+    found = queries.vote_consistency(bench)
+    monkeypatch.setattr(queries, "stored", lambda df, name: df)
+    inline = queries.vote_consistency(bench)
+    assert (scans(found), scans(inline)) == (len(METHODS), 3 * len(METHODS))
+    rows = sorted(map(tuple, found.collect()))
+    assert rows == sorted(map(tuple, inline.collect())) == sorted((a, 40 + 20 * 8 + 1, 1) for a in METHODS)
+
+
 def test_many_partitions_are_merged_without_a_shuffle(spark):
     many = spark.range(100, numPartitions=8 * 3)
     assert spread(many, 3).rdd.getNumPartitions() == 3

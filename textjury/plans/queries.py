@@ -18,6 +18,7 @@ from textjury.operators.word_discovery import discover_words as word_discovery_o
 from textjury.plans import boosting, fold_counts, nested, scoring
 from textjury.plans.comparison import comparison_board
 from textjury.plans.split import build_split, dictionary_tokenizer
+from textjury.plans.storage import stored
 from textjury.plans.training import retrain, train_on_split
 from textjury.plans.workbench import FOLDS, Workbench, workbench
 from textjury.sources.lines import checked_lines, parse_labelled, read_labelled, read_messages
@@ -695,7 +696,7 @@ def vote_consistency(b: Workbench) -> DataFrame:
     routed = scoring.score_by_method(asked, list(ensembles.values())).select(
         "doc_id", "method", F.col("vote").alias("routed")
     )
-    every = wide.join(routed, "doc_id")
+    every = stored(wide.join(routed, "doc_id"), "votes")  # read by each algorithm
     results = []
     for algorithm, ensemble in ensembles.items():
         members = [F.col(f"p{i}") for i in range(len(ensemble.members))]
