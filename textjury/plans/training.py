@@ -9,6 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from typing import Any
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -22,7 +23,9 @@ from textjury.operators.classifiers import (
 )
 from textjury.operators.folds import training_rows
 from textjury.operators.selection import best_buckets, fold_label_frequency, selection_stage
+from textjury.operators.sparse_trees import can_grow, grow, grow_tasks
 from textjury.operators.vectors import (
+    TF,
     fold_document_frequency,
     hashing_stage,
     idf_stages,
@@ -37,6 +40,8 @@ SPARSE_ENTRY_BYTES, DENSE_ENTRY_BYTES = 12, 4
 #: Partitions of a scan for each task of a fit from which on they are merged instead of shuffled.
 MERGED_PER_TASK = 8
 TREES = ("DT", "GBDT")
+#: Dense rows of one tree fit up to which Spark ML's learner, with fewer passes of less each, takes no longer than the one for sparse rows.
+DENSE_TREE_BYTES = 256 * 1024 * 1024
 #: Memory that the dense rows of one tree fit may take on all executors together.
 MAX_DENSE_BYTES = 64 * 1024**3
 
@@ -88,8 +93,9 @@ def train_on_split(
 
     A fit is many short jobs, so several at once keep the cores busy; each one
     caches its own training rows, so ``parallelism`` bounds the memory in use.
-    Without it, fits share the cluster until their tasks fill every core. The tree
-    learners keep a dense row of bins per message; a fit whose rows come to more than
+    Without it, fits share the cluster until their tasks fill every core. The trees of a large
+    table are grown for all folds at once by :mod:`textjury.operators.sparse_trees`, the others by Spark ML's
+    learners, which keep a dense row of bins per message. A tree fit whose dense rows come to more than
     ``max_dense_bytes`` is refused before it starts. Set that to what your executors can
     cache, or choose ``num_features`` by it, or let each member keep only the ``select``
     buckets that have the highest chi-square with the label in its own training set.
@@ -125,8 +131,14 @@ def train_on_split(
     cores, entries = spark.sparkContext.defaultParallelism, int(frequency[:, :-1].sum())
     tasks = fit_tasks(algorithm, n_rows, width, entries, cores)
     started = time.perf_counter()
+    grown = None
+    if select is None and _grows_sparse(algorithm, class_counts, width):
+        grown = _grown(vectors, weights, frequency[:, -1], estimator(algorithm, width), grow_tasks(entries, cores))
 
     def fit(fold: int) -> None:
+        if grown is not None:
+            PipelineModel(stages=[hashing_stage(m), weights[fold], grown[fold]]).write().save(f"{path}/member={fold}")
+            return
         stages = [weights[fold]] if chosen is None else [weights[fold], selection_stage(chosen[fold])]
         rows = spread(training_rows(vectors, fold), tasks)
         for stage in stages:
@@ -161,6 +173,23 @@ def train_on_split(
     return store.load(trained)
 
 
+def _grows_sparse(algorithm: str, class_counts: list[dict], num_features: int) -> bool:
+    """Whether all trees are grown in one go; Spark ML's decision tree says itself that it needs a row of label 1."""
+    n_rows, ones = (sum(c[name] for c in class_counts) for name in ("n", "n_one"))
+    if algorithm not in TREES or fit_bytes(algorithm, n_rows, num_features, 0) <= DENSE_TREE_BYTES:
+        return False
+    learnable = algorithm == "GBDT" or all(ones > c["n_one"] for c in class_counts)
+    return learnable and can_grow(estimator(algorithm, num_features))
+
+
+def _grown(vectors: DataFrame, weights: list, by_fold: np.ndarray, learner: Any, tasks: int) -> list:
+    """The tree models of all training sets."""
+    factors = np.stack([stage.getScalingVec().toArray() for stage in weights])
+    rows = spread(vectors.select("label", "fold", TF), tasks)
+    learner = learner.setFeaturesCol(weights[0].getOutputCol())
+    return grow(rows, factors, by_fold.sum() - by_fold, learner, tasks)
+
+
 def _warm_members(
     store: ModelStore, previous: ModelVersion | None, algorithm: str, split: Split, m: int, select: int | None
 ) -> tuple[PipelineModel, ...] | None:
