@@ -127,20 +127,25 @@ def score_by_method(requests: DataFrame, ensembles: Sequence[Ensemble]) -> DataF
 
 
 def cascade(df: DataFrame, first: Ensemble, second: Ensemble) -> DataFrame:
-    """Vote of ``first`` where its members agree, of ``second`` where they do not."""
+    """Vote of ``first`` where its members agree, of ``second`` where they do not. Equal tokenizers cut a text once."""
     members = len(first.members)
-    settled = score(df, first).drop(*[f"p{i}" for i in range(members)])
+    hashed = term_vectors(with_words(df, first.version.tokenizer_settings()), first.version.num_features)
+    voted, names = _member_votes(hashed, first, "", "tf")
+    settled = majority_vote(voted, names).drop("tf", *names)
     unsure = F.col("votes").between(1, members - 1)
-    scored = _add_vote(settled.withColumn("unsure", unsure), second, F.col("unsure"))
+    shared = first.version.tokenizer == second.version.tokenizer
+    if not shared:
+        settled = settled.drop("words")
+    scored = _add_vote(settled.withColumn("unsure", unsure), second, F.col("unsure"), has_words=shared)
     other = f"vote_{second.algorithm}"
     return scored.withColumn("vote", F.when(F.col("unsure"), F.col(other)).otherwise(F.col("vote"))).drop(
         "votes", other
     )
 
 
-def _add_vote(df: DataFrame, ensemble: Ensemble, asked: Column) -> DataFrame:
+def _add_vote(df: DataFrame, ensemble: Ensemble, asked: Column, has_words: bool = False) -> DataFrame:
     """Add ``vote_<algorithm>``; rows where ``asked`` is false are scored without their words."""
-    tokenised = with_words(df, ensemble.version.tokenizer_settings())
+    tokenised = df if has_words else with_words(df, ensemble.version.tokenizer_settings())
     tokenised = tokenised.withColumn(
         "words", F.when(asked, F.col("words")).otherwise(F.array().cast(NO_WORDS))
     )
